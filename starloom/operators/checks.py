@@ -51,7 +51,7 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataF
     values = child.where(F.col(column).isNotNull()).groupBy(column).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    return lookup(values, parent, {column: key}, how="left_anti")
+    return lookup(values, parent, {column: key}, how="left_anti", unique=True)
 
 
 def orphan_rows(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:

@@ -145,10 +145,15 @@ def check_references(
 
 
 def check_cross_table(
-    df: DataFrame, parent: DataFrame, on: dict[str, str], take: dict[str, str], violated: Column
+    df: DataFrame,
+    parent: DataFrame,
+    on: dict[str, str],
+    take: dict[str, str],
+    violated: Column,
+    large: bool = False,
 ) -> DataFrame:
     """Joined rows and those that break a rule over both tables."""
-    joined = lookup(df, parent, on, take)
+    joined = lookup(df, parent, on, take, large=large)
     return joined.agg(
         F.count(F.lit(1)).alias("checked_rows"), F.count_if(violated).alias("violations")
     )
@@ -172,12 +177,13 @@ def mark(df: DataFrame, contract: Contract, parents: dict[str, DataFrame]) -> Da
         keys = check_unique(df, contract).select(*contract.unique, F.lit(True).alias("hit"))
         repeated = stage(keys, "repeated")
         on = {c: c for c in contract.unique}
-        marked = lookup(marked, repeated, on, {"hit": "__repeated"}, "left")
+        marked = lookup(marked, repeated, on, {"hit": "__repeated"}, "left", keys_of=df)
         extra[f"{', '.join(contract.unique)} repeated"] = F.col("__repeated")
     for f in contract.references:
         values = orphans(df, f.column, parents[f.parent], f.key)
         lost = stage(values.select(f.column, F.lit(True).alias("hit")), "lost")
-        marked = lookup(marked, lost, {f.column: f.column}, {"hit": f"__lost_{f.column}"}, "left")
+        hit = {"hit": f"__lost_{f.column}"}
+        marked = lookup(marked, lost, {f.column: f.column}, hit, "left", keys_of=df)
         extra[f"{f.column} not in {f.parent}"] = F.col(f"__lost_{f.column}")
     reasons = failed_names({**row_rules(contract), **extra})
     return marked.withColumn("reasons", reasons).select(*df.columns, "reasons")
@@ -202,13 +208,13 @@ def apply_contract(
     """
     if mode not in ("quarantine", "reject"):
         raise ValueError(f"mode is quarantine or reject, not {mode}")
-    marked = mark(df, contract, parents)
-    good = F.size("reasons") == 0
-    accepted = marked.where(good).drop("reasons")
-    quarantined = marked.where(~good)
-    if mode == "reject" and not quarantined.limit(1).isEmpty():
-        return Verdict(accepted.where(F.lit(False)), marked, alerts(marked))
-    return Verdict(accepted, quarantined, alerts(marked))
+    judged = mark(df, contract, parents).withColumn("broken", F.size("reasons") > 0)
+    marked = stage(judged, "marked", "broken")
+    broken = marked.where("broken").drop("broken")
+    accepted = marked.where("not broken").select(*df.columns)
+    if mode == "reject" and not broken.isEmpty():
+        return Verdict(accepted.where(F.lit(False)), marked.drop("broken"), alerts(broken))
+    return Verdict(accepted, broken, alerts(broken))
 
 
 ZONE = "Asia/Kolkata"  # fixed value: the delivery times below are local there

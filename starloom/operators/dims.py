@@ -37,9 +37,11 @@ def resolve_parents(
     src: DataFrame, parents: tuple[Parent, ...], dims: dict[str, DataFrame], how: str
 ) -> DataFrame:
     """Add each parent's surrogate key under its role's column."""
-    for parent in parents:
-        src = lookup(src, dims[parent.dimension], parent.on, {parent.key: parent.result}, how)
-    return src
+    resolved = src
+    for p in parents:
+        take = {p.key: p.result}
+        resolved = lookup(resolved, dims[p.dimension], p.on, take, how, keys_of=src)
+    return resolved
 
 
 def project_dim(src: DataFrame, spec: Dimension, dims: dict[str, DataFrame]) -> DataFrame:

@@ -6,11 +6,11 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.functions.columns import failed_names, narrow_int
+from starloom.functions.columns import all_of, failed_names, narrow_int
 from starloom.model import Fact, History
 from starloom.operators.dims import resolve_parents
 from starloom.operators.joins import lookup
-from starloom.session import setting
+from starloom.session import setting, stage
 
 
 class Load(NamedTuple):
@@ -21,24 +21,28 @@ class Load(NamedTuple):
 def resolve_fact(src: DataFrame, spec: Fact, dims: dict[str, DataFrame]) -> DataFrame:
     """All source rows with their keys and the roles that found no parent."""
     resolved = resolve_parents(src, spec.parents, dims, "left")
+    return _judged(resolved, spec)
+
+
+def _judged(resolved: DataFrame, spec: Fact) -> DataFrame:
     missing = {f"no {p.role}": F.col(p.result).isNull() for p in spec.parents}
-    return resolved.withColumn("reasons", failed_names(missing))
+    return resolved.withColumn("reasons", failed_names(missing)).withColumn(
+        "rejected", F.size("reasons") > 0
+    )
 
 
 def split_load(resolved: DataFrame, spec: Fact) -> Load:
     """The fact rows and the rejected source rows of a resolved frame."""
     keys = [p.result for p in spec.parents]
     columns = [narrow_int(F.col(c)).alias(c) if c in spec.narrow else F.col(c) for c in spec.columns]
-    found = resolved
-    for key in keys:
-        found = found.where(F.col(key).isNotNull())
-    fact = found.select(*spec.grain, *keys, *columns)
-    rejects = resolved.where(F.size("reasons") > 0)
-    return Load(fact, rejects.select(*spec.grain, "reasons"))
+    found = resolved.where(~F.col("rejected")).where(all_of(F.col(k).isNotNull() for k in keys))
+    rejects = resolved.where("rejected")
+    return Load(found.select(*spec.grain, *keys, *columns), rejects.select(*spec.grain, "reasons"))
 
 
 def load_fact(src: DataFrame, spec: Fact, dims: dict[str, DataFrame]) -> Load:
-    return split_load(resolve_fact(src, spec, dims), spec)
+    """Fact and rejects, written in one pass with the rejects apart."""
+    return split_load(stage(resolve_fact(src, spec, dims), spec.name, "rejected"), spec)
 
 
 def asof_lookup(
@@ -49,6 +53,7 @@ def asof_lookup(
     day: str,
     take: dict[str, str],
     how: str = "left",
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """The version valid on each row's ``day``: from ``<= day <`` to.
 
@@ -61,10 +66,13 @@ def asof_lookup(
     (business_key,) = on.values()
     most = dim.groupBy(business_key).count().agg(F.max("count")).first()[0] or 0
     if most > setting(src.sparkSession, "versionsPerKey", 64):
-        src = src.withColumn("__month", F.trunc(day, "month"))
-        dim = _by_month(dim, spec, src.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first())
+        month = F.trunc(day, "month")
+        days = src if keys_of is None else keys_of
+        dim = _by_month(dim, spec, days.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first())
+        src = src.withColumn("__month", month)
+        keys_of = days.withColumn("__month", month)
         on = {**on, "__month": "__month"}
-    joined = lookup(src, dim, on, taken, how, within)
+    joined = lookup(src, dim, on, taken, how, within, keys_of)
     return joined.drop("__from", "__to", "__month")
 
 
@@ -91,6 +99,5 @@ def load_fact_asof(
             versions, day = history[parent.dimension]
             take = {parent.key: parent.result}
             dim = dims[parent.dimension]
-            resolved = asof_lookup(resolved, dim, versions, parent.on, day, take)
-    missing = {f"no {p.role}": F.col(p.result).isNull() for p in spec.parents}
-    return split_load(resolved.withColumn("reasons", failed_names(missing)), spec)
+            resolved = asof_lookup(resolved, dim, versions, parent.on, day, take, keys_of=src)
+    return split_load(stage(_judged(resolved, spec), spec.name, "rejected"), spec)

@@ -15,6 +15,7 @@ from starloom.session import setting
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 1_000_000
+SKEW_SAMPLE = 0.01
 _ROW_OVERHEAD = 32  # row header and hash slot of a broadcast row
 
 
@@ -47,34 +48,42 @@ def _key_hash(columns: list[str]) -> Column:
 def _hot_keys(src: DataFrame, columns: list[str]) -> DataFrame | None:
     """Hash and number of shares of keys too large for one task.
 
-    The count is partially aggregated before its shuffle. At most one row per
-    shuffle partition is kept: any key past those holds no more rows than an
-    average partition does.
+    Keys are counted on a sample, which decides how a key is spread and nothing
+    else: the join keeps every row however good the guess was. At most one key
+    per shuffle partition is listed, as any key past those holds no more rows
+    than an average partition.
     """
     spark = src.sparkSession
-    share = setting(spark, "rowsPerTask", ROWS_PER_TASK)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows_per_task = setting(spark, "rowsPerTask", ROWS_PER_TASK)
+    fraction = setting(spark, "skewSample", SKEW_SAMPLE)
     rows = (
-        src.groupBy(_key_hash(columns).alias("h"))
+        src.select(_key_hash(columns).alias("h"))
+        .sample(fraction, seed=0)
+        .groupBy("h")
         .count()
-        .where(F.col("count") > share)
+        .where(F.col("count") > rows_per_task * fraction)
         .orderBy(F.desc("count"))
-        .limit(partitions)
+        .limit(int(spark.conf.get("spark.sql.shuffle.partitions")))
         .collect()
     )
     if not rows:
         return None
-    shares = [(r["h"], math.ceil(r["count"] / share)) for r in rows]
+    shares = [(r["h"], math.ceil(r["count"] / fraction / rows_per_task)) for r in rows]
     return spark.createDataFrame(shares, "__hot long, __shares int")
 
 
 def _spread_join(
-    src: DataFrame, side: DataFrame, pairs: list[tuple[str, str]], extra: Column | None, how: str
+    src: DataFrame,
+    side: DataFrame,
+    pairs: list[tuple[str, str]],
+    extra: Column | None,
+    how: str,
+    keys_of: DataFrame | None,
 ) -> DataFrame:
     src_keys = [s for s, _ in pairs]
     side_keys = [k for _, k in pairs]
     condition = _equal(pairs, extra)
-    hot = _hot_keys(src, src_keys)
+    hot = None if keys_of is None else _hot_keys(keys_of, src_keys)
     if hot is None:
         return src.join(side, condition, how)
     # at most one row per shuffle partition, see _hot_keys
@@ -82,10 +91,10 @@ def _spread_join(
     shares = F.coalesce(F.col("__shares"), F.lit(1))
     # The share of a row depends on its content and input split only, so a task
     # that runs again sends every row where it went the first time.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *src.columns), shares).cast("int")
+    place = F.pmod(F.xxhash64(F.spark_partition_id(), *src.columns), shares).cast("int")
     left = (
         src.join(hot, _key_hash(src_keys) == F.col("__hot"), "left")
-        .withColumn("__share", spread)
+        .withColumn("__share", F.when(shares > 1, place).otherwise(0))
         .drop("__hot", "__shares")
     )
     right = (
@@ -111,20 +120,28 @@ def lookup(
     take: dict[str, str] | None = None,
     how: str = "inner",
     when: Column | None = None,
+    keys_of: DataFrame | None = None,
+    unique: bool = False,
+    large: bool = False,
 ) -> DataFrame:
     """Join ``src`` to ``side`` on ``{source column: side column}``.
 
     ``take`` maps side columns to their names in the result, ``when`` is a
     further condition over source columns and taken names. ``how`` is inner,
     left, left_semi or left_anti.
+
+    ``keys_of`` is a cheaper frame with the same source keys to look for large
+    ones in, such as ``src`` before earlier lookups. ``unique`` says that no
+    source key repeats, ``large`` that measuring the side is not worth a pass.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup keeps or drops source rows, it cannot be {how}")
     pairs = [(s, f"__k{i}") for i, s in enumerate(on)]
     keys = [F.col(k).alias(alias) for k, (_, alias) in zip(on.values(), pairs)]
     side = side.select(*keys, *[F.col(c).alias(n) for c, n in (take or {}).items()])
-    if fits_broadcast(side):
+    if not large and fits_broadcast(side):
         joined = src.join(F.broadcast(side), _equal(pairs, when), how)
     else:
-        joined = _spread_join(src, side, pairs, when, how)
+        sampled = None if unique else src if keys_of is None else keys_of
+        joined = _spread_join(src, side, pairs, when, how, sampled)
     return joined.drop(*[alias for _, alias in pairs])

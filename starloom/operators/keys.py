@@ -49,7 +49,7 @@ def assign_keys(
     if existing is None:
         return number_rows(df, business_key, key)
     on = {c: c for c in business_key}
-    kept = lookup(df, existing, on, {key: key}).select(key, *df.columns)
-    fresh = lookup(df, existing, on, how="left_anti")
+    kept = lookup(df, existing, on, {key: key}, unique=True).select(key, *df.columns)
+    fresh = lookup(df, existing, on, how="left_anti", unique=True)
     last = existing.agg(F.max(key)).first()[0] or 0
     return kept.unionByName(number_rows(fresh, business_key, key, start=last))

@@ -86,6 +86,7 @@ def scd2_change_set(dim: DataFrame, feed: DataFrame, spec: History, as_of: date)
         feed,
         {spec.business_key: spec.business_key},
         how="left_semi",
+        unique=True,
     )
     old = {c: f"old_{c}" for c in [*spec.tracked, spec.first_seen, begin]}
     before = touched.select(

@@ -166,7 +166,8 @@ def _routes(w: Warehouse) -> DataFrame:
     sent = lookup(
         w.lines, w.table("supplier"), {"supplier_id": "s_suppkey"}, {"s_nationkey": "origin_nation"}
     )
-    return lookup(sent, orders, {"booking_id": "o_orderkey"}, {"nation": "dest_nation"})
+    dest = {"nation": "dest_nation"}
+    return lookup(sent, orders, {"booking_id": "o_orderkey"}, dest, keys_of=w.lines, large=True)
 
 
 @query
@@ -538,6 +539,7 @@ def contract_date_order(w: Warehouse) -> DataFrame:
         {"booking_id": "o_orderkey"},
         {"o_orderdate": "ordered"},
         F.col("ordered").cast("date") > F.col("travel_date"),
+        large=True,
     )
 
 

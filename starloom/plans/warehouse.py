@@ -18,7 +18,7 @@ from starloom.functions.dates import date_key
 from starloom.model import Dimension, Fact, History, Measure, Parent, Ratio
 from starloom.operators.contract import Contract, ContractColumn, ForeignKey
 from starloom.operators.dims import build_dim, calendar_for, snowflake
-from starloom.operators.facts import Load, resolve_fact, split_load
+from starloom.operators.facts import Load, load_fact
 from starloom.operators.joins import lookup
 from starloom.operators.scd2 import Applied, prepare_feed, scd2_apply, scd2_init
 from starloom.session import new_path, stage
@@ -221,7 +221,7 @@ class Warehouse:
         )
 
     @property
-    def bookings(self) -> DataFrame:
+    def booking_feed(self) -> DataFrame:
         """One row per order; its flight, tax and miles come from its lines."""
         lines = self.table("lineitem")
         per_order = lines.groupBy(F.col("l_orderkey").alias("booking_id")).agg(
@@ -300,6 +300,11 @@ class Warehouse:
 
     # -- tables the warehouse keeps ----------------------------------------------
 
+    @cached_property
+    def bookings(self) -> DataFrame:
+        """The landed booking feed."""
+        return stage(self.booking_feed, "bookings")
+
     @cached_property
     def calendar(self) -> DataFrame:
         return stage(calendar_for(self.bookings, "booking_date", "travel_date"), "calendar")
@@ -339,9 +344,7 @@ class Warehouse:
 
     @cached_property
     def load(self) -> Load:
-        """The fact and its rejects, from one written pass over the bookings."""
-        resolved = stage(resolve_fact(self.bookings, TICKET_SALES, self.dims), "resolved")
-        return split_load(resolved, TICKET_SALES)
+        return load_fact(self.bookings, TICKET_SALES, self.dims)
 
     @cached_property
     def initial_history(self) -> DataFrame:

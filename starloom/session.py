@@ -20,6 +20,7 @@ def work_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _WORK_DIRS:
         root = spark.conf.get("spark.checkpoint.dir", None)
+        root = root or spark.sparkContext.getCheckpointDir()
         if not root:
             if not spark.sparkContext.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -33,17 +34,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and continue from the files.
 
     Cuts the lineage on shared storage, so a lost executor costs one re-read
     and nothing upstream is computed a second time by several consumers.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*([partition_by] if partition_by else [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def setting(spark: SparkSession, name: str, default: int) -> int:
-    """An integer of ours, overridable as ``spark.starloom.<name>``."""
-    return int(spark.conf.get(f"spark.starloom.{name}", str(default)))
+def setting[N: (int, float)](spark: SparkSession, name: str, default: N) -> N:
+    """A number of ours, overridable as ``spark.starloom.<name>``."""
+    return type(default)(spark.conf.get(f"spark.starloom.{name}", str(default)))
