@@ -62,22 +62,27 @@ class HistoryStore:
 
     def _close(self, path: str, as_of: date) -> None:
         """Rewrite the day's closed versions: those shown already and the new ones."""
-        columns = self.spark.table(self.closed).columns
-        end = self.spec.validity[1]
+        current, (_, end) = F.col(self.spec.current), self.spec.validity
+        columns = [c for c in self.spark.table(self.closed).columns if c != end]
         schema = self.read().schema
-        fresh = self.spark.read.schema(schema).parquet(path).where(~F.col(self.spec.current))
-        shown = self.read().where(~F.col(self.spec.current) & (F.col(end) == F.lit(as_of)))
+        fresh = self.spark.read.schema(schema).parquet(path).where(~current)
+        shown = self.read().where(~current & (F.col(end) == F.lit(as_of)))
         day = stage(fresh.select(*columns).unionByName(shown.select(*columns)), "closed")
-        writer = day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(self.closed)
+        self.spark.sql(
+            f"INSERT OVERWRITE TABLE {self.closed} PARTITION ({end} = DATE '{as_of}') "
+            "SELECT * FROM {day}",
+            day=day,
+        )
 
     def _show(self, path: str, as_of: date | None) -> None:
         current, (_, end) = self.spec.current, self.spec.validity
-        columns = ", ".join(c for c in self.spec.columns if c != current)
+
+        def columns(value: str) -> str:
+            return ", ".join(f"{value} AS {c}" if c == current else c for c in self.spec.columns)
+
         shown = f"{end} <= DATE '{as_of}'" if as_of else "false"
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.table} AS "
-            f"SELECT {columns}, true AS {current} FROM parquet.`{path}` "
-            f"WHERE CAST({current} AS BOOLEAN) "
-            f"UNION ALL SELECT {columns}, false FROM {self.closed} WHERE {shown}"
+            f"SELECT {columns('true')} FROM parquet.`{path}` WHERE CAST({current} AS BOOLEAN) "
+            f"UNION ALL SELECT {columns('false')} FROM {self.closed} WHERE {shown}"
         )

@@ -6,6 +6,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from starloom.session import stage
+
 CORRUPT = "_corrupt_record"
 
 
@@ -28,15 +30,25 @@ def csv_reader(spark: SparkSession, schema: T.StructType):
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> Csv:
-    """Well-formed rows, and the text of the lines that are not.
+    """Land a feed: well-formed rows, and the text of the lines that are not.
 
-    A header that does not name the declared columns fails the read.
+    The parsed lines are written before they are split. Only with every column
+    parsed is it sure which lines are malformed; a later query that needs few
+    columns would not notice the others. A header that does not name the declared
+    columns fails the read.
     """
-    rows = csv_reader(spark, schema).csv(path)
-    # the extra column keeps the parser from skipping fields nobody asked for
-    bad = F.col(CORRUPT).isNotNull()
-    quarantined = rows.where(bad).select(F.col(CORRUPT).alias("line"), "_metadata.file_path")
-    return Csv(rows.where(~bad).select(*schema.names), quarantined)
+    parsed = csv_reader(spark, schema).csv(path)
+    landed = stage(
+        parsed.select(
+            "*",
+            F.col("_metadata.file_path").alias("source_file"),
+            F.col(CORRUPT).isNotNull().alias("malformed"),
+        ),
+        "landed",
+        "malformed",
+    )
+    quarantined = landed.where("malformed").select(F.col(CORRUPT).alias("line"), "source_file")
+    return Csv(landed.where("not malformed").select(*schema.names), quarantined)
 
 
 def read_text_columns(spark: SparkSession, path: str) -> DataFrame:

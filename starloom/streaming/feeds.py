@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom.operators.scd2 import prepare_feed
+from starloom.session import stage
 from starloom.sources.history import HistoryStore
 from starloom.sources.readers import CORRUPT, Csv
 
@@ -55,6 +56,7 @@ def apply_feed(
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         bad = F.col(CORRUPT).isNotNull() | F.col("feed_date").isNull()
+        batch = stage(batch, "feed")
         days = batch.where(~bad).select("feed_date").distinct().collect()  # one row per day
         for day in sorted(r["feed_date"] for r in days):
             of_day = batch.where(~bad & (F.col("feed_date") == F.lit(day)))

@@ -1,0 +1,132 @@
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from starloom.functions.columns import code, narrow_int
+from starloom.operators.dims import build_dim, calendar_dim, calendar_for, resolve_geography, snowflake
+from starloom.plans.warehouse import AIRCRAFT, AIRPORT, FLIGHT, PASSENGER
+
+AIRPORTS = [
+    ("CDG", "Charles de Gaulle", "Paris", "France", "Europe"),
+    ("PRX", "Cox Field", "Paris", "USA", "North America"),
+    ("DEL", "Indira Gandhi Intl", "Delhi", "India", "South Asia"),
+    ("BOM", "Chhatrapati Shivaji", "Mumbai", "India", "South Asia"),
+]
+FLAT = "airport_code string, airport_name string, city string, country string, region string"
+
+
+@pytest.fixture
+def airports(spark):
+    return build_dim(spark.createDataFrame(AIRPORTS, FLAT), AIRPORT)
+
+
+def test_calendar_of_three_years(spark):
+    days = calendar_dim(spark, date(2024, 1, 1), date(2026, 12, 31))
+    got = days.orderBy("full_date").collect()
+    assert len(got) == 1096
+    for i, r in enumerate(got):
+        d = date(2024, 1, 1) + timedelta(i)
+        assert tuple(r) == (
+            d.year * 10000 + d.month * 100 + d.day,
+            d,
+            d.year,
+            (d.month + 2) // 3,
+            d.month,
+            d.strftime("%B"),
+            d.day,
+            d.strftime("%A"),
+            d.weekday() >= 5,
+        )
+
+
+def test_calendar_covers_the_dates_of_a_frame(spark):
+    df = spark.createDataFrame([(date(2025, 1, 30), date(2025, 2, 2))], "a date, b date")
+    assert [r.full_date.day for r in calendar_for(df, "a", "b").orderBy("full_date").collect()] == [
+        30, 31, 1, 2,
+    ]
+    assert calendar_for(df, "a").count() == 1
+
+
+def test_flight_has_two_airports_and_an_aircraft(spark, airports):
+    aircraft = build_dim(
+        spark.createDataFrame(
+            [("AC01", "A320neo", "Airbus", 180)],
+            "aircraft_code string, model string, manufacturer string, seat_capacity long",
+        ),
+        AIRCRAFT,
+    )
+    flights = spark.createDataFrame(
+        [
+            (10, "F10", "DEL", "CDG", "AC01", date(2025, 6, 1)),
+            (11, "F11", "CDG", "DEL", "AC01", date(2025, 6, 2)),
+            (12, "F12", "CDG", "XXX", "AC01", date(2025, 6, 3)),
+        ],
+        "flight_id long, flight_number string, origin_airport_code string, dest_airport_code string, "
+        "aircraft_code string, flight_date date",
+    )
+    got = build_dim(flights, FLIGHT, {"airport": airports, "aircraft": aircraft})
+    sk = dict(rows(airports, "airport_code", "airport_key"))
+    assert rows(got, "flight_id", "origin_airport_key", "dest_airport_key", "aircraft_key") == [
+        (10, sk["DEL"], sk["CDG"], 1),
+        (11, sk["CDG"], sk["DEL"], 1),
+    ]
+
+
+def test_passenger_keys_survive_a_reload(spark, airports):
+    schema = (
+        "passenger_id long, passenger_name string, home_airport_code string, "
+        "frequent_flyer_tier string, signup_date date"
+    )
+    day = date(2020, 1, 1)
+    first = build_dim(
+        spark.createDataFrame([(5, "E", "DEL", "Blue", day), (9, "N", "BOM", "Gold", day)], schema),
+        PASSENGER,
+        {"airport": airports},
+    )
+    more = spark.createDataFrame(
+        [(1, "A", "DEL", "Blue", day), (5, "E", "DEL", "Blue", day), (9, "N", "BOM", "Gold", day)], schema
+    )
+    again = build_dim(more, PASSENGER, {"airport": airports}, existing=first)
+    assert rows(again, "passenger_id", "passenger_key") == [(1, 3), (5, 1), (9, 2)]
+
+
+def test_snowflake_keeps_airports_and_tells_cities_apart(spark, airports):
+    levels = snowflake(airports)
+    assert rows(levels["country"], "country_name", "region") == [
+        ("France", "Europe"),
+        ("India", "South Asia"),
+        ("USA", "North America"),
+    ]
+    assert levels["city"].count() == 4
+    assert levels["city"].where("city_name = 'Paris'").count() == 2
+    assert rows(levels["airport"], "airport_key", "airport_code") == rows(
+        airports, "airport_key", "airport_code"
+    )
+    assert set(levels["airport"].columns) == {"airport_key", "airport_code", "airport_name", "city_key"}
+
+
+def test_resolving_the_geography_gives_the_flat_rows_in_order(spark, airports):
+    got = [tuple(r) for r in resolve_geography(snowflake(airports)).collect()]
+    assert got == sorted(AIRPORTS, key=lambda a: (a[3], a[2], a[0]))
+
+
+def test_a_country_in_two_regions_cannot_be_split(spark):
+    bad = [*AIRPORTS, ("IST", "Istanbul", "Istanbul", "India", "Europe")]
+    with pytest.raises(ValueError, match="India"):
+        snowflake(build_dim(spark.createDataFrame(bad, FLAT), AIRPORT))
+
+
+def test_codes_ignore_case_and_blanks(spark):
+    df = spark.createDataFrame([("del ",), (" DEL",), ("DEL",)], "c string")
+    assert df.select(code(F.col("c")).alias("c")).distinct().collect() == [("DEL",)]
+
+
+def test_narrowing_fails_on_overflow_even_without_ansi(spark, settings):
+    settings(spark__sql__ansi__enabled="false")
+    fits = spark.createDataFrame([(2**31 - 1,), (-(2**31),), (None,)], "v long")
+    assert rows(fits.select(narrow_int(F.col("v")))) == [(-(2**31),), (2**31 - 1,), (None,)]
+    too_large = spark.createDataFrame([(2**31,)], "v long")
+    with pytest.raises(Exception, match="does not fit INT"):
+        too_large.select(narrow_int(F.col("v"))).collect()
