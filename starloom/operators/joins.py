@@ -142,6 +142,8 @@ def lookup(
     if not large and fits_broadcast(side):
         joined = src.join(F.broadcast(side), _equal(pairs, when), how)
     else:
+        if how in ("left_semi", "left_anti"):
+            side = side.distinct()  # partitioned by the key, as the join needs it
         sampled = None if unique else src if keys_of is None else keys_of
         joined = _spread_join(src, side, pairs, when, how, sampled)
     return joined.drop(*[alias for _, alias in pairs])

@@ -100,7 +100,7 @@ def rebuild_fact(
     if lost:
         raise RefreshStopped(f"{table}: {lost}")
     replace_table(rejects, f"{layers.gold}.rejects_{spec.name}")
-    return publish(spark, table, path)
+    return publish(spark, table, path, written.schema)
 
 
 def refresh(

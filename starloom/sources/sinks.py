@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from starloom.functions.dates import month_of
 from starloom.session import new_path
@@ -35,13 +35,20 @@ def write_version(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return path
 
 
-def publish(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """Make ``path`` the current version of ``table``."""
+def publish(spark: SparkSession, table: str, path: str, schema: T.StructType) -> DataFrame:
+    """Make ``path`` the current version of ``table``.
+
+    The view states each column's type, as a folder's name does not hold the type
+    of its partition column.
+    """
     if "." in table:
         layer = table.rpartition(".")[0]
         if not spark.catalog.databaseExists(layer):
             spark.sql(f"CREATE DATABASE {layer} LOCATION '{new_path(spark, layer)}'")
-    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{path}`")
+    columns = ", ".join(
+        f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields
+    )
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM parquet.`{path}`")
     return spark.table(table)
 
 
@@ -60,7 +67,7 @@ def replace_table(
     path = write_version(df, new_path(spark, table.replace(".", "-")), partition_by)
     if check is not None:
         check(spark.read.schema(df.schema).parquet(path))
-    return publish(spark, table, path)
+    return publish(spark, table, path, df.schema)
 
 
 def append(df: DataFrame, path: str, columns: list[str]) -> None:

@@ -9,10 +9,10 @@ from starloom.operators.dims import build_dim, calendar_dim, calendar_for, resol
 from starloom.plans.warehouse import AIRCRAFT, AIRPORT, FLIGHT, PASSENGER
 
 AIRPORTS = [
-    ("CDG", "Charles de Gaulle", "Paris", "France", "Europe"),
-    ("PRX", "Cox Field", "Paris", "USA", "North America"),
-    ("DEL", "Indira Gandhi Intl", "Delhi", "India", "South Asia"),
-    ("BOM", "Chhatrapati Shivaji", "Mumbai", "India", "South Asia"),
+    ("CDG", "North Field", "Paris", "France", "Europe"),
+    ("PRX", "East Field", "Paris", "USA", "North America"),
+    ("DEL", "South Field", "Delhi", "India", "South Asia"),
+    ("BOM", "West Field", "Mumbai", "India", "South Asia"),
 ]
 FLAT = "airport_code string, airport_name string, city string, country string, region string"
 

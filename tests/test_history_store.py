@@ -94,23 +94,23 @@ def test_streamed_feeds(spark, store, tmp_path):
         feeds.apply_feed(spark, str(source), UPDATES, airports, store, log, rejects)
 
     (source / "day1.csv").write_text(
-        HEADER + "70,K,DEL,Silver,2026-09-17\n71,S,XXX,Silver,2026-09-17\nno number,S,DEL,Silver,2026-09-17\n"
+        HEADER + "70,K,DEL,Silver,2026-03-17\n71,S,XXX,Silver,2026-03-17\nno number,S,DEL,Silver,2026-03-17\n"
     )
     run()
     assert rows(store.read().where("passenger_id = 70"), "effective_from", "frequent_flyer_tier") == [
-        (date(2020, 5, 1), "Blue"), (date(2026, 9, 17), "Silver"),
+        (date(2020, 5, 1), "Blue"), (date(2026, 3, 17), "Silver"),
     ]
     after_one = shown(store.read())
     run()
     assert shown(store.read()) == after_one
     (source / "day2.csv").write_text(
-        HEADER + "70,K,BOM,Silver,2026-09-19\n70,K,BOM,Gold,2026-09-18\n"
+        HEADER + "70,K,BOM,Silver,2026-03-19\n70,K,BOM,Gold,2026-03-18\n"
     )
     run()
     assert rows(store.read().where("passenger_id = 70"), "effective_from", "home_airport_key") == [
-        (date(2020, 5, 1), 5), (date(2026, 9, 17), 5), (date(2026, 9, 18), 6), (date(2026, 9, 19), 6),
+        (date(2020, 5, 1), 5), (date(2026, 3, 17), 5), (date(2026, 3, 18), 6), (date(2026, 3, 19), 6),
     ]
-    lost = spark.read.parquet(f"{rejects}/batch=0/day=2026-09-17")
+    lost = spark.read.parquet(f"{rejects}/batch=0/day=2026-03-17")
     assert rows(lost, "passenger_id", "reasons") == [(71, ["home_airport_code is unknown"])]
     unreadable = spark.read.parquet(f"{rejects}/batch=0/unreadable")
     assert unreadable.count() == 1

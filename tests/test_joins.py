@@ -74,3 +74,17 @@ def test_condition_besides_the_key(spark, fact, dim, no_broadcast):
 def test_outer_joins_of_the_side_are_refused(spark, fact, dim):
     with pytest.raises(ValueError):
         lookup(fact, dim, {"fk": "code"}, {}, "full")
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_a_side_that_repeats_a_key_is_reduced_first(spark, no_broadcast, settings, many_partitions, how):
+    ids = spark.range(100)
+    side = spark.range(0, 3000, numPartitions=6).select(
+        F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id") % 50).cast("long").alias("code")
+    )
+    got = lookup(ids, side, {"id": "code"}, how=how, unique=True)
+    expected = ids.join(side, F.col("id") == F.col("code"), how)
+    plan = plan_of(got)
+    assert rows(got) == rows(expected)
+    assert plan.count("HashAggregate") >= 2
+    assert plan.count("Exchange hashpartitioning") == 2

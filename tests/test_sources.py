@@ -96,6 +96,13 @@ def test_partitioned_version_prunes_through_the_view(spark):
     assert "PartitionFilters: [isnotnull(part" in june._jdf.queryExecution().executedPlan().toString()
 
 
+def test_partition_columns_keep_their_types(spark):
+    df = spark.createDataFrame([(1, "007", True), (2, "010", False)], "id long, code string, flag boolean")
+    shown = replace_table(df, "typed_table", partition_by=["code", "flag"])
+    assert shown.schema == df.schema
+    assert rows(shown) == rows(df)
+
+
 def test_append_takes_columns_by_name(spark):
     path = new_path(spark, "appended")
     spark.createDataFrame([(1, "a")], "id long, name string").write.parquet(path)
