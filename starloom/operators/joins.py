@@ -136,6 +136,9 @@ def lookup(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup keeps or drops source rows, it cannot be {how}")
+    taken = set((take or {}).values()) & set(src.columns)
+    if taken:
+        raise ValueError(f"the source has these columns already: {', '.join(sorted(taken))}")
     pairs = [(s, f"__k{i}") for i, s in enumerate(on)]
     keys = [F.col(k).alias(alias) for k, (_, alias) in zip(on.values(), pairs)]
     side = side.select(*keys, *[F.col(c).alias(n) for c, n in (take or {}).items()])

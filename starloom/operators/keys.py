@@ -49,7 +49,10 @@ def assign_keys(
     if existing is None:
         return number_rows(df, business_key, key)
     on = {c: c for c in business_key}
-    kept = lookup(df, existing, on, {key: key}, unique=True).select(key, *df.columns)
-    fresh = lookup(df, existing, on, how="left_anti", unique=True)
+    matched = lookup(df, existing, on, {key: key}, "left", unique=True)
+    known = F.col(key).isNotNull()
+    pinned = stage(matched.withColumn("__known", known), f"known-{key}", "__known")
+    kept = pinned.where("__known").select(key, *df.columns)
+    fresh = pinned.where("not __known").select(*df.columns)
     last = existing.agg(F.max(key)).first()[0] or 0
     return kept.unionByName(number_rows(fresh, business_key, key, start=last))

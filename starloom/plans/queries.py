@@ -225,7 +225,7 @@ def fact_reconciliation(w: Warehouse) -> DataFrame:
 
 @query
 def orphan_check(w: Warehouse) -> DataFrame:
-    """Orphans of the loaded fact, and of the raw bookings against raw flights."""
+    """Rows of the loaded fact that point at no row of a dimension."""
     loaded = w.load.fact
     return checks.orphan_check(
         loaded,
@@ -563,7 +563,7 @@ def contract_unique(w: Warehouse) -> DataFrame:
 
 @query
 def contract_fk(w: Warehouse) -> DataFrame:
-    """References into the day's feed cut down to passengers of large nations."""
+    """References into parents that lack the passengers of one tier and one aircraft."""
     parents = {
         "passengers": w.passengers.where("frequent_flyer_tier <> 'BUILDING'"),
         "flights": w.flights.where("aircraft_code <> 'BRAND#12'"),

@@ -61,9 +61,13 @@ def replace_table(
     """Full refresh: write aside, check, swap in.
 
     ``check`` raises to keep the old version. The frame may read the very table
-    it replaces.
+    it replaces. A text column cannot partition it: a folder named ``007`` would
+    be read as the number 7.
     """
     spark = df.sparkSession
+    text = [c for c in partition_by or [] if isinstance(df.schema[c].dataType, T.StringType)]
+    if text:
+        raise ValueError(f"text cannot partition a table: {', '.join(text)}")
     path = write_version(df, new_path(spark, table.replace(".", "-")), partition_by)
     if check is not None:
         check(spark.read.schema(df.schema).parquet(path))

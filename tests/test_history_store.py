@@ -23,7 +23,6 @@ FEEDS = [
     (0, (70, "K", "Silver", 5), (900, "N", "Blue", 5)),
     (0, (71, "S", "Silver", 6), (70, "K", "Gold", 5)),
     (1, (70, "K", "Gold", 6), (72, "T", "Blue", 6)),
-    (9, (900, "N", "Gold", 5), (901, "M", "Blue", 5)),
 ]
 
 

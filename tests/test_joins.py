@@ -71,6 +71,11 @@ def test_condition_besides_the_key(spark, fact, dim, no_broadcast):
     assert got.count() == fact.count()
 
 
+def test_a_name_the_source_has_cannot_be_taken(spark, fact, dim):
+    with pytest.raises(ValueError, match="id"):
+        lookup(fact, dim, {"fk": "code"}, {"sk": "id"})
+
+
 def test_outer_joins_of_the_side_are_refused(spark, fact, dim):
     with pytest.raises(ValueError):
         lookup(fact, dim, {"fk": "code"}, {}, "full")

@@ -54,7 +54,7 @@ def test_no_window_and_no_single_partition(spark, many_partitions):
 
 
 @hypothesis_settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
     old=st.sets(st.integers(-1000, 1000), max_size=40), new=st.sets(st.integers(-1000, 1000), max_size=40)

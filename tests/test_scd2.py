@@ -223,7 +223,7 @@ def test_broken_chains(spark, name, spans, fault):
 
 
 @hypothesis_settings(
-    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
     st.dictionaries(
@@ -243,7 +243,7 @@ def test_chains_against_sorting_each_entity(spark, given_spans):
 
 
 @hypothesis_settings(
-    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
     st.lists(

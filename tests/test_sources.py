@@ -97,10 +97,15 @@ def test_partitioned_version_prunes_through_the_view(spark):
 
 
 def test_partition_columns_keep_their_types(spark):
-    df = spark.createDataFrame([(1, "007", True), (2, "010", False)], "id long, code string, flag boolean")
-    shown = replace_table(df, "typed_table", partition_by=["code", "flag"])
+    df = spark.createDataFrame(
+        [(1, "007", 7, True, date(2025, 6, 1)), (2, "010", 10, False, date(2025, 6, 2))],
+        "id long, code string, month int, flag boolean, day date",
+    )
+    shown = replace_table(df, "typed_table", partition_by=["month", "flag", "day"])
     assert shown.schema == df.schema
     assert rows(shown) == rows(df)
+    with pytest.raises(ValueError, match="code"):
+        replace_table(df, "typed_table", partition_by=["code"])
 
 
 def test_append_takes_columns_by_name(spark):
