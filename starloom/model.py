@@ -34,6 +34,20 @@ class Dimension:
     parents: tuple[Parent, ...] = ()
 
 
+@dataclass(frozen=True)
+class Level:
+    """One level of a hierarchy that a flat dimension holds in its columns.
+
+    ``columns`` name a member within the level above, ``attributes`` describe it;
+    both map the flat columns to the level's own.
+    """
+
+    name: str
+    key: str
+    columns: dict[str, str]
+    attributes: dict[str, str] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class Measure:
     name: str

@@ -1,4 +1,4 @@
-"""Calendar, conformed dimensions and the geography snowflake."""
+"""Calendar, conformed dimensions and their snowflakes."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions.dates import calendar_columns
-from starloom.model import Dimension, Parent
+from starloom.model import Dimension, Level, Parent
 from starloom.operators.joins import lookup
 from starloom.operators.keys import assign_keys, number_rows
 from starloom.session import stage
@@ -64,57 +64,42 @@ def build_dim(
     return assign_keys(rows, spec.business_key, spec.key, existing)
 
 
-def snowflake(airports: DataFrame) -> dict[str, DataFrame]:
-    """Split a flat geography into country, city and airport.
+def snowflake(flat: DataFrame, levels: list[Level], leaf: str) -> dict[str, DataFrame]:
+    """Split a flat dimension into a table per level, from the top down.
 
-    ``airports`` is keyed by ``airport_key`` and keeps that key. A city is known
-    by its name and country together. A country with several regions would make
-    its name ambiguous, so that fails.
+    A member is known by its own name and the level above together, as a name
+    alone may recur. The leaf keeps its key and everything the levels do not
+    take, with a reference to the lowest level. A member with several attribute
+    values would be ambiguous, so that fails.
     """
-    pairs = airports.select("country", "region").distinct()
-    countries = number_rows(
-        pairs.select(F.col("country").alias("country_name"), "region"),
-        ["country_name", "region"],
-        "country_key",
-    )
-    twice = countries.groupBy("country_name").count().where("count > 1").limit(1)
-    if not twice.isEmpty():
-        raise ValueError(f"country has several regions: {twice.first()['country_name']}")
-
-    places = airports.select("city", "country").distinct()
-    resolved = lookup(places, countries, {"country": "country_name"}, {"country_key": "country_key"})
-    cities = number_rows(
-        resolved.select(F.col("city").alias("city_name"), "country_key"),
-        ["city_name", "country_key"],
-        "city_key",
-    )
-
-    with_country = lookup(
-        airports, countries, {"country": "country_name"}, {"country_key": "country_key"}
-    )
-    with_city = lookup(
-        with_country,
-        cities,
-        {"city": "city_name", "country_key": "country_key"},
-        {"city_key": "city_key"},
-    )
-    leaf = with_city.drop("city", "country", "region", "country_key")
-    return {"country": countries, "city": cities, "airport": stage(leaf, "airport")}
-
-
-def resolve_geography(levels: dict[str, DataFrame]) -> DataFrame:
-    """Every airport with its city, country and region, ordered top down."""
-    with_city = lookup(
-        levels["airport"],
-        levels["city"],
-        {"city_key": "city_key"},
-        {"city_name": "city_name", "country_key": "country_key"},
-    )
-    flat = lookup(
-        with_city,
-        levels["country"],
-        {"country_key": "country_key"},
-        {"country_name": "country_name", "region": "region"},
-    )
-    columns = ["airport_code", "airport_name", "city_name", "country_name", "region"]
-    return flat.select(*columns).orderBy("country_name", "city_name", "airport_code")
+    tables: dict[str, DataFrame] = {}
+    current, above = flat, []
+    for level in levels:
+        taken = {**level.columns, **level.attributes}
+        members = current.select(*[F.col(c).alias(n) for c, n in taken.items()], *above).distinct()
+        name = [*level.columns.values(), *above]
+        numbered = number_rows(members, [*name, *level.attributes.values()], level.key)
+        twice = numbered.groupBy(*name).count().where("count > 1").limit(1).collect()
+        if twice:
+            raise ValueError(f"{level.name} {twice[0][0]} has several values of an attribute")
+        on = {**level.columns, **{k: k for k in above}}
+        current = lookup(current, numbered, on, {level.key: level.key}).drop(*above)
+        tables[level.name] = numbered
+        above = [level.key]
+    moved = [c for level in levels for c in (*level.columns, *level.attributes)]
+    tables[leaf] = stage(current.drop(*moved), leaf)
+    return tables
+
+
+def resolve_levels(
+    tables: dict[str, DataFrame], levels: list[Level], leaf: str, columns: list[str]
+) -> DataFrame:
+    """The leaf's ``columns`` with those of every level above, ordered top down."""
+    flat = tables[leaf]
+    for level, above in zip(reversed(levels), [*reversed(levels[:-1]), None]):
+        names = [*level.columns.values(), *level.attributes.values()]
+        take = {n: n for n in [*names, *([above.key] if above else [])]}
+        flat = lookup(flat, tables[level.name], {level.key: level.key}, take)
+    named = [n for level in levels for n in level.columns.values()]
+    described = [n for level in levels for n in level.attributes.values()]
+    return flat.select(*columns, *named, *described).orderBy(*named, *columns)

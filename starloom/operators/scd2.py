@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions.columns import any_of, differs, failed_names
 from starloom.functions.dates import open_end
-from starloom.model import History
+from starloom.model import History, Parent
+from starloom.operators.dims import resolve_parents
 from starloom.operators.joins import lookup
 from starloom.operators.keys import number_rows
 from starloom.session import stage
@@ -49,18 +50,18 @@ def scd2_init(dim: DataFrame, spec: History) -> DataFrame:
     ).select(*spec.columns)
 
 
-def prepare_feed(updates: DataFrame, airports: DataFrame, spec: History) -> Feed:
-    """Resolve the feed's airport; rows that cannot be applied become rejects.
-
-    ``updates`` has ``home_airport_code``; the accepted rows have
-    ``home_airport_key`` in its place.
-    """
-    resolved = lookup(
-        updates, airports, {"home_airport_code": "airport_code"}, {"airport_key": "home_airport_key"}, "left"
-    )
-    values = [c for c in spec.tracked if c != "home_airport_key"]
-    wrong = {f"{c} is null": F.col(c).isNull() for c in [spec.business_key, *values]}
-    wrong["home_airport_code is unknown"] = F.col("home_airport_key").isNull()
+def prepare_feed(
+    updates: DataFrame, spec: History, parents: tuple[Parent, ...], dims: dict[str, DataFrame]
+) -> Feed:
+    """Resolve the feed's parents; rows that cannot be applied become rejects."""
+    resolved = resolve_parents(updates, parents, dims, "left")
+    keys = {p.result for p in parents}
+    wrong = {
+        f"{c} is null": F.col(c).isNull()
+        for c in (spec.business_key, *spec.tracked)
+        if c not in keys
+    }
+    wrong |= {f"no {p.role}": F.col(p.result).isNull() for p in parents}
     marked = resolved.withColumn("reasons", failed_names(wrong))
     accepted = marked.where(F.size("reasons") == 0).select(*spec.feed_columns)
     rejects = marked.where(F.size("reasons") > 0).select(*updates.columns, "reasons")

@@ -10,9 +10,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from starloom.functions.columns import code
 from starloom.operators import checks, partitions, scd2
 from starloom.operators.contract import Contract, ContractColumn, ForeignKey, check_cross_table
-from starloom.operators.dims import resolve_geography, snowflake
+from starloom.operators.dims import resolve_levels, snowflake
 from starloom.plans.refresh import Layers, refresh
-from starloom.plans.warehouse import AIRCRAFT, AIRPORT, FLIGHT, HISTORY, PASSENGER, TICKET_SALES
+from starloom.plans.warehouse import (
+    AIRCRAFT,
+    AIRPORT,
+    FLIGHT,
+    GEOGRAPHY,
+    HISTORY,
+    PASSENGER,
+    TICKET_SALES,
+)
 from starloom.sources.history import HistoryStore
 from starloom.sources.readers import Csv, read_csv
 from starloom.sources.sinks import replace_table
@@ -132,7 +140,8 @@ class Airline:
         )
 
     def places(self) -> DataFrame:
-        return resolve_geography(self.geography)
+        columns = ["airport_code", "airport_name"]
+        return resolve_levels(self.geography, GEOGRAPHY, "airport", columns)
 
     def versions(self) -> DataFrame:
         return scd2.scd2_version_counts(self.history, HISTORY)
@@ -179,11 +188,11 @@ def load(spark: SparkSession, folder: str, as_of: date, layers: Layers = Layers(
 
     geography = {
         level: replace_table(df, f"{layers.silver}.geo_{level}")
-        for level, df in snowflake(dims["airport"]).items()
+        for level, df in snowflake(dims["airport"], GEOGRAPHY, "airport").items()
     }
     store = HistoryStore(spark, f"{layers.silver}.passenger_history", HISTORY)
     store.create(scd2.scd2_init(dims["passenger"], HISTORY))
-    changes = scd2.prepare_feed(feeds["updates"], dims["airport"], HISTORY)
+    changes = scd2.prepare_feed(feeds["updates"], HISTORY, PASSENGER.parents, dims)
     replace_table(changes.rejects, f"{layers.silver}.passenger_history_rejects")
     store.apply(changes.accepted, as_of)
     return Airline(feeds, dims, geography, store.read(), fact)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starloom.functions.dates import month_of
 from starloom.model import Fact, Measure, Ratio
 from starloom.operators import checks, contract as rules, partitions, scd2
-from starloom.operators.dims import calendar_for, project_dim, resolve_geography
+from starloom.operators.dims import calendar_for, project_dim, resolve_levels
 from starloom.operators.facts import asof_lookup, load_fact_asof
 from starloom.operators.joins import lookup
 from starloom.operators.keys import assign_keys
@@ -18,6 +18,7 @@ from starloom.operators.rollup import rollup
 from starloom.plans.warehouse import (
     AS_OF,
     BOOKING_CONTRACT,
+    GEOGRAPHY,
     HISTORY,
     PASSENGER,
     TICKET_SALES,
@@ -197,7 +198,8 @@ def snowflake_airport(w: Warehouse) -> DataFrame:
 
 @query
 def snowflake_resolve(w: Warehouse) -> DataFrame:
-    return resolve_geography(w.geography_levels)
+    columns = ["airport_code", "airport_name"]
+    return resolve_levels(w.geography_levels, GEOGRAPHY, "airport", columns)
 
 
 # -- facts -----------------------------------------------------------------------
@@ -658,8 +660,9 @@ def stream_scd2_apply(w: Warehouse) -> DataFrame:
         w.spark,
         source,
         w.updates.schema,
-        w.dim_airport,
         store,
+        PASSENGER.parents,
+        {"airport": w.dim_airport},
         checkpoint=new_path(w.spark, "apply-log"),
         rejects=new_path(w.spark, "apply-rejects"),
     )

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom.functions.columns import code
 from starloom.functions.dates import date_key
-from starloom.model import Dimension, Fact, History, Measure, Parent, Ratio
+from starloom.model import Dimension, Fact, History, Level, Measure, Parent, Ratio
 from starloom.operators.contract import Contract, ContractColumn, ForeignKey
 from starloom.operators.dims import build_dim, calendar_for, snowflake
 from starloom.operators.facts import Load, load_fact
@@ -42,6 +42,10 @@ AIRCRAFT = Dimension(
     ["aircraft_code"],
     {c: c for c in ("aircraft_code", "model", "manufacturer", "seat_capacity")},
 )
+GEOGRAPHY = [
+    Level("country", "country_key", {"country": "country_name"}, {"region": "region"}),
+    Level("city", "city_key", {"city": "city_name"}),
+]
 PASSENGER = Dimension(
     "passenger",
     "passenger_key",
@@ -319,7 +323,7 @@ class Warehouse:
 
     @cached_property
     def geography_levels(self) -> dict[str, DataFrame]:
-        return snowflake(self.dim_geography)
+        return snowflake(self.dim_geography, GEOGRAPHY, "airport")
 
     @cached_property
     def dim_aircraft(self) -> DataFrame:
@@ -352,7 +356,8 @@ class Warehouse:
 
     @cached_property
     def applied(self) -> Applied:
-        feed = prepare_feed(self.updates, self.dim_airport, HISTORY)
+        parents, dims = PASSENGER.parents, {"airport": self.dim_airport}
+        feed = prepare_feed(self.updates, HISTORY, parents, dims)
         return scd2_apply(self.initial_history, feed.accepted, HISTORY, AS_OF)
 
     @cached_property

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from starloom.model import Parent
 from starloom.operators.scd2 import prepare_feed
 from starloom.session import stage
 from starloom.sources.history import HistoryStore
@@ -42,8 +43,9 @@ def apply_feed(
     spark: SparkSession,
     source: str,
     schema: T.StructType,
-    airports: DataFrame,
     store: HistoryStore,
+    parents: tuple[Parent, ...],
+    dims: dict[str, DataFrame],
     checkpoint: str,
     rejects: str,
 ) -> None:
@@ -60,7 +62,7 @@ def apply_feed(
         days = batch.where(~bad).select("feed_date").distinct().collect()  # one row per day
         for day in sorted(r["feed_date"] for r in days):
             of_day = batch.where(~bad & (F.col("feed_date") == F.lit(day)))
-            feed = prepare_feed(of_day.select(*schema.names), airports, store.spec)
+            feed = prepare_feed(of_day.select(*schema.names), store.spec, parents, dims)
             store.apply(feed.accepted, day)
             feed.rejects.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}/day={day}")
         batch.where(bad).select(CORRUPT).write.mode("overwrite").parquet(

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from starloom.functions.columns import code, narrow_int
-from starloom.operators.dims import build_dim, calendar_dim, calendar_for, resolve_geography, snowflake
-from starloom.plans.warehouse import AIRCRAFT, AIRPORT, FLIGHT, PASSENGER
+from starloom.operators.dims import build_dim, calendar_dim, calendar_for, resolve_levels, snowflake
+from starloom.model import Level
+from starloom.plans.warehouse import AIRCRAFT, AIRPORT, FLIGHT, GEOGRAPHY, PASSENGER
 
 AIRPORTS = [
     ("CDG", "North Field", "Paris", "France", "Europe"),
@@ -93,7 +94,7 @@ def test_passenger_keys_survive_a_reload(spark, airports):
 
 
 def test_snowflake_keeps_airports_and_tells_cities_apart(spark, airports):
-    levels = snowflake(airports)
+    levels = snowflake(airports, GEOGRAPHY, "airport")
     assert rows(levels["country"], "country_name", "region") == [
         ("France", "Europe"),
         ("India", "South Asia"),
@@ -108,14 +109,32 @@ def test_snowflake_keeps_airports_and_tells_cities_apart(spark, airports):
 
 
 def test_resolving_the_geography_gives_the_flat_rows_in_order(spark, airports):
-    got = [tuple(r) for r in resolve_geography(snowflake(airports)).collect()]
-    assert got == sorted(AIRPORTS, key=lambda a: (a[3], a[2], a[0]))
+    levels = snowflake(airports, GEOGRAPHY, "airport")
+    got = resolve_levels(levels, GEOGRAPHY, "airport", ["airport_code", "airport_name"])
+    assert got.columns == ["airport_code", "airport_name", "country_name", "city_name", "region"]
+    expected = sorted(AIRPORTS, key=lambda a: (a[3], a[2], a[0]))
+    assert [tuple(r) for r in got.collect()] == [(c, n, k, t, r) for c, n, t, k, r in expected]
+
+
+def test_three_levels(spark, airports):
+    levels = [
+        Level("region", "region_key", {"region": "region_name"}),
+        Level("country", "country_key", {"country": "country_name"}),
+        Level("city", "city_key", {"city": "city_name"}),
+    ]
+    tables = snowflake(airports, levels, "airport")
+    assert tables["region"].columns == ["region_key", "region_name"]
+    assert set(tables["country"].columns) == {"country_key", "country_name", "region_key"}
+    got = resolve_levels(tables, levels, "airport", ["airport_code"])
+    assert rows(got, "airport_code", "city_name", "country_name", "region_name") == sorted(
+        (a[0], a[2], a[3], a[4]) for a in AIRPORTS
+    )
 
 
 def test_a_country_in_two_regions_cannot_be_split(spark):
     bad = [*AIRPORTS, ("IST", "Istanbul", "Istanbul", "India", "Europe")]
     with pytest.raises(ValueError, match="India"):
-        snowflake(build_dim(spark.createDataFrame(bad, FLAT), AIRPORT))
+        snowflake(build_dim(spark.createDataFrame(bad, FLAT), AIRPORT), GEOGRAPHY, "airport")
 
 
 def test_codes_ignore_case_and_blanks(spark):

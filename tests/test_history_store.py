@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from conftest import plan_of, rows
 from starloom.operators.scd2 import scd2_apply, scd2_broken_chains, scd2_not_one_current
+from starloom.plans.warehouse import PASSENGER
 from starloom.session import new_path
 from starloom.sources.history import HistoryStore
 from starloom.streaming import feeds
@@ -90,7 +91,8 @@ def test_streamed_feeds(spark, store, tmp_path):
     log, rejects = new_path(spark, "log"), new_path(spark, "rejects")
 
     def run():
-        feeds.apply_feed(spark, str(source), UPDATES, airports, store, log, rejects)
+        dims = {"airport": airports}
+        feeds.apply_feed(spark, str(source), UPDATES, store, PASSENGER.parents, dims, log, rejects)
 
     (source / "day1.csv").write_text(
         HEADER + "70,K,DEL,Silver,2026-03-17\n71,S,XXX,Silver,2026-03-17\nno number,S,DEL,Silver,2026-03-17\n"
@@ -110,7 +112,7 @@ def test_streamed_feeds(spark, store, tmp_path):
         (date(2020, 5, 1), 5), (date(2026, 3, 17), 5), (date(2026, 3, 18), 6), (date(2026, 3, 19), 6),
     ]
     lost = spark.read.parquet(f"{rejects}/batch=0/day=2026-03-17")
-    assert rows(lost, "passenger_id", "reasons") == [(71, ["home_airport_code is unknown"])]
+    assert rows(lost, "passenger_id", "reasons") == [(71, ["no home airport"])]
     unreadable = spark.read.parquet(f"{rejects}/batch=0/unreadable")
     assert unreadable.count() == 1
 

@@ -18,6 +18,7 @@ from starloom.operators.scd2 import (
     scd2_not_one_current,
     scd2_version_counts,
 )
+from starloom.plans.warehouse import PASSENGER
 
 SPEC = History()
 AS_OF = date(2026, 3, 17)
@@ -127,12 +128,12 @@ def test_feed_rows_that_cannot_be_applied_are_kept_as_rejects(spark):
         [(70, "K", "DEL", "Gold"), (71, "S", "XXX", "Gold"), (72, "T", "DEL", None), (None, "U", None, "Blue")],
         "passenger_id long, passenger_name string, home_airport_code string, frequent_flyer_tier string",
     )
-    accepted, rejects = prepare_feed(updates, airports, SPEC)
+    accepted, rejects = prepare_feed(updates, SPEC, PASSENGER.parents, {"airport": airports})
     assert rows(accepted) == [(70, "K", "Gold", 5)]
     assert rows(rejects, "passenger_name", "reasons") == [
-        ("S", ["home_airport_code is unknown"]),
+        ("S", ["no home airport"]),
         ("T", ["frequent_flyer_tier is null"]),
-        ("U", ["passenger_id is null", "home_airport_code is unknown"]),
+        ("U", ["passenger_id is null", "no home airport"]),
     ]
 
 
