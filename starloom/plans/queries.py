@@ -350,7 +350,7 @@ def scd2_no_overlap(w: Warehouse) -> DataFrame:
 def scd2_fact_orphans(w: Warehouse) -> DataFrame:
     """Fact rows whose passenger key the dimension with history lacks."""
     n = checks.orphan_rows(w.load.fact, "passenger_key", w.dim_history, "passenger_key")
-    return n.select(F.col("n").alias("orphan_fact_rows"))
+    return n.select(F.col("n").alias("lost_rows"))
 
 
 # -- partitions ------------------------------------------------------------------
