@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starloom.functions.columns import any_of, differs, failed_names
 from starloom.functions.dates import open_end
 from starloom.model import History, Parent
+from starloom.operators.checks import RowRule, Unique, constraint_report, orphan_rows
 from starloom.operators.dims import resolve_parents
 from starloom.operators.joins import lookup
 from starloom.operators.keys import number_rows
@@ -229,3 +230,28 @@ def scd2_broken_chains(dim: DataFrame, spec: History) -> DataFrame:
     return chain.where(broken).select(
         spec.business_key, fault.alias("fault"), "covered_days", "span_days"
     )
+
+
+def scd2_check(dim: DataFrame, spec: History, fact: DataFrame | None = None) -> DataFrame:
+    """Violations per invariant: keys, one current version, validity, fact references."""
+    (begin, end), current = spec.validity, F.col(spec.current)
+    constraints = [
+        Unique("key is unique", (spec.key,)),
+        Unique("at most one current version", (spec.business_key,), current),
+        RowRule("current means open", current != (F.col(end) == open_end())),
+        RowRule("validity is not empty", F.col(begin) >= F.col(end)),
+    ]
+    report = constraint_report(dim, constraints)
+    entities = {
+        "exactly one current version": scd2_not_one_current(dim, spec),
+        "unbroken validity": scd2_broken_chains(dim, spec),
+    }
+    for name, broken in entities.items():
+        count = broken.agg(F.count(F.lit(1)).alias("violations"))
+        report = report.unionByName(count.withColumn("constraint_name", F.lit(name)))
+    if fact is not None:
+        lost = orphan_rows(fact, spec.key, dim, spec.key).select(
+            F.lit("fact finds its version").alias("constraint_name"), F.col("n").alias("violations")
+        )
+        report = report.unionByName(lost)
+    return report

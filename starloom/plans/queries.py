@@ -346,6 +346,16 @@ def scd2_no_overlap(w: Warehouse) -> DataFrame:
     )
 
 
+@query
+def scd2_check(w: Warehouse) -> DataFrame:
+    """All invariants, on the good dimension and where the opened versions are left out."""
+    good = scd2.scd2_check(w.dim_history, HISTORY, w.load.fact)
+    cut = scd2.scd2_check(w.applied.kept, HISTORY, w.load.fact)
+    return good.withColumn("dimension", F.lit("applied")).unionByName(
+        cut.withColumn("dimension", F.lit("without opened versions"))
+    )
+
+
 @query
 def scd2_fact_orphans(w: Warehouse) -> DataFrame:
     """Fact rows whose passenger key the dimension with history lacks."""

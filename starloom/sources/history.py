@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.model import History
+from starloom.operators.checks import grain_check
 from starloom.operators.scd2 import UNCHANGED, Applied, scd2_apply
 from starloom.session import new_path, stage
 from starloom.sources.sinks import write_version
@@ -51,6 +52,7 @@ class HistoryStore:
         if applied.changes.where(F.col("action") != UNCHANGED).isEmpty():
             return applied
         path = self._write(applied.dimension)
+        self._check(path)
         self._close(path, as_of)
         self._show(path, as_of)
         return applied
@@ -60,6 +62,15 @@ class HistoryStore:
             dim.select(*self.spec.columns), new_path(self.spark, self.table), [self.spec.current]
         )
 
+    def _check(self, path: str) -> None:
+        """A version is shown only if it has one current row per entity."""
+        rows = self.spark.read.schema(self.read().schema).parquet(path)
+        current = rows.where(F.col(self.spec.current))
+        twice = grain_check(current, [self.spec.business_key]).limit(20).collect()
+        if twice:
+            ids = ", ".join(str(r[0]) for r in twice)
+            raise ValueError(f"{self.table} has several current versions of {ids}")
+
     def _close(self, path: str, as_of: date) -> None:
         """Rewrite the day's closed versions: those shown already and the new ones."""
         current, (_, end) = F.col(self.spec.current), self.spec.validity

@@ -66,6 +66,15 @@ def test_a_load_that_dies_before_the_swap_shows_nothing(spark, store, monkeypatc
     ]
 
 
+def test_a_version_with_two_current_rows_of_one_id_is_not_shown(spark):
+    store = HistoryStore(spark, f"passenger_{uuid4().hex[:8]}", SPEC)
+    store.create(dim(spark, (1, 70, "K", 5, "Blue"), (2, 70, "K", 5, "Blue"), (3, 71, "S", 6, "Gold")))
+    before = shown(store.read())
+    with pytest.raises(ValueError, match="70"):
+        store.apply(feed(spark, (71, "S", "Silver", 6)), AS_OF)
+    assert shown(store.read()) == before
+
+
 def test_current_versions_are_read_without_the_history(spark, store):
     store.apply(feed(spark, *FEEDS[0][1:]), AS_OF)
     plan = plan_of(store.current())

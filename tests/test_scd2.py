@@ -13,6 +13,7 @@ from starloom.operators.scd2 import (
     scd2_apply,
     scd2_broken_chains,
     scd2_change_profile,
+    scd2_check,
     scd2_history,
     scd2_init,
     scd2_not_one_current,
@@ -197,6 +198,27 @@ def test_dimension_is_not_shuffled_for_a_small_feed(spark, published):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_invariants(spark, two):
+    got = scd2_apply(two, feed(spark, (70, "Ada", "Silver", 5)), SPEC, AS_OF).dimension
+    fact = spark.createDataFrame([(1,), (3,), (9,), (9,)], "passenger_key long")
+    assert dict(rows(scd2_check(got, SPEC, fact))) == {
+        "key is unique": 0,
+        "at most one current version": 0,
+        "current means open": 0,
+        "validity is not empty": 0,
+        "exactly one current version": 0,
+        "unbroken validity": 0,
+        "fact finds its version": 2,
+    }
+    wrong = got.withColumn("is_current", F.lit(True)).withColumn("passenger_key", F.lit(1))
+    assert {n: v for n, v in rows(scd2_check(wrong, SPEC)) if v} == {
+        "key is unique": 1,
+        "at most one current version": 1,
+        "current means open": 1,
+        "exactly one current version": 1,
+    }
+
+
 def chain(spark, *spans):
     return spark.createDataFrame(
         [(p, a, b) for p, a, b in spans], "passenger_id long, effective_from date, effective_to date"
