@@ -85,8 +85,13 @@ def write_partitioned(
     """Write a fact in one folder per month of ``key``, sorted by key and grain.
 
     Rows are gathered by month for few files, and adaptive execution splits a
-    month too large for one task and merges small ones.
+    month too large for one task and merges small ones. Without it, ranges of key
+    and grain do the same for one more pass over the rows.
     """
+    order = [month, key, *grain]
     rows = df.withColumn(month, month_of(F.col(key)))
-    placed = rows.hint("rebalance", month).sortWithinPartitions(month, key, *grain)
-    return write_version(placed, path, [month])
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        placed = rows.hint("rebalance", month)
+    else:
+        placed = rows.repartitionByRange(*order)
+    return write_version(placed.sortWithinPartitions(*order), path, [month])

@@ -56,6 +56,8 @@ def test_measured_size_bounds_the_data(spark):
     text = spark.range(100).select(F.repeat(F.lit("x"), 50).alias("t"))
     assert measured_bytes(text) >= 100 * 50
     assert measured_bytes(text.limit(0)) == 0
+    lists = spark.range(10).select(F.sequence(F.lit(1), F.lit(100)).alias("numbers"))
+    assert measured_bytes(lists) >= 10 * 100 * 2
     assert fits_broadcast(text)
 
 

@@ -102,6 +102,14 @@ def test_a_large_month_is_split_over_tasks(spark, sales, settings):
     assert spark.read.parquet(path).count() == 9000
 
 
+def test_a_large_month_is_split_without_adaptive_execution(spark, sales, settings):
+    settings(spark__sql__adaptive__enabled="false")
+    path = write_partitioned(sales, new_path(spark, "ranges"), "travel_date_key", ["booking_id"])
+    june = spark.read.parquet(path).where("travel_month = 202506")
+    assert june.select("_metadata.file_path").distinct().count() > 1
+    assert spark.read.parquet(path).count() == 9000
+
+
 def test_month_query_reads_one_partition(stored):
     june = range_total(pruned_range(stored, 20250601, 20250701), "fare_amount")
     assert scanned(june)[0] == 1

@@ -15,7 +15,10 @@ from test_dims import AIRPORTS, FLAT
 CONTRACT = Contract(
     columns=tuple(replace(c, allowed=None) for c in BOOKING_CONTRACT.columns),
     unique=("booking_id",),
-    references=(ForeignKey("passenger_id", "passenger", "passenger_id"), ForeignKey("flight_id", "flight", "flight_id")),
+    references=(
+        ForeignKey("passenger_id", "passenger", "passenger_id"),
+        ForeignKey("flight_id", "flight", "flight_id"),
+    ),
     row_rules=BOOKING_CONTRACT.row_rules,
 )
 YEAR = (date(2025, 1, 1), date(2025, 12, 31))
