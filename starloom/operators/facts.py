@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from starloom.functions.columns import all_of, failed_names, narrow_int
 from starloom.model import Fact, History
@@ -57,32 +57,33 @@ def asof_lookup(
 ) -> DataFrame:
     """The version valid on each row's ``day``: from ``<= day <`` to.
 
-    A key has at most one version per day. Where some key has many, versions are
-    also split by the months they cover, so a row meets those of its month only.
+    A key has at most one version per day. Where some key has more than a year of
+    daily ones, versions are also split by the years they cover, so a row meets
+    those of its year only.
     """
     begin, end = spec.validity
     taken = {**take, begin: "__from", end: "__to"}
     within = (F.col(day) >= F.col("__from")) & (F.col(day) < F.col("__to"))
     (business_key,) = on.values()
     most = dim.groupBy(business_key).count().agg(F.max("count")).first()[0] or 0
-    if most > setting(src.sparkSession, "versionsPerKey", 64):
-        month = F.trunc(day, "month")
+    if most > setting(src.sparkSession, "versionsPerKey", 366):
+        year = F.trunc(day, "year")
         days = src if keys_of is None else keys_of
-        dim = _by_month(dim, spec, days.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first())
-        src = src.withColumn("__month", month)
-        keys_of = days.withColumn("__month", month)
-        on = {**on, "__month": "__month"}
+        dim = _by_year(dim, spec, days.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first())
+        src = src.withColumn("__year", year)
+        keys_of = days.withColumn("__year", year)
+        on = {**on, "__year": "__year"}
     joined = lookup(src, dim, on, taken, how, within, keys_of)
-    return joined.drop("__from", "__to", "__month")
+    return joined.drop("__from", "__to", "__year")
 
 
-def _by_month(dim: DataFrame, spec: History, days) -> DataFrame:
-    """Each version once per month it shares with the range of fact dates."""
+def _by_year(dim: DataFrame, spec: History, days: Row) -> DataFrame:
+    """Each version once per year it shares with the range of fact dates."""
     begin, end = spec.validity
     low = F.greatest(F.col(begin), F.lit(days["lo"]))
     high = F.least(F.date_sub(end, 1), F.lit(days["hi"]))
-    months = F.sequence(F.trunc(low, "month"), F.trunc(high, "month"), F.expr("interval 1 month"))
-    return dim.where(low <= high).withColumn("__month", F.explode(months))
+    years = F.sequence(F.trunc(low, "year"), F.trunc(high, "year"), F.expr("interval 1 year"))
+    return dim.where(low <= high).withColumn("__year", F.explode(years))
 
 
 def load_fact_asof(

@@ -78,7 +78,7 @@ def versions(spark, *given):
     )
 
 
-@pytest.mark.parametrize("limit", [64, 0])
+@pytest.mark.parametrize("limit", [366, 0])
 def test_validity_includes_its_first_day_and_not_its_last(spark, settings, limit):
     settings(spark__starloom__versionsPerKey=limit)
     dim = versions(
@@ -93,7 +93,8 @@ def test_validity_includes_its_first_day_and_not_its_last(spark, settings, limit
 
 
 @pytest.mark.parametrize("spread", [False, True])
-def test_months_give_what_the_plain_interval_join_gives(spark, settings, request, spread):
+def test_years_give_what_the_plain_interval_join_gives(spark, settings, request, spread):
+    settings(spark__starloom__versionsPerKey=10)
     if spread:
         request.getfixturevalue("no_broadcast")
     start = date(2024, 1, 1)
@@ -110,7 +111,7 @@ def test_months_give_what_the_plain_interval_join_gives(spark, settings, request
     on = {"passenger_id": "passenger_id"}
     plain = asof_lookup(src, dim, SPEC, on, "booking_date", {"passenger_key": "k"})
     settings(spark__starloom__versionsPerKey=1_000_000)
-    assert "__month" not in plain.columns
+    assert "__year" not in plain.columns
     simple = asof_lookup(src, dim, SPEC, on, "booking_date", {"passenger_key": "k"})
     assert rows(plain) == rows(simple)
     assert plain.count() == 1500
