@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.llm.tables import let
+from starloom.operators.joins import fits_broadcast
 from starloom.session import stage
 
 SPACE = r"[\x09-\x0D\x20]+"
@@ -166,23 +167,40 @@ def _vote_column(rule: str) -> str:
     return f"vote_{rule}"
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Features, votes, posterior and verdict of every document.
-
-    The features are written once. The vote patterns that reach the driver are
-    bounded by the number of rules, whatever the number of documents.
-    """
-    votes = {_vote_column(r.name): r.vote() for r in rules}
-    rows = stage(features(docs, id_col, text_col).withColumns(votes), "quality")
+def learn(rows: DataFrame, rules: tuple[Rule, ...] = RULES) -> Model:
+    """EM over the vote patterns of ``rows``. Those that reach the driver are bounded by
+    the number of rules, whatever the number of documents."""
     names = [r.name for r in rules]
-    counted = rows.groupBy(*votes).count().collect()
-    patterns = sorted(
-        (({n: r[_vote_column(n)] for n in names}, r["count"]) for r in counted), key=lambda x: tuple(x[0].values())
-    )
-    model = fit(patterns, names)
-    votes_of = {n: F.col(_vote_column(n)) * model.weight(n) for n in names}
-    odds = reduce(lambda a, b: a + b, votes_of.values(), F.lit(model.log_odds({})))
+    counted = rows.groupBy(*map(_vote_column, names)).count().collect()
+    patterns = [({n: r[_vote_column(n)] for n in names}, r["count"]) for r in counted]
+    return fit(sorted(patterns, key=lambda x: tuple(x[0].values())), names)
+
+
+def verdict(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` with the posterior of their votes and whether they are kept."""
+    votes = [F.col(_vote_column(n)) * model.weight(n) for n in model.accuracy]
+    odds = reduce(lambda a, b: a + b, votes, F.lit(model.log_odds({})))
     posterior = 1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), odds))))
     return rows.withColumn("posterior", posterior).withColumn(
         "kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5)
     )
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Features, votes, posterior and verdict of every document. The features are written once."""
+    votes = {_vote_column(r.name): r.vote() for r in rules}
+    rows = stage(features(docs, id_col, text_col).withColumns(votes), "quality")
+    return verdict(rows, learn(rows, rules))
+
+
+def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` without the rejected ones: their ids, not their texts, are joined.
+
+    Rows that share an id are judged together: they stay if all of them are kept.
+    Rows without an id are judged by their text's digest.
+    """
+    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.col(text_col).cast("binary"))), F.lit("none"))
+    judged = judge(docs.withColumn("__key", key), "__key", text_col, rules)
+    out = stage(judged.where(~F.col("kept")).select(F.col("doc_id").alias("__key")).distinct(), "rejected")
+    out = F.broadcast(out) if fits_broadcast(out) else out
+    return docs.withColumn("__key", key).join(out, "__key", "left_anti").select(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import bpe, language, packing, personal, quality, secrets, toxicity
+from starloom.llm import bpe, jaccard, language, lm, neighbours, packing, personal, quality, secrets, toxicity
 from starloom.llm.tables import is_fold, table
 
 
@@ -28,6 +28,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model, ["doc_id", "held_out"])
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document's source is its owner, and a source's language part its repository."""
     docs = table(spark, sf_dir, "documents")
@@ -57,16 +61,30 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    found = neighbours.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, 20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", is_fold(F.col("doc_id"), 10, 0))
+    return lm.score(docs, "held_out")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
         op2_language_id,
+        op3_ngram_jaccard,
         op4_secret_scan,
         op5_bpe,
         op6_toxicity,
         op7_packing,
         op8_personal_data,
+        op9_nearest,
+        op10_lm_score,
     )
 }
 ORACLE: dict[str, str] = {}
