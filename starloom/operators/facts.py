@@ -10,7 +10,7 @@ from starloom.functions.columns import all_of, failed_names, narrow_int
 from starloom.model import Fact, History
 from starloom.operators.dims import resolve_parents
 from starloom.operators.joins import lookup
-from starloom.session import setting, stage
+from starloom.session import stage
 
 
 class Load(NamedTuple):
@@ -57,29 +57,32 @@ def asof_lookup(
 ) -> DataFrame:
     """The version valid on each row's ``day``: from ``<= day <`` to.
 
-    A key has at most one version per day. Where some key has more than a year of
-    daily ones, versions are also split by the years they cover, so a row meets
-    those of its year only.
+    A key has at most one version per day. Versions are split by the years they
+    cover, so a row meets those of its year only, however many a key has.
     """
     begin, end = spec.validity
     taken = {**take, begin: "__from", end: "__to"}
     within = (F.col(day) >= F.col("__from")) & (F.col(day) < F.col("__to"))
-    (business_key,) = on.values()
-    most = dim.groupBy(business_key).count().agg(F.max("count")).first()[0] or 0
-    if most > setting(src.sparkSession, "versionsPerKey", 366):
-        year = F.trunc(day, "year")
-        days = src if keys_of is None else keys_of
-        dim = _by_year(dim, spec, days.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first())
-        src = src.withColumn("__year", year)
-        keys_of = days.withColumn("__year", year)
-        on = {**on, "__year": "__year"}
-    joined = lookup(src, dim, on, taken, how, within, keys_of)
+    days = src if keys_of is None else keys_of
+    versions = _by_year(dim, spec, days.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first())
+    year = F.trunc(day, "year")
+    joined = lookup(
+        src.withColumn("__year", year),
+        versions,
+        {**on, "__year": "__year"},
+        taken,
+        how,
+        within,
+        days.withColumn("__year", year),
+    )
     return joined.drop("__from", "__to", "__year")
 
 
 def _by_year(dim: DataFrame, spec: History, days: Row) -> DataFrame:
     """Each version once per year it shares with the range of fact dates."""
     begin, end = spec.validity
+    if days["lo"] is None:
+        return dim.where(F.lit(False)).withColumn("__year", F.trunc(begin, "year"))
     low = F.greatest(F.col(begin), F.lit(days["lo"]))
     high = F.least(F.date_sub(end, 1), F.lit(days["hi"]))
     years = F.sequence(F.trunc(low, "year"), F.trunc(high, "year"), F.expr("interval 1 year"))

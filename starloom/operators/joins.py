@@ -7,11 +7,9 @@ task should take are spread over several copies of their few lookup rows.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from starloom.session import setting
+from starloom.session import setting, stage
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 1_000_000
@@ -49,27 +47,16 @@ def _hot_keys(src: DataFrame, columns: list[str]) -> DataFrame | None:
     """Hash and number of shares of keys too large for one task.
 
     Keys are counted on a sample, which decides how a key is spread and nothing
-    else: the join keeps every row however good the guess was. At most one key
-    per shuffle partition is listed, as any key past those holds no more rows
-    than an average partition.
+    else: the join keeps every row however good the guess was. Every key past the
+    limit is listed, so the list has fewer rows than the source has tasks.
     """
     spark = src.sparkSession
     rows_per_task = setting(spark, "rowsPerTask", ROWS_PER_TASK)
     fraction = setting(spark, "skewSample", SKEW_SAMPLE)
-    rows = (
-        src.select(_key_hash(columns).alias("h"))
-        .sample(fraction, seed=0)
-        .groupBy("h")
-        .count()
-        .where(F.col("count") > rows_per_task * fraction)
-        .orderBy(F.desc("count"))
-        .limit(int(spark.conf.get("spark.sql.shuffle.partitions")))
-        .collect()
-    )
-    if not rows:
-        return None
-    shares = [(r["h"], math.ceil(r["count"] / fraction / rows_per_task)) for r in rows]
-    return spark.createDataFrame(shares, "__hot long, __shares int")
+    counted = src.select(_key_hash(columns).alias("__hot")).sample(fraction, seed=0).groupBy("__hot").count()
+    shares = F.ceil(F.col("count") / fraction / rows_per_task).cast("int").alias("__shares")
+    hot = stage(counted.where(F.col("count") > rows_per_task * fraction).select("__hot", shares), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def _spread_join(
@@ -86,8 +73,8 @@ def _spread_join(
     hot = None if keys_of is None else _hot_keys(keys_of, src_keys)
     if hot is None:
         return src.join(side, condition, how)
-    # at most one row per shuffle partition, see _hot_keys
-    hot = F.broadcast(hot)
+    if fits_broadcast(hot):
+        hot = F.broadcast(hot)
     shares = F.coalesce(F.col("__shares"), F.lit(1))
     # The share of a row depends on its content and input split only, so a task
     # that runs again sends every row where it went the first time.

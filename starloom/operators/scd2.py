@@ -59,7 +59,7 @@ def prepare_feed(
     keys = {p.result for p in parents}
     wrong = {
         f"{c} is null": F.col(c).isNull()
-        for c in (spec.business_key, *spec.tracked)
+        for c in (spec.business_key, *spec.copied, *spec.tracked)
         if c not in keys
     }
     wrong |= {f"no {p.role}": F.col(p.result).isNull() for p in parents}

@@ -179,7 +179,11 @@ class Airline:
 
 
 def load(spark: SparkSession, folder: str, as_of: date, layers: Layers = Layers()) -> Airline:
-    """Load the whole warehouse from a folder of feeds and apply the change feed."""
+    """Load the whole warehouse from a folder of feeds and apply the change feed.
+
+    The first load begins the passengers' history; a later day's load, or one that
+    runs again after it died, goes on with it.
+    """
     feeds = {name: feed.rows for name, feed in read_feeds(spark, folder).items()}
     order = [AIRPORT, AIRCRAFT, PASSENGER, FLIGHT]
     daily = {n: df for n, df in feeds.items() if n != "updates"}
@@ -191,7 +195,8 @@ def load(spark: SparkSession, folder: str, as_of: date, layers: Layers = Layers(
         for level, df in snowflake(dims["airport"], GEOGRAPHY, "airport").items()
     }
     store = HistoryStore(spark, f"{layers.silver}.passenger_history", HISTORY)
-    store.create(scd2.scd2_init(dims["passenger"], HISTORY))
+    if not store.exists():
+        store.create(scd2.scd2_init(dims["passenger"], HISTORY))
     changes = scd2.prepare_feed(feeds["updates"], HISTORY, PASSENGER.parents, dims)
     replace_table(changes.rejects, f"{layers.silver}.passenger_history_rejects")
     store.apply(changes.accepted, as_of)

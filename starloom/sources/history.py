@@ -3,7 +3,9 @@
 Current versions are one folder per load, closed versions a table partitioned by
 the day they ended. A load rewrites the current slice and the one day it closes,
 older history stays as it is. A view joins the two and is replaced last, so a
-load that dies half way shows nothing and can run again.
+load that dies half way shows nothing and can run again. The view also says up to
+which day it is complete; a feed of an earlier day is refused, as the days shown
+since could not be told apart from what it would close.
 """
 
 from __future__ import annotations
@@ -19,6 +21,13 @@ from starloom.session import new_path, stage
 from starloom.sources.sinks import write_version
 
 
+DAY, BATCH = "starloom.day", "starloom.batch"
+
+
+class LateFeedError(ValueError):
+    """A feed's day lies before the last day that is shown."""
+
+
 class HistoryStore:
     """The dimension ``table`` (a view) and ``<table>_closed`` behind it."""
 
@@ -29,8 +38,14 @@ class HistoryStore:
         self.spec = spec
 
     def create(self, dim: DataFrame) -> None:
-        """Store a first load, all of it current."""
+        """Store a first load, all of it current.
+
+        A first load that died left at most a table that nothing shows.
+        """
+        if self.exists():
+            raise ValueError(f"{self.table} is there already")
         end = self.spec.validity[1]
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.closed}")
         fields = {f.name: f.dataType.simpleString() for f in dim.schema.fields}
         kept = [c for c in self.spec.columns if c not in (end, self.spec.current)]
         columns = ", ".join(f"{c} {fields[c]}" for c in kept)
@@ -38,7 +53,17 @@ class HistoryStore:
             f"CREATE TABLE {self.closed} ({columns}, {end} date) USING parquet "
             f"PARTITIONED BY ({end}) LOCATION '{new_path(self.spark, self.closed)}'"
         )
-        self._show(self._write(dim), None)
+        self._show(self._write(dim), None, None)
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.table)
+
+    def shown(self) -> tuple[date | None, str | None]:
+        """The last day that changed something, and the batch that brought it."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.table}").collect()
+        found = {r["key"]: r["value"] for r in rows}
+        day = found.get(DAY)
+        return (date.fromisoformat(day) if day else None), found.get(BATCH)
 
     def read(self) -> DataFrame:
         return self.spark.table(self.table)
@@ -46,15 +71,24 @@ class HistoryStore:
     def current(self) -> DataFrame:
         return self.read().where(F.col(self.spec.current))
 
-    def apply(self, feed: DataFrame, as_of: date) -> Applied:
-        """Apply one day's feed; a feed that changes nothing writes nothing."""
+    def apply(self, feed: DataFrame, as_of: date, batch: str | None = None) -> Applied | None:
+        """Apply one day's feed; a feed that changes nothing writes nothing.
+
+        Days come in order. ``batch`` names the delivery that holds several days: when
+        it runs again, the days that it applied the first time are passed over.
+        """
+        last, last_batch = self.shown()
+        if last is not None and as_of < last:
+            if batch is not None and batch == last_batch:
+                return None
+            raise LateFeedError(f"{self.table} is shown up to {last}, this feed is of {as_of}")
         applied = scd2_apply(self.current(), feed, self.spec, as_of)
         if applied.changes.where(F.col("action") != UNCHANGED).isEmpty():
             return applied
         path = self._write(applied.dimension)
         self._check(path)
         self._close(path, as_of)
-        self._show(path, as_of)
+        self._show(path, as_of, batch)
         return applied
 
     def _write(self, dim: DataFrame) -> str:
@@ -85,15 +119,17 @@ class HistoryStore:
             day=day,
         )
 
-    def _show(self, path: str, as_of: date | None) -> None:
+    def _show(self, path: str, as_of: date | None, batch: str | None) -> None:
         current, (_, end) = self.spec.current, self.spec.validity
 
         def columns(value: str) -> str:
             return ", ".join(f"{value} AS {c}" if c == current else c for c in self.spec.columns)
 
         shown = f"{end} <= DATE '{as_of}'" if as_of else "false"
+        known = {DAY: as_of and as_of.isoformat(), BATCH: batch}
+        properties = ", ".join(f"'{k}' = '{v or ''}'" for k, v in known.items())
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.table} AS "
+            f"CREATE OR REPLACE VIEW {self.table} TBLPROPERTIES ({properties}) AS "
             f"SELECT {columns('true')} FROM parquet.`{path}` WHERE CAST({current} AS BOOLEAN) "
             f"UNION ALL SELECT {columns('false')} FROM {self.closed} WHERE {shown}"
         )

@@ -16,10 +16,13 @@ class Csv(NamedTuple):
     quarantined: DataFrame
 
 
-def csv_reader(spark: SparkSession, schema: T.StructType):
-    """Options of a comma-separated feed with a header and LF line ends."""
+def with_csv_options(reader, schema: T.StructType):
+    """A batch or stream reader of comma-separated feeds with a header and LF line ends.
+
+    The header must name the declared columns in their order.
+    """
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return spark.read.schema(marked).options(
+    return reader.schema(marked).options(
         header=True,
         sep=",",
         lineSep="\n",
@@ -29,6 +32,10 @@ def csv_reader(spark: SparkSession, schema: T.StructType):
     )
 
 
+def csv_reader(spark: SparkSession, schema: T.StructType):
+    return with_csv_options(spark.read, schema)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> Csv:
     """Land a feed: well-formed rows, and the text of the lines that are not.
 

@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from starloom.functions.columns import code
 from starloom.model import Parent
 from starloom.operators.scd2 import prepare_feed
 from starloom.session import stage
 from starloom.sources.history import HistoryStore
-from starloom.sources.readers import CORRUPT, Csv
+from starloom.sources.readers import CORRUPT, Csv, with_csv_options
 
 
 def _csv_stream(spark: SparkSession, source: str, schema: T.StructType) -> DataFrame:
-    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return spark.readStream.schema(marked).options(
-        header=True, sep=",", lineSep="\n", columnNameOfCorruptRecord=CORRUPT
-    ).csv(source)
+    return with_csv_options(spark.readStream, schema).csv(source)
 
 
 def ingest(
@@ -51,19 +49,22 @@ def apply_feed(
 ) -> None:
     """Apply the change files that arrived to the stored dimension, day by day.
 
-    Each row carries its ``feed_date``. A batch that runs again finds its changes
-    made and changes nothing.
+    Each row carries its ``feed_date``, codes are trimmed and upper-cased. A batch that
+    runs again passes over the days it has applied; a file of a day before the last one
+    applied stops the stream.
     """
     dated = T.StructType([*schema.fields, T.StructField("feed_date", T.DateType())])
 
+    codes = {c: code(F.col(c)) for c in schema.names if c.endswith("_code")}
+
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         bad = F.col(CORRUPT).isNotNull() | F.col("feed_date").isNull()
         batch = stage(batch, "feed")
         days = batch.where(~bad).select("feed_date").distinct().collect()  # one row per day
         for day in sorted(r["feed_date"] for r in days):
-            of_day = batch.where(~bad & (F.col("feed_date") == F.lit(day)))
+            of_day = batch.where(~bad & (F.col("feed_date") == F.lit(day))).withColumns(codes)
             feed = prepare_feed(of_day.select(*schema.names), store.spec, parents, dims)
-            store.apply(feed.accepted, day)
+            store.apply(feed.accepted, day, str(batch_id))
             feed.rejects.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}/day={day}")
         batch.where(bad).select(CORRUPT).write.mode("overwrite").parquet(
             f"{rejects}/batch={batch_id}/unreadable"

@@ -78,9 +78,7 @@ def versions(spark, *given):
     )
 
 
-@pytest.mark.parametrize("limit", [366, 0])
-def test_validity_includes_its_first_day_and_not_its_last(spark, settings, limit):
-    settings(spark__starloom__versionsPerKey=limit)
+def test_validity_includes_its_first_day_and_not_its_last(spark):
     dim = versions(
         spark, (1, 70, date(2025, 1, 1), DAY), (2, 70, DAY, date(9999, 12, 31))
     )
@@ -93,8 +91,7 @@ def test_validity_includes_its_first_day_and_not_its_last(spark, settings, limit
 
 
 @pytest.mark.parametrize("spread", [False, True])
-def test_years_give_what_the_plain_interval_join_gives(spark, settings, request, spread):
-    settings(spark__starloom__versionsPerKey=10)
+def test_years_give_what_the_plain_interval_join_gives(spark, request, spread):
     if spread:
         request.getfixturevalue("no_broadcast")
     start = date(2024, 1, 1)
@@ -110,10 +107,11 @@ def test_years_give_what_the_plain_interval_join_gives(spark, settings, request,
     )
     on = {"passenger_id": "passenger_id"}
     plain = asof_lookup(src, dim, SPEC, on, "booking_date", {"passenger_key": "k"})
-    settings(spark__starloom__versionsPerKey=1_000_000)
     assert "__year" not in plain.columns
-    simple = asof_lookup(src, dim, SPEC, on, "booking_date", {"passenger_key": "k"})
-    assert rows(plain) == rows(simple)
+    within = "booking_date >= effective_from AND booking_date < effective_to"
+    kept = dim.withColumnRenamed("passenger_id", "p").withColumnRenamed("passenger_key", "k")
+    simple = src.join(kept, F.expr(f"p = passenger_id AND {within}"), "left")
+    assert rows(plain, "id", "k") == rows(simple, "id", "k")
     assert plain.count() == 1500
 
 
@@ -141,3 +139,15 @@ def test_fact_load_as_of_the_booking_date(spark, dims):
     fact, rejects = load_fact_asof(src, TICKET_SALES, dims, {"passenger": (SPEC, "booking_date")})
     assert rows(fact, "booking_id", "passenger_key") == [(1, 1), (2, 9)]
     assert rows(rejects) == [(3, ["no booking date", "no passenger"])]
+
+
+def test_asof_lookup_by_a_composite_key_and_without_source_rows(spark):
+    dim = versions(spark, (1, 70, DAY, date(9999, 12, 31))).withColumn("region", F.lit("x"))
+    src = spark.createDataFrame(
+        [(70, "x", DAY), (70, "y", DAY)], "passenger_id long, region string, booking_date date"
+    )
+    on = {"passenger_id": "passenger_id", "region": "region"}
+    got = asof_lookup(src, dim, SPEC, on, "booking_date", {"passenger_key": "k"})
+    assert rows(got, "region", "k") == [("x", 1), ("y", None)]
+    none = src.where("false")
+    assert asof_lookup(none, dim, SPEC, on, "booking_date", {"passenger_key": "k"}).count() == 0

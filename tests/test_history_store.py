@@ -8,7 +8,7 @@ from conftest import plan_of, rows
 from starloom.operators.scd2 import scd2_apply, scd2_broken_chains, scd2_not_one_current
 from starloom.plans.warehouse import PASSENGER
 from starloom.session import new_path
-from starloom.sources.history import HistoryStore
+from starloom.sources.history import HistoryStore, LateFeedError
 from starloom.streaming import feeds
 from test_scd2 import AS_OF, SPEC, dim, feed, shown
 
@@ -142,3 +142,38 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
 def test_first_load_is_all_current(spark, store):
     assert rows(store.read(), "is_current") == [(True,)] * 3
 
+
+
+def test_a_late_day_is_refused_and_loses_nothing(spark, store):
+    store.apply(feed(spark, (70, "K", "Silver", 5)), AS_OF + timedelta(5))
+    before = shown(store.read())
+    with pytest.raises(LateFeedError):
+        store.apply(feed(spark, (71, "S", "Silver", 6)), AS_OF)
+    assert shown(store.read()) == before
+    store.apply(feed(spark, (71, "S", "Silver", 6)), AS_OF + timedelta(5))
+    assert store.read().where("passenger_id = 70").count() == 2
+    assert store.read().where("passenger_id = 71").count() == 2
+
+
+def test_a_batch_that_runs_again_passes_over_its_days(spark, store):
+    days = [(AS_OF, (70, "K", "Silver", 5)), (AS_OF + timedelta(1), (70, "K", "Gold", 5))]
+    for _ in range(2):
+        for day, row in days:
+            store.apply(feed(spark, row), day, "7")
+    assert store.read().where("passenger_id = 70").count() == 3
+    assert store.shown() == (AS_OF + timedelta(1), "7")
+    with pytest.raises(LateFeedError):
+        store.apply(feed(spark, days[0][1]), AS_OF, "8")
+
+
+def test_a_first_load_that_died_can_run_again(spark, monkeypatch):
+    store = HistoryStore(spark, f"passenger_{uuid4().hex[:8]}", SPEC)
+    first = dim(spark, (1, 70, "K", 5, "Blue"))
+    with monkeypatch.context() as m:
+        m.setattr(HistoryStore, "_show", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.create(first)
+    store.create(first)
+    assert store.read().count() == 1
+    with pytest.raises(ValueError, match="already"):
+        store.create(first)
