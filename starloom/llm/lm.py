@@ -108,7 +108,7 @@ def vocabulary_of(counts: DataFrame, n_docs: int, most: int = KNOWN_TOKENS, clas
     top = counts.orderBy((F.col("token") == end).desc(), F.desc("n"), "token").limit(most).toArrow()
     tokens, n = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy().astype(np.int64)
     rank = np.arange(len(tokens))
-    class_counts = np.zeros(classes + 2, np.int64)
+    class_counts = np.zeros(BEGIN + 1, np.int64)
     class_counts[: min(classes, len(n))] = n[:classes]
     class_counts[TAIL] = total["n"] - class_counts.sum()
     context_counts = class_counts.copy()

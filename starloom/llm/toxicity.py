@@ -251,8 +251,8 @@ class Network:
         logit, of, _ = self.window_logits(texts)
         worst = np.full(len(texts), -np.inf)
         np.maximum.at(worst, of, logit)
-        with np.errstate(over="ignore"):
-            return 1 / (1 + np.exp(np.minimum(-(worst - self.threshold), 700.0)))
+        over = np.clip(worst - self.threshold, -700.0, 700.0)
+        return np.where(np.isfinite(worst) & np.isfinite(self.threshold), 1 / (1 + np.exp(-over)), 0.0)
 
 
 def window_starts(n_words: int) -> np.ndarray:

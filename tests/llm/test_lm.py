@@ -1,0 +1,111 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm_shared import docs, odd  # noqa: F401
+from starloom.llm import lm
+
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def tokens(text):
+    return [*re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW)), None]
+
+
+def sample(n=120, seed=1):
+    r = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words, w = [], "a"
+        for _ in range(r.randint(0, 40)):
+            w = r.choice({"a": "bbbc", "b": "cA", "c": "ad"}.get(w, "abc")) if r.random() < 0.95 else f"rare{r.randint(0, 99)}É"
+            words.append(w)
+            w = w.lower()
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def scored(docs, rows, **kind):
+    frame = docs(*rows).withColumn("held", F.coalesce(F.col("doc_id") % 4 == 0, F.lit(False)))
+    return lm.score(frame, "held", **kind).collect()
+
+
+def brute(rows, classes):
+    """Base and model log10 by plain dictionaries; weights as the operator learns them."""
+    train = [tokens(t) for i, t in rows if i is None or i % 4]
+    count = Counter(w for t in train for w in t)
+    n, v = sum(count.values()), len(count)
+    own = {w for w, _ in sorted(count.items(), key=lambda x: (x[0] is not None, -x[1], lm_hash(x[0])))[:classes]}
+    cls = lambda w: w if w in own else "TAIL"
+    single = Counter(cls(w) for t in train for w in t)
+    pairs = Counter(p for t in train for p in zip(["BEGIN", *map(cls, t)], map(cls, t)))
+    context = Counter()
+    for (a, _), c in pairs.items():
+        context[a] += c
+    keys = list(pairs)
+    weights = lm.learn_weights(
+        np.array([pairs[k] for k in keys], float),
+        np.array([context[a] for a, _ in keys], float),
+        np.array([single[b] for _, b in keys], float),
+        n,
+        classes,
+    )
+    tail_types = max(0, v - classes)
+    out = []
+    for _, text in rows:
+        t = tokens(text)
+        base = sum(math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
+        total = 0.0
+        for a, b in zip(["BEGIN", *map(cls, t)], t):
+            k = cls(b)
+            w = weights[int(lm.context_bucket(np.array([context[a]]))[0])]
+            ml = pairs[a, k] / context[a] if context[a] else 0.0
+            total += math.log10(w[0] * ml + w[1] * single[k] / n + w[2] / (classes + 1))
+            if k == "TAIL":
+                total += math.log10((count[b] + 0.1) / (single["TAIL"] + 0.1 * (tail_types + 1)))
+        out.append((len(t), sum(count[w] > 0 for w in t), base, total))
+    return n, out
+
+
+def lm_hash(word):
+    return int(np.uint64(lm.xxhash.xxh3_64_intdigest(b"\n" if word is None else word.encode())).view(np.int64))
+
+
+@pytest.mark.parametrize("classes, known", [(lm.CLASSES, lm.KNOWN_TOKENS), (6, 20)])
+def test_scores_equal_brute_force(docs, monkeypatch, classes, known):
+    if classes == 6:
+        monkeypatch.setattr(lm, "KNOWN_PAIRS", 5)
+    rows = sample()
+    n, want = brute(rows, classes)
+    got = {r["doc_id"]: r for r in scored(docs, rows, classes=classes, known_tokens=known)}
+    for (i, _), (n_tokens, n_known, base, total) in zip(rows, want):
+        r = got[i]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (n_tokens, n_known, n, i % 4 == 0)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(total, rel=1e-6)
+
+
+def test_pairs_help_on_held_out_texts(docs):
+    got = [r for r in scored(docs, sample(200, 2)) if r["held_out"]]
+    assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
+
+
+def test_weights_trust_frequent_contexts_more():
+    r = np.random.default_rng(3)
+    pair = np.concatenate([np.full(300, 200.0), r.integers(1, 3, 300).astype(float)])
+    context = np.concatenate([np.full(300, 400.0), np.full(300, 4.0)])
+    w = lm.learn_weights(pair, context, np.full(600, 50.0), 100_000)
+    often, seldom = (int(lm.context_bucket(np.array([c]))[0]) for c in (400, 4))
+    assert w[often, 0] > w[seldom, 0] and np.allclose(w.sum(1), 1)
+
+
+def test_odd_rows_and_empty_tables(docs, odd):
+    got = lm.score(odd.withColumn("held", F.lit(None).cast("boolean")), "held").collect()
+    assert len(got) == 7 and {r["n_tokens"] for r in got if r["doc_id"] in (1, 2, 3)} == {1}
+    assert lm.score(docs().withColumn("held", F.lit(False)), "held").count() == 0
+    untrained = lm.score(docs((1, "a b"), (2, None)).withColumn("held", F.lit(True)), "held").collect()
+    assert {(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in untrained} == {(3, 0, 0, 0.0), (1, 0, 0, 0.0)}
