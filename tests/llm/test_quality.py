@@ -60,17 +60,18 @@ def test_rules_that_agree_are_believed(docs):
 
 
 def test_em_finds_the_accuracy_of_rules():
-    names = ["a", "b", "c"]
-    # a and b agree on what is bad, c contradicts them half of the time
+    names = ["a", "b", "c", "d"]
+    # a and b agree on what is bad; c is mostly alone, and d speaks for what it blames
     patterns = [
-        ({"a": 0, "b": 0, "c": 0}, 900),
-        ({"a": -1, "b": -1, "c": 0}, 60),
-        ({"a": -1, "b": -1, "c": -1}, 5),
-        ({"a": 0, "b": 0, "c": -1}, 35),
+        ({"a": 0, "b": 0, "c": 0, "d": 1}, 900),
+        ({"a": -1, "b": -1, "c": 0, "d": 0}, 60),
+        ({"a": -1, "b": -1, "c": -1, "d": 0}, 5),
+        ({"a": 0, "b": 0, "c": -1, "d": 1}, 35),
     ]
     model = q.fit(patterns, names)
-    assert model.accuracy["a"] > 0.9 and model.accuracy["b"] > 0.9 > model.accuracy["c"]
-    assert model.log_odds({"a": -1, "b": -1, "c": 0}) < 0 < model.log_odds({"a": 0, "b": 0, "c": 0})
+    assert model.accuracy["a"] > 0.9 and model.accuracy["b"] > 0.9 > 0.7 > model.accuracy["c"]
+    sure = {"a": -1, "b": -1, "c": 0, "d": 0}
+    assert model.log_odds(sure) < 0 < model.log_odds({"a": 0, "b": 0, "c": -1, "d": 1})
 
 
 def test_odd_rows_and_an_empty_table(odd, docs):
