@@ -30,8 +30,9 @@ GOOD, ABSTAIN, BAD = 1, 0, -1
 MIN_WORDS = 50
 #: EM: pseudo-counts, the share of good documents and the accuracies at the start, rounds.
 SMOOTHING, START, ROUNDS = 1.0, 0.9, 50
-#: What EM may find: accuracy of a rule, share of good documents.
-ACCURACY, PRIOR = (0.6, 0.999), (0.5, 0.95)
+#: What EM may find: accuracy of a rule, share of good documents. Two rules of the least
+#: accuracy that agree outweigh the largest share; one of them alone does not.
+ACCURACY, PRIOR = (0.85, 0.999), (0.5, 0.95)
 
 
 def _dup_lines(text: Column) -> Column:
@@ -148,7 +149,7 @@ def _within(value: float, bounds: tuple[float, float]) -> float:
 
 
 def fit(patterns: list[tuple[dict[str, int], int]], names: list[str], rounds: int = ROUNDS) -> Model:
-    """EM over counted vote patterns. A rule is right more often than not, and never always."""
+    """EM over counted vote patterns, accuracies and prior kept within their bounds."""
     model = Model(START, {name: START for name in names})
     for _ in range(rounds):
         belief = [_posterior(model.log_odds(votes)) for votes, _ in patterns]
