@@ -7,9 +7,10 @@ need a shuffle, and both count per value first.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from starloom.functions.columns import failed_names
 from starloom.operators.checks import (
@@ -40,9 +41,24 @@ class ForeignKey:
     key: str
 
 
+@dataclass(frozen=True)
+class CrossRule:
+    """A condition, in SQL, that no row may meet together with its parent's row.
+
+    ``on`` maps columns to the parent's key, ``take`` the parent's columns to the
+    names under which ``broken`` knows them.
+    """
+
+    name: str
+    parent: str
+    on: dict[str, str]
+    take: dict[str, str]
+    broken: str
+
+
 @dataclass(frozen=True)
 class Contract:
-    """Columns with their rules, further row rules, keys and references.
+    """Columns with their rules, further row rules, keys, references, rules with parents.
 
     ``row_rules`` maps a name to the condition, in SQL, no row may meet.
     """
@@ -51,6 +67,7 @@ class Contract:
     unique: tuple[str, ...] = ()
     references: tuple[ForeignKey, ...] = ()
     row_rules: dict[str, str] = field(default_factory=dict)
+    cross_rules: tuple[CrossRule, ...] = ()
 
     @property
     def names(self) -> list[str]:
@@ -62,6 +79,21 @@ def named_columns(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*contract.names)
 
 
+# fixed value: the form of a date in a feed
+_DATE = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}\s*$"
+
+
+def _no_value(text: Column, kind: str) -> Column:
+    """Whether a text is no value of its type, or one that the type would round or guess."""
+    value = text.try_cast(kind)
+    lossy = F.lit(False)
+    if kind.startswith("decimal"):
+        lossy = text.try_cast("decimal(38,18)") != value
+    elif kind == "date":
+        lossy = ~text.rlike(_DATE)
+    return text.isNotNull() & (value.isNull() | F.coalesce(lossy, F.lit(False)))
+
+
 def check_types(raw: DataFrame, contract: Contract) -> DataFrame:
     """Per column: is it there, and how many texts are no value of its type.
 
@@ -69,10 +101,7 @@ def check_types(raw: DataFrame, contract: Contract) -> DataFrame:
     """
     present = [c for c in contract.columns if c.name in raw.columns]
     bad = [
-        F.count_if(F.col(c.name).isNotNull() & F.col(c.name).try_cast(c.type).isNull()).alias(
-            f"b_{c.name}"
-        )
-        for c in present
+        F.count_if(_no_value(F.col(c.name), c.type)).alias(f"b_{c.name}") for c in present
     ]
     row = raw.agg(F.count(F.lit(1)).alias("__rows"), *bad)
 
@@ -185,6 +214,9 @@ def mark(df: DataFrame, contract: Contract, parents: dict[str, DataFrame]) -> Da
         hit = {"hit": f"__lost_{f.column}"}
         marked = lookup(marked, lost, {f.column: f.column}, hit, "left", keys_of=df)
         extra[f"{f.column} not in {f.parent}"] = F.col(f"__lost_{f.column}")
+    for rule in contract.cross_rules:
+        marked = lookup(marked, parents[rule.parent], rule.on, rule.take, "left", keys_of=df)
+        extra[rule.name] = F.expr(rule.broken)
     reasons = failed_names({**row_rules(contract), **extra})
     return marked.withColumn("reasons", reasons).select(*df.columns, "reasons")
 
@@ -233,13 +265,14 @@ def arrivals_of(files: DataFrame, feed: str, business_date: Column) -> DataFrame
     return files.select(F.lit(feed).alias("feed"), business_date.alias("business_date"), landed)
 
 
-def expected_days(arrivals: DataFrame) -> DataFrame:
-    """Every day between a feed's first and last delivery."""
-    span = arrivals.groupBy("feed").agg(
-        F.min("business_date").alias("first"), F.max("business_date").alias("last")
-    )
-    days = F.explode(F.sequence("first", "last")).alias("business_date")
-    return span.select("feed", days)
+def expected_days(feeds: DataFrame, first: date, last: date) -> DataFrame:
+    """Every feed on every day from ``first`` to ``last``, delivered or not.
+
+    ``feeds`` lists what the day needs under ``feed``. Neither the list nor the days
+    come from what arrived, so a feed that never came is missing all the same.
+    """
+    days = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("business_date")
+    return feeds.select("feed").distinct().select("feed", days)
 
 
 def freshness(
@@ -270,7 +303,8 @@ MAX_DROP = 0.01  # fixed value: larger drops in row count raise an alert
 
 def _volume_status(today: Column, prior: Column, max_drop: float) -> Column:
     return (
-        F.when(prior.isNull(), "first")
+        F.when(today == 0, "missing")
+        .when(prior.isNull(), "first")
         .when(today >= prior, "ok")
         .when((prior - today).cast("double") / prior > max_drop, "alert")
         .otherwise("decreased")
@@ -286,16 +320,24 @@ def volume_check(today: DataFrame, prior: DataFrame, max_drop: float = MAX_DROP)
     )
 
 
-def volume_by_day(rows: DataFrame, day: str, max_drop: float = MAX_DROP) -> DataFrame:
-    """Each day's delivery against the day before."""
+def volume_by_day(
+    rows: DataFrame, day: str, first: date, last: date, max_drop: float = MAX_DROP
+) -> DataFrame:
+    """Every day's delivery from ``first`` to ``last`` against the last one before it.
+
+    A day without rows is missing, and the next is compared with the day before it.
+    """
     counts = rows.groupBy(F.col(day).alias("business_date")).agg(
         F.count(F.lit(1)).alias("today_rows")
     )
-    before = counts.select(
-        F.date_add("business_date", 1).alias("business_date"),
-        F.col("today_rows").alias("prior_rows"),
+    days = rows.sparkSession.range(1).select(
+        F.explode(F.sequence(F.lit(first), F.lit(last))).alias("business_date")
     )
-    return counts.join(before, "business_date", "left").withColumn(
+    every = days.join(counts, "business_date", "left").fillna(0, ["today_rows"])
+    # one row per day of the calendar
+    before = Window.orderBy("business_date").rowsBetween(Window.unboundedPreceding, -1)
+    delivered = F.when(F.col("today_rows") > 0, F.col("today_rows"))
+    return every.withColumn("prior_rows", F.last(delivered, True).over(before)).withColumn(
         "status", _volume_status(F.col("today_rows"), F.col("prior_rows"), max_drop)
     )
 

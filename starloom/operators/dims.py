@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from starloom.functions.columns import any_of, failed_names
 from starloom.functions.dates import calendar_columns
 from starloom.model import Dimension, Level, Parent
 from starloom.operators.joins import lookup
@@ -44,13 +46,32 @@ def resolve_parents(
     return resolved
 
 
-def project_dim(src: DataFrame, spec: Dimension, dims: dict[str, DataFrame]) -> DataFrame:
-    """The dimension's columns with parent keys resolved, before its own key."""
-    resolved = resolve_parents(src, spec.parents, dims, "inner")
-    return resolved.select(
+class DimRows(NamedTuple):
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def split_dim(src: DataFrame, spec: Dimension, dims: dict[str, DataFrame]) -> DimRows:
+    """The dimension's rows with parent keys resolved, before its own key, and the rejects.
+
+    A reject has no value for its business key or a role without parent.
+    """
+    resolved = resolve_parents(src, spec.parents, dims, "left")
+    named = resolved.select(
         *[F.col(c).alias(n) for c, n in spec.columns.items()],
         *[p.result for p in spec.parents],
     )
+    wrong = {f"{c} is null": F.col(c).isNull() for c in spec.business_key}
+    wrong |= {f"no {p.role}": F.col(p.result).isNull() for p in spec.parents}
+    marked = named.withColumn("reasons", failed_names(wrong))
+    judged = stage(marked.withColumn("rejected", F.size("reasons") > 0), spec.name, "rejected")
+    rows = judged.where("not rejected").select(*named.columns)
+    return DimRows(rows, judged.where("rejected").select(*spec.business_key, "reasons"))
+
+
+def project_dim(src: DataFrame, spec: Dimension, dims: dict[str, DataFrame]) -> DataFrame:
+    """The dimension's rows that found their parents, before its own key."""
+    return split_dim(src, spec, dims).rows
 
 
 def build_dim(
@@ -70,8 +91,13 @@ def snowflake(flat: DataFrame, levels: list[Level], leaf: str) -> dict[str, Data
     A member is known by its own name and the level above together, as a name
     alone may recur. The leaf keeps its key and everything the levels do not
     take, with a reference to the lowest level. A member with several attribute
-    values would be ambiguous, so that fails.
+    values would be ambiguous, and a leaf without a value for a level would be lost,
+    so both fail.
     """
+    levelled = [c for level in levels for c in level.columns]
+    lost = flat.where(any_of(F.col(c).isNull() for c in levelled)).limit(1).collect()
+    if lost:
+        raise ValueError(f"a leaf lacks one of {', '.join(levelled)}: {lost[0].asDict()}")
     tables: dict[str, DataFrame] = {}
     current, above = flat, []
     for level in levels:

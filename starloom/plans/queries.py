@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions.dates import month_of
 from starloom.model import Fact, Measure, Ratio
 from starloom.operators import checks, contract as rules, partitions, scd2
-from starloom.operators.dims import calendar_for, project_dim, resolve_levels
+from starloom.operators.dims import calendar_for, project_dim, resolve_levels, split_dim
 from starloom.operators.facts import asof_lookup, load_fact_asof
 from starloom.operators.joins import lookup
 from starloom.operators.keys import assign_keys
@@ -607,7 +607,13 @@ def _verdict(w: Warehouse) -> rules.Verdict:
 
 @query
 def contract_freshness(w: Warehouse) -> DataFrame:
-    return rules.freshness(w.arrivals, rules.expected_days(w.arrivals))
+    """Deliveries of every user on every day up to the day after the last, on which none came."""
+    first, last = _delivery_days(w)
+    return rules.freshness(w.arrivals, rules.expected_days(w.arrivals, first, last + timedelta(1)))
+
+
+def _delivery_days(w: Warehouse) -> tuple[date, date]:
+    return w.arrivals.agg(F.min("business_date"), F.max("business_date")).first()
 
 
 @query
@@ -621,7 +627,33 @@ def contract_volume(w: Warehouse) -> DataFrame:
 
 @query
 def contract_volume_by_day(w: Warehouse) -> DataFrame:
-    return rules.volume_by_day(w.arrivals, "business_date")
+    """Every day's deliveries, where none came on every seventh of a month."""
+    first, last = _delivery_days(w)
+    came = w.arrivals.where("day(business_date) % 7 <> 0")
+    return rules.volume_by_day(came, "business_date", first, last)
+
+
+@query
+def dim_rejects(w: Warehouse) -> DataFrame:
+    """Passengers whose home airport one region's airports do not hold."""
+    known = w.dim_airport.where("airport_key % 5 <> 0")
+    found = split_dim(w.passengers, PASSENGER, {"airport": known})
+    return found.rejects.select("passenger_id", F.array_join("reasons", ", ").alias("reason"))
+
+
+@query
+def contract_cross_quarantine(w: Warehouse) -> DataFrame:
+    """Bookings set aside because they travel on another day than their flight."""
+    rule = rules.CrossRule(
+        "travel date is not the flight's",
+        "flights",
+        {"flight_id": "flight_id"},
+        {"flight_date": "flight_date"},
+        "travel_date <> flight_date",
+    )
+    contract = rules.Contract(BOOKING_CONTRACT.columns[:1], cross_rules=(rule,))
+    verdict = rules.apply_contract(w.bookings, contract, {"flights": w.flights})
+    return verdict.quarantined.select("booking_id", F.array_join("reasons", "; ").alias("reasons"))
 
 
 @query

@@ -13,10 +13,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.model import Dimension, Fact
 from starloom.operators.checks import orphan_check, reconcile
-from starloom.operators.contract import Contract, Verdict, apply_contract, volume_check
-from starloom.operators.dims import build_dim, calendar_dim
+from starloom.operators.contract import (
+    Contract,
+    Verdict,
+    apply_contract,
+    schema_drift,
+    volume_check,
+)
+from starloom.operators.dims import calendar_dim, split_dim
 from starloom.operators.facts import load_fact
-from starloom.session import new_path
+from starloom.operators.joins import lookup
+from starloom.operators.keys import assign_keys
+from starloom.session import new_path, stage
 from starloom.sources.sinks import publish, replace_table, write_partitioned
 
 
@@ -47,20 +55,54 @@ def gate_volume(spark: SparkSession, table: str, today: DataFrame) -> None:
 
 
 def gate_freshness(report: DataFrame, day: date) -> None:
-    """Stop when a feed the day needs has not landed in time."""
-    waiting = report.where((F.col("business_date") == F.lit(day)) & F.col("paused"))
-    names = [r["feed"] for r in waiting.select("feed").limit(20).collect()]
-    if names:
-        raise RefreshStopped(f"not delivered in time on {day}: {', '.join(sorted(names))}")
+    """Stop when a feed the day needs has not landed in time, or the report lacks the day."""
+    of_day = report.where(F.col("business_date") == F.lit(day))
+    counts = of_day.agg(
+        F.count(F.lit(1)).alias("feeds"), F.count_if("paused").alias("waiting")
+    ).first()
+    if counts["feeds"] == 0:
+        raise RefreshStopped(f"nothing is known of the deliveries on {day}")
+    if counts["waiting"]:
+        some = of_day.where("paused").select("feed").orderBy("feed").limit(20).collect()
+        names = ", ".join(r["feed"] for r in some)
+        more = " and others" if counts["waiting"] > len(some) else ""
+        raise RefreshStopped(
+            f"{counts['waiting']} feeds not delivered in time on {day}: {names}{more}"
+        )
+
+
+def gate_drift(spark: SparkSession, table: str, batch: DataFrame, contract: Contract) -> None:
+    """Stop when a batch lacks a column of its contract or changed one since the last batch.
+
+    A new value of a closed list is no reason to stop: the contract sets such rows aside.
+    """
+    absent = [c for c in contract.names if c not in batch.columns]
+    if absent:
+        raise RefreshStopped(f"{table}: no column {', '.join(absent)}")
+    if spark.catalog.tableExists(table):
+        before = spark.table(table).schema
+        broken = [f"{kind} {name} ({detail})" for kind, name, detail, breaks in schema_drift(before, batch.schema) if breaks]
+        if broken:
+            raise RefreshStopped(f"{table}: {'; '.join(broken)}")
 
 
 def accept(
-    layers: Layers, name: str, batch: DataFrame, contract: Contract, parents: dict[str, DataFrame]
+    layers: Layers,
+    name: str,
+    batch: DataFrame,
+    contract: Contract,
+    parents: dict[str, DataFrame],
+    mode: str = "quarantine",
 ) -> DataFrame:
-    """Split a batch by its contract and keep what was set aside, with the alerts."""
-    verdict: Verdict = apply_contract(batch, contract, parents)
+    """Split a batch by its contract and keep what was set aside, with the alerts.
+
+    In mode ``reject`` a batch with a broken rule is set aside whole, and the day stops.
+    """
+    verdict: Verdict = apply_contract(batch, contract, parents, mode)
     replace_table(verdict.quarantined, f"{layers.bronze}.{name}_quarantine")
-    replace_table(verdict.alerts, f"{layers.bronze}.{name}_alerts")
+    shown = replace_table(verdict.alerts, f"{layers.bronze}.{name}_alerts")
+    if mode == "reject" and not shown.isEmpty():
+        raise RefreshStopped(f"{name}: the batch breaks its contract, see {layers.bronze}.{name}_alerts")
     return verdict.accepted
 
 
@@ -71,12 +113,25 @@ def refresh_calendar(spark: SparkSession, layers: Layers, start: date, end: date
 def refresh_dimension(
     spark: SparkSession, layers: Layers, src: DataFrame, spec: Dimension, parents: dict[str, DataFrame]
 ) -> DataFrame:
-    """Full refresh of a dimension; business keys keep the surrogates they have."""
-    table = f"{layers.silver}.dim_{spec.name}"
-    existing = None
-    if spark.catalog.tableExists(table):
-        existing = spark.table(table).select(spec.key, *spec.business_key)
-    return replace_table(build_dim(src, spec, parents, existing), table)
+    """Full refresh of a dimension, with the rows that found no parent kept as rejects.
+
+    A registry holds every surrogate ever given. It is written before the dimension is
+    shown, so a key is not given twice, even after its member left or a load died.
+    """
+    table, given = f"{layers.silver}.dim_{spec.name}", f"{layers.silver}.keys_{spec.name}"
+    known = spark.table(given) if spark.catalog.tableExists(given) else None
+    found = split_dim(src, spec, parents)
+    rejects = replace_table(found.rejects, f"{layers.silver}.rejects_{spec.name}")
+    built = stage(assign_keys(found.rows, spec.business_key, spec.key, known), spec.name)
+    keys = built.select(spec.key, *spec.business_key)
+    if known is not None:
+        gone = lookup(known, keys, {spec.key: spec.key}, how="left_anti", unique=True)
+        keys = keys.unionByName(gone.select(*keys.columns))
+    replace_table(keys, given)
+    gap = reconcile(src, built).first()["gap"]
+    if gap != rejects.count():
+        raise RefreshStopped(f"{table}: {gap} rows missing, {rejects.count()} rejected")
+    return replace_table(built, table)
 
 
 def rebuild_fact(
@@ -111,17 +166,24 @@ def refresh(
     dimensions: list[Dimension],
     fact: Fact,
     calendar: tuple[date, date],
+    mode: str = "quarantine",
+    deliveries: tuple[DataFrame, date] | None = None,
 ) -> DataFrame:
     """One whole day: feeds in, fact out.
 
     ``feeds`` holds ``bookings`` and one feed per dimension under its name;
     ``dimensions`` lists parents before the dimensions that refer to them.
+    ``deliveries`` is a freshness report and the day it must allow.
     """
+    if deliveries is not None:
+        gate_freshness(*deliveries)
+    gate_drift(spark, f"{layers.bronze}.bookings", feeds["bookings"], contract)
     gate_volume(spark, f"{layers.bronze}.bookings", feeds["bookings"])
     landed = land(spark, layers, feeds)
     dims: dict[str, DataFrame] = {"date": refresh_calendar(spark, layers, *calendar)}
     for spec in dimensions:
         dims[spec.name] = refresh_dimension(spark, layers, landed[spec.name], spec, dims)
-    parents = {f.parent: landed[f.parent] for f in contract.references}
-    accepted = accept(layers, "bookings", landed["bookings"], contract, parents)
+    needed = {x.parent for x in (*contract.references, *contract.cross_rules)}
+    parents = {name: landed[name] for name in needed}
+    accepted = accept(layers, "bookings", landed["bookings"], contract, parents, mode)
     return rebuild_fact(spark, layers, accepted, fact, dims)

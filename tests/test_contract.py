@@ -178,13 +178,14 @@ def test_freshness(spark):
         ("bookings", date(2025, 6, 5), datetime(2025, 6, 4, 23, 0)),
     ]
     arrivals = spark.createDataFrame(landed, "feed string, business_date date, landed_at timestamp_ntz")
-    got = freshness(arrivals, expected_days(arrivals))
+    got = freshness(arrivals, expected_days(arrivals, date(2025, 6, 1), date(2025, 6, 6)))
     assert rows(got, "business_date", "status", "paused") == [
         (date(2025, 6, 1), "on_time", False),
         (date(2025, 6, 2), "late", False),
         (date(2025, 6, 3), "pause", True),
         (date(2025, 6, 4), "missing", True),
         (date(2025, 6, 5), "on_time", False),
+        (date(2025, 6, 6), "missing", True),
     ]
 
 
@@ -212,8 +213,10 @@ def test_volume(spark, prior, today, status):
 def test_volume_by_day(spark):
     days = [date(2025, 6, 1)] * 100 + [date(2025, 6, 2)] * 98 + [date(2025, 6, 4)] * 5
     df = spark.createDataFrame([(d,) for d in days], "day date")
-    assert rows(volume_by_day(df, "day"), "today_rows", "prior_rows", "status") == [
-        (100, None, "first"),
-        (5, None, "first"),
-        (98, 100, "alert"),
+    got = volume_by_day(df, "day", date(2025, 6, 1), date(2025, 6, 4))
+    assert rows(got, "business_date", "today_rows", "prior_rows", "status") == [
+        (date(2025, 6, 1), 100, None, "first"),
+        (date(2025, 6, 2), 98, 100, "alert"),
+        (date(2025, 6, 3), 0, 98, "missing"),
+        (date(2025, 6, 4), 5, 98, "alert"),
     ]

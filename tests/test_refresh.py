@@ -8,7 +8,17 @@ from pyspark.sql import functions as F
 from conftest import plan_of, rows
 from starloom.operators.contract import Contract, ForeignKey, expected_days, freshness
 from starloom.operators.partitions import pruned_range
-from starloom.plans.refresh import Layers, RefreshStopped, gate_freshness, rebuild_fact, refresh
+from starloom.plans.refresh import (
+    Layers,
+    RefreshStopped,
+    accept,
+    gate_drift,
+    gate_freshness,
+    rebuild_fact,
+    refresh,
+    refresh_dimension,
+)
+from starloom.sources.sinks import replace_table
 from starloom.plans.warehouse import AIRCRAFT, AIRPORT, BOOKING_CONTRACT, FLIGHT, PASSENGER, TICKET_SALES
 from test_dims import AIRPORTS, FLAT
 
@@ -114,7 +124,56 @@ def test_a_late_feed_stops_the_day(spark):
         "select 'bookings' feed, date '2025-06-01' business_date, timestamp_ntz '2025-06-01 05:00:00' landed_at "
         "union all select 'bookings', date '2025-06-02', timestamp_ntz '2025-06-02 09:00:00'"
     )
-    report = freshness(arrivals, expected_days(arrivals))
+    report = freshness(arrivals, expected_days(arrivals, date(2025, 6, 1), date(2025, 6, 3)))
     gate_freshness(report, date(2025, 6, 1))
+    with pytest.raises(RefreshStopped, match="1 feeds not delivered"):
+        gate_freshness(report, date(2025, 6, 3))
+    with pytest.raises(RefreshStopped, match="nothing is known"):
+        gate_freshness(report, date(2025, 6, 4))
     with pytest.raises(RefreshStopped, match="bookings"):
         gate_freshness(report, date(2025, 6, 2))
+
+
+def test_departed_members_keep_their_keys(spark, layers):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layers.silver}")
+    airports = refresh_dimension(spark, layers, spark.createDataFrame(AIRPORTS, FLAT), AIRPORT, {})
+    dims, feeds = {"airport": airports}, day_of_feeds(spark)["passenger"]
+    first = refresh_dimension(spark, layers, feeds.where("passenger_id <> 99"), PASSENGER, dims)
+    last = first.where("passenger_id = 98").first()["passenger_key"]
+    refresh_dimension(spark, layers, feeds.where("passenger_id < 98"), PASSENGER, dims)
+    third = refresh_dimension(spark, layers, feeds, PASSENGER, dims)
+    assert third.where("passenger_id = 98").first()["passenger_key"] == last
+    assert third.where("passenger_id = 99").first()["passenger_key"] > last
+
+
+def test_a_passenger_without_airport_is_a_reject(spark, layers):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layers.silver}")
+    airports = refresh_dimension(spark, layers, spark.createDataFrame(AIRPORTS, FLAT), AIRPORT, {})
+    lost = F.when(F.col("passenger_id") == 80, "XXX").otherwise(F.col("home_airport_code"))
+    feed = day_of_feeds(spark)["passenger"].withColumn("home_airport_code", lost)
+    kept = refresh_dimension(spark, layers, feed, PASSENGER, {"airport": airports})
+    assert kept.count() == 29
+    assert rows(spark.table(f"{layers.silver}.rejects_passenger")) == [(80, ["no home airport"])]
+
+
+def test_a_batch_that_changed_its_columns_stops_the_day(spark, layers):
+    feeds = day_of_feeds(spark)
+    gate_drift(spark, "bronze_none.bookings", feeds["bookings"], CONTRACT)
+    with pytest.raises(RefreshStopped, match="no column booking_status"):
+        gate_drift(spark, "bronze_none.bookings", feeds["bookings"].drop("booking_status"), CONTRACT)
+    table = f"bookings_{layers.bronze}"
+    replace_table(feeds["bookings"], table)
+    retyped = feeds["bookings"].withColumn("fare_amount", F.col("fare_amount").cast("double"))
+    with pytest.raises(RefreshStopped, match="column retyped fare_amount"):
+        gate_drift(spark, table, retyped, CONTRACT)
+    gate_drift(spark, table, feeds["bookings"].withColumn("note", F.lit(None).cast("string")), CONTRACT)
+
+
+def test_a_batch_may_be_rejected_whole(spark, layers):
+    feeds = day_of_feeds(spark)
+    parents = {name: feeds[name] for name in ("passenger", "flight")}
+    with pytest.raises(RefreshStopped, match="breaks its contract"):
+        accept(layers, "bookings", feeds["bookings"], CONTRACT, parents, "reject")
+    assert spark.table(f"{layers.bronze}.bookings_quarantine").count() == 400
+    good = feeds["bookings"].where("passenger_id < 100")
+    assert accept(layers, "bookings", good, CONTRACT, parents, "reject").count() == good.count()
