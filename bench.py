@@ -2,7 +2,8 @@
 
 First the whole warehouse is built from the given tables. Then each operator runs
 again on the stored tables it needs, its own stored result dropped before. The
-range queries also report how many month partitions they read.
+range queries also report how many month partitions their scans read, by the scans'
+own metrics.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.operators.partitions import partitions_scanned
 from starloom.plans import queries as q
 from starloom.plans.warehouse import Warehouse
 
@@ -98,7 +100,10 @@ def main() -> None:
         start = time.perf_counter()
         run(query(warehouse))
         seconds[query.__name__] = round(time.perf_counter() - start, 3)
-    touched = {r["query"]: r["partitions_read"] for r in q.partitions_touched(warehouse).collect()}
+    touched = {
+        "travel range": partitions_scanned(q.sales_by_travel_range(warehouse)),
+        "status and class": partitions_scanned(q.sales_by_status_class(warehouse)),
+    }
     report = {
         "metric": "warehouse_total",
         "value": round(sum(seconds.values()), 3),

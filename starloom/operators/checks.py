@@ -62,12 +62,33 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame, key: str) -> D
 def orphan_check(
     fact: DataFrame, references: dict[str, tuple[str, DataFrame, str]]
 ) -> DataFrame:
-    """Orphan rows per role: ``{role: (fact column, dimension, key)}``."""
-    return side_by_side(
-        {
-            f"orphan_{role}": orphan_rows(fact, column, dim, key)
-            for role, (column, dim, key) in references.items()
-        }
+    """Orphan rows per role: ``{role: (fact column, dimension, key)}``.
+
+    The fact is read once: rows are counted per role and value, and only those counts
+    meet the keys. A dimension in several roles is read for each.
+    """
+    held = [
+        F.struct(F.lit(role).alias("role"), F.col(column).cast("string").alias("value"))
+        for role, (column, _, _) in references.items()
+    ]
+    counts = (
+        fact.select(F.inline(F.array(*held)))
+        .where("value IS NOT NULL")
+        .groupBy("role", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    keys = _union(
+        [
+            dim.select(F.lit(role).alias("role"), F.col(key).cast("string").alias("value"))
+            for role, (_, dim, key) in references.items()
+        ]
+    )
+    lost = counts.join(keys, ["role", "value"], "left_anti")
+    return lost.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("role") == role, F.col("rows"))), F.lit(0)).alias(f"orphan_{role}")
+            for role in references
+        ]
     )
 
 

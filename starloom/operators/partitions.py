@@ -92,6 +92,16 @@ def range_total(rows: DataFrame, amount: str) -> DataFrame:
     )
 
 
+def partitions_scanned(df: DataFrame) -> int:
+    """Partitions that the scan of ``df`` read, by the scan's own metric. Runs ``df``."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+    scan = plan.collectLeaves().apply(0)
+    while not scan.metrics().contains("numFiles"):
+        scan = scan.plan().collectLeaves().apply(0)
+    return int(scan.metrics().apply("numPartitions").value())
+
+
 def partitions_read(
     fact: DataFrame, name: str, *predicates: Column, month: str = MONTH
 ) -> DataFrame:

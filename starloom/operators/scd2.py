@@ -64,8 +64,10 @@ def prepare_feed(
     }
     wrong |= {f"no {p.role}": F.col(p.result).isNull() for p in parents}
     marked = resolved.withColumn("reasons", failed_names(wrong))
-    accepted = marked.where(F.size("reasons") == 0).select(*spec.feed_columns)
-    rejects = marked.where(F.size("reasons") > 0).select(*updates.columns, "reasons")
+    # written once: the feed is looked at several times before it is applied
+    judged = stage(marked.withColumn("rejected", F.size("reasons") > 0), "feed", "rejected")
+    accepted = judged.where("not rejected").select(*spec.feed_columns)
+    rejects = judged.where("rejected").select(*updates.columns, "reasons")
     return Feed(accepted, rejects)
 
 

@@ -717,8 +717,7 @@ def stream_scd2_apply(w: Warehouse) -> DataFrame:
 @query
 def month_sales_through_dims(w: Warehouse) -> DataFrame:
     """Bookings and fare per tier of the passengers who travelled in one month."""
-    travelled = (F.col("travel_date_key") >= LOW) & (F.col("travel_date_key") < HIGH)
-    rows = w.load.fact.where(travelled)
+    rows = partitions.pruned_range(w.booking_fact, LOW, HIGH)
     tiers = lookup(
         rows, w.dim_passenger, {"passenger_key": "passenger_key"}, {"frequent_flyer_tier": "tier"}
     )

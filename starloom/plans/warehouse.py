@@ -364,6 +364,17 @@ class Warehouse:
     def dim_history(self) -> DataFrame:
         return stage(self.applied.dimension, "passenger-history")
 
+    @cached_property
+    def booking_fact_path(self) -> str:
+        path = new_path(self.spark, "booking-fact")
+        return write_partitioned(self.load.fact, path, "travel_date_key", TICKET_SALES.grain)
+
+    @property
+    def booking_fact(self) -> DataFrame:
+        """The booking fact in its month partitions."""
+        schema = T.StructType([*self.load.fact.schema, T.StructField("travel_month", T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(self.booking_fact_path)
+
     @cached_property
     def line_fact_path(self) -> str:
         path = new_path(self.spark, "line-fact")
