@@ -38,11 +38,14 @@ SHINGLE, PERCENT = 4, 85
 MAX_LEVEL = 8
 #: What verifying a candidate costs, in look-ups of a shingle.
 VERIFY_COST = 50
-#: Documents in the sample that the order of shingles comes from, the expected number; words
-#: and shingles of the sample that count as frequent, which bounds what is broadcast.
-SAMPLE_DOCS, FREQUENT_WORDS, FREQUENT_SHINGLES = 8_000, 65_536, 500_000
+#: Share of the documents, and least expected number of them, that the order of shingles
+#: comes from; words and shingles of them that count as frequent, which bounds what is
+#: broadcast.
+SAMPLE_SHARE, SAMPLE_DOCS, FREQUENT_WORDS, FREQUENT_SHINGLES = 1 / 8, 2_000, 65_536, 500_000
+#: Shingles of up to so many documents are rare: all pairs of their documents are few.
+RARE = 8
 #: Rounds of leaders before the full join.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -125,10 +128,9 @@ def _sample_counts(kind: str, size: int):
     return run
 
 
-def order_of(docs: DataFrame, size: int = SHINGLE, sample_docs: int = SAMPLE_DOCS) -> Order:
-    """The order of shingles, from a bounded sample of documents."""
-    total = docs.count()
-    share = min(1.0, sample_docs / max(1, total))
+def order_of(docs: DataFrame, size: int = SHINGLE) -> Order:
+    """The order of shingles, from a sample of documents."""
+    share = min(1.0, max(SAMPLE_SHARE, SAMPLE_DOCS / max(1, docs.count())))
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def top(kind: str, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +142,7 @@ def order_of(docs: DataFrame, size: int = SHINGLE, sample_docs: int = SAMPLE_DOC
         return keys[by_key], np.log2(table.column("n").to_numpy()[by_key]).astype(np.float32)
 
     words, word_weight = top("word", 2, FREQUENT_WORDS)
-    shingles, shingle_weight = top("shingle", 4, FREQUENT_SHINGLES)
+    shingles, shingle_weight = top("shingle", 3, FREQUENT_SHINGLES)
     return Order(words, word_weight, shingles, shingle_weight)
 
 
@@ -218,11 +220,21 @@ def _level(position: Column, n: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), position - (n - need) + 1).cast("int")
 
 
-def _choose_levels(postings: DataFrame) -> DataFrame:
-    """Each document's l: the one of least estimated cost."""
+def _choose_levels(postings: DataFrame, percent: int) -> DataFrame:
+    """Each document's l, the one of least estimated cost, and how much it can share.
+
+    The shingles of its longest prefix that no other document's holds are its own:
+    what is left (``able``) bounds its overlap with any other, and without the rare ones
+    too (``far``) its overlap with any that holds none of those. A document that cannot
+    share enough with anyone is left out.
+    """
     levels = range(1, MAX_LEVEL + 1)
     sums = postings.groupBy("doc").agg(
         F.max("most").alias("most"),
+        F.max("n").alias("n"),
+        F.sum("df").alias("weight"),
+        F.count(F.lit(1)).alias("common"),
+        F.count_if(F.col("df") > RARE).alias("frequent"),
         *[F.sum(F.when(F.col("level") <= i, F.col("df") - 1).otherwise(0)).alias(f"s{i}") for i in levels],
     )
     # a candidate shares l shingles, so look-ups / l bounds the candidates
@@ -230,36 +242,65 @@ def _choose_levels(postings: DataFrame) -> DataFrame:
         F.when(F.col("most") >= i, F.struct((F.col(f"s{i}") * (1 + VERIFY_COST / i)).alias("cost"), F.lit(i).alias("l")))
         for i in levels
     ]
-    return sums.select("doc", F.array_min(F.array_compact(F.array(*costs)))["l"].alias("l"))
+    need = F.floor((F.col("n") * percent + 99) / 100)
+    longest = F.col("n") - need + F.col("most")
+    sums = sums.withColumn("able", F.col("n") - longest + F.col("common"))
+    sums = sums.withColumn("far", F.col("n") - longest + F.col("frequent"))
+    best = F.array_min(F.array_compact(F.array(*costs)))["l"]
+    return sums.where(F.col("able") >= need).select("doc", "weight", "able", "far", best.alias("l"))
+
 
+def _can_be_similar(able_a: Column, able_b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    """Whether two sets may overlap enough, given what each can share at most."""
+    return (100 + percent) * F.least(able_a, able_b) >= percent * (n_a + n_b)
 
-def _leader_pairs(postings: DataFrame, labels: DataFrame, number: int) -> DataFrame:
+
+def _leader_pairs(postings: DataFrame, labels: DataFrame, number: int, percent: int) -> DataFrame:
     """Documents with the leaders that their shingles propose, where not yet in one component.
 
-    The leader of a shingle is, among its documents of about one size, the first by
-    a hash that differs from round to round.
+    The leader of a shingle is, among its documents of about one size, first the one
+    whose shingles are the most frequent, as a document is that others were copied
+    from; in later rounds the first by a hash.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / PERCENT) + number / LEADER_ROUNDS)
     rows = postings.join(labels, "doc").withColumn("band", band)
-    first = F.struct(F.xxhash64(F.col("doc"), F.lit(number)).alias("h"), F.col("doc").alias("d"), F.col("comp").alias("c"))
-    lead = rows.groupBy("token", "band").agg(F.min(first).alias("first")).select("token", "band", "first.d", "first.c")
-    met = rows.join(lead, ["token", "band"]).where("comp <> c")
+    place = -F.col("weight") if number == 0 else F.xxhash64(F.col("doc"), F.lit(number))
+    named = {"doc": "d", "comp": "c", "able": "a", "n": "m"}
+    first = F.struct(place.alias("h"), *[F.col(c).alias(name) for c, name in named.items()])
+    lead = rows.groupBy("token", "band").agg(F.min(first).alias("first")).select("token", "band", "first.*").drop("h")
+    able = _can_be_similar(F.col("able"), F.col("a"), F.col("n"), F.col("m"), percent)
+    met = rows.join(lead, ["token", "band"]).where((F.col("comp") != F.col("c")) & able)
     shared = met.groupBy("doc", "d").agg(F.count(F.lit(1)).alias("hits"), F.max("l").alias("l"))
     return shared.where("hits >= l").select(F.col("doc").alias("a"), F.col("d").alias("b"))
 
 
 def _cross_pairs(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs across components: the smaller set asks, by its own l."""
+    """All candidate pairs across components.
+
+    Pairs that share a rare shingle are met by those alone: each brings together few
+    documents. All others share frequent shingles only, so whatever else a document
+    holds is unlike the other's, and few documents can still be similar to one; of
+    those the smaller asks for as many shared shingles as it chose.
+    """
     rows = postings.join(labels, "doc")
     mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    rows = stage(rows.join(mixed, "token").select("token", "doc", "comp", "n", "level", "l"), "mixed")
-    x = rows.where("level <= l").select("token", *[F.col(c).alias(f"x_{c}") for c in ("doc", "comp", "n", "l")])
-    y = rows.select("token", *[F.col(c).alias(f"y_{c}") for c in ("doc", "comp", "n", "level")])
+    rows = stage(rows.join(mixed, "token").select("token", "doc", "comp", "n", "df", "level", "l", "able", "far"), "mixed")
+
+    def side(name: str, of: DataFrame) -> DataFrame:
+        return of.select("token", *[F.col(c).alias(f"{name}_{c}") for c in of.columns if c != "token"])
+
     smaller = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_doc") < F.col("y_doc")))
-    close = 100 * F.col("x_n") >= percent * F.col("y_n")
-    met = x.join(y, "token").where(smaller & close & (F.col("x_comp") != F.col("y_comp")) & (F.col("y_level") <= F.col("x_l")))
+    apart = smaller & (F.col("x_comp") != F.col("y_comp"))
+    rare, often = rows.where(F.col("df") <= RARE), rows.where((F.col("df") > RARE) & (100 * F.col("far") >= percent * F.col("n")))
+    near = _can_be_similar(F.col("x_able"), F.col("y_able"), F.col("x_n"), F.col("y_n"), percent)
+    by_rare = side("x", rare).join(side("y", rare), "token").where(apart & near).select("x_doc", "y_doc")
+    near = _can_be_similar(F.col("x_far"), F.col("y_far"), F.col("x_n"), F.col("y_n"), percent)
+    met = side("x", often.where("level <= l")).join(side("y", often), "token").where(
+        apart & near & (F.col("y_level") <= F.col("x_l"))
+    )
     shared = met.groupBy("x_doc", "y_doc").agg(F.count(F.lit(1)).alias("hits"), F.max("x_l").alias("l"))
-    return shared.where("hits >= l").select(F.col("x_doc").alias("a"), F.col("y_doc").alias("b"))
+    by_often = shared.where("hits >= l").select("x_doc", "y_doc")
+    return by_rare.union(by_often).distinct().toDF("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -282,15 +323,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     most = F.least(F.lit(MAX_LEVEL), F.floor((F.col("n") * percent + 99) / 100)).cast("int")
     postings = reps.select(F.col("doc_id").alias("doc"), "n", most.alias("most"), F.posexplode("tokens").alias("at", "token"))
     postings = postings.withColumn("level", _level(F.col("at"), F.col("n"), percent)).drop("at")
-    common = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    common = stage(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "common")
+    common = F.broadcast(common) if fits_broadcast(common) else common
     postings = stage(postings.join(common, "token"), "postings")
-    postings = stage(postings.join(_choose_levels(postings), "doc").select("token", "doc", "n", "level", "l"), "postings")
+    chosen = postings.join(_choose_levels(postings, percent), "doc")
+    postings = stage(chosen.select("token", "doc", "n", "df", "level", "weight", "able", "far", "l"), "postings")
     alone = postings.select("doc").distinct().withColumn("comp", F.col("doc"))
     links = docs.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
     labels = stage(alone, "labels")
     for number in range(LEADER_ROUNDS + 1):
         last = number == LEADER_ROUNDS
-        pairs = _cross_pairs(postings, labels, percent) if last else _leader_pairs(postings, labels, number)
+        pairs = _cross_pairs(postings, labels, percent) if last else _leader_pairs(postings, labels, number, percent)
         found = _links(rows, pairs, size, percent)
         if not found.isEmpty():
             links = links.union(found)
