@@ -45,6 +45,8 @@ KNOWN_PAIRS, PAIR_DOCS, PAIR_LEAST = 65_536, 6_000, 8
 #: Pairs, by hash, whose counts the weights are learned from: the expected number of events.
 WEIGHT_EVENTS = 500_000
 PAIRS_PER_BUCKET = 2_000_000
+#: Sums come back in packed ranges of 2 ** so many rows.
+ROWS_BITS = 12
 #: Contexts seen from 2 ** i times on share weights.
 CONTEXT_BUCKETS, ROUNDS = 24, 30
 END = xxhash.xxh3_64_intdigest(b"\n")
@@ -306,21 +308,45 @@ def _deal(shared, buckets: int):
 
 
 def _score(shared):
-    """Counts the pairs of one bucket over training rows, and sums every row's log10."""
+    """Counts the pairs of one bucket over training rows, and sums every row's log10.
 
-    def run(block: pa.Table) -> pa.Table:
-        model, unpacker = shared.value, zstandard.ZstdDecompressor()
-        pairs = np.concatenate([np.frombuffer(unpacker.decompress(b.as_buffer()), "<u4") for b in block.column("pairs")])
-        rows = np.concatenate([np.cumsum(np.frombuffer(unpacker.decompress(b.as_buffer()), "<i8")) for b in block.column("rows")])
+    The sums of each range of rows come back as one packed block: a document's pairs
+    lie in ever more buckets as these become more, and a row for each would be many.
+    """
+
+    def run(bucket: pa.Table) -> pa.Table:
+        model = shared.value
+        unpacker, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        pairs = np.concatenate([np.frombuffer(unpacker.decompress(b.as_buffer()), "<u4") for b in bucket.column("pairs")])
+        rows = np.concatenate([np.cumsum(np.frombuffer(unpacker.decompress(b.as_buffer()), "<i8")) for b in bucket.column("rows")])
         one, at = np.unique(pairs, return_inverse=True)
         counts = np.bincount(at[(rows & 1) == 0], minlength=len(one))
         value = model.log10(one, counts)[at]
         row, of = np.unique(rows >> 1, return_inverse=True)
-        return pa.table({"row": pa.array(row, pa.int64()), "sum": pa.array(np.bincount(of, weights=value), pa.float64())})
+        total = np.bincount(of, weights=value)
+        found, first = np.unique(row >> ROWS_BITS, return_index=True)
+        edges = [*first.tolist(), len(row)]
+        ranges = list(zip(edges, edges[1:]))
+        return pa.table(
+            {
+                "block": pa.array(found, pa.int64()),
+                "rows": pa.array([packer.compress(np.diff(row[a:b], prepend=0).astype("<i8").tobytes()) for a, b in ranges], pa.binary()),
+                "sums": pa.array([packer.compress(total[a:b].astype("<f8").tobytes()) for a, b in ranges], pa.binary()),
+            }
+        )
 
     return run
 
 
+def _gather(block: pa.Table) -> pa.Table:
+    """The sums of one range of rows over all buckets."""
+    unpacker = zstandard.ZstdDecompressor()
+    rows = np.concatenate([np.cumsum(np.frombuffer(unpacker.decompress(b.as_buffer()), "<i8")) for b in block.column("rows")])
+    sums = np.concatenate([np.frombuffer(unpacker.decompress(b.as_buffer()), "<f8") for b in block.column("sums")])
+    row, of = np.unique(rows, return_inverse=True)
+    return pa.table({"row": pa.array(row, pa.int64()), "far_sum": pa.array(np.bincount(of, weights=sums), pa.float64())})
+
+
 def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES, known_tokens: int = KNOWN_TOKENS) -> DataFrame:
     """Scores of all documents by a model of those where ``held_out`` is false."""
     spark = docs.sparkSession
@@ -390,11 +416,13 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
         encoded.select("row", "held_out", "classes").mapInArrow(_deal(model, buckets), "bucket int, row long, sum double, pairs binary, rows binary"),
         "pairs",
     )
-    sums = dealt.where("bucket IS NULL").select("row", "sum").union(
-        dealt.where("bucket IS NOT NULL").select("bucket", "pairs", "rows").groupBy("bucket").applyInArrow(_score(model), "row long, sum double")
-    )
-    pair_sums = sums.groupBy("row").agg(F.sum("sum").alias("pair_sum"))
-    joined = encoded.drop("classes", "rare").join(rare_sums, "row", "left").join(pair_sums, "row", "left")
+    near_sums = dealt.where("bucket IS NULL").select("row", F.col("sum").alias("near_sum"))
+    packed = dealt.where("bucket IS NOT NULL").select("bucket", "pairs", "rows")
+    blocks = packed.groupBy("bucket").applyInArrow(_score(model), "block long, rows binary, sums binary")
+    far_sums = blocks.groupBy("block").applyInArrow(_gather, "row long, far_sum double")
+    joined = encoded.drop("classes", "rare")
+    for sums in (rare_sums, near_sums, far_sums):
+        joined = joined.join(sums, "row", "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
     return joined.select(
         "doc_id",
@@ -403,5 +431,5 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
         (F.col("n_known") + zero("rare_known")).cast("long").alias("n_known"),
         F.lit(vocabulary.n_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + zero("rare_base")).alias("base_score"),
-        (F.col("tail") + zero("rare_tail") + zero("pair_sum")).alias("score"),
+        (F.col("tail") + zero("rare_tail") + zero("near_sum") + zero("far_sum")).alias("score"),
     )
