@@ -25,6 +25,8 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm.tables import map_texts
+from starloom.operators.joins import fits_broadcast
+from starloom.session import stage
 
 WINDOW, STRIDE = 24, 16
 WORD_BITS, GRAM_BITS = 12, 13
@@ -405,6 +407,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
         < F.when(F.col("y") == 1, int(part[1] * (1 << 20))).otherwise(int(part[0] * (1 << 20)))
     )
+    chosen = stage(chosen, "labels")
+    # about ``most`` rows, so the texts of all documents need not be shuffled to meet them
+    chosen = F.broadcast(chosen) if fits_broadcast(chosen) else chosen
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = text.join(chosen, "doc_id").where("text IS NOT NULL").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
     return fit(rows.column("text").to_pylist(), rows.column("y").to_pylist())
