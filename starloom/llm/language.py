@@ -205,8 +205,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
     def make():
         return lambda texts: list(shared.value.predict(texts))
 
-    named = docs.select(*keep, F.col(text_col).alias("text"))
-    return map_texts(named, make, "lang_pred string, score double", keep)
+    return map_texts(docs, make, "lang_pred string, score double", keep, text_col)
 
 
 def held_out(fold: Column, number: int = 1) -> Column:

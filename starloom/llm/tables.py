@@ -51,9 +51,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def steps(batch: pa.RecordBatch, most: int = STEP_CHARS) -> Iterator[pa.RecordBatch]:
+def steps(
+    batch: pa.RecordBatch, most: int = STEP_CHARS, text: str = "text"
+) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``most`` characters, or one text."""
-    size = np.cumsum(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    size = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < batch.num_rows:
         done = size[at - 1] if at else 0
@@ -62,17 +64,21 @@ def steps(batch: pa.RecordBatch, most: int = STEP_CHARS) -> Iterator[pa.RecordBa
         at = end
 
 
-def texts_of(batch: pa.RecordBatch) -> list[str]:
+def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:
     """The texts, empty where NULL."""
-    return [t or "" for t in batch.column("text").to_pylist()]
+    return [t or "" for t in batch.column(text).to_pylist()]
 
 
 def map_texts(
-    docs: DataFrame, make: Callable[[], Callable[[list[str]], list]], added: str, keep: list[str]
+    docs: DataFrame,
+    make: Callable[[], Callable[[list[str]], list]],
+    added: str,
+    keep: list[str],
+    text_col: str = "text",
 ) -> DataFrame:
     """Columns made of each text, next to the columns in ``keep``, row for row.
 
-    ``docs`` has a column ``text``. ``make`` runs once per task and gives a function
+    ``make`` runs once per task and gives a function
     from texts to a list of columns, in the order of ``added``. Kept columns pass
     through Arrow as they are, so large ids and NULL ids stay what they were.
     """
@@ -85,11 +91,12 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns_of = make()
         for batch in batches:
-            for part in steps(batch):
-                columns = [pa.array(c, t) for c, t in zip(columns_of(texts_of(part)), types)]
+            for part in steps(batch, text="__text"):
+                columns = [pa.array(c, t) for c, t in zip(columns_of(texts_of(part, "__text")), types)]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *columns], names)
 
-    return docs.select(*keep, "text").mapInArrow(run, T.StructType([*kept, *extra]))
+    rows = docs.select(*keep, F.col(text_col).alias("__text"))
+    return rows.mapInArrow(run, T.StructType([*kept, *extra]))
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -423,5 +423,4 @@ def score(docs: DataFrame, network: Network, keep: list[str], text_col: str = "t
     def make():
         return lambda texts: [shared.value.scores(texts)]
 
-    named = docs.select(*keep, F.col(text_col).alias("text"))
-    return map_texts(named, make, "score double", keep)
+    return map_texts(docs, make, "score double", keep, text_col)
