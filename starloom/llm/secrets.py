@@ -221,11 +221,12 @@ def redact(docs: DataFrame, owner: Column, repo: Column, id_col: str = "doc_id",
     patterns = [p for p, _, _ in KINDS.values()]
 
     def cleaned(pattern: str, group: int, value: Column) -> Column:
-        parts = F.struct(
-            F.split(value, pattern, -1).alias("gaps"),
-            F.regexp_extract_all(value, F.lit(pattern), F.lit(0)).alias("hits"),
-            F.regexp_extract_all(value, F.lit(pattern), F.lit(group)).alias("values"),
-        )
+        def parts(v: Column) -> Column:
+            return F.struct(
+                F.split(v, pattern, -1).alias("gaps"),
+                F.regexp_extract_all(v, F.lit(pattern), F.lit(0)).alias("hits"),
+                F.regexp_extract_all(v, F.lit(pattern), F.lit(group)).alias("values"),
+            )
 
         def rebuilt(m: Column) -> Column:
             shown = F.transform(
@@ -242,7 +243,8 @@ def redact(docs: DataFrame, owner: Column, repo: Column, id_col: str = "doc_id",
             )
             return F.array_join(shown, "")
 
-        return let(parts, rebuilt)
+        # the text so far is itself the outcome of the kind before: it is made once
+        return let(let(value, parts), rebuilt)
 
     clean = text
     for pattern, (_, group, _) in zip(patterns, KINDS.values()):
