@@ -223,10 +223,11 @@ def _level(position: Column, n: Column, percent: int) -> Column:
 def _choose_levels(postings: DataFrame, percent: int) -> DataFrame:
     """Each document's l, the one of least estimated cost, and how much it can share.
 
-    The shingles of its longest prefix that no other document's holds are its own:
-    what is left (``able``) bounds its overlap with any other, and without the rare ones
-    too (``far``) its overlap with any that holds none of those. A document that cannot
-    share enough with anyone is left out.
+    ``common`` counts the shingles of its longest prefix that are in another's longest
+    prefix too, ``frequent`` those of them that are not rare. With what lies behind the
+    prefix they are what it can share; a document that cannot share enough with anyone
+    is left out. (A similar document of more shingles may hold others of the prefix
+    behind its own, but never more than its need of shared shingles is greater.)
     """
     levels = range(1, MAX_LEVEL + 1)
     sums = postings.groupBy("doc").agg(
@@ -243,16 +244,25 @@ def _choose_levels(postings: DataFrame, percent: int) -> DataFrame:
         for i in levels
     ]
     need = F.floor((F.col("n") * percent + 99) / 100)
-    longest = F.col("n") - need + F.col("most")
-    sums = sums.withColumn("able", F.col("n") - longest + F.col("common"))
-    sums = sums.withColumn("far", F.col("n") - longest + F.col("frequent"))
     best = F.array_min(F.array_compact(F.array(*costs)))["l"]
-    return sums.where(F.col("able") >= need).select("doc", "weight", "able", "far", best.alias("l"))
+    able = F.col("common") + _behind(F.col("n"), percent) >= need
+    return sums.where(able).select("doc", "weight", "common", "frequent", best.alias("l"))
 
 
-def _can_be_similar(able_a: Column, able_b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
-    """Whether two sets may overlap enough, given what each can share at most."""
-    return (100 + percent) * F.least(able_a, able_b) >= percent * (n_a + n_b)
+def _behind(n: Column, percent: int) -> Column:
+    """How many shingles of a set of n its longest prefix leaves out."""
+    need = F.floor((n * percent + 99) / 100)
+    return need - F.least(F.lit(MAX_LEVEL), need)
+
+
+def _can_be_similar(shared_a: Column, shared_b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    """Whether two sets may overlap enough, given what the longest prefix of each can share.
+
+    A shingle of both lies in both prefixes or behind the one that ends first in the
+    order. Which one that is does not show in the counts, so the longer rest is taken.
+    """
+    most = F.least(shared_a, shared_b) + _behind(F.greatest(n_a, n_b), percent)
+    return (100 + percent) * most >= percent * (n_a + n_b)
 
 
 def _leader_pairs(postings: DataFrame, labels: DataFrame, number: int, percent: int) -> DataFrame:
@@ -265,10 +275,10 @@ def _leader_pairs(postings: DataFrame, labels: DataFrame, number: int, percent:
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / PERCENT) + number / LEADER_ROUNDS)
     rows = postings.join(labels, "doc").withColumn("band", band)
     place = -F.col("weight") if number == 0 else F.xxhash64(F.col("doc"), F.lit(number))
-    named = {"doc": "d", "comp": "c", "able": "a", "n": "m"}
+    named = {"doc": "d", "comp": "c", "common": "a", "n": "m"}
     first = F.struct(place.alias("h"), *[F.col(c).alias(name) for c, name in named.items()])
     lead = rows.groupBy("token", "band").agg(F.min(first).alias("first")).select("token", "band", "first.*").drop("h")
-    able = _can_be_similar(F.col("able"), F.col("a"), F.col("n"), F.col("m"), percent)
+    able = _can_be_similar(F.col("common"), F.col("a"), F.col("n"), F.col("m"), percent)
     met = rows.join(lead, ["token", "band"]).where((F.col("comp") != F.col("c")) & able)
     shared = met.groupBy("doc", "d").agg(F.count(F.lit(1)).alias("hits"), F.max("l").alias("l"))
     return shared.where("hits >= l").select(F.col("doc").alias("a"), F.col("d").alias("b"))
@@ -284,17 +294,18 @@ def _cross_pairs(postings: DataFrame, labels: DataFrame, percent: int) -> DataFr
     """
     rows = postings.join(labels, "doc")
     mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    rows = stage(rows.join(mixed, "token").select("token", "doc", "comp", "n", "df", "level", "l", "able", "far"), "mixed")
+    rows = stage(rows.join(mixed, "token").select("token", "doc", "comp", "n", "df", "level", "l", "common", "frequent"), "mixed")
 
     def side(name: str, of: DataFrame) -> DataFrame:
         return of.select("token", *[F.col(c).alias(f"{name}_{c}") for c in of.columns if c != "token"])
 
     smaller = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_doc") < F.col("y_doc")))
     apart = smaller & (F.col("x_comp") != F.col("y_comp"))
-    rare, often = rows.where(F.col("df") <= RARE), rows.where((F.col("df") > RARE) & (100 * F.col("far") >= percent * F.col("n")))
-    near = _can_be_similar(F.col("x_able"), F.col("y_able"), F.col("x_n"), F.col("y_n"), percent)
+    far = 100 * (F.col("frequent") + _behind(F.col("n"), percent)) >= percent * F.col("n")
+    rare, often = rows.where(F.col("df") <= RARE), rows.where((F.col("df") > RARE) & far)
+    near = _can_be_similar(F.col("x_common"), F.col("y_common"), F.col("x_n"), F.col("y_n"), percent)
     by_rare = side("x", rare).join(side("y", rare), "token").where(apart & near).select("x_doc", "y_doc")
-    near = _can_be_similar(F.col("x_far"), F.col("y_far"), F.col("x_n"), F.col("y_n"), percent)
+    near = _can_be_similar(F.col("x_frequent"), F.col("y_frequent"), F.col("x_n"), F.col("y_n"), percent)
     met = side("x", often.where("level <= l")).join(side("y", often), "token").where(
         apart & near & (F.col("y_level") <= F.col("x_l"))
     )
@@ -327,7 +338,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     common = F.broadcast(common) if fits_broadcast(common) else common
     postings = stage(postings.join(common, "token"), "postings")
     chosen = postings.join(_choose_levels(postings, percent), "doc")
-    postings = stage(chosen.select("token", "doc", "n", "df", "level", "weight", "able", "far", "l"), "postings")
+    postings = stage(chosen.select("token", "doc", "n", "df", "level", "weight", "common", "frequent", "l"), "postings")
     alone = postings.select("doc").distinct().withColumn("comp", F.col("doc"))
     links = docs.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
     labels = stage(alone, "labels")

@@ -69,6 +69,21 @@ def test_a_chain_of_copies_is_one_component(docs):
     check(docs, rows)
 
 
+@pytest.mark.parametrize("more, copies", [(5, 1), (10, 1), (13, 1), (15, 1), (10, 10)])
+def test_unseen_words_in_one_copy(docs, more, copies):
+    r = random.Random(more)
+    rows = []
+    for group in range(6):
+        words = [f"g{group}w{i}" for i in range(93)]
+        at = r.choice([0, 40, 93])
+        longer = words[:at] + [f"only{group}x{i}" for i in range(more)] + words[at:]
+        # with more copies, each with an end of its own, no shared shingle is rare
+        for copy in range(copies):
+            end = [f"end{group}y{copy}"] if copies > 1 else []
+            rows += [(len(rows) + n, " ".join(text + end)) for n, text in enumerate([words, longer], 1)]
+    check(docs, rows)
+
+
 def test_odd_rows(docs, odd):
     rows = [(1, None), (2, ""), (3, " \t "), (4, "x"), (5, "X"), (6, "a b c"), (7, "a b  C"), (8, "É a b"), (9, "é a b"), (10, "a\x1cb c"), (11, "a b\x1c c")]
     check(docs, rows)
