@@ -1,8 +1,9 @@
 """Log probabilities of texts by deleted interpolation of word n-grams.
 
 A text's tokens are its words, A-Z made small, and one end. Tokens are counted over
-all training texts. The frequent tokens are the classes of a bigram model, all others
-share one class:
+all training texts. Every one of them is a class of a bigram model, tokens that no
+training text holds share one more. If a number of classes is asked for, that many of
+the most frequent tokens are classes, and all others share the last:
 
     P(w | v) = P(class w | class v) * P(w | class w)
 
@@ -13,8 +14,8 @@ question was deleted. Within the shared class, counts are smoothed by adding 0.1
 
 Every count is over all training texts. Broadcast are the counts of a bounded number
 of frequent tokens and of frequent pairs; the counts of all others meet the texts in
-joins: rare tokens by rows, rare pairs by blocks of packed pairs, dealt by a hash of
-the pair. Pairs frequent in a bounded sample are counted apart, exactly, so no bucket
+joins: rare tokens and their pairs by rows, rare pairs of other tokens by blocks of
+packed pairs, dealt by a hash of the pair. Pairs frequent in a bounded sample are counted apart, exactly, so no bucket
 holds a pair that very many texts share.
 
 NULL and empty texts are the end alone. Rows are kept apart even if their ids are
@@ -29,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -37,9 +39,12 @@ from starloom.llm.language import Table
 from starloom.llm.tables import ship, steps, texts_of
 from starloom.session import stage
 
-#: Tokens whose counts are broadcast, and those of them that are classes of their own.
+#: Tokens whose counts are broadcast, and a number of classes for smaller models.
 KNOWN_TOKENS, CLASSES = 1_000_000, 65_534
-TAIL, BEGIN = CLASSES, CLASSES + 1
+#: Numbers of the shared class, of a text's begin and of every class whose count is not
+#: broadcast; then come the broadcast ones by rank. A number takes so many bytes.
+TAIL, BEGIN, RARE, FIRST = 0, 1, 2, 3
+BYTES = 3
 #: Pairs whose counts are broadcast, the documents they are chosen from, their least count there.
 KNOWN_PAIRS, PAIR_DOCS, PAIR_LEAST = 65_536, 6_000, 8
 #: Pairs, by hash, whose counts the weights are learned from: the expected number of events.
@@ -51,6 +56,7 @@ ROWS_BITS = 12
 CONTEXT_BUCKETS, ROUNDS = 24, 30
 END = xxhash.xxh3_64_intdigest(b"\n")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_SHIFT, _LOW = np.uint64(8 * BYTES), np.uint64((1 << (8 * BYTES)) - 1)
 
 
 def token_hashes(text: str) -> np.ndarray:
@@ -60,6 +66,17 @@ def token_hashes(text: str) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+def _planes(numbers: np.ndarray, width: int) -> bytes:
+    """The lowest bytes of all numbers, then the next ones, which packs well."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _numbers(planes: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(planes) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, -1).T
+    return out.view("<u8").ravel()
+
+
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -102,26 +119,27 @@ class Vocabulary:
         return np.log10((count + 0.1) / (self.class_counts[TAIL] + 0.1 * (self.tail_types + 1)))
 
 
-def vocabulary_of(counts: DataFrame, n_docs: int, most: int = KNOWN_TOKENS, classes: int = CLASSES) -> Vocabulary:
+def vocabulary_of(counts: DataFrame, n_docs: int, most: int = KNOWN_TOKENS, classes: int | None = None) -> Vocabulary:
     """Vocabulary of all counted tokens; ``counts`` has ``token`` and ``n``."""
+    assert most < 1 << (8 * BYTES - 1)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     end = int(np.uint64(END).view(np.int64))
     # the end comes first, whatever its count: it is always a class
     top = counts.orderBy((F.col("token") == end).desc(), F.desc("n"), "token").limit(most).toArrow()
     tokens, n = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy().astype(np.int64)
     rank = np.arange(len(tokens))
-    class_counts = np.zeros(BEGIN + 1, np.int64)
-    class_counts[: min(classes, len(n))] = n[:classes]
-    class_counts[TAIL] = total["n"] - class_counts.sum()
+    class_counts = np.zeros(FIRST + len(n), np.int64)
+    class_counts[FIRST:][:classes] = n[:classes]
+    class_counts[TAIL] = 0 if classes is None else total["n"] - class_counts.sum()
     context_counts = class_counts.copy()
     context_counts[BEGIN] = n_docs
     if len(tokens) and tokens[0] == np.uint64(END):
-        context_counts[0] = 0
+        context_counts[FIRST] = 0
     table = Table(tokens, np.stack([rank, n], 1).astype(np.int64))
-    return Vocabulary(table, total["n"], total["v"], n_docs, class_counts, context_counts, max(0, total["v"] - classes))
+    return Vocabulary(table, total["n"], total["v"], n_docs, class_counts, context_counts, 0 if classes is None else max(0, total["v"] - classes))
 
 
-def _encode(shared, classes: int):
+def _encode(shared, classes: int | None):
     """Texts as class numbers, with the sums over tokens whose counts are broadcast."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,12 +154,13 @@ def _encode(shared, classes: int):
                 rank, count = vocabulary.table.rows[row, 0], vocabulary.table.rows[row, 1]
                 known = row > 0
                 # class of every token; tokens without a broadcast count are looked up later
-                number = np.where(known & (rank < classes), rank, TAIL)
+                own = known if classes is None else known & (rank < classes)
+                number = np.where(own, rank + FIRST, RARE if classes is None else TAIL)
                 base = np.where(known, vocabulary.base(count), 0.0)
-                tail = np.where(known & (rank >= classes), vocabulary.within_tail(count), 0.0)
+                tail = np.where(known & ~own, vocabulary.within_tail(count), 0.0)
                 blobs, rare = [], []
                 for a, n in zip(start, size):
-                    blobs.append(packer.compress(number[a : a + n].astype("<u2").tobytes()))
+                    blobs.append(packer.compress(_planes(number[a : a + n], BYTES)))
                     rare.append(tokens[a : a + n][~known[a : a + n]].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -162,9 +181,62 @@ def _encode(shared, classes: int):
 
 def _pairs(blob: bytes, unpacker: zstandard.ZstdDecompressor) -> np.ndarray:
     """Pairs of each class and the one before it, as one number."""
-    classes = np.frombuffer(unpacker.decompress(blob), "<u2").astype(np.uint32)
-    before = np.concatenate([np.array([BEGIN], np.uint32), classes[:-1]])
-    return (before << np.uint32(16)) | classes
+    classes = _numbers(unpacker.decompress(blob), BYTES)
+    before = np.concatenate([np.array([BEGIN], np.uint64), classes[:-1]])
+    return (before << _SHIFT) | classes
+
+
+def _has_rare(pairs: np.ndarray) -> np.ndarray:
+    """Whether a count of either class is not broadcast."""
+    return (pairs >> _SHIFT == RARE) | (pairs & _LOW == RARE)
+
+
+def _rare_pairs(shared):
+    """The pairs with a rare token: hashes of rare tokens, numbers and counts of the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, unpacker = shared.value, zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                part = part.filter(pc.greater(pc.list_value_length(part.column("rare")), 0))
+                if not part.num_rows:
+                    continue
+                each = [_pairs(b.as_buffer(), unpacker) for b in part.column("classes")]
+                pairs = np.concatenate(each)
+                before, event = (pairs >> _SHIFT).astype(np.int64), (pairs & _LOW).astype(np.int64)
+                key = event.copy()
+                key[event == RARE] = part.column("rare").flatten().to_numpy()
+                # a rare token is never the last of its text, which is the end
+                first = np.where(before == RARE, np.roll(key, 1), before)
+                keep = _has_rare(pairs)
+                row = np.repeat(np.arange(len(each)), [len(x) for x in each])[keep]
+                before, event = before[keep], event[keep]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("row").take(pa.array(row)),
+                        part.column("held_out").take(pa.array(row)),
+                        pa.array(first[keep]),
+                        pa.array(key[keep]),
+                        pa.array(vocabulary.context_counts[before], mask=before == RARE),
+                        pa.array(vocabulary.class_counts[event], mask=event == RARE),
+                    ],
+                    ["row", "held_out", "before", "event", "context", "single"],
+                )
+
+    return run
+
+
+def _rare_values(shared):
+    """log10 of the probability of pairs with their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, context, single = (batch.column(c).to_numpy().astype(np.float64) for c in ("n", "context", "single"))
+            value = shared.value.mixed(n, context, single)
+            yield pa.RecordBatch.from_arrays([batch.column("before"), batch.column("event"), pa.array(value)], ["before", "event", "value"])
+
+    return run
 
 
 def _hash(pairs: np.ndarray) -> np.ndarray:
@@ -181,6 +253,7 @@ def _count_pairs(known: np.ndarray | None, one_in: int):
                 part = batch.slice(at, 500)
                 found = [_pairs(b.as_buffer(), unpacker) for b in part.column("classes")]
                 keys, n = np.unique(np.concatenate(found), return_counts=True)
+                keys, n = keys[~_has_rare(keys)], n[~_has_rare(keys)]
                 keep = _hash(keys) % np.uint64(one_in) == 0
                 if known is not None and len(known):
                     place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
@@ -244,8 +317,10 @@ class Model:
 
     def log10(self, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 of the probability of each pair's class after its context."""
-        context = self.context_counts[pairs >> np.uint32(16)]
-        single = self.class_counts[pairs & np.uint32(0xFFFF)]
+        return self.mixed(counts, self.context_counts[pairs >> _SHIFT], self.class_counts[pairs & _LOW])
+
+    def mixed(self, counts: np.ndarray, context: np.ndarray, single: np.ndarray) -> np.ndarray:
+        """log10 of the mixture, from the counts of pairs, their contexts and their classes."""
         each = _estimates(counts, context, single, self.total, self.classes)
         return np.log10((self.weights[context_bucket(context)] * each).sum(1))
 
@@ -269,7 +344,7 @@ def _deal(shared, buckets: int):
             found, first = np.unique(at, return_index=True)
             edges = [*first.tolist(), len(at)]
             packed = [
-                (packer.compress(pairs[a:b].astype("<u4").tobytes()), packer.compress(np.diff(rows[a:b], prepend=0).astype("<i8").tobytes()))
+                (packer.compress(_planes(pairs[a:b], 2 * BYTES)), packer.compress(np.diff(rows[a:b], prepend=0).astype("<i8").tobytes()))
                 for a, b in zip(edges, edges[1:])
             ]
             none = [None] * len(found)
@@ -286,12 +361,12 @@ def _deal(shared, buckets: int):
                 numbers = part.column("row").to_numpy() * 2 + part.column("held_out").to_numpy(zero_copy_only=False)
                 rows = np.repeat(numbers, size)
                 sums = np.zeros(len(pairs))
-                left = np.ones(len(pairs), bool)
+                left = ~_has_rare(pairs)
                 if len(model.known):
                     place = np.minimum(np.searchsorted(model.known, pairs), len(model.known) - 1)
                     met = model.known[place] == pairs
                     sums[met] = model.log10(pairs[met], model.known_counts[place[met]])
-                    left = ~met
+                    left &= ~met
                 total = np.add.reduceat(sums, np.cumsum(size) - size)
                 none = [None] * len(size)
                 yield pa.RecordBatch.from_arrays(
@@ -317,7 +392,7 @@ def _score(shared):
     def run(bucket: pa.Table) -> pa.Table:
         model = shared.value
         unpacker, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        pairs = np.concatenate([np.frombuffer(unpacker.decompress(b.as_buffer()), "<u4") for b in bucket.column("pairs")])
+        pairs = np.concatenate([_numbers(unpacker.decompress(b.as_buffer()), 2 * BYTES) for b in bucket.column("pairs")])
         rows = np.concatenate([np.cumsum(np.frombuffer(unpacker.decompress(b.as_buffer()), "<i8")) for b in bucket.column("rows")])
         one, at = np.unique(pairs, return_inverse=True)
         counts = np.bincount(at[(rows & 1) == 0], minlength=len(one))
@@ -347,8 +422,11 @@ def _gather(block: pa.Table) -> pa.Table:
     return pa.table({"row": pa.array(row, pa.int64()), "far_sum": pa.array(np.bincount(of, weights=sums), pa.float64())})
 
 
-def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES, known_tokens: int = KNOWN_TOKENS) -> DataFrame:
-    """Scores of all documents by a model of those where ``held_out`` is false."""
+def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str = "text", classes: int | None = None, known_tokens: int = KNOWN_TOKENS) -> DataFrame:
+    """Scores of all documents by a model of those where ``held_out`` is false.
+
+    Every training token is a class, or as many of the broadcast ones as ``classes`` says.
+    """
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(
@@ -373,12 +451,33 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
     counted = rare.join(counts, "token", "left").select("row", "times", F.coalesce("n", F.lit(0)).cast("double").alias("n"))
     base = F.log10((F.col("n") + 0.1) / (vocabulary.n_tokens + 0.1 * (vocabulary.n_distinct + 1)))
     tail = F.log10((F.col("n") + 0.1) / (float(vocabulary.class_counts[TAIL]) + 0.1 * (vocabulary.tail_types + 1)))
+    if classes is None:
+        tail = F.lit(0.0)
+    n_classes = vocabulary.n_distinct if classes is None else classes
     rare_sums = counted.groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * base).alias("rare_base"),
         F.sum(F.col("times") * tail).alias("rare_tail"),
     )
 
+    # pairs with tokens beyond the broadcast ones: counted and met by joins, too
+    if classes is None and vocabulary.n_distinct > 0:
+        found = encoded.select("row", "held_out", "classes", "rare").mapInArrow(
+            _rare_pairs(shared), "row long, held_out boolean, before long, event long, context long, single long"
+        )
+        beside = stage(found, "rare-pairs")
+    else:
+        beside = spark.createDataFrame([], "row long, held_out boolean, before long, event long, context long, single long")
+    by_pair = beside.groupBy("before", "event").agg(
+        F.count_if(~F.col("held_out")).alias("n"), F.first("context").alias("context"), F.first("single").alias("single")
+    )
+    for name, key in (("context", "before"), ("single", "event")):
+        # where the count is known a hash that meets nothing, so that no key is frequent
+        by_pair = by_pair.withColumn("token", F.when(F.col(name).isNull(), F.col(key)).otherwise(F.xxhash64("before", "event")))
+        by_pair = by_pair.join(counts.withColumnRenamed("n", "count"), "token", "left")
+        by_pair = by_pair.withColumn(name, F.coalesce(name, "count", F.lit(0))).drop("token", "count")
+    by_pair = stage(by_pair, "rare-counts")
+
     # frequent pairs, and a sample of all pairs for the weights
     n_docs, n_events = vocabulary.n_docs, vocabulary.n_tokens
     share = min(1.0, PAIR_DOCS / max(1, n_docs))
@@ -387,29 +486,29 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
         some.select("classes").mapInArrow(_count_pairs(None, 1), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
         .where(F.col("n") >= PAIR_LEAST).orderBy(F.desc("n"), "pair").limit(KNOWN_PAIRS).select("pair").toArrow()
     )
-    known = np.sort(often.column("pair").to_numpy()).astype(np.uint32)
+    known = np.sort(often.column("pair").to_numpy().astype(np.uint64))
     one_in = max(1, math.ceil(n_events / WEIGHT_EVENTS))
     exact = (
         train.select("classes").mapInArrow(_count_pairs(known, one_in), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     )
-    pair, n = exact.column("pair").to_numpy().astype(np.uint32), exact.column("n").to_numpy()
-    by_pair = np.argsort(pair)
-    pair, n = pair[by_pair], n[by_pair]
+    pair, n = exact.column("pair").to_numpy().astype(np.uint64), exact.column("n").to_numpy()
+    order = np.argsort(pair)
+    pair, n = pair[order], n[order]
     sampled = _hash(pair) % np.uint64(one_in) == 0
-    weights = learn_weights(
-        n[sampled].astype(np.float64),
-        vocabulary.context_counts[pair[sampled] >> np.uint32(16)].astype(np.float64),
-        vocabulary.class_counts[pair[sampled] & np.uint32(0xFFFF)].astype(np.float64),
-        n_events,
-        classes,
-    )
+    some = by_pair.where((F.col("n") > 0) & (F.pmod(F.xxhash64("before", "event"), F.lit(one_in)) == 0)).select("n", "context", "single").toArrow()
+    of_known = (n[sampled], vocabulary.context_counts[pair[sampled] >> _SHIFT], vocabulary.class_counts[pair[sampled] & _LOW])
+    events = [np.concatenate([a, some.column(i).to_numpy()]).astype(np.float64) for i, a in enumerate(of_known)]
+    weights = learn_weights(*events, n_events, n_classes)
     known_counts = np.zeros(len(known), np.int64)
     if len(pair):
         place = np.minimum(np.searchsorted(pair, known), len(pair) - 1)
         known_counts = np.where(pair[place] == known, n[place], 0)
     model = spark.sparkContext.broadcast(
-        Model(weights, vocabulary.class_counts, vocabulary.context_counts, n_events, known, known_counts, classes)
+        Model(weights, vocabulary.class_counts, vocabulary.context_counts, n_events, known, known_counts, n_classes)
     )
+    values = by_pair.mapInArrow(_rare_values(model), "before long, event long, value double")
+    times = beside.groupBy("row", "before", "event").agg(F.count(F.lit(1)).alias("times"))
+    beside_sums = times.join(values, ["before", "event"]).groupBy("row").agg(F.sum(F.col("times") * F.col("value")).alias("beside_sum"))
 
     buckets = max(1, math.ceil(n_events / PAIRS_PER_BUCKET))
     dealt = stage(
@@ -421,7 +520,7 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
     blocks = packed.groupBy("bucket").applyInArrow(_score(model), "block long, rows binary, sums binary")
     far_sums = blocks.groupBy("block").applyInArrow(_gather, "row long, far_sum double")
     joined = encoded.drop("classes", "rare")
-    for sums in (rare_sums, near_sums, far_sums):
+    for sums in (rare_sums, beside_sums, near_sums, far_sums):
         joined = joined.join(sums, "row", "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
     return joined.select(
@@ -431,5 +530,5 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
         (F.col("n_known") + zero("rare_known")).cast("long").alias("n_known"),
         F.lit(vocabulary.n_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + zero("rare_base")).alias("base_score"),
-        (F.col("tail") + zero("rare_tail") + zero("near_sum") + zero("far_sum")).alias("score"),
+        (F.col("tail") + zero("rare_tail") + zero("beside_sum") + zero("near_sum") + zero("far_sum")).alias("score"),
     )

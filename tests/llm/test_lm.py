@@ -89,6 +89,19 @@ def test_scores_equal_brute_force(docs, monkeypatch, classes, known):
         assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(total, rel=1e-6)
 
 
+@pytest.mark.parametrize("known", [20, lm.KNOWN_TOKENS])
+def test_every_token_has_its_own_pairs(docs, monkeypatch, known):
+    monkeypatch.setattr(lm, "KNOWN_PAIRS", 5)
+    rows = sample() + [(1000 + i, "rare1É rare2É unseen%d rare3É rare1É rare2É" % i) for i in range(4)]
+    distinct = len({w for i, t in rows if i % 4 for w in tokens(t)})
+    assert distinct > 50
+    n, want = brute(rows, distinct)
+    got = {r["doc_id"]: r for r in scored(docs, rows, known_tokens=known)}
+    for (i, _), (n_tokens, n_known, base, total) in zip(rows, want):
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (n_tokens, n_known, n)
+        assert got[i]["base_score"] == pytest.approx(base, rel=1e-9) and got[i]["score"] == pytest.approx(total, rel=1e-6)
+
+
 def test_pairs_help_on_held_out_texts(docs):
     got = [r for r in scored(docs, sample(200, 2)) if r["held_out"]]
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
