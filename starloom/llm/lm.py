@@ -9,8 +9,8 @@ the most frequent tokens are classes, and all others share the last:
 
 The class probability mixes three maximum-likelihood estimates, of the pair, of the
 class alone and of any class, with weights that depend on how often the context was
-seen. Expectation-maximisation learns the weights from counts from which the event in
-question was deleted. Within the shared class, counts are smoothed by adding 0.1.
+seen. Expectation-maximisation learns the weights from the counts of all pairs, from
+which the event in question was deleted. Within the shared class, counts are smoothed by adding 0.1.
 
 Every count is over all training texts. Broadcast are the counts of a bounded number
 of frequent tokens and of frequent pairs; the counts of all others meet the texts in
@@ -47,8 +47,9 @@ TAIL, BEGIN, RARE, FIRST = 0, 1, 2, 3
 BYTES = 3
 #: Pairs whose counts are broadcast, the documents they are chosen from, their least count there.
 KNOWN_PAIRS, PAIR_DOCS, PAIR_LEAST = 65_536, 6_000, 8
-#: Pairs, by hash, whose counts the weights are learned from: the expected number of events.
-WEIGHT_EVENTS = 500_000
+#: Rows of pair statistics up to which the driver learns the weights from them alone; of
+#: more, each round is an aggregate over all of them.
+LOCAL_EVENTS = 250_000
 PAIRS_PER_BUCKET = 2_000_000
 #: Sums come back in packed ranges of 2 ** so many rows.
 ROWS_BITS = 12
@@ -233,7 +234,7 @@ def _rare_values(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, context, single = (batch.column(c).to_numpy().astype(np.float64) for c in ("n", "context", "single"))
-            value = shared.value.mixed(n, context, single)
+            value = shared.value.log10(n, context, single)
             yield pa.RecordBatch.from_arrays([batch.column("before"), batch.column("event"), pa.array(value)], ["before", "event", "value"])
 
     return run
@@ -243,28 +244,30 @@ def _hash(pairs: np.ndarray) -> np.ndarray:
     return (pairs.astype(np.uint64) * _MIX) >> np.uint64(33)
 
 
-def _count_pairs(known: np.ndarray | None, one_in: int):
-    """Counts of pairs: of the known ones and of one in so many by hash."""
+def _count_pairs(known: np.ndarray | None):
+    """Counts of pairs without rare tokens: of the known ones, or of all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                found = [_pairs(b.as_buffer(), unpacker) for b in part.column("classes")]
-                keys, n = np.unique(np.concatenate(found), return_counts=True)
-                keys, n = keys[~_has_rare(keys)], n[~_has_rare(keys)]
-                keep = _hash(keys) % np.uint64(one_in) == 0
-                if known is not None and len(known):
-                    place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                    keep |= known[place] == keys
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[keep].astype(np.int64)), pa.array(n[keep].astype(np.int64))], ["pair", "n"]
-                )
+                found = np.concatenate([_pairs(b.as_buffer(), unpacker) for b in part.column("classes")])
+                found = found[~_has_rare(found)] if known is None else found[_place(known, found)[1]]
+                keys, n = np.unique(found, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], ["pair", "n"])
 
     return run
 
 
+def _place(known: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where pairs are among the sorted known ones, and whether they are."""
+    if not len(known):
+        return np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
+    place = np.minimum(np.searchsorted(known, pairs), len(known) - 1)
+    return place, known[place] == pairs
+
+
 def context_bucket(count: np.ndarray) -> np.ndarray:
     """Bucket of contexts by count: 0 for unseen ones, then by powers of two."""
     return np.where(count > 0, 1 + np.minimum(np.log2(np.maximum(count, 1)).astype(np.int64), CONTEXT_BUCKETS - 2), 0)
@@ -279,63 +282,125 @@ def _estimates(pair: np.ndarray, context: np.ndarray, single: np.ndarray, total:
     return out
 
 
-def learn_weights(pair: np.ndarray, context: np.ndarray, single: np.ndarray, total: int, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
+def _gained(bucket: np.ndarray, each: np.ndarray, events: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Per context bucket the events that each estimate accounts for, and all events."""
+    share = weights[bucket] * each
+    share *= (events / np.maximum(share.sum(1), 1e-300))[:, None]
+    return np.stack([np.bincount(bucket, weights=x, minlength=CONTEXT_BUCKETS) for x in (*share.T, events)], 1)
+
+
+def learn_weights(pair: np.ndarray, context: np.ndarray, single: np.ndarray, total: int, classes: int = CLASSES, rounds: int = ROUNDS, times=1.0, others=None) -> np.ndarray:
     """Mixture weights per context bucket, by EM.
 
     Each of the counted events is held out in turn: its own count is deleted from
-    the pair, the context and the class before their estimates are mixed.
+    the pair, the context and the class before their estimates are mixed. ``times`` is
+    how many pairs have these counts; ``others`` gives what further pairs gain.
     """
     weights = np.tile([0.3, 0.6, 0.1], (CONTEXT_BUCKETS, 1))
     weights[0] = [0.0, 0.9, 0.1]
-    if not len(pair):
+    if not len(pair) and others is None:
         return weights if total else np.tile([0.0, 0.0, 1.0], (CONTEXT_BUCKETS, 1))
     bucket = context_bucket(context)
     each = _estimates(pair - 1.0, context - 1.0, single - 1.0, total - 1.0, classes)
     for _ in range(rounds):
-        share = weights[bucket] * each
-        share *= (pair / np.maximum(share.sum(1), 1e-300))[:, None]
-        for i in range(3):
-            gained = np.bincount(bucket, weights=share[:, i], minlength=CONTEXT_BUCKETS)
-            seen = np.bincount(bucket, weights=pair, minlength=CONTEXT_BUCKETS)
-            # a few events of the prior keep every weight above zero
-            weights[:, i] = np.where(seen > 0, (gained + 1.0) / (seen + 3.0), weights[:, i])
+        sums = _gained(bucket, each, pair * times, weights)
+        if others is not None:
+            sums = sums + others(weights)
+        gained, seen = sums[:, :3], sums[:, 3:]
+        # a few events of the prior keep every weight above zero
+        weights = np.where(seen > 0, (gained + 1.0) / (seen + 3.0), weights)
     weights[0] = [0.0, 0.9, 0.1]
     return weights
 
 
+EVENTS = "n long, context long, single long, times long"
+
+
+def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many pairs have the same counts, as far as the weights depend on these.
+
+    Nothing is left of a single pair's count once it is deleted, so of its context
+    the bucket is enough.
+    """
+    unpacker = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for i in range(batch.num_rows):
+            counts = np.stack([_numbers(unpacker.decompress(batch.column(c)[i].as_buffer()), 8) for c in ("n", "context", "single")], 1)
+            counts = counts[counts[:, 0] > 0].astype(np.int64)
+            once = counts[:, 0] == 1
+            counts[once, 1] = 1 << np.maximum(context_bucket(counts[once, 1]) - 1, 0)
+            counts = counts[np.lexsort(counts.T)]
+            first = np.flatnonzero(np.concatenate([np.ones(len(counts[:1]), bool), (counts[1:] != counts[:-1]).any(1)]))
+            times = np.diff(np.append(first, len(counts)))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, counts[first].T.copy()), pa.array(times)], ["n", "context", "single", "times"])
+
+
+def _others(events: DataFrame, total: int, classes: int):
+    """What all pairs of ``events`` gain by some weights: one aggregate over them."""
+
+    def gains(weights: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((CONTEXT_BUCKETS, 4))
+            for batch in batches:
+                n, context, single, times = (batch.column(c).to_numpy().astype(np.float64) for c in ("n", "context", "single", "times"))
+                each = _estimates(n - 1.0, context - 1.0, single - 1.0, total - 1.0, classes)
+                sums += _gained(context_bucket(context), each, n * times, weights)
+            columns = [np.arange(CONTEXT_BUCKETS), *sums.T.copy()]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "a", "b", "c", "seen"])
+
+        found = events.mapInArrow(run, "bucket long, a double, b double, c double, seen double")
+        summed = found.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("a", "b", "c", "seen")]).toArrow()
+        out = np.zeros((CONTEXT_BUCKETS, 4))
+        out[summed.column("bucket").to_numpy()] = np.stack([summed.column(c).to_numpy() for c in ("a", "b", "c", "seen")], 1)
+        return out
+
+    return gains
+
+
 @dataclass
 class Model:
-    """Weights, and the counts needed to mix the estimates of a pair."""
+    """Weights to mix the estimates of a pair with, and the known pairs' log10."""
 
     weights: np.ndarray
-    class_counts: np.ndarray
-    context_counts: np.ndarray
     total: int
-    known: np.ndarray
-    known_counts: np.ndarray
     classes: int
+    known: np.ndarray
+    known_values: np.ndarray
 
-    def log10(self, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each pair's class after its context."""
-        return self.mixed(counts, self.context_counts[pairs >> _SHIFT], self.class_counts[pairs & _LOW])
-
-    def mixed(self, counts: np.ndarray, context: np.ndarray, single: np.ndarray) -> np.ndarray:
+    def log10(self, counts: np.ndarray, context: np.ndarray, single: np.ndarray) -> np.ndarray:
         """log10 of the mixture, from the counts of pairs, their contexts and their classes."""
         each = _estimates(counts, context, single, self.total, self.classes)
         return np.log10((self.weights[context_bucket(context)] * each).sum(1))
 
 
-def _deal(shared, buckets: int):
-    """Sums over the known pairs of each row, and all other pairs in packed blocks by bucket.
+def _near(shared):
+    """Sums over the known pairs of each row."""
 
-    A row with bucket NULL carries sums; one with a bucket carries pairs and the rows
-    they belong to, the lowest bit of a row's number saying whether it is held out.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, unpacker = shared.value, zstandard.ZstdDecompressor()
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                each = [_pairs(b.as_buffer(), unpacker) for b in part.column("classes")]
+                size = np.array([len(x) for x in each])
+                place, met = _place(model.known, np.concatenate(each))
+                sums = np.zeros(len(met))
+                sums[met] = model.known_values[place[met]]
+                total = np.add.reduceat(sums, np.cumsum(size) - size)
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(total)], ["row", "near_sum"])
+
+    return run
+
+
+def _deal(known: np.ndarray, buckets: int):
+    """All pairs but the known and the rare ones in packed blocks by bucket.
+
+    A block carries pairs and the rows they belong to, the lowest bit of a row's
+    number saying whether it is held out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, names = shared.value, ["bucket", "row", "sum", "pairs", "rows"]
         unpacker, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        kinds = [pa.int32(), pa.int64(), pa.float64(), pa.binary(), pa.binary()]
 
         def flush(pairs: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
             at = (_hash(pairs) % np.uint64(buckets)).astype(np.int32)
@@ -343,35 +408,23 @@ def _deal(shared, buckets: int):
             at, pairs, rows = at[order], pairs[order], rows[order]
             found, first = np.unique(at, return_index=True)
             edges = [*first.tolist(), len(at)]
-            packed = [
-                (packer.compress(_planes(pairs[a:b], 2 * BYTES)), packer.compress(np.diff(rows[a:b], prepend=0).astype("<i8").tobytes()))
-                for a, b in zip(edges, edges[1:])
-            ]
-            none = [None] * len(found)
-            columns = [found, none, none, [p for p, _ in packed], [r for _, r in packed]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+            ranges = list(zip(edges, edges[1:]))
+            packed = [packer.compress(_planes(pairs[a:b], 2 * BYTES)) for a, b in ranges]
+            numbers = [packer.compress(np.diff(rows[a:b], prepend=0).astype("<i8").tobytes()) for a, b in ranges]
+            kinds = [pa.int32(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip([found, packed, numbers], kinds)], ["bucket", "pairs", "rows"]
+            )
 
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
                 each = [_pairs(b.as_buffer(), unpacker) for b in part.column("classes")]
-                size = np.array([len(x) for x in each])
                 pairs = np.concatenate(each)
                 numbers = part.column("row").to_numpy() * 2 + part.column("held_out").to_numpy(zero_copy_only=False)
-                rows = np.repeat(numbers, size)
-                sums = np.zeros(len(pairs))
-                left = ~_has_rare(pairs)
-                if len(model.known):
-                    place = np.minimum(np.searchsorted(model.known, pairs), len(model.known) - 1)
-                    met = model.known[place] == pairs
-                    sums[met] = model.log10(pairs[met], model.known_counts[place[met]])
-                    left &= ~met
-                total = np.add.reduceat(sums, np.cumsum(size) - size)
-                none = [None] * len(size)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip([none, numbers >> 1, total, none, none], kinds)], names
-                )
+                rows = np.repeat(numbers, [len(x) for x in each])
+                left = ~(_has_rare(pairs) | _place(known, pairs)[1])
                 waiting.append((pairs[left], rows[left]))
             if sum(len(p) for p, _ in waiting) > 4_000_000:
                 yield flush(*map(np.concatenate, zip(*waiting)))
@@ -382,33 +435,52 @@ def _deal(shared, buckets: int):
     return run
 
 
-def _score(shared):
-    """Counts the pairs of one bucket over training rows, and sums every row's log10.
+COUNTED = "n binary, context binary, single binary, rows binary, at binary"
 
-    The sums of each range of rows come back as one packed block: a document's pairs
-    lie in ever more buckets as these become more, and a row for each would be many.
-    """
+
+def _count(shared):
+    """Counts the pairs of one bucket over training rows: counts by pair, and each row's pairs."""
 
     def run(bucket: pa.Table) -> pa.Table:
-        model = shared.value
+        vocabulary = shared.value
         unpacker, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         pairs = np.concatenate([_numbers(unpacker.decompress(b.as_buffer()), 2 * BYTES) for b in bucket.column("pairs")])
         rows = np.concatenate([np.cumsum(np.frombuffer(unpacker.decompress(b.as_buffer()), "<i8")) for b in bucket.column("rows")])
         one, at = np.unique(pairs, return_inverse=True)
         counts = np.bincount(at[(rows & 1) == 0], minlength=len(one))
-        value = model.log10(one, counts)[at]
-        row, of = np.unique(rows >> 1, return_inverse=True)
-        total = np.bincount(of, weights=value)
-        found, first = np.unique(row >> ROWS_BITS, return_index=True)
-        edges = [*first.tolist(), len(row)]
-        ranges = list(zip(edges, edges[1:]))
-        return pa.table(
-            {
-                "block": pa.array(found, pa.int64()),
-                "rows": pa.array([packer.compress(np.diff(row[a:b], prepend=0).astype("<i8").tobytes()) for a, b in ranges], pa.binary()),
-                "sums": pa.array([packer.compress(total[a:b].astype("<f8").tobytes()) for a, b in ranges], pa.binary()),
-            }
-        )
+        numbers = [(counts, 8), (vocabulary.context_counts[one >> _SHIFT], 8), (vocabulary.class_counts[one & _LOW], 8)]
+        packed = [packer.compress(_planes(x, width)) for x, width in numbers]
+        packed += [packer.compress(np.diff(rows >> 1, prepend=0).astype("<i8").tobytes()), packer.compress(_planes(at, 4))]
+        return pa.table({c: pa.array([b], pa.binary()) for c, b in zip(["n", "context", "single", "rows", "at"], packed)})
+
+    return run
+
+
+def _score(shared):
+    """Sums every row's log10 over the pairs of each bucket.
+
+    The sums of each range of rows come back as one packed block: a document's pairs
+    lie in ever more buckets as these become more, and a row for each would be many.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        unpacker, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                raw = {c: unpacker.decompress(batch.column(c)[i].as_buffer()) for c in batch.schema.names}
+                counts = [_numbers(raw[c], 8).astype(np.int64) for c in ("n", "context", "single")]
+                value = model.log10(*counts)[_numbers(raw["at"], 4).astype(np.int64)]
+                row, of = np.unique(np.cumsum(np.frombuffer(raw["rows"], "<i8")), return_inverse=True)
+                total = np.bincount(of, weights=value)
+                found, first = np.unique(row >> ROWS_BITS, return_index=True)
+                edges = [*first.tolist(), len(row)]
+                ranges = list(zip(edges, edges[1:]))
+                numbers = [packer.compress(np.diff(row[a:b], prepend=0).astype("<i8").tobytes()) for a, b in ranges]
+                sums = [packer.compress(total[a:b].astype("<f8").tobytes()) for a, b in ranges]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.int64()), pa.array(numbers, pa.binary()), pa.array(sums, pa.binary())], ["block", "rows", "sums"]
+                )
 
     return run
 
@@ -478,46 +550,47 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
         by_pair = by_pair.withColumn(name, F.coalesce(name, "count", F.lit(0))).drop("token", "count")
     by_pair = stage(by_pair, "rare-counts")
 
-    # frequent pairs, and a sample of all pairs for the weights
+    # frequent pairs
     n_docs, n_events = vocabulary.n_docs, vocabulary.n_tokens
     share = min(1.0, PAIR_DOCS / max(1, n_docs))
     some = train.where(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < int(share * (1 << 20)))
     often = (
-        some.select("classes").mapInArrow(_count_pairs(None, 1), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        some.select("classes").mapInArrow(_count_pairs(None), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
         .where(F.col("n") >= PAIR_LEAST).orderBy(F.desc("n"), "pair").limit(KNOWN_PAIRS).select("pair").toArrow()
     )
     known = np.sort(often.column("pair").to_numpy().astype(np.uint64))
-    one_in = max(1, math.ceil(n_events / WEIGHT_EVENTS))
-    exact = (
-        train.select("classes").mapInArrow(_count_pairs(known, one_in), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    )
-    pair, n = exact.column("pair").to_numpy().astype(np.uint64), exact.column("n").to_numpy()
-    order = np.argsort(pair)
-    pair, n = pair[order], n[order]
-    sampled = _hash(pair) % np.uint64(one_in) == 0
-    some = by_pair.where((F.col("n") > 0) & (F.pmod(F.xxhash64("before", "event"), F.lit(one_in)) == 0)).select("n", "context", "single").toArrow()
-    of_known = (n[sampled], vocabulary.context_counts[pair[sampled] >> _SHIFT], vocabulary.class_counts[pair[sampled] & _LOW])
-    events = [np.concatenate([a, some.column(i).to_numpy()]).astype(np.float64) for i, a in enumerate(of_known)]
-    weights = learn_weights(*events, n_events, n_classes)
+    exact = train.select("classes").mapInArrow(_count_pairs(known), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     known_counts = np.zeros(len(known), np.int64)
-    if len(pair):
-        place = np.minimum(np.searchsorted(pair, known), len(pair) - 1)
-        known_counts = np.where(pair[place] == known, n[place], 0)
-    model = spark.sparkContext.broadcast(
-        Model(weights, vocabulary.class_counts, vocabulary.context_counts, n_events, known, known_counts, n_classes)
-    )
-    values = by_pair.mapInArrow(_rare_values(model), "before long, event long, value double")
-    times = beside.groupBy("row", "before", "event").agg(F.count(F.lit(1)).alias("times"))
-    beside_sums = times.join(values, ["before", "event"]).groupBy("row").agg(F.sum(F.col("times") * F.col("value")).alias("beside_sum"))
+    known_counts[np.searchsorted(known, exact.column("pair").to_numpy().astype(np.uint64))] = exact.column("n").to_numpy()
+    known_context, known_single = vocabulary.context_counts[known >> _SHIFT], vocabulary.class_counts[known & _LOW]
 
+    # all other pairs, counted by bucket; then the weights from the counts of all
     buckets = max(1, math.ceil(n_events / PAIRS_PER_BUCKET))
-    dealt = stage(
-        encoded.select("row", "held_out", "classes").mapInArrow(_deal(model, buckets), "bucket int, row long, sum double, pairs binary, rows binary"),
-        "pairs",
-    )
-    near_sums = dealt.where("bucket IS NULL").select("row", F.col("sum").alias("near_sum"))
-    packed = dealt.where("bucket IS NOT NULL").select("bucket", "pairs", "rows")
-    blocks = packed.groupBy("bucket").applyInArrow(_score(model), "block long, rows binary, sums binary")
+    packed = encoded.select("row", "held_out", "classes").mapInArrow(_deal(known, buckets), "bucket int, pairs binary, rows binary")
+    counted = stage(packed.groupBy("bucket").applyInArrow(_count(shared), COUNTED), "counted")
+    events = counted.select("n", "context", "single").mapInArrow(_events, EVENTS)
+    # as in _events, in SQL: bits, not log2, as its floor may be one off
+    least = F.pow(F.lit(2.0), F.least(F.length(F.bin("context")) - 1, F.lit(CONTEXT_BUCKETS - 2))).cast("long")
+    beside_context = F.when(F.col("n") == 1, least).otherwise(F.col("context"))
+    events = events.union(by_pair.where("n > 0").select("n", beside_context, "single", F.lit(1).cast("long")))
+    events = stage(events.groupBy("n", "context", "single").agg(F.sum("times").alias("times")), "events")
+    of_known = [known_counts, known_context, known_single, np.ones(len(known))]
+    local = events.count() <= LOCAL_EVENTS
+    if local:
+        of_others = events.toArrow()
+        of_known = [np.concatenate([a, of_others.column(i).to_numpy()]) for i, a in enumerate(of_known)]
+    *of_pairs, times = (a.astype(np.float64) for a in of_known)
+    others = None if local else _others(events, n_events, n_classes)
+    weights = learn_weights(*of_pairs, n_events, n_classes, times=times, others=others)
+    found = Model(weights, n_events, n_classes, known, np.zeros(0))
+    found.known_values = found.log10(known_counts, known_context, known_single)
+    model = spark.sparkContext.broadcast(found)
+    values = by_pair.mapInArrow(_rare_values(model), "before long, event long, value double")
+    beside_sums = beside.select("row", "before", "event").join(values, ["before", "event"])
+    beside_sums = beside_sums.groupBy("row").agg(F.sum("value").alias("beside_sum"))
+
+    near_sums = encoded.select("row", "classes").mapInArrow(_near(model), "row long, near_sum double")
+    blocks = counted.mapInArrow(_score(model), "block long, rows binary, sums binary")
     far_sums = blocks.groupBy("block").applyInArrow(_gather, "row long, far_sum double")
     joined = encoded.drop("classes", "rare")
     for sums in (rare_sums, beside_sums, near_sums, far_sums):

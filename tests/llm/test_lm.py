@@ -102,6 +102,17 @@ def test_every_token_has_its_own_pairs(docs, monkeypatch, known):
         assert got[i]["base_score"] == pytest.approx(base, rel=1e-9) and got[i]["score"] == pytest.approx(total, rel=1e-6)
 
 
+@pytest.mark.parametrize("local", [0, 100_000])
+def test_weights_come_from_all_pairs(docs, monkeypatch, local):
+    for name, value in (("KNOWN_PAIRS", 5), ("WEIGHT_EVENTS", 50), ("LOCAL_EVENTS", local)):
+        monkeypatch.setattr(lm, name, value, raising=False)
+    rows = sample()
+    distinct = len({w for i, t in rows if i % 4 for w in tokens(t)})
+    n, want = brute(rows, distinct)
+    got = {r["doc_id"]: r["score"] for r in scored(docs, rows, known_tokens=50)}
+    assert got == {i: pytest.approx(total, rel=1e-6) for (i, _), (*_, total) in zip(rows, want)}
+
+
 def test_pairs_help_on_held_out_texts(docs):
     got = [r for r in scored(docs, sample(200, 2)) if r["held_out"]]
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
