@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import bpe, jaccard, language, lm, neighbours, packing, personal, quality, secrets, toxicity
+from starloom.llm import (
+    alignment,
+    bpe,
+    jaccard,
+    language,
+    lines,
+    lm,
+    neighbours,
+    packing,
+    personal,
+    quality,
+    secrets,
+    toxicity,
+    whitening,
+)
 from starloom.llm.tables import is_fold, table
 
 
@@ -72,6 +86,24 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, "held_out")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE against pieces."""
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op12_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", is_fold(F.col("doc_id"), 4, 2))
+    labels = table(spark, sf_dir, "labels").where(~is_fold(F.col("doc_id"), 4, 2))
+    field = lines.train(docs.where(~F.col("held_out")), labels)
+    scored = lines.score(docs, field, ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,6 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_personal_data,
         op9_nearest,
         op10_lm_score,
+        op11_alignment,
+        op12_line_quality,
+        op13_whitening,
     )
 }
 ORACLE: dict[str, str] = {}
