@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.functions.columns import any_of, differs, failed_names
 from starloom.functions.dates import open_end
@@ -34,15 +34,25 @@ class Feed(NamedTuple):
 
 
 class Applied(NamedTuple):
+    """``replaced`` holds the versions that ended, as facts of later days refer to them."""
+
     changes: DataFrame
     kept: DataFrame
     opened: DataFrame
+    replaced: DataFrame
 
     @property
     def dimension(self) -> DataFrame:
         return self.kept.unionByName(self.opened)
 
 
+class Spliced(NamedTuple):
+    """Versions that reach up to a late day or beyond it, and those that take their place."""
+
+    replaced: DataFrame
+    versions: DataFrame
+
+
 def scd2_init(dim: DataFrame, spec: History) -> DataFrame:
     """Version 1 of every row: current, valid since it was first seen."""
     begin, end = spec.validity
@@ -114,14 +124,86 @@ def scd2_change_set(dim: DataFrame, feed: DataFrame, spec: History, as_of: date)
     return marked.withColumn("action", action).select(*spec.feed_columns, seen, "action", *flags)
 
 
-def scd2_apply(dim: DataFrame, feed: DataFrame, spec: History, as_of: date) -> Applied:
+def scd2_apply(
+    dim: DataFrame, feed: DataFrame, spec: History, as_of: date, last_key: int | None = None
+) -> Applied:
     """Close changed versions, open their successors, add new entities.
 
-    Applying the same feed again changes nothing.
+    Applying the same feed again changes nothing. New versions are numbered after
+    ``last_key``, or after the largest key in ``dim``.
     """
     _check_unique(feed, spec)
     changes = stage(scd2_change_set(dim, feed, spec, as_of), "changes")
-    return Applied(changes, _kept(dim, changes, spec, as_of), _opened(dim, changes, spec, as_of))
+    kept = _kept(dim, changes, spec, as_of)
+    ended = lookup(
+        kept.where(~F.col(spec.current) & (F.col(spec.validity[1]) == F.lit(as_of))),
+        changes.where(F.col("action") == CHANGED),
+        {spec.business_key: spec.business_key},
+        how="left_semi",
+    )
+    return Applied(changes, kept, _opened(dim, changes, spec, as_of, last_key), ended)
+
+
+FEED_DAY, FEED_NUMBER = "feed_day", "feed_number"
+
+
+def scd2_splice(
+    dim: DataFrame, feed: DataFrame, later: DataFrame, spec: History, as_of: date, last_key: int
+) -> Spliced:
+    """Apply the feed of a day that lies before days already applied.
+
+    ``later`` holds the accepted rows of all feeds of that day and of later ones, with
+    the day and the number of their feed. The versions of the feed's entities that reach
+    up to the day are made again from these rows and from the version that was valid
+    the day before, as if all feeds had come in the order of their days. A version that still
+    begins on its day keeps its key; new ones are numbered after ``last_key``.
+    """
+    _check_unique(feed, spec)
+    (begin, end), entity = spec.validity, spec.business_key
+    on, values = {entity: entity}, [*spec.copied, *spec.tracked]
+    # with the version that ended on the day: what it held tells what the day changes
+    reach = dim.where(F.col(end) >= F.lit(as_of))
+    replaced = stage(lookup(reach, feed, on, how="left_semi"), "replaced")
+    said = lookup(later.where(F.col(FEED_DAY) >= F.lit(as_of)), feed, on, how="left_semi")
+    day, number = F.lit(as_of).alias(FEED_DAY), F.lit(2**31 - 1).alias(FEED_NUMBER)
+    named = [FEED_DAY, FEED_NUMBER, *spec.feed_columns]
+    seen = stage(said.select(*named).unionByName(feed.select(day, number, *spec.feed_columns)), "seen")
+    # a version that no feed began comes from the first load, or from before the day
+    given = lookup(
+        replaced, seen, {entity: entity, begin: FEED_DAY}, how="left_anti"
+    )
+    older = F.raise_error(F.concat(F.lit("feed is older than the version it changes: "), entity))
+    first = F.when(F.col(begin) <= F.lit(as_of), F.col(spec.first_seen)).otherwise(older.cast("date"))
+    held = given.select(
+        F.col(begin).alias(FEED_DAY), F.lit(-1).alias(FEED_NUMBER), *spec.feed_columns, first.alias("__first")
+    )
+    rows = seen.withColumn("__first", F.lit(None).cast("date")).unionByName(held)
+    order = Window.partitionBy(entity).orderBy(FEED_DAY, FEED_NUMBER)
+    moved = F.lag(FEED_DAY).over(order).isNull() | any_of(
+        differs(F.lag(c).over(order), F.col(c)) for c in spec.tracked
+    )
+    whole = Window.partitionBy(entity)
+    marked = rows.withColumn("__moved", moved).withColumn(
+        "__first", F.coalesce(F.max("__first").over(whole), F.min(FEED_DAY).over(whole))
+    )
+    # what was said last on a day on which something moved begins a version
+    last = F.max_by(F.struct(*values, F.col("__first")), FEED_NUMBER).alias("__last")
+    starts = marked.where("__moved").groupBy(entity, FEED_DAY).agg(last)
+    following = F.lead(FEED_DAY).over(Window.partitionBy(entity).orderBy(FEED_DAY))
+    spans = starts.select(
+        entity,
+        *[F.col(f"__last.{c}").alias(c) for c in values],
+        F.col("__last.__first").alias(spec.first_seen),
+        following.isNull().alias(spec.current),
+        F.col(FEED_DAY).alias(begin),
+        F.coalesce(following, open_end()).alias(end),
+    )
+    keyed = lookup(spans, replaced, {entity: entity, begin: begin}, {spec.key: spec.key}, "left", unique=True)
+    keyed = stage(keyed.withColumn("__known", F.col(spec.key).isNotNull()), "spliced", "__known")
+    fresh = keyed.where("not __known").select(*[c for c in spec.columns if c != spec.key])
+    numbered = number_rows(fresh, [entity, begin], spec.key, start=last_key)
+    versions = keyed.where("__known").select(*spec.columns).unionByName(numbered.select(*spec.columns))
+    return Spliced(replaced, stage(versions, "versions"))
 
 
 def _kept(dim: DataFrame, changes: DataFrame, spec: History, as_of: date) -> DataFrame:
@@ -143,7 +225,9 @@ def _kept(dim: DataFrame, changes: DataFrame, spec: History, as_of: date) -> Dat
     return marked.withColumns(new).select(*spec.columns)
 
 
-def _opened(dim: DataFrame, changes: DataFrame, spec: History, as_of: date) -> DataFrame:
+def _opened(
+    dim: DataFrame, changes: DataFrame, spec: History, as_of: date, last_key: int | None
+) -> DataFrame:
     begin, end = spec.validity
     rows = changes.where(F.col("action").isin(CHANGED, NEW)).select(
         *spec.feed_columns,
@@ -152,7 +236,7 @@ def _opened(dim: DataFrame, changes: DataFrame, spec: History, as_of: date) -> D
         F.lit(as_of).alias(begin),
         open_end().alias(end),
     )
-    last = dim.agg(F.max(spec.key)).first()[0] or 0
+    last = (dim.agg(F.max(spec.key)).first()[0] or 0) if last_key is None else last_key
     return number_rows(rows, [spec.business_key], spec.key, start=last).select(*spec.columns)
 
 

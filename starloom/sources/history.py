@@ -1,135 +1,121 @@
 """Stored layout of a type-2 dimension.
 
-Current versions are one folder per load, closed versions a table partitioned by
-the day they ended. A load rewrites the current slice and the one day it closes,
-older history stays as it is. A view joins the two and is replaced last, so a
-load that dies half way shows nothing and can run again. The view also says up to
-which day it is complete; a feed of an earlier day is refused, as the days shown
-since could not be told apart from what it would close.
+Versions lie in folders by the day they ended, current ones under the open end, and a
+manifest lists the folders that are shown (see ``manifest``). The accepted rows of
+every feed are kept as well. A load writes the current slice and the versions it
+closes; older history stays as it is. A feed of a day before days already applied is
+spliced in: its entities' versions from that day on are made again from the kept rows,
+and only the days on which such versions end are written anew. So the days may come
+in any order. A load that dies at any step shows nothing and can run again.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from starloom.functions.dates import OPEN_END
 from starloom.model import History
 from starloom.operators.checks import grain_check
-from starloom.operators.scd2 import UNCHANGED, Applied, scd2_apply
-from starloom.session import new_path, stage
+from starloom.operators.joins import lookup
+from starloom.operators.scd2 import FEED_DAY, FEED_NUMBER, UNCHANGED, Applied, Spliced, scd2_apply, scd2_splice
+from starloom.sources.manifest import ROWS, Entry, ManifestTable
 from starloom.sources.sinks import write_version
 
-
-DAY, BATCH = "starloom.day", "starloom.batch"
-
-
-class LateFeedError(ValueError):
-    """A feed's day lies before the last day that is shown."""
+FEED = "feed"
+DAY, LAST_KEY = "starloom.day", "starloom.last_key"
 
 
 class HistoryStore:
-    """The dimension ``table`` (a view) and ``<table>_closed`` behind it."""
+    """The dimension ``table`` and the feeds that made it."""
 
     def __init__(self, spark: SparkSession, table: str, spec: History):
-        self.spark = spark
-        self.table = table
-        self.closed = f"{table}_closed"
-        self.spec = spec
+        self.spark, self.table, self.spec = spark, table, spec
+        self.stored = ManifestTable(spark, table, spec.validity[1])
 
     def create(self, dim: DataFrame) -> None:
-        """Store a first load, all of it current.
-
-        A first load that died left at most a table that nothing shows.
-        """
-        if self.exists():
-            raise ValueError(f"{self.table} is there already")
-        end = self.spec.validity[1]
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.closed}")
-        fields = {f.name: f.dataType.simpleString() for f in dim.schema.fields}
-        kept = [c for c in self.spec.columns if c not in (end, self.spec.current)]
-        columns = ", ".join(f"{c} {fields[c]}" for c in kept)
-        self.spark.sql(
-            f"CREATE TABLE {self.closed} ({columns}, {end} date) USING parquet "
-            f"PARTITIONED BY ({end}) LOCATION '{new_path(self.spark, self.closed)}'"
-        )
-        self._show(self._write(dim), None, None)
+        """Store a first load, all of it current."""
+        last = dim.agg(F.max(self.spec.key)).first()[0] or 0
+        self.stored.create(dim.select(*self.spec.columns), {LAST_KEY: str(last), DAY: ""})
 
     def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.table)
+        return self.stored.exists()
 
-    def shown(self) -> tuple[date | None, str | None]:
-        """The last day that changed something, and the batch that brought it."""
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.table}").collect()
-        found = {r["key"]: r["value"] for r in rows}
-        day = found.get(DAY)
-        return (date.fromisoformat(day) if day else None), found.get(BATCH)
+    def last_day(self) -> date | None:
+        """The latest day whose feed was applied."""
+        day = self.stored.properties()[DAY]
+        return date.fromisoformat(day) if day else None
 
     def read(self) -> DataFrame:
-        return self.spark.table(self.table)
+        return self.stored.read()
 
     def current(self) -> DataFrame:
-        return self.read().where(F.col(self.spec.current))
-
-    def apply(self, feed: DataFrame, as_of: date, batch: str | None = None) -> Applied | None:
-        """Apply one day's feed; a feed that changes nothing writes nothing.
-
-        Days come in order. ``batch`` names the delivery that holds several days: when
-        it runs again, the days that it applied the first time are passed over.
-        """
-        last, last_batch = self.shown()
-        if last is not None and as_of < last:
-            if batch is not None and batch == last_batch:
-                return None
-            raise LateFeedError(f"{self.table} is shown up to {last}, this feed is of {as_of}")
-        applied = scd2_apply(self.current(), feed, self.spec, as_of)
-        if applied.changes.where(F.col("action") != UNCHANGED).isEmpty():
-            return applied
-        path = self._write(applied.dimension)
-        self._check(path)
-        self._close(path, as_of)
-        self._show(path, as_of, batch)
-        return applied
-
-    def _write(self, dim: DataFrame) -> str:
-        return write_version(
-            dim.select(*self.spec.columns), new_path(self.spark, self.table), [self.spec.current]
+        return self.read().where(F.col(self.spec.validity[1]) == F.lit(OPEN_END).cast("date"))
+
+    def feeds(self, since: date | None = None) -> DataFrame:
+        """Accepted rows of all feeds of that day and later, with their day and number."""
+        parts = [e.part for e in self.stored.entries() if e.kind == FEED and (since is None or e.value >= since.isoformat())]
+        columns = {f.name: f.dataType.simpleString() for f in self.read().schema.fields}
+        kinds = {FEED_DAY: "date", FEED_NUMBER: "int"} | {c: columns[c] for c in self.spec.feed_columns}
+        schema = ", ".join(f"{c} {k}" for c, k in kinds.items())
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[self.stored.folder(FEED, p) for p in parts])
+
+    def apply(self, feed: DataFrame, as_of: date, batch: str | None = None) -> Applied | Spliced | None:
+        """Apply one day's feed, late or not; None if this ``batch`` has applied the day."""
+        entries, day = self.stored.entries(), as_of.isoformat()
+        fed = [e for e in entries if e.kind == FEED]
+        if batch is not None and any(e.batch == batch and e.value == day for e in fed):
+            return None
+        known = self.stored.properties()
+        last_day, last_key = known[DAY], int(known[LAST_KEY])
+        number = 1 + max((e.number for e in fed), default=0)
+        if last_day and day < last_day:
+            done: Applied | Spliced = scd2_splice(self.read(), feed, self.feeds(as_of), self.spec, as_of, last_key)
+            changed, listed = self._spliced(done, entries)
+        else:
+            done = scd2_apply(self.current(), feed, self.spec, as_of, last_key)
+            changed = not done.changes.where(F.col("action") != UNCHANGED).isEmpty()
+            listed = [e for e in entries if e.kind != ROWS or e.value != OPEN_END] if changed else entries
+            if changed:
+                listed = listed + self.stored.write(done.dimension.select(*self.spec.columns))
+        if changed:
+            last_key = self._check(set(listed) - set(entries), last_key)
+        noted = self._keep(feed, as_of, number, batch)
+        self.stored.publish([*listed, noted], {DAY: max(day, last_day), LAST_KEY: str(last_key)})
+        return done
+
+    def _spliced(self, done: Spliced, entries: list[Entry]) -> tuple[bool, list[Entry]]:
+        """Write the days on which replaced or new versions end."""
+        gone, made = done.replaced.select(*self.spec.columns), done.versions
+        if made.exceptAll(gone).isEmpty() and gone.exceptAll(made).isEmpty():
+            return False, entries
+        end, key = self.spec.validity[1], self.spec.key
+        # one row per day
+        days = [r[0] for r in gone.select(end).union(made.select(end)).distinct().collect()]
+        same_days = self.read().where(F.col(end).isin(days))
+        others = lookup(same_days, gone, {key: key}, how="left_anti", unique=True)
+        written = self.stored.write(others.select(*self.spec.columns).unionByName(made))
+        texts = {d.isoformat() for d in days}
+        return True, [e for e in entries if e.kind != ROWS or e.value not in texts] + written
+
+    def _check(self, written: set[Entry], last_key: int) -> int:
+        """A version is shown only if it has one current row per entity; the last key it gave."""
+        parts = {e.part for e in written}
+        rows = self.spark.read.schema(self.read().schema).parquet(
+            *[self.stored.folder("rows", f"starloom_part={p}") for p in parts]
         )
-
-    def _check(self, path: str) -> None:
-        """A version is shown only if it has one current row per entity."""
-        rows = self.spark.read.schema(self.read().schema).parquet(path)
-        current = rows.where(F.col(self.spec.current))
-        twice = grain_check(current, [self.spec.business_key]).limit(20).collect()
+        twice = grain_check(rows.where(F.col(self.spec.current)), [self.spec.business_key]).limit(20).collect()
         if twice:
             ids = ", ".join(str(r[0]) for r in twice)
             raise ValueError(f"{self.table} has several current versions of {ids}")
+        return max(last_key, rows.agg(F.max(self.spec.key)).first()[0] or 0)
 
-    def _close(self, path: str, as_of: date) -> None:
-        """Rewrite the day's closed versions: those shown already and the new ones."""
-        current, (_, end) = F.col(self.spec.current), self.spec.validity
-        columns = [c for c in self.spark.table(self.closed).columns if c != end]
-        schema = self.read().schema
-        fresh = self.spark.read.schema(schema).parquet(path).where(~current)
-        shown = self.read().where(~current & (F.col(end) == F.lit(as_of)))
-        day = stage(fresh.select(*columns).unionByName(shown.select(*columns)), "closed")
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.closed} PARTITION ({end} = DATE '{as_of}') "
-            "SELECT * FROM {day}",
-            day=day,
-        )
-
-    def _show(self, path: str, as_of: date | None, batch: str | None) -> None:
-        current, (_, end) = self.spec.current, self.spec.validity
-
-        def columns(value: str) -> str:
-            return ", ".join(f"{value} AS {c}" if c == current else c for c in self.spec.columns)
-
-        shown = f"{end} <= DATE '{as_of}'" if as_of else "false"
-        known = {DAY: as_of and as_of.isoformat(), BATCH: batch}
-        properties = ", ".join(f"'{k}' = '{v or ''}'" for k, v in known.items())
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.table} TBLPROPERTIES ({properties}) AS "
-            f"SELECT {columns('true')} FROM parquet.`{path}` WHERE CAST({current} AS BOOLEAN) "
-            f"UNION ALL SELECT {columns('false')} FROM {self.closed} WHERE {shown}"
-        )
+    def _keep(self, feed: DataFrame, as_of: date, number: int, batch: str | None) -> Entry:
+        part = uuid.uuid4().int >> 66
+        rows = feed.select(F.lit(as_of).alias(FEED_DAY), F.lit(number).alias(FEED_NUMBER), *self.spec.feed_columns)
+        write_version(rows, self.stored.folder(FEED, part))
+        return Entry(FEED, part, as_of.isoformat(), number=number, batch=batch)
