@@ -17,6 +17,12 @@ def date_key(day: Column) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
+def day_of(key: Column) -> Column:
+    """The day of a yyyymmdd key."""
+    whole = F.floor(key).cast("int")
+    return F.make_date(F.floor(whole / 10000), F.floor(whole / 100) % 100, whole % 100)
+
+
 def month_of(key: Column) -> Column:
     """yyyymm of a yyyymmdd key."""
     return F.floor(key / 100).cast("int")

@@ -22,6 +22,7 @@ from starloom.operators.keys import number_rows
 from starloom.session import stage
 
 NEW, CHANGED, CORRECTED, UNCHANGED = "new", "changed", "corrected", "unchanged"
+OLDER = "feed is older than the version it changes"
 
 
 class DuplicateKeyError(ValueError):
@@ -110,7 +111,7 @@ def scd2_change_set(dim: DataFrame, feed: DataFrame, spec: History, as_of: date)
     known = F.col("__id").isNotNull()
     changed = any_of(F.col(f) for f in flags)
     started = F.col(f"old_{begin}")
-    late = F.raise_error(F.concat(F.lit("feed is older than the version it changes: "), "__id"))
+    late = F.raise_error(F.concat(F.lit(f"{OLDER}: "), "__id"))
     action = (
         F.when(~known, NEW)
         .when(~changed, UNCHANGED)
@@ -172,7 +173,7 @@ def scd2_splice(
     given = lookup(
         replaced, seen, {entity: entity, begin: FEED_DAY}, how="left_anti"
     )
-    older = F.raise_error(F.concat(F.lit("feed is older than the version it changes: "), entity))
+    older = F.raise_error(F.concat(F.lit(f"{OLDER}: "), entity))
     first = F.when(F.col(begin) <= F.lit(as_of), F.col(spec.first_seen)).otherwise(older.cast("date"))
     held = given.select(
         F.col(begin).alias(FEED_DAY), F.lit(-1).alias(FEED_NUMBER), *spec.feed_columns, first.alias("__first")

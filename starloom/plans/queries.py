@@ -20,12 +20,15 @@ from starloom.plans.warehouse import (
     BOOKING_CONTRACT,
     GEOGRAPHY,
     HISTORY,
+    LATE_DAY,
+    LATER_DAY,
     PASSENGER,
     TICKET_SALES,
     Warehouse,
     warehouse,
 )
 from starloom.session import new_path
+from starloom.sources.facts import FactStore
 from starloom.sources.history import HistoryStore
 from starloom.sources.readers import read_csv, read_text_columns
 from starloom.sources.sinks import replace_table
@@ -363,6 +366,85 @@ def scd2_fact_orphans(w: Warehouse) -> DataFrame:
     return n.select(F.col("n").alias("orphan_fact_rows"))
 
 
+def _store(w: Warehouse) -> HistoryStore:
+    """A stored dimension that holds the first load."""
+    store = HistoryStore(w.spark, f"passenger_{new_path(w.spark, 'x')[-8:]}", HISTORY)
+    store.create(w.initial_history)
+    return store
+
+
+def _versions(store: HistoryStore) -> DataFrame:
+    """All versions; their keys depend on the order in which the feeds came."""
+    return store.read().drop("passenger_key")
+
+
+@query
+def scd2_stored_days(w: Warehouse) -> DataFrame:
+    """The stored dimension after three feeds, two of them of one day."""
+    store = _store(w)
+    store.apply(w.feed(w.late_updates), LATE_DAY)
+    store.apply(w.feed(w.updates), AS_OF)
+    store.apply(w.feed(w.later_updates), AS_OF)
+    return _versions(store)
+
+
+@query
+def scd2_late_day(w: Warehouse) -> DataFrame:
+    """Three days of feeds, the first of which comes last."""
+    store = _store(w)
+    store.apply(w.feed(w.updates), AS_OF)
+    store.apply(w.feed(w.later_updates), LATER_DAY)
+    store.apply(w.feed(w.late_updates), LATE_DAY)
+    return _versions(store)
+
+
+# -- facts day by day ------------------------------------------------------------
+
+
+def _daily_fact(w: Warehouse) -> tuple[FactStore, HistoryStore]:
+    """Bookings loaded before and after a day's changes, then the changes of a late day."""
+    history = _store(w)
+    facts = FactStore(w.spark, f"fact_{new_path(w.spark, 'x')[-8:]}", TICKET_SALES, "travel_date_key")
+    passenger = next(p for p in TICKET_SALES.parents if p.dimension == "passenger")
+
+    def load(rows: DataFrame, day: date) -> None:
+        dims = {**w.dims, "passenger": history.read()}
+        facts.add(load_fact_asof(rows, TICKET_SALES, dims, {"passenger": (HISTORY, "booking_date")}).fact, day)
+
+    def change(updates: DataFrame, day: date) -> None:
+        done = history.apply(w.feed(updates), day)
+        facts.repoint(done.replaced, history.read(), HISTORY, passenger, "booking_date_key", since=day)
+
+    load(w.bookings.where(F.col("booking_date") < F.lit(AS_OF)), AS_OF - timedelta(1))
+    change(w.updates, AS_OF)
+    load(w.bookings.where(F.col("booking_date") >= F.lit(AS_OF)), AS_OF)
+    change(w.late_updates, LATE_DAY)
+    return facts, history
+
+
+@query
+def asof_incremental_load(w: Warehouse) -> DataFrame:
+    """Every booking with the version it points at after days and a late day."""
+    facts, history = _daily_fact(w)
+    take = {c: c for c in ("passenger_id", "effective_from", "frequent_flyer_tier", "home_airport_key")}
+    found = lookup(facts.read(), history.read(), {"passenger_key": "passenger_key"}, take, "left")
+    return found.select("booking_id", F.col("travel_month").cast("long"), *take)
+
+
+@query
+def fact_changed_months(w: Warehouse) -> DataFrame:
+    """Months written again when the bookings of one fare class cost more from a month on."""
+    fact = w.load.fact
+    facts = FactStore(w.spark, f"fact_{new_path(w.spark, 'x')[-8:]}", TICKET_SALES, "travel_date_key")
+    facts.rebuild(fact)
+    dearer = (F.col("fare_class") == "1-URGENT") & (F.col("travel_date_key") >= LOW)
+    fare = (F.col("fare_amount") + F.when(dearer, 1).otherwise(0)).cast("decimal(18,2)")
+    written = facts.rebuild(fact.withColumn("fare_amount", fare))
+    months = facts.months().withColumn("written", F.col("travel_month").isin(written))
+    sums = facts.read().groupBy("travel_month").agg(F.sum("fare_amount").alias("total_fare"))
+    return _money(months.join(sums, "travel_month"), "total_fare").withColumns(_long("travel_month"))
+
+
 # -- partitions ------------------------------------------------------------------
 
 
@@ -696,9 +778,13 @@ def stream_scd2_apply(w: Warehouse) -> DataFrame:
     """The change feed applied by a stream; the same dimension as in one batch."""
     source = new_path(w.spark, "updates")
     w.updates.withColumn("feed_date", F.lit(AS_OF)).write.option("header", True).csv(source)
-    store = HistoryStore(w.spark, f"passenger_{new_path(w.spark, 'x')[-8:]}", HISTORY)
-    store.create(w.initial_history)
-    feeds.apply_feed(
+    store = _store(w)
+    _stream(w, store, source)
+    return store.read()
+
+
+def _stream(w: Warehouse, store: HistoryStore, source: str) -> feeds.DeadLetters:
+    return feeds.apply_feed(
         w.spark,
         source,
         w.updates.schema,
@@ -708,7 +794,36 @@ def stream_scd2_apply(w: Warehouse) -> DataFrame:
         checkpoint=new_path(w.spark, "apply-log"),
         rejects=new_path(w.spark, "apply-rejects"),
     )
-    return store.read()
+
+
+def _refused(w: Warehouse) -> tuple[HistoryStore, feeds.DeadLetters]:
+    """A stream of four days: one names new passengers twice, one lies before the first load."""
+    source = new_path(w.spark, "updates")
+    twice = w.late_updates.unionByName(w.late_updates.where("passenger_id % 3 = 0"))
+    days = {date(1990, 1, 1): w.later_updates, LATE_DAY: twice, AS_OF: w.updates, LATER_DAY: w.later_updates}
+    for day, rows in days.items():
+        rows.withColumn("feed_date", F.lit(day)).write.mode("append").option("header", True).csv(source)
+    store = _store(w)
+    return store, _stream(w, store, source)
+
+
+@query
+def stream_dead_letters(w: Warehouse) -> DataFrame:
+    """Days that the stored dimension refused; the stream took in the others."""
+    store, dead = _refused(w)
+    days = store.feeds().groupBy("feed_day").count().select(
+        F.col("feed_day").alias("feed_date"), F.lit("applied").alias("outcome"), F.col("count").alias("rows")
+    )
+    refused = dead.report().select("feed_date", F.col("reason").alias("outcome"), "rows")
+    return days.unionByName(refused)
+
+
+@query
+def stream_replayed(w: Warehouse) -> DataFrame:
+    """The dimension after the refused days came again, each passenger once."""
+    store, dead = _refused(w)
+    dead.replay(lambda rows: rows.dropDuplicates(["passenger_id"]))
+    return _versions(store)
 
 
 # -- flagship --------------------------------------------------------------------

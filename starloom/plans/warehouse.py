@@ -24,12 +24,14 @@ from starloom.operators.scd2 import Applied, prepare_feed, scd2_apply, scd2_init
 from starloom.session import new_path, stage
 from starloom.sources.sinks import write_partitioned
 
-# The day the change feed takes effect, the ranks a changed
+# The days the change feeds take effect, the ranks a changed
 # passenger moves through, where ids of new passengers begin.
 AS_OF = date(1998, 7, 1)
+LATE_DAY, LATER_DAY = date(1998, 6, 1), date(1998, 7, 21)
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 NEW_IDS = 9_000_000_000
 
+# The columns of the dimensions, of the fact and of their feeds.
 AIRPORT = Dimension(
     "airport",
     "airport_key",
@@ -293,6 +295,38 @@ class Warehouse:
         )
         return known.unionByName(new)
 
+    @property
+    def late_updates(self) -> DataFrame:
+        """A feed of ``LATE_DAY``: some tiers and homes as later days have them, some not."""
+        key, nation = F.col("c_custkey"), F.col("c_nationkey")
+        known = self.table("customer").select(
+            key.alias("passenger_id"),
+            F.concat("c_name", F.lit(" (late)")).alias("passenger_name"),
+            F.concat(F.lit("NATION_"), F.when(key % 3 == 0, (nation + 1) % 25).otherwise(nation)).alias("home_airport_code"),
+            F.when(key % 10 < 3, F.lit(SEGMENTS[2])).otherwise(F.col("c_mktsegment")).alias("frequent_flyer_tier"),
+        )
+        new = self.table("supplier").select(
+            (F.col("s_suppkey") + NEW_IDS).alias("passenger_id"),
+            F.concat("s_name", F.lit(" (late)")).alias("passenger_name"),
+            F.concat(F.lit("NATION_"), "s_nationkey").alias("home_airport_code"),
+            F.lit(SEGMENTS[1]).alias("frequent_flyer_tier"),
+        )
+        return known.unionByName(new.where("passenger_id % 2 = 0"))
+
+    @property
+    def later_updates(self) -> DataFrame:
+        """A feed after that of ``AS_OF``: most passengers are again what they were at first."""
+        return self.table("customer").select(
+            F.col("c_custkey").alias("passenger_id"),
+            F.concat("c_name", F.lit(" (later)")).alias("passenger_name"),
+            F.concat(F.lit("NATION_"), "c_nationkey").alias("home_airport_code"),
+            F.when(F.col("c_custkey") % 4 == 1, F.lit(SEGMENTS[4])).otherwise(F.col("c_mktsegment")).alias("frequent_flyer_tier"),
+        )
+
+    def feed(self, updates: DataFrame) -> DataFrame:
+        """The accepted rows of a change feed."""
+        return prepare_feed(updates, HISTORY, PASSENGER.parents, {"airport": self.dim_airport}).accepted
+
     @property
     def arrivals(self) -> DataFrame:
         """A feed per user; its deliveries are the user's events."""

@@ -14,13 +14,23 @@ from __future__ import annotations
 import uuid
 from datetime import date
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions.dates import OPEN_END
 from starloom.model import History
 from starloom.operators.checks import grain_check
 from starloom.operators.joins import lookup
-from starloom.operators.scd2 import FEED_DAY, FEED_NUMBER, UNCHANGED, Applied, Spliced, scd2_apply, scd2_splice
+from starloom.operators.scd2 import (
+    FEED_DAY,
+    FEED_NUMBER,
+    OLDER,
+    UNCHANGED,
+    Applied,
+    Spliced,
+    scd2_apply,
+    scd2_splice,
+)
 from starloom.sources.manifest import ROWS, Entry, ManifestTable
 from starloom.sources.sinks import write_version
 
@@ -28,6 +38,10 @@ FEED = "feed"
 DAY, LAST_KEY = "starloom.day", "starloom.last_key"
 
 
+class TooOldError(ValueError):
+    """A feed's day lies before the first day on which one of its entities is known."""
+
+
 class HistoryStore:
     """The dimension ``table`` and the feeds that made it."""
 
@@ -66,6 +80,14 @@ class HistoryStore:
 
     def apply(self, feed: DataFrame, as_of: date, batch: str | None = None) -> Applied | Spliced | None:
         """Apply one day's feed, late or not; None if this ``batch`` has applied the day."""
+        try:
+            return self._apply(feed, as_of, batch)
+        except PySparkException as error:
+            if OLDER not in str(error):
+                raise
+            raise TooOldError(f"{self.table}: a feed of {as_of} changes versions of the first load") from error
+
+    def _apply(self, feed: DataFrame, as_of: date, batch: str | None) -> Applied | Spliced | None:
         entries, day = self.stored.entries(), as_of.isoformat()
         fed = [e for e in entries if e.kind == FEED]
         if batch is not None and any(e.batch == batch and e.value == day for e in fed):

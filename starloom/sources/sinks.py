@@ -79,19 +79,23 @@ def append(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*columns).write.mode("append").parquet(path)
 
 
-def write_partitioned(
-    df: DataFrame, path: str, key: str, grain: list[str], month: str = "travel_month"
-) -> str:
-    """Write a fact in one folder per month of ``key``, sorted by key and grain.
+def by_month(df: DataFrame, key: str, grain: list[str], month: str = "travel_month") -> DataFrame:
+    """Rows gathered by month for few files, sorted by key and grain.
 
-    Rows are gathered by month for few files, and adaptive execution splits a
-    month too large for one task and merges small ones. Without it, ranges of key
-    and grain do the same for one more pass over the rows.
+    Adaptive execution splits a month too large for one task and merges small ones.
+    Without it, ranges of key and grain do the same for one more pass over the rows.
     """
     order = [month, key, *grain]
-    rows = df.withColumn(month, month_of(F.col(key)))
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        placed = rows.hint("rebalance", month)
+        placed = df.hint("rebalance", month)
     else:
-        placed = rows.repartitionByRange(*order)
-    return write_version(placed.sortWithinPartitions(*order), path, [month])
+        placed = df.repartitionByRange(*order)
+    return placed.sortWithinPartitions(*order)
+
+
+def write_partitioned(
+    df: DataFrame, path: str, key: str, grain: list[str], month: str = "travel_month"
+) -> str:
+    """Write a fact in one folder per month of ``key``, sorted by key and grain."""
+    rows = df.withColumn(month, month_of(F.col(key)))
+    return write_version(by_month(rows, key, grain, month), path, [month])

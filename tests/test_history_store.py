@@ -10,7 +10,7 @@ from starloom.functions.dates import OPEN_END
 from starloom.operators.scd2 import DuplicateKeyError, scd2_apply, scd2_broken_chains, scd2_not_one_current
 from starloom.plans.warehouse import PASSENGER
 from starloom.session import new_path
-from starloom.sources.history import HistoryStore
+from starloom.sources.history import HistoryStore, TooOldError
 from starloom.sources.manifest import ManifestTable
 from starloom.streaming import feeds
 from test_scd2 import AS_OF, SPEC, dim, feed, shown
@@ -151,6 +151,35 @@ def test_streamed_feeds(spark, store, tmp_path):
     assert unreadable.count() == 1
 
 
+def test_refused_days_become_dead_letters_and_can_be_replayed(spark, store, tmp_path):
+    source = tmp_path / "feeds"
+    source.mkdir()
+    dims = {"airport": spark.createDataFrame(AIRPORTS, "airport_code string, airport_key long")}
+    log, rejects = new_path(spark, "log"), new_path(spark, "rejects")
+
+    def run():
+        return feeds.apply_feed(spark, str(source), UPDATES, store, PASSENGER.parents, dims, log, rejects)
+
+    (source / "twice.csv").write_text(HEADER + "70,K,DEL,Silver,2026-03-17\n70,K,DEL,Gold,2026-03-17\n")
+    (source / "old.csv").write_text(HEADER + "71,S,BOM,Silver,1999-01-01\n")
+    (source / "good.csv").write_text(HEADER + "72,T,BOM,Silver,2026-03-18\n")
+    dead = run()
+    report = {r["feed_date"]: r for r in dead.report().collect()}
+    assert {d: (r["reason"], r["rows"]) for d, r in report.items()} == {
+        date(2026, 3, 17): ("a key twice", 2), date(1999, 1, 1): ("older than the first load", 1),
+    }
+    assert report[date(1999, 1, 1)]["files"][0].endswith("old.csv")
+    assert store.read().where("passenger_id = 72").count() == 2 and store.read().count() == 4
+    # the stream goes on, and the day that was refused comes late once it is mended
+    (source / "next.csv").write_text(HEADER + "70,K,DEL,Gold,2026-03-19\n")
+    dead = run()
+    assert dead.replay(lambda rows: rows.where("frequent_flyer_tier <> 'Gold'")) == [date(2026, 3, 17)]
+    assert rows(store.read().where("passenger_id = 70"), "effective_from", "frequent_flyer_tier") == [
+        (date(2020, 5, 1), "Blue"), (date(2026, 3, 17), "Silver"), (date(2026, 3, 19), "Gold"),
+    ]
+    assert [r["feed_date"] for r in dead.report().collect()] == [date(1999, 1, 1)]
+
+
 def test_ingest_takes_each_file_once(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
@@ -249,7 +278,7 @@ def test_a_vanished_version_gives_its_key_to_no_other(spark, store):
 def test_days_that_cannot_be_spliced(spark, store):
     store.apply(feed(spark, (70, "K", "Silver", 5)), AS_OF)
     before = shown(store.read())
-    with pytest.raises(Exception, match="older than the version"):
+    with pytest.raises(TooOldError):
         store.apply(feed(spark, (71, "S", "Blue", 6)), date(2019, 1, 1))
     with pytest.raises(DuplicateKeyError):
         store.apply(feed(spark, (71, "S", "Blue", 6), (71, "S", "Gold", 6)), AS_OF - timedelta(9))
