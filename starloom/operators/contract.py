@@ -125,6 +125,37 @@ def check_types(raw: DataFrame, contract: Contract) -> DataFrame:
     return row.select(F.inline(F.array(*entries)))
 
 
+class Conformed(NamedTuple):
+    typed: DataFrame
+    quarantined: DataFrame
+
+
+class MissingColumnsError(ValueError):
+    """A delivery lacks columns of its contract."""
+
+
+def conform(raw: DataFrame, contract: Contract) -> Conformed:
+    """Text cast to the contract's types, row by row.
+
+    A row with a text that is no value of its column's type, or one that the type would
+    round, is set aside as delivered with the reasons of every such column. Columns that
+    the contract does not name are left behind.
+    """
+    absent = [c.name for c in contract.columns if c.name not in raw.columns]
+    if absent:
+        raise MissingColumnsError(f"no column {', '.join(absent)}")
+    wrong = {f"{c.name} is no {c.type}": _no_value(F.col(c.name), c.type) for c in contract.columns}
+    reasons = failed_names(wrong)
+    values = [F.col(c.name).try_cast(c.type).alias(c.name) for c in contract.columns]
+    # the delivered text is kept for the rows that are set aside only
+    text = F.when(F.size(reasons) > 0, F.struct(*contract.names)).alias("__text")
+    judged = raw.select(*values, text, reasons.alias("reasons"), (F.size(reasons) > 0).alias("wrong"))
+    stored = stage(judged, "conformed", "wrong")
+    return Conformed(
+        stored.where("not wrong").select(*contract.names), stored.where("wrong").select("__text.*", "reasons")
+    )
+
+
 def not_null_rules(contract: Contract) -> dict[str, Column]:
     return {f"{c.name} is null": F.col(c.name).isNull() for c in contract.columns if not c.nullable}
 
@@ -301,7 +332,7 @@ def freshness(
 MAX_DROP = 0.01  # fixed value: larger drops in row count raise an alert
 
 
-def _volume_status(today: Column, prior: Column, max_drop: float) -> Column:
+def volume_status(today: Column, prior: Column, max_drop: float) -> Column:
     return (
         F.when(today == 0, "missing")
         .when(prior.isNull(), "first")
@@ -316,7 +347,7 @@ def volume_check(today: DataFrame, prior: DataFrame, max_drop: float = MAX_DROP)
     one = F.count(F.lit(1)).alias("n")
     both = side_by_side({"prior_rows": prior.agg(one), "today_rows": today.agg(one)})
     return both.withColumn(
-        "status", _volume_status(F.col("today_rows"), F.col("prior_rows"), max_drop)
+        "status", volume_status(F.col("today_rows"), F.col("prior_rows"), max_drop)
     )
 
 
@@ -338,7 +369,7 @@ def volume_by_day(
     before = Window.orderBy("business_date").rowsBetween(Window.unboundedPreceding, -1)
     delivered = F.when(F.col("today_rows") > 0, F.col("today_rows"))
     return every.withColumn("prior_rows", F.last(delivered, True).over(before)).withColumn(
-        "status", _volume_status(F.col("today_rows"), F.col("prior_rows"), max_drop)
+        "status", volume_status(F.col("today_rows"), F.col("prior_rows"), max_drop)
     )
 
 

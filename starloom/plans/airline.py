@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom.functions.columns import code
 from starloom.operators import checks, partitions, scd2
-from starloom.operators.contract import Contract, ContractColumn, ForeignKey, check_cross_table
+from starloom.operators.contract import (
+    Contract,
+    ContractColumn,
+    CrossRule,
+    ForeignKey,
+    check_cross_table,
+    conform,
+    expected_days,
+    freshness,
+    local_time,
+)
 from starloom.operators.dims import resolve_levels, snowflake
-from starloom.plans.refresh import Layers, refresh
+from starloom.plans.refresh import Layers, gate_freshness, keep_profiles, rebuild_fact, refresh_inputs
 from starloom.plans.warehouse import (
     AIRCRAFT,
     AIRPORT,
@@ -100,19 +111,54 @@ CONTRACT = Contract(
         ForeignKey("flight_id", "flight", "flight_id"),
     ),
     row_rules={"booked after travel": "booking_date > travel_date"},
+    cross_rules=(
+        CrossRule(
+            "travel date is not the flight's",
+            "flight",
+            {"flight_id": "flight_id"},
+            {"flight_date": "flight_date"},
+            "travel_date <> flight_date",
+        ),
+    ),
 )
 
 
 def read_feeds(spark: SparkSession, folder: str) -> dict[str, Csv]:
-    """All feeds landed with their declared types, codes brought to one form."""
+    """All feeds landed with their declared types, codes brought to one form.
+
+    Bookings are read as text and cast row by row, so that a row that is set aside
+    tells which of its columns hold no value of their type.
+    """
     feeds = {}
     for name, file in FILES.items():
+        if name == "bookings":
+            feeds[name] = _read_bookings(spark, f"{folder}/{file}")
+            continue
         rows, quarantined = read_csv(spark, f"{folder}/{file}", SCHEMAS[name])
         codes = {c: code(F.col(c)) for c in rows.columns if c.endswith("_code")}
         feeds[name] = Csv(rows.withColumns(codes) if codes else rows, quarantined)
     return feeds
 
 
+def _read_bookings(spark: SparkSession, path: str) -> Csv:
+    text = T.StructType([T.StructField(n, _TEXT) for n in SCHEMAS["bookings"].names])
+    lines, malformed = read_csv(spark, path, text)
+    typed, wrong = conform(lines, CONTRACT)
+    set_aside = wrong.select(F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in text.names]).alias("line"), "reasons")
+    unreadable = malformed.select("line", F.array(F.lit("not the declared columns")).alias("reasons"))
+    return Csv(typed, set_aside.unionByName(unreadable))
+
+
+def file_arrivals(spark: SparkSession, folder: str, business_date: date) -> DataFrame:
+    """When each feed's file of a day was last written; contents are not read."""
+    found = []
+    for name, file in FILES.items():
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{folder}/{file}")
+        landed = local_time(F.col("modificationTime")).alias("landed_at")
+        found.append(files.select(F.lit(name).alias("feed"), F.lit(business_date).alias("business_date"), landed))
+    return reduce(DataFrame.unionByName, found)
+
+
 @dataclass(frozen=True)
 class Airline:
     """The loaded warehouse; its methods are the acceptance reports."""
@@ -178,18 +224,25 @@ class Airline:
         return partitions.range_total(self.fact.where(wanted), "fare_amount")
 
 
-def load(spark: SparkSession, folder: str, as_of: date, layers: Layers = Layers()) -> Airline:
-    """Load the whole warehouse from a folder of feeds and apply the change feed.
+def load(
+    spark: SparkSession, folder: str, as_of: date, arrivals: DataFrame, layers: Layers = Layers()
+) -> Airline:
+    """Load one day: gates, dimensions, the passengers' changes, then the fact as of its days.
 
-    The first load begins the passengers' history; a later day's load, or one that
-    runs again after it died, goes on with it.
+    The first load begins the passengers' history; a later day's load, or one that runs
+    again after it died, goes on with it. A day may come late. ``arrivals`` says when the
+    feeds landed (see ``file_arrivals``); a feed that is not there in time stops the day.
     """
-    feeds = {name: feed.rows for name, feed in read_feeds(spark, folder).items()}
+    expected = expected_days(spark.createDataFrame([(n,) for n in FILES], "feed string"), as_of, as_of)
+    deliveries = freshness(arrivals, expected), as_of
+    gate_freshness(*deliveries)
+    read = read_feeds(spark, folder)
+    feeds = {name: feed.rows for name, feed in read.items()}
     order = [AIRPORT, AIRCRAFT, PASSENGER, FLIGHT]
     daily = {n: df for n, df in feeds.items() if n != "updates"}
-    fact = refresh(spark, layers, daily, CONTRACT, order, TICKET_SALES, CALENDAR)
-    dims = {d: spark.table(f"{layers.silver}.dim_{d}") for d in ("date", *(s.name for s in order))}
-
+    inputs = refresh_inputs(spark, layers, daily, CONTRACT, order, CALENDAR, deliveries)
+    replace_table(read["bookings"].quarantined, f"{layers.bronze}.bookings_unreadable")
+    dims = inputs.dims
     geography = {
         level: replace_table(df, f"{layers.silver}.geo_{level}")
         for level, df in snowflake(dims["airport"], GEOGRAPHY, "airport").items()
@@ -200,4 +253,8 @@ def load(spark: SparkSession, folder: str, as_of: date, layers: Layers = Layers(
     changes = scd2.prepare_feed(feeds["updates"], HISTORY, PASSENGER.parents, dims)
     replace_table(changes.rejects, f"{layers.silver}.passenger_history_rejects")
     store.apply(changes.accepted, as_of)
+    versions = {**dims, "passenger": store.read()}
+    history = {"passenger": (HISTORY, "booking_date")}
+    fact = rebuild_fact(spark, layers, inputs.bookings, TICKET_SALES, versions, history=history)
+    keep_profiles(layers, inputs)
     return Airline(feeds, dims, geography, store.read(), fact)

@@ -11,21 +11,17 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.model import Dimension, Fact
+from starloom.model import Dimension, Fact, History
 from starloom.operators.checks import orphan_check, reconcile
-from starloom.operators.contract import (
-    Contract,
-    Verdict,
-    apply_contract,
-    schema_drift,
-    volume_check,
-)
+from starloom.operators.contract import Contract, Verdict, apply_contract
 from starloom.operators.dims import calendar_dim, split_dim
-from starloom.operators.facts import load_fact
+from starloom.operators.facts import load_fact, load_fact_asof
 from starloom.operators.joins import lookup
 from starloom.operators.keys import assign_keys
-from starloom.session import new_path, stage
-from starloom.sources.sinks import publish, replace_table, write_partitioned
+from starloom.operators.profile import batch_profile, profile_drift, profile_volume
+from starloom.session import stage
+from starloom.sources.facts import FactStore
+from starloom.sources.sinks import replace_table
 
 
 class RefreshStopped(RuntimeError):
@@ -46,14 +42,6 @@ def land(spark: SparkSession, layers: Layers, feeds: dict[str, DataFrame]) -> di
     return {name: replace_table(df, f"{layers.bronze}.{name}") for name, df in feeds.items()}
 
 
-def gate_volume(spark: SparkSession, table: str, today: DataFrame) -> None:
-    """Stop when a snapshot lost more rows than its contract allows."""
-    if spark.catalog.tableExists(table):
-        report = volume_check(today, spark.table(table)).first()
-        if report["status"] == "alert":
-            raise RefreshStopped(f"{table}: {report['prior_rows']} rows, now {report['today_rows']}")
-
-
 def gate_freshness(report: DataFrame, day: date) -> None:
     """Stop when a feed the day needs has not landed in time, or the report lacks the day."""
     of_day = report.where(F.col("business_date") == F.lit(day))
@@ -71,19 +59,27 @@ def gate_freshness(report: DataFrame, day: date) -> None:
         )
 
 
-def gate_drift(spark: SparkSession, table: str, batch: DataFrame, contract: Contract) -> None:
-    """Stop when a batch lacks a column of its contract or changed one since the last batch.
+def gate_batch(
+    name: str, profile: DataFrame, accepted: DataFrame | None, contract: Contract | None = None
+) -> None:
+    """Stop when a batch is empty, lost more rows than allowed, or changed its columns.
 
-    A new value of a closed list is no reason to stop: the contract sets such rows aside.
+    ``profile`` is the batch's, ``accepted`` that of the last batch whose day went
+    through: a batch that was turned down is nothing to compare with. A new value of a
+    closed list is no reason to stop: the contract sets such rows aside.
     """
-    absent = [c for c in contract.names if c not in batch.columns]
+    columns = {r["column_name"] for r in profile.where("kind = 'column'").select("column_name").collect()}
+    absent = [c for c in contract.names if c not in columns] if contract else []
     if absent:
-        raise RefreshStopped(f"{table}: no column {', '.join(absent)}")
-    if spark.catalog.tableExists(table):
-        before = spark.table(table).schema
-        broken = [f"{kind} {name} ({detail})" for kind, name, detail, breaks in schema_drift(before, batch.schema) if breaks]
+        raise RefreshStopped(f"{name}: no column {', '.join(absent)}")
+    if accepted is not None:
+        broken = profile_drift(accepted, profile).where("breaking").orderBy("column_name").collect()
         if broken:
-            raise RefreshStopped(f"{table}: {'; '.join(broken)}")
+            found = [f"{r['change']} {r['column_name']} ({r['detail']})" for r in broken]
+            raise RefreshStopped(f"{name}: {'; '.join(found)}")
+    volume = profile_volume(profile, accepted).first()
+    if volume["status"] in ("alert", "missing"):
+        raise RefreshStopped(f"{name}: {volume['prior_rows'] or 0} rows, now {volume['today_rows']}")
 
 
 def accept(
@@ -141,49 +137,86 @@ def rebuild_fact(
     spec: Fact,
     dims: dict[str, DataFrame],
     key: str = "travel_date_key",
+    history: dict[str, tuple[History, str]] | None = None,
 ) -> DataFrame:
-    """Load the fact aside in month partitions, verify it, swap it in."""
+    """Load the fact, verify it, write the months that changed, show them.
+
+    ``history`` names the dimensions that are resolved as of a date of the booking.
+    """
     table = f"{layers.gold}.fact_{spec.name}"
-    fact, rejects = load_fact(bookings, spec, dims)
-    path = write_partitioned(fact, new_path(spark, spec.name), key, spec.grain)
-    written = spark.read.parquet(path)
-    gap = reconcile(bookings, written).first()["gap"]
-    if gap != rejects.count():
-        raise RefreshStopped(f"{table}: {gap} rows missing, {rejects.count()} rejected")
+    fact, rejects = load_fact_asof(bookings, spec, dims, history) if history else load_fact(bookings, spec, dims)
+    gap, lost = reconcile(bookings, fact).first()["gap"], rejects.count()
+    if gap != lost:
+        raise RefreshStopped(f"{table}: {gap} rows missing, {lost} rejected")
     references = {p.result: (p.result, dims[p.dimension], p.key) for p in spec.parents}
-    lost = {n: c for n, c in orphan_check(written, references).first().asDict().items() if c}
-    if lost:
-        raise RefreshStopped(f"{table}: {lost}")
+    orphaned = {n: c for n, c in orphan_check(fact, references).first().asDict().items() if c}
+    if orphaned:
+        raise RefreshStopped(f"{table}: {orphaned}")
     replace_table(rejects, f"{layers.gold}.rejects_{spec.name}")
-    return publish(spark, table, path, written.schema)
+    store = FactStore(spark, table, spec, key)
+    store.rebuild(fact)
+    return store.read()
 
 
-def refresh(
+@dataclass(frozen=True)
+class Inputs:
+    """What a day's feeds came to: dimensions, accepted bookings, profiles to keep."""
+
+    dims: dict[str, DataFrame]
+    bookings: DataFrame
+    profiles: dict[str, DataFrame]
+
+
+def refresh_inputs(
     spark: SparkSession,
     layers: Layers,
     feeds: dict[str, DataFrame],
     contract: Contract,
     dimensions: list[Dimension],
-    fact: Fact,
     calendar: tuple[date, date],
+    deliveries: tuple[DataFrame, date],
     mode: str = "quarantine",
-    deliveries: tuple[DataFrame, date] | None = None,
-) -> DataFrame:
-    """One whole day: feeds in, fact out.
+) -> Inputs:
+    """Gates, bronze, dimensions and the bookings that keep their contract.
 
     ``feeds`` holds ``bookings`` and one feed per dimension under its name;
     ``dimensions`` lists parents before the dimensions that refer to them.
     ``deliveries`` is a freshness report and the day it must allow.
     """
-    if deliveries is not None:
-        gate_freshness(*deliveries)
-    gate_drift(spark, f"{layers.bronze}.bookings", feeds["bookings"], contract)
-    gate_volume(spark, f"{layers.bronze}.bookings", feeds["bookings"])
+    gate_freshness(*deliveries)
+    profiles = {}
+    for name, batch in feeds.items():
+        rules, kept = contract if name == "bookings" else None, f"{layers.bronze}.{name}_profile"
+        profiles[name] = stage(batch_profile(batch, rules), f"profile-{name}")
+        gate_batch(name, profiles[name], spark.table(kept) if spark.catalog.tableExists(kept) else None, rules)
     landed = land(spark, layers, feeds)
     dims: dict[str, DataFrame] = {"date": refresh_calendar(spark, layers, *calendar)}
     for spec in dimensions:
         dims[spec.name] = refresh_dimension(spark, layers, landed[spec.name], spec, dims)
     needed = {x.parent for x in (*contract.references, *contract.cross_rules)}
     parents = {name: landed[name] for name in needed}
-    accepted = accept(layers, "bookings", landed["bookings"], contract, parents, mode)
-    return rebuild_fact(spark, layers, accepted, fact, dims)
+    return Inputs(dims, accept(layers, "bookings", landed["bookings"], contract, parents, mode), profiles)
+
+
+def keep_profiles(layers: Layers, inputs: Inputs) -> None:
+    """Make the day's batches those that the next day is compared with."""
+    for name, profile in inputs.profiles.items():
+        replace_table(profile, f"{layers.bronze}.{name}_profile")
+
+
+def refresh(
+    spark: SparkSession,
+    layers: Layers,
+    feeds: dict[str, DataFrame],
+    contract: Contract,
+    dimensions: list[Dimension],
+    fact: Fact,
+    calendar: tuple[date, date],
+    deliveries: tuple[DataFrame, date],
+    mode: str = "quarantine",
+) -> DataFrame:
+    """One whole day: feeds in, fact out (see ``refresh_inputs``)."""
+    inputs = refresh_inputs(spark, layers, feeds, contract, dimensions, calendar, deliveries, mode)
+    done = rebuild_fact(spark, layers, inputs.bookings, fact, inputs.dims)
+    keep_profiles(layers, inputs)
+    return done

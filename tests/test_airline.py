@@ -1,17 +1,19 @@
 """The whole warehouse from six CSV files of the feeds' published sizes."""
 
 from datetime import date
+from decimal import Decimal
 from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from starloom.plans.airline import CONTRACT, FARE_CLASSES, FILES, SCHEMAS, STATUSES, load, read_feeds
-from starloom.plans.refresh import Layers
+from starloom.plans.airline import CONTRACT, FARE_CLASSES, FILES, SCHEMAS, STATUSES, file_arrivals, load, read_feeds
+from starloom.plans.refresh import Layers, RefreshStopped
 from starloom.plans.warehouse import TICKET_SALES
 from starloom.operators.partitions import month_range, partitions_read
 from starloom.operators.rollup import rollup
+from starloom.sources.facts import FactStore
 
 AS_OF = date(2026, 9, 1)
 
@@ -92,9 +94,31 @@ def folder(spark, tmp_path_factory):
 
 
 @pytest.fixture(scope="module")
-def airline(spark, folder):
+def layers():
     tag = uuid4().hex[:6]
-    return load(spark, folder, AS_OF, Layers(f"b_{tag}", f"s_{tag}", f"g_{tag}"))
+    return Layers(f"b_{tag}", f"s_{tag}", f"g_{tag}")
+
+
+@pytest.fixture(scope="module")
+def airline(spark, folder, layers):
+    return load(spark, folder, AS_OF, arrived(spark, 5), layers)
+
+
+def arrived(spark, hour, day=AS_OF):
+    landed = F.lit(f"{day} 0{hour}:00:00").cast("timestamp_ntz").alias("landed_at")
+    names = spark.createDataFrame([(n,) for n in FILES], "feed string")
+    return names.select("feed", F.lit(day).alias("business_date"), landed)
+
+
+def test_a_day_whose_feeds_are_not_there_is_not_loaded(spark, folder):
+    layers = Layers("b_none", "s_none", "g_none")
+    with pytest.raises(RefreshStopped, match="6 feeds not delivered in time"):
+        load(spark, folder, AS_OF, arrived(spark, 9), layers)
+    with pytest.raises(RefreshStopped, match="1 feeds not delivered in time on 2026-09-01: flight"):
+        load(spark, folder, AS_OF, arrived(spark, 5).where("feed <> 'flight'"), layers)
+    files = file_arrivals(spark, folder, AS_OF).groupBy("feed").count()
+    assert {r["feed"] for r in files.collect()} == set(FILES)
+    assert not spark.catalog.databaseExists("b_none")
 
 
 def test_every_feed_is_loaded(airline):
@@ -155,6 +179,42 @@ def test_rollups(airline):
     assert total["average_fare"] == pytest.approx(float(total["total_fare"]) / 40000)
 
 
+def test_the_next_day_points_new_bookings_at_new_versions(spark, airline, layers, tmp_path):
+    """Passenger 700000 moved up on the first day and books on the second; one month is written."""
+    day, travels = AS_OF.replace(day=2), date(2026, 9, 20)
+    made = feeds(spark)
+    flight = made["flight"].limit(1).withColumns({"flight_id": F.lit(5000).cast("long"), "flight_date": F.lit(travels)})
+    new = {"booking_id": F.lit(50000).cast("long"), "booking_date": F.lit(day), "travel_date": F.lit(travels)}
+    booking = made["bookings"].where("booking_id = 0").withColumns({**new, "flight_id": F.lit(5000).cast("long")})
+    made |= {"flight": made["flight"].unionByName(flight), "bookings": made["bookings"].unionByName(booking)}
+    made["updates"] = made["updates"].where("passenger_id >= 900000")
+    for name, df in made.items():
+        df.write.option("header", True).csv(str(tmp_path / FILES[name]))
+    store = FactStore(spark, f"{layers.gold}.fact_ticket_sales", TICKET_SALES, "travel_date_key")
+    before = set(store.stored.entries())
+    second = load(spark, str(tmp_path), day, arrived(spark, 5, day), layers)
+    found = second.fact.where("booking_id = 50000").join(second.history, "passenger_key").first()
+    assert (found["frequent_flyer_tier"], found["effective_from"]) == ("Silver", AS_OF)
+    assert before < set(store.stored.entries())
+    assert {e.value for e in set(store.stored.entries()) - before} == {"202609"}
+
+
+def test_rows_that_do_not_fit_their_types_are_set_aside(spark, folder, tmp_path):
+    for name in FILES:
+        (tmp_path / FILES[name]).write_text(",".join(SCHEMAS[name].names) + "\n")
+    with open(tmp_path / FILES["bookings"], "a") as file:
+        file.write("1,7,8,2025-01-01,2025-02-01,Economy,10.50,1,Confirmed,300\n")
+        file.write("2,7,8,01/01/2025,2025-02-01,Economy,10.505,1,Confirmed,many\n")
+        file.write("3,7\n")
+    rows_, quarantined = read_feeds(spark, str(tmp_path))["bookings"]
+    assert rows(rows_, "booking_id", "fare_amount") == [(1, Decimal("10.50"))]
+    assert rows_.schema == SCHEMAS["bookings"]
+    assert {tuple(r["reasons"]) for r in quarantined.collect()} == {
+        ("booking_date is no date", "fare_amount is no decimal(18,2)", "miles_earned is no bigint"),
+        ("not the declared columns",),
+    }
+
+
 def test_a_file_of_wrong_lines_is_quarantined(spark, folder, tmp_path):
     for name in FILES:
         header = ",".join(SCHEMAS[name].names)
