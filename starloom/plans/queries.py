@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions.dates import month_of
 from starloom.model import Fact, Measure, Ratio
-from starloom.operators import checks, contract as rules, partitions, scd2
+from starloom.operators import checks, contract as rules, partitions, profile, scd2
 from starloom.operators.dims import calendar_for, project_dim, resolve_levels, split_dim
 from starloom.operators.facts import asof_lookup, load_fact_asof
 from starloom.operators.joins import lookup
@@ -27,7 +27,7 @@ from starloom.plans.warehouse import (
     Warehouse,
     warehouse,
 )
-from starloom.session import new_path
+from starloom.session import new_path, stage
 from starloom.sources.facts import FactStore
 from starloom.sources.history import HistoryStore
 from starloom.sources.readers import read_csv, read_text_columns
@@ -609,6 +609,68 @@ def contract_csv_types(w: Warehouse) -> DataFrame:
     return rules.check_types(read_text_columns(w.spark, path), BOOKING_CONTRACT)
 
 
+def _text_bookings(w: Warehouse) -> DataFrame:
+    """Bookings as text, some with a value that their column's type does not hold."""
+    n = F.col("booking_id")
+    text = w.bookings.select(*[F.col(c).cast("string").alias(c) for c in BOOKING_CONTRACT.names], n.alias("n"))
+    damaged = {
+        "passenger_id": F.when(F.col("n") % 13 == 0, F.concat(F.lit("P"), "passenger_id")),
+        "booking_date": F.when(F.col("n") % 11 == 0, F.regexp_replace("booking_date", "-", "/")),
+        "fare_amount": F.when(F.col("n") % 7 == 0, F.concat("fare_amount", F.lit("9"))),
+        "miles_earned": F.when(F.col("n") % 17 == 0, F.lit("none")),
+    }
+    text = text.withColumns({c: F.coalesce(bad, F.col(c)) for c, bad in damaged.items()})
+    return text.withColumn("booking_id", F.concat(F.lit(" "), "booking_id", F.lit(" "))).drop("n")
+
+
+@query
+def contract_typed_quarantine(w: Warehouse) -> DataFrame:
+    """Every booking delivered as text: typed, or set aside with all its reasons."""
+    typed, wrong = rules.conform(_text_bookings(w), BOOKING_CONTRACT)
+    columns = ["passenger_id", "booking_date", "fare_amount", "miles_earned"]
+    good = typed.select("booking_id", F.lit("").alias("reasons"), *[F.col(c).cast("string") for c in columns])
+    number = F.trim("booking_id").cast("long").alias("booking_id")
+    return good.unionByName(wrong.select(number, F.array_join("reasons", "; ").alias("reasons"), *columns))
+
+
+@query
+def batch_profile(w: Warehouse) -> DataFrame:
+    """The bookings' profile, merged from those of the bookings with and without a flight."""
+    parts = [w.bookings.where(c) for c in ("flight_id IS NOT NULL", "flight_id IS NULL")]
+    return profile.merge_profiles(*[profile.batch_profile(p, BOOKING_CONTRACT) for p in parts])
+
+
+@query
+def drift_profile(w: Warehouse) -> DataFrame:
+    """The drift of ``contract_drift`` from two stored profiles."""
+    kept = [stage(profile.batch_profile(b, BOOKING_CONTRACT), "profile") for b in (w.bookings, _changed(w))]
+    return profile.profile_drift(*kept, BOOKING_CONTRACT)
+
+
+@query
+def volume_gate(w: Warehouse) -> DataFrame:
+    """Verdicts on batches by their profiles: the first, a fall, a rise, an empty one."""
+    whole, flown, none = (
+        stage(profile.batch_profile(b), "profile")
+        for b in (w.bookings, w.bookings.where("flight_id IS NOT NULL"), w.bookings.where(F.lit(False)))
+    )
+    cases = {"first": (whole, None), "fall": (flown, whole), "rise": (whole, flown), "empty": (none, whole)}
+    found = [profile.profile_volume(*pair).withColumn("case", F.lit(name)) for name, pair in cases.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
+@query
+def freshness_gate(w: Warehouse) -> DataFrame:
+    """Feeds that hold up each day, and whether the day may run."""
+    first, last = _delivery_days(w)
+    report = rules.freshness(w.arrivals, rules.expected_days(w.arrivals, first, last + timedelta(1)))
+    return report.groupBy("business_date").agg(
+        F.count(F.lit(1)).alias("feeds"),
+        F.count_if("paused").alias("waiting"),
+        (F.count_if("paused") == 0).alias("may_run"),
+    )
+
+
 @query
 def contract_notnull(w: Warehouse) -> DataFrame:
     return rules.check_rules(w.bookings, rules.not_null_rules(BOOKING_CONTRACT))
@@ -709,10 +771,9 @@ def contract_volume(w: Warehouse) -> DataFrame:
 
 @query
 def contract_volume_by_day(w: Warehouse) -> DataFrame:
-    """Every day's deliveries, where none came on every seventh of a month."""
+    """Every day's deliveries, also of days before the first and after the last."""
     first, last = _delivery_days(w)
-    came = w.arrivals.where("day(business_date) % 7 <> 0")
-    return rules.volume_by_day(came, "business_date", first, last)
+    return rules.volume_by_day(w.arrivals, "business_date", first - timedelta(2), last + timedelta(2))
 
 
 @query
@@ -746,13 +807,16 @@ def contract_new_values(w: Warehouse) -> DataFrame:
 @query
 def contract_drift(w: Warehouse) -> DataFrame:
     """A batch that renames a column, retypes one and adds one."""
-    changed = w.bookings.select(
+    return rules.classify_drift(w.bookings, _changed(w), BOOKING_CONTRACT)
+
+
+def _changed(w: Warehouse) -> DataFrame:
+    return w.bookings.select(
         *[F.col(c) for c in BOOKING_CONTRACT.names if c not in ("booking_status", "fare_amount")],
         F.col("booking_status").alias("status"),
         F.col("fare_amount").cast("float"),
         F.lit(None).cast("string").alias("payment_method"),
     )
-    return rules.classify_drift(w.bookings, changed, BOOKING_CONTRACT)
 
 
 @query
