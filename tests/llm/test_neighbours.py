@@ -40,11 +40,45 @@ def test_the_forest_looks_at_few_where_neighbours_are_near():
     normals = a.planes(32)
     forest = a.Forest.of(a._strings(a.longer(x, longest), normals))
     flat = np.concatenate([x[:1] / np.linalg.norm(x[0]), np.zeros((1, 1))], 1)
-    begin, end = forest.ranges(a._strings(flat, normals)[:, 0])
-    assert (np.diff(end - begin, axis=0) <= 0).all() and (end[0] - begin[0] == 4000).all()
-    length = int(np.flatnonzero((end - begin).sum(1) >= a.FIRST * 10)[-1])
-    met = forest.candidates(begin, end, length)
-    assert length > 4 and len(met) < 1000 and set(brute(np.arange(4000), x, 0, x[0], 10)[0]) <= set(met.tolist())
+    own = a._strings(flat, normals)
+    sizes = []
+    for length in range(a.BITS + 1):
+        begin, end = forest.ranges(own, length)
+        sizes.append((end - begin)[:, 0])
+    assert (np.diff(sizes, axis=0) <= 0).all() and (sizes[0] == 4000).all()
+    length = int(forest.longest(own, a.FIRST * 10 + a.TREES)[0])
+    begin, end = forest.ranges(own, length)
+    met = forest.candidates(begin[:, 0], end[:, 0])
+    plain = {int(p) for t in range(a.TREES) for p in forest.places[t, begin[t, 0] : end[t, 0]]}
+    assert set(met.tolist()) == plain
+    assert length > 4 and len(met) < 400 and set(brute(np.arange(4000), x, 0, x[0], 10)[0]) <= plain
+
+
+def test_few_are_scored_where_neighbours_are_near_and_many_are_left_out_where_not(monkeypatch):
+    """Clustered vectors, and random ones, which have no near neighbours; blocks of a larger table."""
+    r = np.random.default_rng(5)
+    near = np.repeat(r.normal(size=(160, 64)), 50, 0) + 0.1 * r.normal(size=(8000, 64))
+    far = r.normal(size=(8000, 64))
+    scored = []
+    work = a.Forest.candidates
+    monkeypatch.setattr(a.Forest, "candidates", lambda *args: scored.append(len(got := work(*args))) or got)
+    for x, most, at_least in ((near, 0.1, 0.99), (far / np.linalg.norm(far, axis=1)[:, None], 0.5, 0.9)):
+        scored.clear()
+        queries = x[:60]
+        longest = np.sqrt((x**2).sum(1).max())
+        hits = 0
+        for own, met, _ in a.nearest(np.arange(8000), x, np.arange(60), queries, 20, longest, 0.15):
+            wanted = brute(np.arange(8000), x, own, x[own], 3)[0]  # so many are this block's share
+            hits += len(set(wanted) & set(met.tolist()))
+        assert sum(scored) / (60 * 8000) < most and hits / 180 >= at_least
+
+
+def test_very_long_vectors_and_clashing_columns(spark):
+    rows = [(i, [float((i * j) % 7 - 3) for j in range(1, 3001)], 1, "x") for i in range(1, 13)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, id int, vector string")
+    got = a.search(frame, F.col("vec_id") == 5, 3).collect()
+    wide = np.array([r[1] for r in rows])
+    assert [r["id"] for r in sorted(got, key=lambda r: r["rank"])] == brute(np.arange(1, 13), wide, 5, wide[4], 3)[0]
 
 
 def test_ties_copies_and_vectors_that_take_no_part(spark):
