@@ -113,7 +113,8 @@ RULES = (
     Rule("shouting", "n_upper > 0.20 * n_alnum"),
     Rule("marks", "n_marks > 0.10 * n_words"),
     Rule("repeats", "n_repeat_words > 0.30 * n_words"),
-    Rule("variety", "n_distinct < 0.25 * n_words AND n_words < 5000"),
+    # the words of a text grow like a power of its length, so its share of distinct ones falls
+    Rule("variety", "n_distinct < 0.8 * power(n_words, 0.75)"),
     Rule("lines", "n_dup_lines >= 3"),
     Rule("word_length", "word_chars < 2.0 * n_words OR word_chars > 20.0 * n_words"),
     Rule(

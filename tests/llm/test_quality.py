@@ -75,6 +75,15 @@ def test_em_finds_the_accuracy_of_rules():
     assert model.log_odds(sure) < 0 < model.log_odds({"a": 0, "b": 0, "c": -1, "d": 1})
 
 
+def test_variety_votes_alike_at_every_length(docs):
+    """Few words over and over in ever new order, and text whose words go on growing."""
+    rule = next(r for r in q.RULES if r.name == "variety")
+    dull = [" ".join(LETTERS[(i * i + i // 7) % 20] for i in range(n)) for n in (80, 4_990, 5_010, 40_000)]
+    rich = [" ".join(f"w{i % int(3 * n ** 0.8)}" for i in range(n)) for n in (80, 4_990, 5_010, 40_000)]
+    rows = q.features(docs(*enumerate(dull + rich))).withColumn("vote", rule.vote())
+    assert [r["vote"] for r in rows.orderBy("doc_id").collect()] == [q.BAD] * 4 + [q.ABSTAIN] * 4
+
+
 def test_odd_rows_and_an_empty_table(odd, docs):
     got = q.judge(odd).collect()
     assert len(got) == 7 and not any(r["kept"] for r in got)
