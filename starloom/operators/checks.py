@@ -105,9 +105,13 @@ def functional_dependency(df: DataFrame, determinant: list[str], dependent: str)
 
 def date_range_profile(df: DataFrame, *days: str) -> DataFrame:
     """Earliest and latest value per date column, one row each."""
-    row = df.agg(
-        *[f(F.col(d)).alias(f"{n}_{d}") for d in days for n, f in (("lo", F.min), ("hi", F.max))]
+    return ranges_of(
+        df.agg(*[f(F.col(d)).alias(f"{n}_{d}") for d in days for n, f in (("lo", F.min), ("hi", F.max))]), *days
     )
+
+
+def ranges_of(row: DataFrame, *days: str) -> DataFrame:
+    """One row of earliest and latest days as one row per column."""
     ranges = [
         F.struct(
             F.lit(d).alias("column_name"),
@@ -157,26 +161,53 @@ def constraint_report(
 ) -> DataFrame:
     """One row per constraint with its number of violations.
 
-    All row rules share one pass. A unique constraint counts the values that
-    repeat, a reference the rows that point nowhere.
+    All row rules share one pass. All keys and references share another: every row gives
+    one entry to each of them, the entries are counted before they are shuffled, and one
+    shuffle brings equal ones together. A unique constraint counts the values that repeat,
+    a reference the rows that point nowhere.
     """
-    parts = []
     rules = [c for c in constraints if isinstance(c, RowRule)]
+    keyed = [c for c in constraints if not isinstance(c, RowRule)]
+    parts = []
     if rules:
-        row = df.agg(*[F.count_if(r.violated).alias(f"r{i}") for i, r in enumerate(rules)])
-        pairs = [
-            F.struct(F.lit(r.name).alias("constraint_name"), F.col(f"r{i}").alias("violations"))
-            for i, r in enumerate(rules)
-        ]
-        parts.append(row.select(F.inline(F.array(*pairs))))
-    for c in constraints:
-        if isinstance(c, Unique):
-            rows = df if c.where is None else df.where(c.where)
-            parts.append(_named(c.name, _count(grain_check(rows, list(c.columns)))))
-        elif isinstance(c, Reference):
-            parts.append(_named(c.name, orphan_rows(df, c.column, c.parent, c.key)))
+        parts.append(_listed(df.agg(*[F.count_if(r.violated).alias(f"c{i}") for i, r in enumerate(rules)]), rules))
+    if keyed:
+        parts.append(_listed(_keyed_violations(df, keyed), keyed))
     return _union(parts)
 
 
-def _named(name: str, count: DataFrame) -> DataFrame:
-    return count.select(F.lit(name).alias("constraint_name"), F.col("n").alias("violations"))
+def _listed(row: DataFrame, constraints: list) -> DataFrame:
+    """One row of counts as one row per constraint."""
+    pairs = [
+        F.struct(F.lit(c.name).alias("constraint_name"), F.col(f"c{i}").alias("violations"))
+        for i, c in enumerate(constraints)
+    ]
+    return row.select(F.inline(F.array(*pairs)))
+
+
+def _key(*columns: str) -> Column:
+    return F.array(*[F.col(c).cast("string") for c in columns])
+
+
+def _keyed_violations(df: DataFrame, constraints: list[Unique | Reference]) -> DataFrame:
+    entries, parents = [], []
+    for i, c in enumerate(constraints):
+        if isinstance(c, Unique):
+            within, key = F.lit(True) if c.where is None else c.where, _key(*c.columns)
+        else:
+            within, key = F.col(c.column).isNotNull(), _key(c.column)
+            parent = c.parent.where(F.col(c.key).isNotNull()).select(_key(c.key).alias("key"))
+            parents.append(parent.distinct().select(F.lit(i).alias("number"), "key", F.lit(True).alias("known")))
+        entries.append(F.when(within, F.struct(F.lit(i).alias("number"), key.alias("key"))))
+    each = df.select(F.inline(F.array_compact(F.array(*entries))))
+    counted = each.groupBy("number", "key").agg(F.count(F.lit(1)).alias("n"))
+    if parents:
+        on = {"number": "number", "key": "key"}
+        counted = lookup(counted, _union(parents), on, {"known": "known"}, "left", unique=True)
+    violated = [
+        F.count_if((F.col("number") == i) & (F.col("n") > 1))
+        if isinstance(c, Unique)
+        else F.coalesce(F.sum(F.when((F.col("number") == i) & F.col("known").isNull(), F.col("n"))), F.lit(0))
+        for i, c in enumerate(constraints)
+    ]
+    return counted.agg(*[v.alias(f"c{i}") for i, v in enumerate(violated)])

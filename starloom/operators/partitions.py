@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions.columns import all_of
@@ -31,6 +33,12 @@ def boundary_keys(df: DataFrame, day: str) -> list[int]:
     return sorted(r["boundary_key"] for r in month_boundaries(df, day).collect())
 
 
+def boundaries_between(first: date, last: date) -> list[int]:
+    """The same for a range of days that is known."""
+    months = range(first.year * 12 + first.month - 1, last.year * 12 + last.month + 1)
+    return [m // 12 * 10_000 + (m % 12 + 1) * 100 + 1 for m in months]
+
+
 def range_partition(key: Column, boundaries: list[int]) -> Column:
     """Partition number where a boundary value belongs to the partition it opens.
 
@@ -54,9 +62,26 @@ def partition_report(fact: DataFrame, key: str, boundaries: list[int]) -> DataFr
 
     The upper boundary is exclusive and NULL for the last partition.
     """
-    counts = fact.groupBy(range_partition(F.col(key), boundaries).alias("partition_number")).count()
+    counts = fact.groupBy(range_partition(F.col(key), boundaries).alias("partition_number")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    return _every_partition(counts, boundaries)
+
+
+def partition_report_by_month(
+    months: DataFrame, boundaries: list[int], month: str = MONTH
+) -> DataFrame:
+    """The same report from the rows per month, for boundaries that open months each."""
+    off = [b for b in boundaries if b % 100 != 1]
+    if off:
+        raise ValueError(f"boundaries within a month: {off[:5]}")
+    number = range_partition(F.col(month) * 100 + 1, boundaries).alias("partition_number")
+    return _every_partition(months.groupBy(number).agg(F.sum("rows").alias("rows")), boundaries)
+
+
+def _every_partition(counts: DataFrame, boundaries: list[int]) -> DataFrame:
     every = [(n + 1, b) for n, b in enumerate([*boundaries, None])]
-    partitions = fact.sparkSession.createDataFrame(
+    partitions = counts.sparkSession.createDataFrame(
         every, "partition_number int, upper_boundary_key int"
     )
     return (
@@ -64,7 +89,7 @@ def partition_report(fact: DataFrame, key: str, boundaries: list[int]) -> DataFr
         .select(
             "partition_number",
             "upper_boundary_key",
-            F.coalesce("count", F.lit(0)).alias("rows"),
+            F.coalesce("rows", F.lit(0)).alias("rows"),
         )
         .orderBy("partition_number")
     )

@@ -28,6 +28,7 @@ from starloom.plans.warehouse import (
     warehouse,
 )
 from starloom.session import new_path, stage
+from starloom.sources import footers
 from starloom.sources.facts import FactStore
 from starloom.sources.history import HistoryStore
 from starloom.sources.readers import read_csv, read_text_columns
@@ -92,8 +93,10 @@ def row_count_report(w: Warehouse) -> DataFrame:
 
 @query
 def partition_report(w: Warehouse) -> DataFrame:
-    boundaries = partitions.boundary_keys(w.lines, "travel_date")
-    report = partitions.partition_report(w.line_fact, "travel_date_key", boundaries)
+    """Rows of the stored line fact, all from its files' footers."""
+    stored = w.spark, w.line_fact_path, w.line_fact_schema
+    boundaries = partitions.boundaries_between(*footers.date_ranges(*stored, "travel_date").first())
+    report = partitions.partition_report_by_month(footers.month_counts(*stored), boundaries)
     return report.withColumns(_long("partition_number", "upper_boundary_key"))
 
 
@@ -544,7 +547,10 @@ def functional_dependency(w: Warehouse) -> DataFrame:
 
 @query
 def date_range_profile(w: Warehouse) -> DataFrame:
-    return checks.date_range_profile(w.bookings, "booking_date", "travel_date")
+    """The landed bookings' days, from their files' footers."""
+    days = "booking_date", "travel_date"
+    row = footers.date_ranges(w.spark, w.bookings_path, w.bookings.schema, *days)
+    return checks.ranges_of(row, *days)
 
 
 @query

@@ -339,9 +339,15 @@ class Warehouse:
     # -- tables the warehouse keeps ----------------------------------------------
 
     @cached_property
+    def bookings_path(self) -> str:
+        path = new_path(self.spark, "bookings")
+        self.booking_feed.write.parquet(path)
+        return path
+
+    @property
     def bookings(self) -> DataFrame:
         """The landed booking feed."""
-        return stage(self.booking_feed, "bookings")
+        return self.spark.read.schema(self.booking_feed.schema).parquet(self.bookings_path)
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -414,10 +420,13 @@ class Warehouse:
         path = new_path(self.spark, "line-fact")
         return write_partitioned(self.lines, path, "travel_date_key", ["booking_id", "line_number"])
 
+    @property
+    def line_fact_schema(self) -> T.StructType:
+        return T.StructType([*self.lines.schema, T.StructField("travel_month", T.IntegerType())])
+
     @property
     def line_fact(self) -> DataFrame:
-        schema = T.StructType([*self.lines.schema, T.StructField("travel_month", T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(self.line_fact_path)
+        return self.spark.read.schema(self.line_fact_schema).parquet(self.line_fact_path)
 
 
 _OPEN: dict[tuple[str, str], Warehouse] = {}
