@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -20,6 +21,34 @@ def narrow_int(value: Column) -> Column:
     return F.when(fits, value.cast("int")).otherwise(F.raise_error(message).cast("int"))
 
 
+_DECLARED = re.compile(r"(?P<kind>char|varchar|[a-z]+)(\((?P<size>[0-9,]+)\))?(?P<null> null)?")
+
+
+def _declared(kind: str) -> re.Match:
+    found = _DECLARED.fullmatch(kind)
+    if found is None:
+        raise ValueError(f"no declared type: {kind}")
+    return found
+
+
+def misfits(value: Column, kind: str) -> Column:
+    """Whether a value is none of its declared type: too long, too short, too large or NULL."""
+    declared = _declared(kind)
+    if declared["kind"] == "char":
+        wrong = F.length(value) != int(declared["size"])
+    elif declared["kind"] == "varchar":
+        wrong = F.length(value) > int(declared["size"])
+    else:
+        wrong = value.isNotNull() & value.try_cast(kind.removesuffix(" null")).isNull()
+    return F.coalesce(wrong, F.lit(False)) if declared["null"] else F.coalesce(wrong, F.lit(True)) | value.isNull()
+
+
+def as_declared(value: Column, kind: str) -> Column:
+    """A value that fits as its declared type; text stays text."""
+    text = _declared(kind)["kind"] in ("char", "varchar")
+    return value if text else value.try_cast(kind.removesuffix(" null"))
+
+
 def any_of(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 

@@ -24,7 +24,8 @@ class Dimension:
     """A dimension built from a source frame.
 
     ``columns`` maps source columns to the dimension's names and holds the
-    business key under its new name.
+    business key under its new name. ``types`` declares some of them as char(n),
+    varchar(n) or a narrower number, not NULL unless ``null`` follows.
     """
 
     name: str
@@ -32,6 +33,7 @@ class Dimension:
     business_key: list[str]
     columns: dict[str, str]
     parents: tuple[Parent, ...] = ()
+    types: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)

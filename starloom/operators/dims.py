@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.functions.columns import any_of, failed_names
+from starloom.functions.columns import any_of, as_declared, failed_names, misfits
 from starloom.functions.dates import calendar_columns
 from starloom.model import Dimension, Level, Parent
 from starloom.operators.joins import lookup
@@ -51,11 +51,8 @@ class DimRows(NamedTuple):
     rejects: DataFrame
 
 
-def split_dim(src: DataFrame, spec: Dimension, dims: dict[str, DataFrame]) -> DimRows:
-    """The dimension's rows with parent keys resolved, before its own key, and the rejects.
-
-    A reject has no value for its business key or a role without parent.
-    """
+def _judged(src: DataFrame, spec: Dimension, dims: dict[str, DataFrame]) -> tuple[DataFrame, list[str]]:
+    """The dimension's columns with parent keys resolved, and ``reasons`` against each row."""
     resolved = resolve_parents(src, spec.parents, dims, "left")
     named = resolved.select(
         *[F.col(c).alias(n) for c, n in spec.columns.items()],
@@ -63,15 +60,30 @@ def split_dim(src: DataFrame, spec: Dimension, dims: dict[str, DataFrame]) -> Di
     )
     wrong = {f"{c} is null": F.col(c).isNull() for c in spec.business_key}
     wrong |= {f"no {p.role}": F.col(p.result).isNull() for p in spec.parents}
-    marked = named.withColumn("reasons", failed_names(wrong))
+    wrong |= {f"{c} is no {kind}": misfits(F.col(c), kind) for c, kind in spec.types.items()}
+    return named.withColumn("reasons", failed_names(wrong)), named.columns
+
+
+def _typed(rows: DataFrame, spec: Dimension, columns: list[str]) -> DataFrame:
+    return rows.select(*[as_declared(F.col(c), spec.types[c]).alias(c) if c in spec.types else c for c in columns])
+
+
+def split_dim(src: DataFrame, spec: Dimension, dims: dict[str, DataFrame]) -> DimRows:
+    """The dimension's rows with parent keys resolved, before its own key, and the rejects.
+
+    A reject has no value for its business key, a role without parent, or a value that is
+    none of its declared type. Both are written in one pass.
+    """
+    marked, columns = _judged(src, spec, dims)
     judged = stage(marked.withColumn("rejected", F.size("reasons") > 0), spec.name, "rejected")
-    rows = judged.where("not rejected").select(*named.columns)
+    rows = _typed(judged.where("not rejected"), spec, columns)
     return DimRows(rows, judged.where("rejected").select(*spec.business_key, "reasons"))
 
 
 def project_dim(src: DataFrame, spec: Dimension, dims: dict[str, DataFrame]) -> DataFrame:
-    """The dimension's rows that found their parents, before its own key."""
-    return split_dim(src, spec, dims).rows
+    """The dimension's rows that found their parents, before its own key. Nothing is written."""
+    marked, columns = _judged(src, spec, dims)
+    return _typed(marked.where(F.size("reasons") == 0), spec, columns)
 
 
 def build_dim(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 from functools import reduce
 
@@ -123,6 +123,27 @@ CONTRACT = Contract(
 )
 
 
+# The declared types of the dimensions' columns.
+TYPES = {
+    "airport": {
+        "airport_code": "char(3)",
+        "airport_name": "varchar(100)",
+        "city": "varchar(100)",
+        "country": "varchar(100)",
+        "region": "varchar(50)",
+    },
+    "aircraft": {
+        "aircraft_code": "varchar(20)",
+        "model": "varchar(50)",
+        "manufacturer": "varchar(50)",
+        "seat_capacity": "int",
+    },
+    "passenger": {"passenger_name": "varchar(100)", "frequent_flyer_tier": "varchar(20)", "signup_date": "date"},
+    "flight": {"flight_number": "varchar(10)", "flight_date": "date"},
+}
+DIMENSIONS = [replace(d, types=TYPES[d.name]) for d in (AIRPORT, AIRCRAFT, PASSENGER, FLIGHT)]
+
+
 def read_feeds(spark: SparkSession, folder: str) -> dict[str, Csv]:
     """All feeds landed with their declared types, codes brought to one form.
 
@@ -238,9 +259,8 @@ def load(
     gate_freshness(*deliveries)
     read = read_feeds(spark, folder)
     feeds = {name: feed.rows for name, feed in read.items()}
-    order = [AIRPORT, AIRCRAFT, PASSENGER, FLIGHT]
     daily = {n: df for n, df in feeds.items() if n != "updates"}
-    inputs = refresh_inputs(spark, layers, daily, CONTRACT, order, CALENDAR, deliveries)
+    inputs = refresh_inputs(spark, layers, daily, CONTRACT, DIMENSIONS, CALENDAR, deliveries)
     replace_table(read["bookings"].quarantined, f"{layers.bronze}.bookings_unreadable")
     dims = inputs.dims
     geography = {

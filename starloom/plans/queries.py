@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,6 +17,7 @@ from starloom.operators.joins import lookup
 from starloom.operators.keys import assign_keys
 from starloom.operators.rollup import rollup
 from starloom.plans.warehouse import (
+    AIRCRAFT,
     AS_OF,
     BOOKING_CONTRACT,
     GEOGRAPHY,
@@ -790,6 +792,18 @@ def dim_rejects(w: Warehouse) -> DataFrame:
     return found.rejects.select("passenger_id", F.array_join("reasons", ", ").alias("reason"))
 
 
+@query
+def narrowing_report(w: Warehouse) -> DataFrame:
+    """Aircraft against declared types; some seat capacities and codes do not fit theirs."""
+    n = F.col("seat_capacity")
+    feed = w.aircraft.withColumn("seat_capacity", F.when(n % 2 == 0, n + 2**40).otherwise(n))
+    types = {"aircraft_code": "char(8)", "model": "varchar(6)", "manufacturer": "varchar(6)", "seat_capacity": "int"}
+    rows, rejects = split_dim(feed, replace(AIRCRAFT, types=types), {})
+    kept = rows.select("aircraft_code", F.lit("").alias("reasons"), "seat_capacity")
+    lost = rejects.select("aircraft_code", F.array_join("reasons", "; ").alias("reasons"), F.lit(None).cast("int").alias("seat_capacity"))
+    return kept.unionByName(lost)
+
+
 @query
 def contract_cross_quarantine(w: Warehouse) -> DataFrame:
     """Bookings set aside because they travel on another day than their flight."""

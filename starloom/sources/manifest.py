@@ -13,8 +13,11 @@ it while it lists files, and a condition on the partition column prunes as usual
 
 from __future__ import annotations
 
+import math
+import time
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -100,6 +103,52 @@ class ManifestTable:
         """Where further files that a version keeps are to be written."""
         return f"{self.properties()[ROOT]}/{kind}/{part}"
 
+    def versions(self) -> list[tuple[str, float]]:
+        """Every version with a manifest, the shown one last, and when it was written."""
+        known = self.properties()
+        made = sorted((when, name) for name, when in self._folders(f"{known[ROOT]}/manifests"))
+        shown = known[VERSION]
+        # a version that died before it was shown may be younger than the shown one
+        return [(n, t) for t, n in made if n != shown] + [(n, t) for t, n in made if n == shown]
+
+    def vacuum(self, keep: int = 1, grace: timedelta = timedelta(days=1)) -> list[str]:
+        """Remove folders that none of the last ``keep`` versions list; those removed.
+
+        A version that was shown within ``grace`` is kept for its readers, and a folder
+        written within it for its writer, who may not have shown it yet.
+        """
+        known, limit = self.properties(), time.time() - grace.total_seconds()
+        versions = self.versions()
+        ends = [t for _, t in versions[1:]] + [math.inf]
+        kept = {n for i, (n, _) in enumerate(versions) if i >= len(versions) - max(keep, 1) or ends[i] > limit}
+        listed: set[tuple[str, str]] = set()
+        for name in kept:
+            rows = self.spark.read.schema(_SCHEMA).parquet(f"{known[ROOT]}/manifests/{name}").select("kind", "part")
+            listed |= {(r["kind"], f"{PART}={r['part']}" if r["kind"] == ROWS else str(r["part"])) for r in rows.collect()}
+        removed = []
+        for kind, _ in self._folders(known[ROOT]):
+            for name, written in self._folders(f"{known[ROOT]}/{kind}"):
+                spare = name in kept if kind == "manifests" else (kind, name) in listed
+                if not spare and written < limit:
+                    self._remove(f"{known[ROOT]}/{kind}/{name}")
+                    removed.append(f"{kind}/{name}")
+        return sorted(removed)
+
+    def _files(self, path: str):
+        jvm = self.spark._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _folders(self, path: str) -> list[tuple[str, float]]:
+        """Folders in a folder with the time of their last change, in seconds."""
+        where, files = self._files(path)
+        found = [f for f in files.listStatus(where) if f.isDirectory()]
+        return [(f.getPath().getName(), f.getModificationTime() / 1000) for f in found]
+
+    def _remove(self, path: str) -> None:
+        where, files = self._files(path)
+        files.delete(where, True)
+
     def publish(
         self, entries: list[Entry], properties: dict[str, str], root: str | None = None, schema: T.StructType | None = None
     ) -> None:

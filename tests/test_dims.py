@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
@@ -5,7 +6,15 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from starloom.functions.columns import code, narrow_int
-from starloom.operators.dims import build_dim, calendar_dim, calendar_for, resolve_levels, snowflake
+from starloom.operators.dims import (
+    build_dim,
+    calendar_dim,
+    calendar_for,
+    project_dim,
+    resolve_levels,
+    snowflake,
+    split_dim,
+)
 from starloom.model import Level
 from starloom.plans.warehouse import AIRCRAFT, AIRPORT, FLIGHT, GEOGRAPHY, PASSENGER
 
@@ -149,3 +158,21 @@ def test_narrowing_fails_on_overflow_even_without_ansi(spark, settings):
     too_large = spark.createDataFrame([(2**31,)], "v long")
     with pytest.raises(Exception, match="does not fit INT"):
         too_large.select(narrow_int(F.col("v"))).collect()
+
+
+def test_values_that_are_none_of_their_declared_type_are_rejects(spark):
+    spec = replace(AIRCRAFT, types={"aircraft_code": "char(4)", "model": "varchar(3) null", "manufacturer": "varchar(6)", "seat_capacity": "int"})
+    feed = spark.createDataFrame(
+        [("AC01", "A32", "Airbus", 180), ("AC02", None, "Airbus", 2**40), ("AC003", "A3200", None, 10), ("AC04", None, "Airbus", -(2**31))],
+        "aircraft_code string, model string, manufacturer string, seat_capacity long",
+    )
+    found = split_dim(feed, spec, {})
+    assert dict(found.rows.dtypes)["seat_capacity"] == "int"
+    assert rows(found.rows, "aircraft_code", "seat_capacity") == [("AC01", 180), ("AC04", -(2**31))]
+    assert rows(found.rejects) == [
+        ("AC003", ["aircraft_code is no char(4)", "model is no varchar(3) null", "manufacturer is no varchar(6)"]),
+        ("AC02", ["seat_capacity is no int"]),
+    ]
+    assert rows(project_dim(feed, spec, {}), "aircraft_code") == [("AC01",), ("AC04",)]
+    with pytest.raises(ValueError, match="no declared type"):
+        split_dim(feed, replace(AIRCRAFT, types={"model": "VARCHAR (3)"}), {})

@@ -96,3 +96,30 @@ def test_month_conditions_prune_folders(spark, facts):
     facts.rebuild(sales(spark, *FIRST))
     months = {f.split("travel_month=")[1][:6] for (f,) in facts.read().where("travel_month = 202604").select(F.input_file_name()).distinct().collect()}
     assert months == {"202604"}
+
+
+def test_superseded_folders_go_after_their_grace(spark, facts):
+    facts.rebuild(sales(spark, *FIRST))
+    facts.rebuild(sales(spark, *FIRST[1:]))
+    reader = facts.read()
+    for day in range(8):
+        facts.rebuild(sales(spark, *FIRST[1:3], (4, 20260501, 20260312, 1, 100 + day)))
+    facts.stored.write(facts.read())  # a writer that died
+    held = facts.stored.vacuum()
+    assert held == [] and reader.count() == 3
+    listed = folders(facts)
+    removed = facts.stored.vacuum(grace=timedelta(0))
+    assert {r.split("/")[0] for r in removed} == {"rows", "manifests"}
+    kept = {name for name, _ in facts.stored._folders(f"{facts.stored.properties()['starloom.root']}/rows")}
+    assert kept == {f"starloom_part={part}" for part, _ in listed}
+    assert len(facts.stored.versions()) == 1
+    assert rows(facts.read(), "booking_id", "fare") == [(2, 6), (3, 7), (4, 107)]
+    assert facts.rebuild(sales(spark, *FIRST)) == [202603, 202605] and facts.stored.vacuum(grace=timedelta(0)) != []
+
+
+def test_kept_versions_keep_their_folders(spark, facts):
+    facts.rebuild(sales(spark, *FIRST))
+    reader = facts.read()
+    facts.rebuild(sales(spark, *FIRST[1:]))
+    facts.stored.vacuum(keep=3, grace=timedelta(0))
+    assert reader.count() == 4
