@@ -41,7 +41,7 @@ def run(df: DataFrame) -> None:
 
 def build(w: Warehouse) -> None:
     """Everything the warehouse stores, down to the partitioned line fact."""
-    for df in (w.load.fact, w.dim_history, w.geography_levels["airport"], w.line_fact):
+    for df in (w.load.fact, w.dim_history, w.geography_levels["airport"], w.booking_fact, w.line_fact):
         run(df)
 
 
