@@ -13,9 +13,14 @@ to all its documents, which links large groups of copies by as many pairs as the
 have members. Only pairs across the components found so far are then joined in full,
 so no group is expanded into all its pairs and no link between components is lost.
 
+A candidate pair is first bounded: how many hashes of each set begin with the same
+bits says how many they can share at most. Whole sets are moved only for pairs that
+this bound leaves, so candidates that share a few passages cost little.
+
 NULL and empty texts have no shingles and are linked with nothing. Rows with one id
-are one node; a NULL id is never linked and has component NULL. An empty table gives
-an empty result.
+are one node, whatever their texts: what one of them is linked with, all of them with
+shingles are. A NULL id is never linked and has component NULL. An empty table gives
+an empty result. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -146,39 +151,88 @@ def order_of(docs: DataFrame, size: int = SHINGLE) -> Order:
     return Order(words, word_weight, shingles, shingle_weight)
 
 
-def _sketches(shared, size: int, percent: int, with_sets: bool):
-    """Per document its set's size and signature, and the tokens of its longest prefix or its whole set."""
+def cells(whole: np.ndarray) -> np.ndarray:
+    """How many of a set's hashes begin with each pattern of bits, about two for each cell."""
+    bits = max(1, len(whole).bit_length() - 1)
+    while True:
+        counts = np.bincount((whole >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        if counts.max() < 256:
+            return counts.astype(np.uint8)
+        bits += 1
+
+
+def most_shared(x: np.ndarray, y: np.ndarray) -> int:
+    """Most hashes that two sets with these cells can have in common."""
+    few, many = (x, y) if len(x) <= len(y) else (y, x)
+    return int(np.minimum(few, many.reshape(len(few), -1).sum(1)).sum())
+
+
+def _sketches(shared, size: int, percent: int):
+    """Per document its set's size, signature and cells, and the tokens of its longest prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch):
-                sizes, signs, tokens = [], [], []
+                sizes, signs, counts, tokens = [], [], [], []
                 for text in texts_of(part):
                     words = word_hashes(text)
                     whole = np.unique(shingle_hashes(words, size))
                     n = len(whole)
                     sizes.append(n)
-                    signs.append(xxhash.xxh3_128_digest(whole.tobytes()) if n else None)
-                    if with_sets:
-                        tokens.append(whole.tobytes())
-                    elif n:
-                        most = min(MAX_LEVEL, needed(n, percent))
-                        tokens.append(shared.value.tokens(words, size)[: n - needed(n, percent) + most])
-                    else:
-                        tokens.append([])
+                    signs.append(_sign(whole))
+                    counts.append(cells(whole).tobytes() if n else None)
+                    most = min(MAX_LEVEL, needed(n, percent))
+                    tokens.append(shared.value.tokens(words, size)[: n - needed(n, percent) + most] if n else [])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array(sizes, pa.int64()),
                         pa.array(signs, pa.binary()),
-                        pa.array(tokens, pa.binary() if with_sets else pa.list_(pa.int64())),
+                        pa.array(counts, pa.binary()),
+                        pa.array(tokens, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "sign", "whole" if with_sets else "tokens"],
+                    ["doc_id", "n", "sign", "cells", "tokens"],
+                )
+
+    return run
+
+
+def _sign(whole: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(whole.tobytes()) if len(whole) else None
+
+
+def _sets(size: int, with_sets: bool = True):
+    """Per document its set's signature and the set itself, or the digest of its text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in steps(batch):
+                wholes = [np.unique(shingle_hashes(word_hashes(text), size)) for text in texts_of(part)]
+                last = pa.array([w.tobytes() for w in wholes], pa.binary()) if with_sets else part.column("digest")
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(map(_sign, wholes), pa.binary()), last],
+                    ["doc_id", "sign", "whole" if with_sets else "digest"],
                 )
 
     return run
 
 
+def _bounded(percent: int):
+    """The pairs that can be similar by their cells."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("cells_a"), batch.column("cells_b")):
+                a, b = (np.frombuffer(s.as_buffer(), np.uint8) for s in (x, y))
+                keep.append(similar(most_shared(a, b), int(a.sum()), int(b.sum()), percent))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], ["a", "b"]
+            )
+
+    return run
+
+
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,22 +250,37 @@ def _verified(percent: int):
     return run
 
 
-def _links(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose sets are similar. Sets are made anew for the documents in them."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _if_small(side: DataFrame) -> DataFrame:
+    """A staged side, broadcast if its size allows."""
+    return F.broadcast(side) if fits_broadcast(side) else side
+
+
+def _in_pairs(pairs: DataFrame) -> DataFrame:
+    return stage(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct(), "ids")
+
+
+def _links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs whose sets are similar. Sets are made anew for pairs that their cells leave."""
     pairs = stage(pairs, "pairs")
     if pairs.isEmpty():
         return pairs
-    ids = stage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
-    wanted = F.broadcast(ids) if fits_broadcast(ids) else ids
-    sets = stage(
+    counts = reps.join(_if_small(_in_pairs(pairs)), "doc", "left_semi").select("doc", "cells")
+    both = pairs.join(counts.toDF("a", "cells_a"), "a").join(counts.toDF("b", "cells_b"), "b")
+    pairs = stage(both.mapInArrow(_bounded(percent), "a long, b long"), "near")
+    if pairs.isEmpty():
+        return pairs
+    wanted = reps.join(_if_small(_in_pairs(pairs)), "doc", "left_semi").select("doc", "doc_id", "sign")
+    wanted = _if_small(stage(wanted, "wanted"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    made = (
         docs.join(wanted, "doc_id", "left_semi")
-        .mapInArrow(_sketches(None, size, percent, True), f"doc_id {kind}, n long, sign binary, whole binary")
-        .select("doc_id", "whole"),
-        "sets",
+        .mapInArrow(_sets(size), f"doc_id {kind}, sign binary, whole binary")
+        .join(wanted, ["doc_id", "sign"])
     )
+    # rows of one id and one set are one node
+    sets = stage(made.groupBy("doc").agg(F.first("whole").alias("whole")), "sets")
     both = pairs.join(sets.toDF("a", "whole_a"), "a").join(sets.toDF("b", "whole_b"), "b")
-    return stage(both.mapInArrow(_verified(percent), f"a {kind}, b {kind}").distinct(), "similar")
+    return stage(both.mapInArrow(_verified(percent), "a long, b long"), "similar")
 
 
 def _level(position: Column, n: Column, percent: int) -> Column:
@@ -272,7 +341,7 @@ def _leader_pairs(postings: DataFrame, labels: DataFrame, number: int, percent:
     whose shingles are the most frequent, as a document is that others were copied
     from; in later rounds the first by a hash.
     """
-    band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / PERCENT) + number / LEADER_ROUNDS)
+    band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent) + number / LEADER_ROUNDS)
     rows = postings.join(labels, "doc").withColumn("band", band)
     place = -F.col("weight") if number == 0 else F.xxhash64(F.col("doc"), F.lit(number))
     named = {"doc": "d", "comp": "c", "common": "a", "n": "m"}
@@ -314,57 +383,113 @@ def _cross_pairs(postings: DataFrame, labels: DataFrame, percent: int) -> DataFr
     return by_rare.union(by_often).distinct().toDF("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per row its id, the size of its set, and the least id it is linked with."""
-    ship(docs.sparkSession)
-    rows = texts(docs, id_col, text_col)
+@dataclass
+class Found:
+    """Rows' sketches, the classes of equal sets, and links between classes with the
+    least class of each component that they make."""
+
+    sketches: DataFrame
+    classes: DataFrame
+    links: DataFrame
+    labels: DataFrame
+
+    def named(self) -> DataFrame:
+        """Of each class, by its sign, the first class of its component by id and sign."""
+        met = stage(self.classes.join(self.labels, "node"), "met")
+        least = stage(met.groupBy("label").agg(F.min(F.struct("rep", "sign")).alias("least")), "least")
+        of = met.join(_if_small(least), "label").select("sign", "least")
+        own = F.struct("rep", "sign")
+        return self.classes.join(of, "sign", "left").select("sign", F.coalesce("least", own).alias("least"))
+
+
+def _search(rows: DataFrame, size: int, percent: int) -> Found:
+    """All links between texts. A class of equal sets goes by the number of one of its rows."""
+    spark = rows.sparkSession
+    ship(spark)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(order_of(rows, size))
-    sketches = stage(
-        rows.mapInArrow(_sketches(shared, size, percent, False), f"doc_id {kind}, n long, sign binary, tokens array<long>"),
-        "sketches",
-    )
-    classes = stage(
-        sketches.where("sign IS NOT NULL AND doc_id IS NOT NULL").groupBy("sign").agg(F.min("doc_id").alias("rep")), "classes"
-    )
+    shared = spark.sparkContext.broadcast(order_of(rows, size))
+    columns = f"doc_id {kind}, n long, sign binary, cells binary, tokens array<long>"
+    made = rows.mapInArrow(_sketches(shared, size, percent), columns)
+    sketches = stage(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
+    known = sketches.where("sign IS NOT NULL AND doc_id IS NOT NULL").select("sign", "doc_id", "row")
+    first = known.groupBy("sign").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    classes = stage(first.select("sign", F.col("first.doc_id").alias("rep"), F.col("first.row").alias("node")), "classes")
     # a set too small to differ and still be similar equals every set it is linked with
     least = next(n for n in range(1, 10_000) if similar(n, n, n + 1, percent))
-    others = sketches.join(classes, "sign").where("doc_id <> rep").select("doc_id").distinct()
-    reps = sketches.where((F.col("n") >= least) & F.col("doc_id").isNotNull()).join(others, "doc_id", "left_anti")
+    others = stage(known.join(classes, "sign").where("row <> node").select("row"), "others")
+    alike = sketches.where((F.col("n") >= least) & F.col("doc_id").isNotNull())
+    reps = alike.join(_if_small(others), "row", "left_anti").withColumnRenamed("row", "doc")
+    if not fits_broadcast(others):
+        reps = stage(reps, "reps")
     most = F.least(F.lit(MAX_LEVEL), F.floor((F.col("n") * percent + 99) / 100)).cast("int")
-    postings = reps.select(F.col("doc_id").alias("doc"), "n", most.alias("most"), F.posexplode("tokens").alias("at", "token"))
+    postings = reps.select("doc", "n", most.alias("most"), F.posexplode("tokens").alias("at", "token"))
     postings = postings.withColumn("level", _level(F.col("at"), F.col("n"), percent)).drop("at")
     common = stage(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "common")
-    common = F.broadcast(common) if fits_broadcast(common) else common
-    postings = stage(postings.join(common, "token"), "postings")
+    postings = stage(postings.join(_if_small(common), "token"), "postings")
     chosen = postings.join(_choose_levels(postings, percent), "doc")
     postings = stage(chosen.select("token", "doc", "n", "df", "level", "weight", "common", "frequent", "l"), "postings")
     alone = postings.select("doc").distinct().withColumn("comp", F.col("doc"))
-    links = docs.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
+    links = spark.createDataFrame([], "a long, b long")
+    merged = spark.createDataFrame([], "node long, label long")
     labels = stage(alone, "labels")
     for number in range(LEADER_ROUNDS + 1):
         last = number == LEADER_ROUNDS
         pairs = _cross_pairs(postings, labels, percent) if last else _leader_pairs(postings, labels, number, percent)
-        found = _links(rows, pairs, size, percent)
+        found = _links(rows, reps, pairs, size, percent)
         if not found.isEmpty():
             links = links.union(found)
-            merged = components(links).toDF("doc", "label")
-            labels = stage(alone.join(merged, "doc", "left").select("doc", F.coalesce("label", "comp").alias("comp")), "labels")
-    # links lead from class to class, and a class goes by its least member
-    joined = sketches.select("doc_id", "n", "sign").join(classes, "sign", "left").join(labels.toDF("rep", "comp"), "rep", "left")
-    return joined.select(
+            merged = components(links)
+            comp = merged.toDF("doc", "label")
+            labels = stage(alone.join(comp, "doc", "left").select("doc", F.coalesce("label", "comp").alias("comp")), "labels")
+    return Found(sketches, classes, links, merged)
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Per row its id, the size of its set, and the least id it is linked with."""
+    found = _search(texts(docs, id_col, text_col), size, percent)
+    # rows of one id with different sets link their classes
+    held = found.sketches.where("doc_id IS NOT NULL").join(found.classes, "sign").select("doc_id", "node")
+    several = held.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
+    several = stage(several.select("doc_id", "a"), "several")
+    if not several.isEmpty():
+        by_id = held.join(_if_small(several), "doc_id").select("a", F.col("node").alias("b")).where("a <> b").distinct()
+        found.labels = components(found.links.union(by_id))
+    named = found.named().select("sign", F.col("least.rep").alias("comp"))
+    return found.sketches.select("doc_id", "n", "sign").join(named, "sign", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "rep", "doc_id")).alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"),
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the least id of every component; of rows with one id, one."""
-    found = stage(near_duplicates(docs, id_col, text_col), "duplicates")
-    out = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    again = found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(id_col)).count().where("count > 1").select(id_col)
-    out, again = (F.broadcast(x) if fits_broadcast(x) else x for x in (stage(out, "out"), stage(again, "again")))
-    kept = docs.join(out, id_col, "left_anti")
-    once = kept.join(again, id_col, "left_anti")
-    return once.unionByName(kept.join(again, id_col, "left_semi").dropDuplicates([id_col])).select(*docs.columns)
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of every group of linked texts, one of least id.
+
+    Rows without an id stay. Rows that share an id are judged each by its text, so one
+    with another text stays; of those with equal sets the one of least digest does.
+    """
+    rows = texts(docs, id_col, text_col)
+    found = _search(rows, size, percent)
+    known = found.sketches.where("doc_id IS NOT NULL").select("doc_id", "sign")
+    again = stage(known.groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    judged = known.join(found.named(), "sign", "left")
+    first = (F.col("doc_id") == F.col("least.rep")) & (F.col("sign") == F.col("least.sign"))
+    judged = stage(judged.withColumn("stays", F.coalesce(first, F.lit(True))).select("doc_id", "sign", "stays"), "judged")
+    out = stage(judged.where("NOT stays").select(F.col("doc_id").alias(id_col)).distinct(), "out")
+    if again.isEmpty():
+        return docs.join(_if_small(out), id_col, "left_anti").select(*docs.columns)
+    again, by = _if_small(again), again.withColumnRenamed("doc_id", id_col)
+    once = docs.join(_if_small(out), id_col, "left_anti").join(_if_small(by), id_col, "left_anti")
+    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    signed = (
+        rows.join(again, "doc_id", "left_semi")
+        .withColumn("digest", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+        .mapInArrow(_sets(size, False), f"doc_id {kind}, sign binary, digest string")
+    )
+    least = signed.groupBy("doc_id", "sign").agg(F.min("digest").alias("digest"))
+    stay = judged.where("stays").select("doc_id", "sign").distinct()
+    kept = least.alias("x").join(stay.alias("y"), F.expr("x.doc_id = y.doc_id AND x.sign <=> y.sign"), "left_semi")
+    kept = stage(kept.select(F.col("doc_id").alias(id_col), F.col("digest").alias("__digest")), "kept")
+    several = docs.withColumn("__digest", digest).join(_if_small(kept), [id_col, "__digest"], "left_semi")
+    return once.select(*docs.columns).unionByName(several.dropDuplicates([id_col, "__digest"]).select(*docs.columns))

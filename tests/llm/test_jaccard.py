@@ -11,12 +11,12 @@ from starloom.llm.components import components
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def shingles(text):
+def shingles(text, size=4):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
-    return frozenset(zip(*[words[i:] for i in range(4)])) if len(words) >= 4 else frozenset([tuple(words)] if words else [])
+    return frozenset(zip(*[words[i:] for i in range(size)])) if len(words) >= size else frozenset([tuple(words)] if words else [])
 
 
-def brute(rows):
+def brute(rows, size=4, percent=85):
     parent = {i: i for i, _ in rows if i is not None}
 
     def find(a):
@@ -24,26 +24,27 @@ def brute(rows):
             a = parent[a]
         return a
 
-    sets = [(i, shingles(t)) for i, t in rows if i is not None]
+    sets = [(i, shingles(t, size)) for i, t in rows if i is not None]
     for n, (a, x) in enumerate(sets):
         for b, y in sets[:n]:
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 p, q = find(a), find(b)
                 parent[max(p, q)] = min(p, q)
     return {i: find(i) for i in parent}
 
 
-def check(docs, rows):
-    got = j.near_duplicates(docs(*rows)).collect()
+def check(docs, rows, size=4, percent=85):
+    got = j.near_duplicates(docs(*rows), size=size, percent=percent).collect()
     assert len(got) == len(rows)
-    want = brute(rows)
-    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == want
+    want = brute(rows, size, percent)
+    assert all(r["component_id"] == want[r["doc_id"]] for r in got if r["doc_id"] is not None)
+    assert {r["doc_id"] for r in got if r["doc_id"] is not None} == set(want)
     sizes = sorted((r["doc_id"] or -1, r["n_shingles"]) for r in got)
-    assert sizes == sorted((i if i is not None else -1, len(shingles(t))) for i, t in rows)
+    assert sizes == sorted((i if i is not None else -1, len(shingles(t, size))) for i, t in rows)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_components_equal_brute_force(docs, seed):
+@pytest.mark.parametrize("seed, size, percent", [(1, 4, 85), (2, 4, 85), (3, 5, 80)])
+def test_components_equal_brute_force(docs, seed, size, percent):
     r = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(60)]
     rows = []
@@ -56,7 +57,32 @@ def test_components_equal_brute_force(docs, seed):
             if r.random() < 0.3:
                 words += words[: r.randint(0, 5)]
             rows.append((len(rows) * 7 % 1000 + 5, " ".join(words).upper() if r.random() < 0.2 else "\n".join(words)))
-    check(docs, rows)
+    check(docs, rows, size, percent)
+
+
+def test_rows_of_one_id_are_one_node(docs):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    check(docs, [(1, a), (2, a), (2, b), (3, b + " more")])
+    # the least id of two sets, copies of one row, small sets, a chain through ids
+    check(docs, [(1, a), (1, b), (1, b), (5, a + " x"), (6, b + " x"), (7, c), (7, "few words"), (8, "few words"), (8, d), (9, d)])
+
+
+def test_one_id_held_by_many_rows(docs):
+    texts = [" ".join(f"t{k}w{i}" for i in range(20)) for k in range(15)]
+    check(docs, [(50, t) for t in texts] * 3 + [(60, texts[3]), (61, texts[9] + " end"), (62, "something else here now")])
+
+
+def test_cells_never_bound_too_low():
+    r = np.random.default_rng(5)
+    for _ in range(200):
+        n, m, both = (int(x) for x in r.integers(1, 400, 3))
+        shared, own, other = (np.unique(r.integers(0, 2**63, k).astype(np.uint64) << np.uint64(1)) for k in (both, n, m))
+        x, y = np.union1d(shared, own), np.union1d(shared, other)
+        bound = j.most_shared(j.cells(x), j.cells(y))
+        assert len(np.intersect1d(x, y)) <= bound <= min(len(x), len(y))
+    # very many hashes with one beginning: more bits, no count beyond a byte
+    close = np.arange(70_000, dtype=np.uint64) << np.uint64(40)
+    assert j.cells(close).sum() == 70_000 and j.most_shared(j.cells(close), j.cells(close[:9])) == 9
 
 
 def test_a_chain_of_copies_is_one_component(docs):
@@ -100,6 +126,15 @@ def test_keep_one_of_each_group(docs):
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 0, 3, 7]
 
 
+def test_keep_one_judges_rows_of_one_id_by_their_texts(docs):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = docs((1, a), (2, a), (2, b), (2, b), (3, b + " more"), (4, c), (4, c.upper()), (5, None), (5, ""), (5, c))
+    kept = sorted((r["doc_id"], (r["text"] or "")[:2]) for r in j.keep_one(rows, size=5, percent=80).collect())
+    assert kept[:2] == [(1, "a0"), (2, "b0")] and len(kept) == 4
+    assert kept[2][0] == 4 and kept[2][1].lower() == "c0" and kept[3] == (5, "")
+    assert j.keep_one(docs()).count() == 0
+
+
 def test_prefixes_share_what_the_lemma_says():
     r = np.random.default_rng(4)
     for _ in range(300):
