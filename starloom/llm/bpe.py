@@ -15,6 +15,7 @@ even if their ids are equal or NULL. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import mmap
 import re
@@ -36,6 +37,8 @@ from starloom.llm.tables import map_texts, ship, steps, texts, texts_of
 LEXICON_WORDS = 32_768
 #: Words with their ids that a worker keeps.
 KEPT_WORDS = 300_000
+#: Words of more bytes are merged one by one, by a heap of their pairs.
+LONG_WORD = 512
 # Texts of these letters need no normalising but small letters, and split in the same way.
 _LATIN = re.compile("[\\x00-\\x7fÀ-ÖØ-öø-ÿ]*")
 _LATIN_WORDS = re.compile(
@@ -196,9 +199,13 @@ class Coding:
 
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word: of all neighbours the pair of least rank, the first of equals, is
-        joined, until no pair is left. Words of like length take each step together."""
+        joined, until no pair is left. Words of like length take each step together, a long
+        word alone, in a time that hardly grows faster than its length."""
         out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        order = sorted((i for i in range(len(words)) if len(words[i]) <= LONG_WORD), key=lambda i: len(words[i]))
+        for i in range(len(words)):
+            if len(words[i]) > LONG_WORD:
+                out[i] = self._merged_alone(words[i])
         at = 0
         while at < len(order):
             # about as many letters each time, however long the words
@@ -248,6 +255,38 @@ class Coding:
             rank[each[after], best[after]] = self._ranks(ids[each[after], best[after]], ids[each[after], best[after] + 1])
         return out
 
+    def _merged_alone(self, word: bytes) -> np.ndarray:
+        """Ids of one word: its pairs wait in a heap by rank and place, letters are a linked list."""
+        letters = self.inner[np.frombuffer(word, np.uint8)]
+        letters[-1] = self.last[word[-1]]
+        first = self._ranks(letters[:-1], letters[1:])
+        waiting = [(int(first[i]), int(i), int(letters[i]), int(letters[i + 1])) for i in np.flatnonzero(first < _NEVER)]
+        heapq.heapify(waiting)
+        ids: list[int | None] = letters.tolist()
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        ranks: dict[tuple[int, int], tuple[int, int] | None] = {}
+
+        def rule(left: int, right: int) -> tuple[int, int] | None:
+            if (left, right) not in ranks:
+                found = self._pair(np.array([left]), np.array([right]))[0]
+                ranks[left, right] = tuple(self.pairs.rows[found].tolist()) if found else None
+            return ranks[left, right]
+
+        while waiting:
+            _, at, left, right = heapq.heappop(waiting)
+            then = after[at]
+            # a pair that one of its letters has left since waits in vain
+            if ids[at] != left or then >= len(ids) or ids[then] != right:
+                continue
+            ids[at], ids[then] = rule(left, right)[1], None
+            after[at] = after[then]
+            if after[at] < len(ids):
+                before[after[at]] = at
+            for x, y in ((before[at], at), (at, after[at])):
+                if x >= 0 and y < len(ids) and (found := rule(ids[x], ids[y])):
+                    heapq.heappush(waiting, (found[0], x, ids[x], ids[y]))
+        return np.array([i for i in ids if i is not None], np.int32)
+
     def as_bytes(self, word: str) -> bytes:
         return bytes(self.bytes_of[c] for c in word)
 

@@ -41,6 +41,21 @@ def test_word_ids_equal_the_library(word_encoder):
         assert word_encoder.coding.decode(got) == own.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("letters", ["a", "ab", "etaoinshrdlu", "漢字é", "!?-"])
+def test_long_words_equal_the_library(word_encoder, letters):
+    own, r = Tokenizer.from_file(WORD), random.Random(len(letters))
+    for n in (bpe.LONG_WORD - 1, bpe.LONG_WORD, bpe.LONG_WORD + 1, 3_001, 20_000):
+        text = "the " + "".join(r.choice(letters) for _ in range(n)) + " end"
+        assert np.frombuffer(word_encoder.encode([text])[0], "<u4").tolist() == own.encode(text, add_special_tokens=False).ids
+
+
+def test_a_very_long_word(word_encoder):
+    r = random.Random(6)
+    part = "".join(r.choice("etaoinshrdlu") for _ in range(200_000))
+    ids = Tokenizer.from_file(WORD).encode(part, add_special_tokens=False).ids
+    assert np.frombuffer(word_encoder.encode([part])[0], "<u4").tolist() == ids
+
+
 def test_byte_ids_equal_the_library():
     own, mine = Tokenizer.from_file(BYTE), k.encoder(BYTE)
     for text in texts(4000, 3) + ["  a  b", "a \n b", " ", "a ", "\n\n a", "a\t b", "x" * 3000]:
