@@ -1,25 +1,22 @@
 """Log probabilities of texts by deleted interpolation of word n-grams.
 
 A text's tokens are its words, A-Z made small, and one end. Tokens are counted over
-all training texts. Every one of them is a class of a bigram model, tokens that no
-training text holds share one more. If a number of classes is asked for, that many of
-the most frequent tokens are classes, and all others share the last:
-
-    P(w | v) = P(class w | class v) * P(w | class w)
-
-The class probability mixes three maximum-likelihood estimates, of the pair, of the
-class alone and of any class, with weights that depend on how often the context was
-seen. Expectation-maximisation learns the weights from the counts of all pairs, from
-which the event in question was deleted. Within the shared class, counts are smoothed by adding 0.1.
+all training texts. Every one of them is an event and a context of a bigram model,
+tokens that no training text holds share one more. The probability of a token after
+another mixes three maximum-likelihood estimates, of the pair, of the token alone and
+of any token, with weights that depend on how often the context was seen.
+Expectation-maximisation learns the weights from the counts of all pairs, from which
+the event in question was deleted; it tells counts apart by their leading bits.
 
 Every count is over all training texts. Broadcast are the counts of a bounded number
 of frequent tokens and of frequent pairs; the counts of all others meet the texts in
-joins: rare tokens and their pairs by rows, rare pairs of other tokens by blocks of
-packed pairs, dealt by a hash of the pair. Pairs frequent in a bounded sample are counted apart, exactly, so no bucket
-holds a pair that very many texts share.
+joins: pairs with rare tokens by rows, rare pairs of other tokens by blocks of packed
+pairs, dealt by a hash of the pair. Pairs frequent in a bounded sample are counted
+apart, exactly, so no bucket holds a pair that very many texts share.
 
 NULL and empty texts are the end alone. Rows are kept apart even if their ids are
-equal or NULL. Without training texts every class is equally likely.
+equal or NULL. Without training texts every token is equally likely. Columns other
+than the three named ones are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,23 +30,25 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.llm.language import Table
-from starloom.llm.tables import ship, steps, texts_of
+from starloom.llm.tables import frequent, ship, steps, texts_of
 from starloom.session import stage
 
-#: Tokens whose counts are broadcast, and a number of classes for smaller models.
-KNOWN_TOKENS, CLASSES = 1_000_000, 65_534
-#: Numbers of the shared class, of a text's begin and of every class whose count is not
-#: broadcast; then come the broadcast ones by rank. A number takes so many bytes.
-TAIL, BEGIN, RARE, FIRST = 0, 1, 2, 3
+#: Tokens whose counts are broadcast, about.
+KNOWN_TOKENS = 1_000_000
+#: Numbers of a text's begin and of every token whose count is not broadcast; then come
+#: the broadcast ones by rank. A number takes so many bytes.
+BEGIN, RARE, FIRST = 0, 1, 2
 BYTES = 3
 #: Pairs whose counts are broadcast, the documents they are chosen from, their least count there.
 KNOWN_PAIRS, PAIR_DOCS, PAIR_LEAST = 65_536, 6_000, 8
 #: Rows of pair statistics up to which the driver learns the weights from them alone; of
 #: more, each round is an aggregate over all of them.
-LOCAL_EVENTS = 250_000
+LOCAL_EVENTS = 500_000
+#: Leading bits of the counts that the weights are learned from.
+BITS = 5
 PAIRS_PER_BUCKET = 2_000_000
 #: Sums come back in packed ranges of 2 ** so many rows.
 ROWS_BITS = 12
@@ -107,41 +106,31 @@ class Vocabulary:
     n_tokens: int
     n_distinct: int
     n_docs: int
-    class_counts: np.ndarray  # of every class as an event
-    context_counts: np.ndarray  # of every class as a context
-    tail_types: int
+    event_counts: np.ndarray  # of every numbered token as an event
+    context_counts: np.ndarray  # of every numbered token as a context
 
     def base(self, count: np.ndarray) -> np.ndarray:
         """log10 of the smoothed share of tokens with these counts."""
         return np.log10((count + 0.1) / (self.n_tokens + 0.1 * (self.n_distinct + 1)))
 
-    def within_tail(self, count: np.ndarray) -> np.ndarray:
-        """log10 of the smoothed share within the shared class."""
-        return np.log10((count + 0.1) / (self.class_counts[TAIL] + 0.1 * (self.tail_types + 1)))
 
-
-def vocabulary_of(counts: DataFrame, n_docs: int, most: int = KNOWN_TOKENS, classes: int | None = None) -> Vocabulary:
-    """Vocabulary of all counted tokens; ``counts`` has ``token`` and ``n``."""
-    assert most < 1 << (8 * BYTES - 1)
+def vocabulary_of(counts: DataFrame, known: DataFrame, n_docs: int) -> Vocabulary:
+    """Vocabulary of all counted tokens, with the counts of the known ones by token."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    end = int(np.uint64(END).view(np.int64))
-    # the end comes first, whatever its count: it is always a class
-    top = counts.orderBy((F.col("token") == end).desc(), F.desc("n"), "token").limit(most).toArrow()
+    top = known.toArrow()
     tokens, n = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy().astype(np.int64)
-    rank = np.arange(len(tokens))
-    class_counts = np.zeros(FIRST + len(n), np.int64)
-    class_counts[FIRST:][:classes] = n[:classes]
-    class_counts[TAIL] = 0 if classes is None else total["n"] - class_counts.sum()
-    context_counts = class_counts.copy()
+    assert len(n) + FIRST < 1 << (8 * BYTES - 1)
+    order = np.lexsort((tokens, -n))
+    tokens, n = tokens[order], n[order]
+    event_counts = np.concatenate([np.zeros(FIRST, np.int64), n])
+    context_counts = np.concatenate([np.zeros(FIRST, np.int64), np.where(tokens == np.uint64(END), 0, n)])
     context_counts[BEGIN] = n_docs
-    if len(tokens) and tokens[0] == np.uint64(END):
-        context_counts[FIRST] = 0
-    table = Table(tokens, np.stack([rank, n], 1).astype(np.int64))
-    return Vocabulary(table, total["n"], total["v"], n_docs, class_counts, context_counts, 0 if classes is None else max(0, total["v"] - classes))
+    table = Table(tokens, np.stack([np.arange(len(n)), n], 1).astype(np.int64))
+    return Vocabulary(table, total["n"], total["v"], n_docs, event_counts, context_counts)
 
 
-def _encode(shared, classes: int | None):
-    """Texts as class numbers, with the sums over tokens whose counts are broadcast."""
+def _encode(shared):
+    """Texts as numbers of tokens, with the sums over tokens whose counts are broadcast."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, packer = shared.value, zstandard.ZstdCompressor(level=1)
@@ -154,11 +143,9 @@ def _encode(shared, classes: int | None):
                 row = vocabulary.table.find(tokens)
                 rank, count = vocabulary.table.rows[row, 0], vocabulary.table.rows[row, 1]
                 known = row > 0
-                # class of every token; tokens without a broadcast count are looked up later
-                own = known if classes is None else known & (rank < classes)
-                number = np.where(own, rank + FIRST, RARE if classes is None else TAIL)
+                # tokens without a broadcast count are looked up later
+                number = np.where(known, rank + FIRST, RARE)
                 base = np.where(known, vocabulary.base(count), 0.0)
-                tail = np.where(known & ~own, vocabulary.within_tail(count), 0.0)
                 blobs, rare = [], []
                 for a, n in zip(start, size):
                     blobs.append(packer.compress(_planes(number[a : a + n], BYTES)))
@@ -170,25 +157,24 @@ def _encode(shared, classes: int | None):
                         pa.array(size, pa.int64()),
                         pa.array(np.add.reduceat(known.astype(np.int64), start), pa.int64()),
                         pa.array(np.add.reduceat(base, start), pa.float64()),
-                        pa.array(np.add.reduceat(tail, start), pa.float64()),
                         pa.array(blobs, pa.binary()),
                         pa.array(rare, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "base", "tail", "classes", "rare"],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "base", "numbers", "rare"],
                 )
 
     return run
 
 
 def _pairs(blob: bytes, unpacker: zstandard.ZstdDecompressor) -> np.ndarray:
-    """Pairs of each class and the one before it, as one number."""
-    classes = _numbers(unpacker.decompress(blob), BYTES)
-    before = np.concatenate([np.array([BEGIN], np.uint64), classes[:-1]])
-    return (before << _SHIFT) | classes
+    """Pairs of each token and the one before it, as one number."""
+    tokens = _numbers(unpacker.decompress(blob), BYTES)
+    before = np.concatenate([np.array([BEGIN], np.uint64), tokens[:-1]])
+    return (before << _SHIFT) | tokens
 
 
 def _has_rare(pairs: np.ndarray) -> np.ndarray:
-    """Whether a count of either class is not broadcast."""
+    """Whether a count of either token is not broadcast."""
     return (pairs >> _SHIFT == RARE) | (pairs & _LOW == RARE)
 
 
@@ -203,7 +189,7 @@ def _rare_pairs(shared):
                 part = part.filter(pc.greater(pc.list_value_length(part.column("rare")), 0))
                 if not part.num_rows:
                     continue
-                each = [_pairs(b.as_buffer(), unpacker) for b in part.column("classes")]
+                each = [_pairs(b.as_buffer(), unpacker) for b in part.column("numbers")]
                 pairs = np.concatenate(each)
                 before, event = (pairs >> _SHIFT).astype(np.int64), (pairs & _LOW).astype(np.int64)
                 key = event.copy()
@@ -220,7 +206,7 @@ def _rare_pairs(shared):
                         pa.array(first[keep]),
                         pa.array(key[keep]),
                         pa.array(vocabulary.context_counts[before], mask=before == RARE),
-                        pa.array(vocabulary.class_counts[event], mask=event == RARE),
+                        pa.array(vocabulary.event_counts[event], mask=event == RARE),
                     ],
                     ["row", "held_out", "before", "event", "context", "single"],
                 )
@@ -228,14 +214,24 @@ def _rare_pairs(shared):
     return run
 
 
-def _rare_values(shared):
-    """log10 of the probability of pairs with their counts."""
+RARE_VALUES = "before long, event long, value double, known long, base double"
+
+
+def _rare_values(model, vocabulary):
+    """log10 of the probability of pairs with their counts, and of a rare event by itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, context, single = (batch.column(c).to_numpy().astype(np.float64) for c in ("n", "context", "single"))
-            value = shared.value.log10(n, context, single)
-            yield pa.RecordBatch.from_arrays([batch.column("before"), batch.column("event"), pa.array(value)], ["before", "event", "value"])
+            rare = batch.column("rare").to_numpy(zero_copy_only=False)
+            added = [
+                model.value.log10(n, context, single),
+                (rare & (single > 0)).astype(np.int64),
+                np.where(rare, vocabulary.value.base(single), 0.0),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("before"), batch.column("event"), *map(pa.array, added)], ["before", "event", "value", "known", "base"]
+            )
 
     return run
 
@@ -252,7 +248,7 @@ def _count_pairs(known: np.ndarray | None):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                found = np.concatenate([_pairs(b.as_buffer(), unpacker) for b in part.column("classes")])
+                found = np.concatenate([_pairs(b.as_buffer(), unpacker) for b in part.column("numbers")])
                 found = found[~_has_rare(found)] if known is None else found[_place(known, found)[1]]
                 keys, n = np.unique(found, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], ["pair", "n"])
@@ -273,8 +269,21 @@ def context_bucket(count: np.ndarray) -> np.ndarray:
     return np.where(count > 0, 1 + np.minimum(np.log2(np.maximum(count, 1)).astype(np.int64), CONTEXT_BUCKETS - 2), 0)
 
 
+def coarse(count: np.ndarray) -> np.ndarray:
+    """Counts by their leading bits: small ones as they are, of others the middle of those that share them."""
+    count = np.asarray(count).astype(np.int64)
+    over = np.maximum(np.frexp(count.astype(np.float64))[1] - BITS, 0).astype(np.int64)
+    return (count >> over << over) + ((1 << over) >> 1)
+
+
+def _coarse(count: Column) -> Column:
+    """As ``coarse``, in SQL."""
+    step = F.pow(F.lit(2.0), F.greatest(F.length(F.bin(count)) - BITS, F.lit(0))).cast("long")
+    return (count - count % step + F.floor(step / 2)).cast("long")
+
+
 def _estimates(pair: np.ndarray, context: np.ndarray, single: np.ndarray, total: float, classes: int) -> np.ndarray:
-    """Maximum-likelihood estimates of pair, class and any class, one column each."""
+    """Maximum-likelihood estimates of pair, token and any token, one column each."""
     out = np.zeros((len(pair), 3))
     out[:, 0] = np.divide(pair, context, out=np.zeros(len(pair)), where=context > 0)
     out[:, 1] = single / total if total > 0 else 0.0
@@ -289,21 +298,24 @@ def _gained(bucket: np.ndarray, each: np.ndarray, events: np.ndarray, weights: n
     return np.stack([np.bincount(bucket, weights=x, minlength=CONTEXT_BUCKETS) for x in (*share.T, events)], 1)
 
 
-def learn_weights(pair: np.ndarray, context: np.ndarray, single: np.ndarray, total: int, classes: int = CLASSES, rounds: int = ROUNDS, times=1.0, others=None) -> np.ndarray:
+def learn_weights(pair: np.ndarray, context: np.ndarray, single: np.ndarray, total: int, classes: int, rounds: int = ROUNDS, times=1.0, others=None) -> np.ndarray:
     """Mixture weights per context bucket, by EM.
 
     Each of the counted events is held out in turn: its own count is deleted from
-    the pair, the context and the class before their estimates are mixed. ``times`` is
-    how many pairs have these counts; ``others`` gives what further pairs gain.
+    the pair, the context and the token before their estimates are mixed. Counts are
+    taken by their leading bits, so few kinds of events stand for all pairs. ``times``
+    is how many pairs have these counts, ``classes`` how many tokens there are;
+    ``others`` gives what further pairs gain.
     """
     weights = np.tile([0.3, 0.6, 0.1], (CONTEXT_BUCKETS, 1))
     weights[0] = [0.0, 0.9, 0.1]
     if not len(pair) and others is None:
         return weights if total else np.tile([0.0, 0.0, 1.0], (CONTEXT_BUCKETS, 1))
     bucket = context_bucket(context)
-    each = _estimates(pair - 1.0, context - 1.0, single - 1.0, total - 1.0, classes)
+    n = coarse(pair)
+    each = _estimates(n - 1.0, coarse(context) - 1.0, coarse(single) - 1.0, total - 1.0, classes)
     for _ in range(rounds):
-        sums = _gained(bucket, each, pair * times, weights)
+        sums = _gained(bucket, each, n * times, weights)
         if others is not None:
             sums = sums + others(weights)
         gained, seen = sums[:, :3], sums[:, 3:]
@@ -326,7 +338,7 @@ def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             counts = np.stack([_numbers(unpacker.decompress(batch.column(c)[i].as_buffer()), 8) for c in ("n", "context", "single")], 1)
-            counts = counts[counts[:, 0] > 0].astype(np.int64)
+            counts = coarse(counts[counts[:, 0] > 0])
             once = counts[:, 0] == 1
             counts[once, 1] = 1 << np.maximum(context_bucket(counts[once, 1]) - 1, 0)
             counts = counts[np.lexsort(counts.T)]
@@ -359,7 +371,7 @@ def _others(events: DataFrame, total: int, classes: int):
 
 @dataclass
 class Model:
-    """Weights to mix the estimates of a pair with, and the known pairs' log10."""
+    """Weights to mix a pair's estimates with, and the known pairs' log10."""
 
     weights: np.ndarray
     total: int
@@ -368,26 +380,27 @@ class Model:
     known_values: np.ndarray
 
     def log10(self, counts: np.ndarray, context: np.ndarray, single: np.ndarray) -> np.ndarray:
-        """log10 of the mixture, from the counts of pairs, their contexts and their classes."""
+        """log10 of the mixture, from the counts of pairs, their contexts and their tokens."""
         each = _estimates(counts, context, single, self.total, self.classes)
         return np.log10((self.weights[context_bucket(context)] * each).sum(1))
 
 
 def _near(shared):
-    """Sums over the known pairs of each row."""
+    """Each row's sums over the known pairs, beside what is known of the row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, unpacker = shared.value, zstandard.ZstdDecompressor()
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
-                each = [_pairs(b.as_buffer(), unpacker) for b in part.column("classes")]
+                each = [_pairs(b.as_buffer(), unpacker) for b in part.column("numbers")]
                 size = np.array([len(x) for x in each])
                 place, met = _place(model.known, np.concatenate(each))
                 sums = np.zeros(len(met))
                 sums[met] = model.known_values[place[met]]
                 total = np.add.reduceat(sums, np.cumsum(size) - size)
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(total)], ["row", "near_sum"])
+                names = [c for c in part.schema.names if c != "numbers"]
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(total)], [*names, "near_sum"])
 
     return run
 
@@ -420,7 +433,7 @@ def _deal(known: np.ndarray, buckets: int):
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
-                each = [_pairs(b.as_buffer(), unpacker) for b in part.column("classes")]
+                each = [_pairs(b.as_buffer(), unpacker) for b in part.column("numbers")]
                 pairs = np.concatenate(each)
                 numbers = part.column("row").to_numpy() * 2 + part.column("held_out").to_numpy(zero_copy_only=False)
                 rows = np.repeat(numbers, [len(x) for x in each])
@@ -448,8 +461,8 @@ def _count(shared):
         rows = np.concatenate([np.cumsum(np.frombuffer(unpacker.decompress(b.as_buffer()), "<i8")) for b in bucket.column("rows")])
         one, at = np.unique(pairs, return_inverse=True)
         counts = np.bincount(at[(rows & 1) == 0], minlength=len(one))
-        numbers = [(counts, 8), (vocabulary.context_counts[one >> _SHIFT], 8), (vocabulary.class_counts[one & _LOW], 8)]
-        packed = [packer.compress(_planes(x, width)) for x, width in numbers]
+        values = [(counts, 8), (vocabulary.context_counts[one >> _SHIFT], 8), (vocabulary.event_counts[one & _LOW], 8)]
+        packed = [packer.compress(_planes(x, width)) for x, width in values]
         packed += [packer.compress(np.diff(rows >> 1, prepend=0).astype("<i8").tobytes()), packer.compress(_planes(at, 4))]
         return pa.table({c: pa.array([b], pa.binary()) for c, b in zip(["n", "context", "single", "rows", "at"], packed)})
 
@@ -494,11 +507,8 @@ def _gather(block: pa.Table) -> pa.Table:
     return pa.table({"row": pa.array(row, pa.int64()), "far_sum": pa.array(np.bincount(of, weights=sums), pa.float64())})
 
 
-def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str = "text", classes: int | None = None, known_tokens: int = KNOWN_TOKENS) -> DataFrame:
-    """Scores of all documents by a model of those where ``held_out`` is false.
-
-    Every training token is a class, or as many of the broadcast ones as ``classes`` says.
-    """
+def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str = "text", known_tokens: int = KNOWN_TOKENS) -> DataFrame:
+    """Scores of all documents by a model of those where ``held_out`` is false."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(
@@ -509,71 +519,55 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
     counts = stage(
         training.select("text").mapInArrow(_count_tokens, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "tokens"
     )
-    end = int(np.uint64(END).view(np.int64))
-    ends = counts.where(F.col("token") == end).first()
-    vocabulary = vocabulary_of(counts, ends["n"] if ends else 0, known_tokens, classes)
+    # the end is always known, whatever its count
+    is_end = F.col("token") == int(np.uint64(END).view(np.int64))
+    ends = counts.where(is_end).first()
+    is_known = frequent(counts, known_tokens, "token") | is_end
+    vocabulary = vocabulary_of(counts, counts.where(is_known), ends["n"] if ends else 0)
     shared = spark.sparkContext.broadcast(vocabulary)
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, tail double, classes binary, rare array<long>"
-    encoded = rows.mapInArrow(_encode(shared, classes), schema).withColumn("row", F.monotonically_increasing_id())
-    encoded = stage(encoded, "encoded")
+    of_row = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double"
+    encoded = rows.mapInArrow(_encode(shared), f"{of_row}, numbers binary, rare array<long>")
+    encoded = stage(encoded.withColumn("row", F.monotonically_increasing_id()), "encoded")
     train = encoded.where(~F.col("held_out"))
 
-    # tokens beyond the broadcast ones: their counts come by a join, once per row and token
-    rare = encoded.select("row", F.explode("rare").alias("token")).groupBy("row", "token").agg(F.count(F.lit(1)).alias("times"))
-    counted = rare.join(counts, "token", "left").select("row", "times", F.coalesce("n", F.lit(0)).cast("double").alias("n"))
-    base = F.log10((F.col("n") + 0.1) / (vocabulary.n_tokens + 0.1 * (vocabulary.n_distinct + 1)))
-    tail = F.log10((F.col("n") + 0.1) / (float(vocabulary.class_counts[TAIL]) + 0.1 * (vocabulary.tail_types + 1)))
-    if classes is None:
-        tail = F.lit(0.0)
-    n_classes = vocabulary.n_distinct if classes is None else classes
-    rare_sums = counted.groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * base).alias("rare_base"),
-        F.sum(F.col("times") * tail).alias("rare_tail"),
-    )
-
-    # pairs with tokens beyond the broadcast ones: counted and met by joins, too
-    if classes is None and vocabulary.n_distinct > 0:
-        found = encoded.select("row", "held_out", "classes", "rare").mapInArrow(
-            _rare_pairs(shared), "row long, held_out boolean, before long, event long, context long, single long"
-        )
-        beside = stage(found, "rare-pairs")
-    else:
-        beside = spark.createDataFrame([], "row long, held_out boolean, before long, event long, context long, single long")
+    # pairs with tokens beyond the known ones: counted and met by joins
+    pair_row = "row long, held_out boolean, before long, event long, context long, single long"
+    beside = stage(encoded.select("row", "held_out", "numbers", "rare").mapInArrow(_rare_pairs(shared), pair_row), "rare-pairs")
     by_pair = beside.groupBy("before", "event").agg(
         F.count_if(~F.col("held_out")).alias("n"), F.first("context").alias("context"), F.first("single").alias("single")
-    )
+    ).withColumn("rare", F.col("single").isNull())
+    rest = counts.where(~is_known).withColumnRenamed("n", "count")
     for name, key in (("context", "before"), ("single", "event")):
         # where the count is known a hash that meets nothing, so that no key is frequent
         by_pair = by_pair.withColumn("token", F.when(F.col(name).isNull(), F.col(key)).otherwise(F.xxhash64("before", "event")))
-        by_pair = by_pair.join(counts.withColumnRenamed("n", "count"), "token", "left")
+        by_pair = by_pair.join(rest, "token", "left")
         by_pair = by_pair.withColumn(name, F.coalesce(name, "count", F.lit(0))).drop("token", "count")
     by_pair = stage(by_pair, "rare-counts")
 
     # frequent pairs
-    n_docs, n_events = vocabulary.n_docs, vocabulary.n_tokens
+    n_docs, n_events, n_classes = vocabulary.n_docs, vocabulary.n_tokens, vocabulary.n_distinct
     share = min(1.0, PAIR_DOCS / max(1, n_docs))
     some = train.where(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < int(share * (1 << 20)))
     often = (
-        some.select("classes").mapInArrow(_count_pairs(None), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        some.select("numbers").mapInArrow(_count_pairs(None), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
         .where(F.col("n") >= PAIR_LEAST).orderBy(F.desc("n"), "pair").limit(KNOWN_PAIRS).select("pair").toArrow()
     )
     known = np.sort(often.column("pair").to_numpy().astype(np.uint64))
-    exact = train.select("classes").mapInArrow(_count_pairs(known), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    exact = train.select("numbers").mapInArrow(_count_pairs(known), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     known_counts = np.zeros(len(known), np.int64)
     known_counts[np.searchsorted(known, exact.column("pair").to_numpy().astype(np.uint64))] = exact.column("n").to_numpy()
-    known_context, known_single = vocabulary.context_counts[known >> _SHIFT], vocabulary.class_counts[known & _LOW]
+    known_context, known_single = vocabulary.context_counts[known >> _SHIFT], vocabulary.event_counts[known & _LOW]
 
     # all other pairs, counted by bucket; then the weights from the counts of all
     buckets = max(1, math.ceil(n_events / PAIRS_PER_BUCKET))
-    packed = encoded.select("row", "held_out", "classes").mapInArrow(_deal(known, buckets), "bucket int, pairs binary, rows binary")
+    packed = encoded.select("row", "held_out", "numbers").mapInArrow(_deal(known, buckets), "bucket int, pairs binary, rows binary")
     counted = stage(packed.groupBy("bucket").applyInArrow(_count(shared), COUNTED), "counted")
     events = counted.select("n", "context", "single").mapInArrow(_events, EVENTS)
     # as in _events, in SQL: bits, not log2, as its floor may be one off
     least = F.pow(F.lit(2.0), F.least(F.length(F.bin("context")) - 1, F.lit(CONTEXT_BUCKETS - 2))).cast("long")
     beside_context = F.when(F.col("n") == 1, least).otherwise(F.col("context"))
-    events = events.union(by_pair.where("n > 0").select("n", beside_context, "single", F.lit(1).cast("long")))
-    events = stage(events.groupBy("n", "context", "single").agg(F.sum("times").alias("times")), "events")
+    of_rare = by_pair.where("n > 0").select("n", beside_context.alias("context"), "single").select(*map(_coarse, map(F.col, ("n", "context", "single"))), F.lit(1).cast("long"))
+    events = stage(events.union(of_rare).groupBy("n", "context", "single").agg(F.sum("times").alias("times")), "events")
     of_known = [known_counts, known_context, known_single, np.ones(len(known))]
     local = events.count() <= LOCAL_EVENTS
     if local:
@@ -585,23 +579,22 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
     found = Model(weights, n_events, n_classes, known, np.zeros(0))
     found.known_values = found.log10(known_counts, known_context, known_single)
     model = spark.sparkContext.broadcast(found)
-    values = by_pair.mapInArrow(_rare_values(model), "before long, event long, value double")
-    beside_sums = beside.select("row", "before", "event").join(values, ["before", "event"])
-    beside_sums = beside_sums.groupBy("row").agg(F.sum("value").alias("beside_sum"))
 
-    near_sums = encoded.select("row", "classes").mapInArrow(_near(model), "row long, near_sum double")
+    # every row's sums, of both kinds of pairs in one aggregate
+    values = by_pair.mapInArrow(_rare_values(model, shared), RARE_VALUES)
+    of_beside = beside.select("row", "before", "event").join(values, ["before", "event"]).select("row", "value", "known", "base")
     blocks = counted.mapInArrow(_score(model), "block long, rows binary, sums binary")
-    far_sums = blocks.groupBy("block").applyInArrow(_gather, "row long, far_sum double")
-    joined = encoded.drop("classes", "rare")
-    for sums in (rare_sums, beside_sums, near_sums, far_sums):
-        joined = joined.join(sums, "row", "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    return joined.select(
+    far = blocks.groupBy("block").applyInArrow(_gather, "row long, far_sum double")
+    far = far.select("row", F.col("far_sum").alias("value"), F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"))
+    sums = of_beside.union(far).groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("value", "known", "base")])
+    near = encoded.select("row", *[c for c in encoded.columns if c not in ("row", "rare")]).mapInArrow(_near(model), f"row long, {of_row}, near_sum double")
+    more = lambda c: F.coalesce(f"more_{c}", F.lit(0))
+    return near.join(sums, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_known") + zero("rare_known")).cast("long").alias("n_known"),
+        (F.col("n_known") + more("known")).cast("long").alias("n_known"),
         F.lit(vocabulary.n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("rare_base")).alias("base_score"),
-        (F.col("tail") + zero("rare_tail") + zero("beside_sum") + zero("near_sum") + zero("far_sum")).alias("score"),
+        (F.col("base") + more("base")).alias("base_score"),
+        (F.col("near_sum") + more("value")).alias("score"),
     )

@@ -46,6 +46,32 @@ def is_fold(id_col: Column, parts: int, number: int) -> Column:
     return F.coalesce(fold(id_col, parts) == number, F.lit(False))
 
 
+def leading(n: Column, bits: int) -> Column:
+    """A number that grows with a positive count as far as its leading bits tell counts apart."""
+    over = F.greatest(F.length(F.bin(n)) - bits, F.lit(0))
+    return over * (1 << bits) + F.floor(n / F.pow(F.lit(2.0), over)).cast("long")
+
+
+def frequent(counted: DataFrame, most: int, key: str, n: str = "n") -> Column:
+    """Whether a row's count is among the largest ones, which about ``most`` rows have.
+
+    Rows are counted by the ten leading bits of their counts, and these groups are taken
+    from the top on while they fit; of the first that does not, the rows whose key's
+    hash is low, a twentieth fewer than fit. So no task and not the driver sorts or
+    gathers candidates of every partition.
+    """
+    group = leading(F.col(n), 10)
+    sizes = counted.groupBy(group.alias("group")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    room = most
+    for row in sorted(sizes, key=lambda r: -r["group"]):
+        if row["rows"] > room:
+            share = int(0.95 * room / row["rows"] * (1 << 30))
+            low = F.pmod(F.xxhash64(F.lit("frequent"), key), F.lit(1 << 30)) < share
+            return (group > row["group"]) | ((group == row["group"]) & low)
+        room -= row["rows"]
+    return F.lit(True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once per row, however often body names it."""
     return F.element_at(F.transform(F.array(value), body), 1)

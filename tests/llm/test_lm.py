@@ -35,15 +35,12 @@ def scored(docs, rows, **kind):
     return lm.score(frame, "held", **kind).collect()
 
 
-def brute(rows, classes):
+def brute(rows):
     """Base and model log10 by plain dictionaries; weights as the operator learns them."""
     train = [tokens(t) for i, t in rows if i is None or i % 4]
     count = Counter(w for t in train for w in t)
     n, v = sum(count.values()), len(count)
-    own = {w for w, _ in sorted(count.items(), key=lambda x: (x[0] is not None, -x[1], lm_hash(x[0])))[:classes]}
-    cls = lambda w: w if w in own else "TAIL"
-    single = Counter(cls(w) for t in train for w in t)
-    pairs = Counter(p for t in train for p in zip(["BEGIN", *map(cls, t)], map(cls, t)))
+    pairs = Counter(p for t in train for p in zip(["BEGIN", *t], t))
     context = Counter()
     for (a, _), c in pairs.items():
         context[a] += c
@@ -51,64 +48,41 @@ def brute(rows, classes):
     weights = lm.learn_weights(
         np.array([pairs[k] for k in keys], float),
         np.array([context[a] for a, _ in keys], float),
-        np.array([single[b] for _, b in keys], float),
+        np.array([count[b] for _, b in keys], float),
         n,
-        classes,
+        v,
     )
-    tail_types = max(0, v - classes)
     out = []
     for _, text in rows:
         t = tokens(text)
         base = sum(math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
         total = 0.0
-        for a, b in zip(["BEGIN", *map(cls, t)], t):
-            k = cls(b)
+        for a, b in zip(["BEGIN", *t], t):
             w = weights[int(lm.context_bucket(np.array([context[a]]))[0])]
-            ml = pairs[a, k] / context[a] if context[a] else 0.0
-            total += math.log10(w[0] * ml + w[1] * single[k] / n + w[2] / (classes + 1))
-            if k == "TAIL":
-                total += math.log10((count[b] + 0.1) / (single["TAIL"] + 0.1 * (tail_types + 1)))
+            ml = pairs[a, b] / context[a] if context[a] else 0.0
+            total += math.log10(w[0] * ml + w[1] * count[b] / n + w[2] / (v + 1))
         out.append((len(t), sum(count[w] > 0 for w in t), base, total))
     return n, out
 
 
-def lm_hash(word):
-    return int(np.uint64(lm.xxhash.xxh3_64_intdigest(b"\n" if word is None else word.encode())).view(np.int64))
-
-
-@pytest.mark.parametrize("classes, known", [(lm.CLASSES, lm.KNOWN_TOKENS), (6, 20)])
-def test_scores_equal_brute_force(docs, monkeypatch, classes, known):
-    if classes == 6:
-        monkeypatch.setattr(lm, "KNOWN_PAIRS", 5)
-    rows = sample()
-    n, want = brute(rows, classes)
-    got = {r["doc_id"]: r for r in scored(docs, rows, classes=classes, known_tokens=known)}
-    for (i, _), (n_tokens, n_known, base, total) in zip(rows, want):
-        r = got[i]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (n_tokens, n_known, n, i % 4 == 0)
-        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(total, rel=1e-6)
-
-
 @pytest.mark.parametrize("known", [20, lm.KNOWN_TOKENS])
 def test_every_token_has_its_own_pairs(docs, monkeypatch, known):
     monkeypatch.setattr(lm, "KNOWN_PAIRS", 5)
     rows = sample() + [(1000 + i, "rare1É rare2É unseen%d rare3É rare1É rare2É" % i) for i in range(4)]
-    distinct = len({w for i, t in rows if i % 4 for w in tokens(t)})
-    assert distinct > 50
-    n, want = brute(rows, distinct)
+    assert len({w for i, t in rows if i % 4 for w in tokens(t)}) > 50
+    n, want = brute(rows)
     got = {r["doc_id"]: r for r in scored(docs, rows, known_tokens=known)}
     for (i, _), (n_tokens, n_known, base, total) in zip(rows, want):
-        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (n_tokens, n_known, n)
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"], got[i]["held_out"]) == (n_tokens, n_known, n, i % 4 == 0)
         assert got[i]["base_score"] == pytest.approx(base, rel=1e-9) and got[i]["score"] == pytest.approx(total, rel=1e-6)
 
 
 @pytest.mark.parametrize("local", [0, 100_000])
 def test_weights_come_from_all_pairs(docs, monkeypatch, local):
-    for name, value in (("KNOWN_PAIRS", 5), ("WEIGHT_EVENTS", 50), ("LOCAL_EVENTS", local)):
-        monkeypatch.setattr(lm, name, value, raising=False)
+    for name, value in (("KNOWN_PAIRS", 5), ("LOCAL_EVENTS", local)):
+        monkeypatch.setattr(lm, name, value)
     rows = sample()
-    distinct = len({w for i, t in rows if i % 4 for w in tokens(t)})
-    n, want = brute(rows, distinct)
+    n, want = brute(rows)
     got = {r["doc_id"]: r["score"] for r in scored(docs, rows, known_tokens=50)}
     assert got == {i: pytest.approx(total, rel=1e-6) for (i, _), (*_, total) in zip(rows, want)}
 
@@ -122,7 +96,7 @@ def test_weights_trust_frequent_contexts_more():
     r = np.random.default_rng(3)
     pair = np.concatenate([np.full(300, 200.0), r.integers(1, 3, 300).astype(float)])
     context = np.concatenate([np.full(300, 400.0), np.full(300, 4.0)])
-    w = lm.learn_weights(pair, context, np.full(600, 50.0), 100_000)
+    w = lm.learn_weights(pair, context, np.full(600, 50.0), 100_000, 65_534)
     often, seldom = (int(lm.context_bucket(np.array([c]))[0]) for c in (400, 4))
     assert w[often, 0] > w[seldom, 0] and np.allclose(w.sum(1), 1)
 
@@ -133,3 +107,46 @@ def test_odd_rows_and_empty_tables(docs, odd):
     assert lm.score(docs().withColumn("held", F.lit(False)), "held").count() == 0
     untrained = lm.score(docs((1, "a b"), (2, None)).withColumn("held", F.lit(True)), "held").collect()
     assert {(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in untrained} == {(3, 0, 0, 0.0), (1, 0, 0, 0.0)}
+
+
+def test_coarse_counts(spark):
+    n = np.array([0, 1, 2, 31, 32, 33, 63, 64, 1000, 2**40 + 12345])
+    low = lm.coarse(n)
+    assert (low[n < 32] == n[n < 32]).all() and (lm.coarse(low) == low).all()
+    assert (np.abs(low - n) * 16 <= n).all() and (lm.context_bucket(low) == lm.context_bucket(n)).all()
+    got = spark.createDataFrame([(int(x),) for x in n], "n long").select(lm._coarse(F.col("n"))).collect()
+    assert [r[0] for r in got] == low.tolist()
+
+
+def test_coarse_counts_hardly_change_the_weights(monkeypatch):
+    r = np.random.default_rng(5)
+    single, context = (np.floor(2 ** r.uniform(3, 18, 20_000)) for _ in range(2))
+    pair = np.minimum(np.floor(2 ** r.exponential(2, 20_000)), context)
+    got = lm.learn_weights(pair, context, single, 10**7, 10**6)
+    monkeypatch.setattr(lm, "BITS", 60)
+    assert np.abs(got - lm.learn_weights(pair, context, single, 10**7, 10**6)).max() < 0.02
+
+
+def test_clashing_columns_and_a_very_long_text(docs):
+    rows = sample(40) + [(1001, "a b c " * 100_000 + "seldom")]
+    n, want = brute(rows)
+    frame = docs(*rows).withColumn("held", F.col("doc_id") % 4 == 0)
+    for name in ("row", "n", "token", "base", "value", "rare", "score", "before"):
+        frame = frame.withColumn(name, F.lit("x"))
+    got = {r["doc_id"]: r for r in lm.score(frame, "held", known_tokens=20).collect()}
+    for (i, _), (n_tokens, n_known, base, total) in zip(rows, want):
+        assert (got[i]["n_tokens"], got[i]["n_known"]) == (n_tokens, n_known)
+        assert got[i]["base_score"] == pytest.approx(base, rel=1e-9) and got[i]["score"] == pytest.approx(total, rel=1e-6)
+
+
+def test_frequent_takes_the_largest_counts_that_fit(spark):
+    from starloom.llm.tables import frequent
+
+    counts = [9, 5, 5, 5, 2, 70_000, *[1] * 3000]
+    frame = spark.createDataFrame(list(enumerate(counts)), "key long, n long")
+    for most, least in ((0, 10**9), (1, 70_000), (2, 9), (5, 5), (6, 2), (4000, 1)):
+        got = [r["n"] for r in frame.where(frequent(frame, most, "key")).collect()]
+        assert sorted(got) == sorted(n for n in counts if n >= least)
+    some = [r["n"] for r in frame.where(frequent(frame, 1006, "key")).collect()]
+    assert sorted(some)[-6:] == [2, 5, 5, 5, 9, 70_000] and 850 < len(some) <= 1006
+    assert frame.where("n < 0").where(frequent(frame.where("n < 0"), 5, "key")).count() == 0
