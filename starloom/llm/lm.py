@@ -214,24 +214,14 @@ def _rare_pairs(shared):
     return run
 
 
-RARE_VALUES = "before long, event long, value double, known long, base double"
-
-
-def _rare_values(model, vocabulary):
-    """log10 of the probability of pairs with their counts, and of a rare event by itself."""
+def _rare_values(shared):
+    """log10 of the probability of pairs with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, context, single = (batch.column(c).to_numpy().astype(np.float64) for c in ("n", "context", "single"))
-            rare = batch.column("rare").to_numpy(zero_copy_only=False)
-            added = [
-                model.value.log10(n, context, single),
-                (rare & (single > 0)).astype(np.int64),
-                np.where(rare, vocabulary.value.base(single), 0.0),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("before"), batch.column("event"), *map(pa.array, added)], ["before", "event", "value", "known", "base"]
-            )
+            value = shared.value.log10(n, context, single)
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("before", "event", "count")), pa.array(value)], ["before", "event", "count", "value"])
 
     return run
 
@@ -533,16 +523,27 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
     # pairs with tokens beyond the known ones: counted and met by joins
     pair_row = "row long, held_out boolean, before long, event long, context long, single long"
     beside = stage(encoded.select("row", "held_out", "numbers", "rare").mapInArrow(_rare_pairs(shared), pair_row), "rare-pairs")
-    by_pair = beside.groupBy("before", "event").agg(
-        F.count_if(~F.col("held_out")).alias("n"), F.first("context").alias("context"), F.first("single").alias("single")
-    ).withColumn("rare", F.col("single").isNull())
+    # a pair lies where its rare event does, else its rare context, so that counting pairs and
+    # giving them a token's count take one shuffle; no rare token is among the most frequent ones
     rest = counts.where(~is_known).withColumnRenamed("n", "count")
-    for name, key in (("context", "before"), ("single", "event")):
-        # where the count is known a hash that meets nothing, so that no key is frequent
-        by_pair = by_pair.withColumn("token", F.when(F.col(name).isNull(), F.col(key)).otherwise(F.xxhash64("before", "event")))
-        by_pair = by_pair.join(rest, "token", "left")
-        by_pair = by_pair.withColumn(name, F.coalesce(name, "count", F.lit(0))).drop("token", "count")
-    by_pair = stage(by_pair, "rare-counts")
+    token = F.when(F.col("single").isNull(), F.col("event")).otherwise(F.col("before"))
+    half = beside.withColumn("token", token).repartition("token").groupBy("token", "before", "event").agg(
+        F.count_if(~F.col("held_out")).alias("n"), F.first("context").alias("context"), F.first("single").alias("single")
+    )
+    rare, count = F.col("single").isNull(), F.coalesce("count", F.lit(0))
+    half = half.join(rest, "token", "left").select(
+        "before",
+        "event",
+        "n",
+        F.when(rare, F.col("context")).otherwise(count).alias("context"),
+        F.when(rare, count).otherwise(F.col("single")).alias("single"),
+        rare.alias("rare"),
+    )
+    half = stage(half, "rare-counts")
+    # of two rare tokens, the context's count
+    both = half.where(F.col("context").isNull()).withColumnRenamed("before", "token").join(rest, "token", "left")
+    both = stage(both.select(F.col("token").alias("before"), "event", "n", count.alias("context"), "single", "rare"), "rare-both")
+    by_pair = half.where(F.col("context").isNotNull()).unionByName(both)
 
     # frequent pairs
     n_docs, n_events, n_classes = vocabulary.n_docs, vocabulary.n_tokens, vocabulary.n_distinct
@@ -581,8 +582,11 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
     model = spark.sparkContext.broadcast(found)
 
     # every row's sums, of both kinds of pairs in one aggregate
-    values = by_pair.mapInArrow(_rare_values(model, shared), RARE_VALUES)
-    of_beside = beside.select("row", "before", "event").join(values, ["before", "event"]).select("row", "value", "known", "base")
+    values = by_pair.withColumn("count", F.when(F.col("rare"), F.col("single"))).drop("rare")
+    values = values.mapInArrow(_rare_values(model), "before long, event long, count long, value double")
+    base = F.log10((F.col("count") + 0.1) / (n_events + 0.1 * (n_classes + 1)))
+    of_beside = beside.select("row", "before", "event").join(values, ["before", "event"])
+    of_beside = of_beside.select("row", "value", (F.col("count") > 0).cast("long").alias("known"), base.alias("base"))
     blocks = counted.mapInArrow(_score(model), "block long, rows binary, sums binary")
     far = blocks.groupBy("block").applyInArrow(_gather, "row long, far_sum double")
     far = far.select("row", F.col("far_sum").alias("value"), F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"))
