@@ -31,7 +31,8 @@ from tokenizers import Tokenizer
 
 from starloom.llm.language import Table
 from starloom.llm.packing import byte_symbols
-from starloom.llm.tables import map_texts, ship, steps, texts, texts_of
+from starloom.llm.tables import frequent, map_texts, ship, steps, texts, texts_of
+from starloom.session import stage
 
 #: Words in the transducer.
 LEXICON_WORDS = 32_768
@@ -387,11 +388,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS, text_col: str = "text") -> list[str]:
-    """The most frequent words of all texts, by count, then by themselves."""
+    """About ``most`` of the most frequent words of all texts, by count, then by themselves.
+
+    Only these reach the driver, however many tasks there are.
+    """
     ship(docs.sparkSession)
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(_count, "word string, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [r["word"] for r in top.collect()]
+    counted = stage(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    top = counted.where(frequent(counted, most, "word")).collect()
+    return [r["word"] for r in sorted(top, key=lambda r: (-r["n"], r["word"]))]
 
 
 def lexicon_of(words: Iterable[str], path: str) -> bytes:
