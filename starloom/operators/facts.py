@@ -10,7 +10,10 @@ from starloom.functions.columns import all_of, failed_names, narrow_int
 from starloom.model import Fact, History
 from starloom.operators.dims import resolve_parents
 from starloom.operators.joins import lookup
-from starloom.session import stage
+from starloom.session import setting, stage
+
+#: Versions of one key that each of its rows may meet.
+VERSIONS_PER_KEY = 32
 
 
 class Load(NamedTuple):
@@ -57,13 +60,16 @@ def asof_lookup(
 ) -> DataFrame:
     """The version valid on each row's ``day``: from ``<= day <`` to.
 
-    A key has at most one version per day. Versions are split by the years they
-    cover, so a row meets those of its year only, however many a key has.
+    A key has at most one version per day. Where a key has many, versions are split
+    by the years they cover, so a row meets those of its year only. Where no key
+    does, that would only multiply the versions.
     """
     begin, end = spec.validity
     taken = {**take, begin: "__from", end: "__to"}
     within = (F.col(day) >= F.col("__from")) & (F.col(day) < F.col("__to"))
     days = src if keys_of is None else keys_of
+    if _most_versions(dim, list(on.values())) <= setting(src.sparkSession, "versionsPerKey", VERSIONS_PER_KEY):
+        return lookup(src, dim, on, taken, how, within, days).drop("__from", "__to")
     versions = _by_year(dim, spec, days.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first())
     year = F.trunc(day, "year")
     joined = lookup(
@@ -78,6 +84,10 @@ def asof_lookup(
     return joined.drop("__from", "__to", "__year")
 
 
+def _most_versions(dim: DataFrame, keys: list[str]) -> int:
+    return dim.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
 def _by_year(dim: DataFrame, spec: History, days: Row) -> DataFrame:
     """Each version once per year it shares with the range of fact dates."""
     begin, end = spec.validity

@@ -279,7 +279,7 @@ def asof_vs_current(w: Warehouse) -> DataFrame:
         w.bookings, w.dim_history, HISTORY, on, "booking_date", {"passenger_key": "key_then"}
     )
     now = lookup(
-        then, w.dim_history.where("is_current"), on, {"passenger_key": "key_now"}, "left"
+        then, w.dim_history.where("is_current"), on, {"passenger_key": "key_now"}, "left", keys_of=w.bookings
     )
     return now.agg(
         F.count(F.lit(1)).alias("bookings"),

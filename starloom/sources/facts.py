@@ -84,7 +84,7 @@ class FactStore:
         old = stage(replaced.select(history.key, entity), "replaced")
         hit = lookup(rows, old, {parent.result: history.key}, {entity: "__entity"})
         hit = hit.select(*self.spec.grain, self.month, parent.result, "__entity", day_of(F.col(day_key)).alias("__day"))
-        versions = lookup(dim, old.select(entity).distinct(), {entity: entity}, how="left_semi")
+        versions = stage(lookup(dim, old.select(entity).distinct(), {entity: entity}, how="left_semi"), "versions")
         now = asof_lookup(hit, versions, history, {"__entity": entity}, "__day", {history.key: "__now"})
         moved = stage(now.where(differs(F.col("__now"), F.col(parent.result))), "moved")
         if not moved.where("__now IS NULL").isEmpty():

@@ -90,6 +90,21 @@ def test_validity_includes_its_first_day_and_not_its_last(spark):
     assert [r.k for r in got.orderBy("booking_date").collect()] == [None, 1, 1, 2, 2]
 
 
+def test_versions_are_split_by_year_only_where_a_key_has_many(spark, settings):
+    """Before, each version was listed once per year it covers and Spark could broadcast that list."""
+    settings(spark__starloom__broadcastBytes=0)  # files may look small to Spark all the same
+    dim = versions(spark, (1, 70, date(2000, 1, 1), DAY), (2, 70, DAY, date(9999, 12, 31)))
+    src = spark.createDataFrame([(70, DAY), (70, date(1999, 1, 1))], "passenger_id long, booking_date date")
+    on, take = {"passenger_id": "passenger_id"}, {"passenger_key": "k"}
+    whole = asof_lookup(src, dim, SPEC, on, "booking_date", take)
+    assert "Generate" not in plan_of(whole) and "SortMergeJoin" in plan_of(whole)
+    settings(spark__starloom__versionsPerKey=1)
+    split = asof_lookup(src, dim, SPEC, on, "booking_date", take)
+    assert "Generate" in plan_of(split) and "BroadcastHashJoin" not in plan_of(split)
+    assert rows(whole) == rows(split)
+    assert sorted(whole.select("k").collect(), key=str) == sorted(split.select("k").collect(), key=str)
+
+
 @pytest.mark.parametrize("spread", [False, True])
 def test_years_give_what_the_plain_interval_join_gives(spark, request, spread):
     if spread:
