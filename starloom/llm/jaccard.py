@@ -3,8 +3,8 @@
 A document is its set of word shingles. Documents with equal sets are one class and
 are joined as one. Two sets that are similar enough share at least l shingles among
 the first n - ceil(t n) + l of each, in any order common to all sets. The order puts
-shingles first that should be rare, by the words they are made of and by how often a
-sample holds them; it is an estimate that changes cost, never results. Each document
+shingles first that should be rare by how often all documents hold the words they are
+made of; it changes cost, never results. Each document
 chooses its own l: a longer prefix costs more look-ups but asks for more shared
 shingles before a pair is verified, which pays where its shingles are frequent.
 
@@ -43,10 +43,8 @@ SHINGLE, PERCENT = 4, 85
 MAX_LEVEL = 8
 #: What verifying a candidate costs, in look-ups of a shingle.
 VERIFY_COST = 50
-#: Share of the documents, and least expected number of them, that the order of shingles
-#: comes from; words and shingles of them that count as frequent, which bounds what is
-#: broadcast.
-SAMPLE_SHARE, SAMPLE_DOCS, FREQUENT_WORDS, FREQUENT_SHINGLES = 1 / 8, 2_000, 65_536, 500_000
+#: Words that count as frequent, which bounds what is broadcast.
+FREQUENT_WORDS = 65_536
 #: Shingles of up to so many documents are rare: all pairs of their documents are few.
 RARE = 8
 #: Rounds of leaders before the full join.
@@ -89,66 +87,45 @@ def shingle_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
 
 @dataclass
 class Order:
-    """Estimated frequency of words and shingles, the more frequent later."""
+    """Frequency of words, by which shingles are ordered, the more frequent later."""
 
     words: np.ndarray
-    word_weight: np.ndarray
-    shingles: np.ndarray
-    shingle_weight: np.ndarray
+    weight: np.ndarray
 
-    @staticmethod
-    def _look(keys: np.ndarray, values: np.ndarray, at: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.zeros(len(at), np.float32)
-        place = np.minimum(np.searchsorted(keys, at), len(keys) - 1)
-        return np.where(keys[place] == at, values[place], np.float32(0))
+    def _weights(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(words), np.float32)
+        place = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[place] == words, self.weight[place], np.float32(0))
 
     def tokens(self, words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-        """Keys of the distinct shingles in order: 7 bits of estimate, then 56 of the hash."""
+        """Keys of the distinct shingles in order: 7 bits of their words' frequency, then 56 of the hash."""
         hashes = shingle_hashes(words, size)
-        weight = self._look(self.words, self.word_weight, words)
+        weight = self._weights(words)
         width = len(words) - len(hashes) + 1
         summed = np.zeros(len(hashes), np.float32)
         for i in range(width):
             summed += weight[i : len(words) - width + 1 + i]
-        summed = np.minimum(summed * (4 / max(1, width)), 79).astype(np.uint64)
-        seen = self._look(self.shingles, self.shingle_weight, hashes)
-        rank = np.where(seen > 0, np.uint64(80) + np.minimum(seen * 2, 46).astype(np.uint64), summed)
+        rank = np.minimum(summed * (4 / max(1, width)), 127).astype(np.uint64)
         return np.unique((rank << np.uint64(56)) | (hashes >> np.uint64(8))).view(np.int64)
 
 
-def _sample_counts(kind: str, size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in steps(batch):
-                found = []
-                for text in texts_of(part):
-                    words = word_hashes(text)
-                    found.append(words if kind == "word" else np.unique(shingle_hashes(words, size)))
-                keys, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64),) * 2
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"]
-                )
-
-    return run
-
-
-def order_of(docs: DataFrame, size: int = SHINGLE) -> Order:
-    """The order of shingles, from a sample of documents."""
-    share = min(1.0, max(SAMPLE_SHARE, SAMPLE_DOCS / max(1, docs.count())))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in steps(batch):
+            found = [word_hashes(text) for text in texts_of(part)]
+            keys, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
-    def top(kind: str, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-        counted = sample.select("text").mapInArrow(_sample_counts(kind, size), "key long, n long")
-        summed = counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        table = summed.orderBy(F.desc("n"), "key").limit(most).toArrow()
-        keys = table.column("key").to_numpy().view(np.uint64)
-        by_key = np.argsort(keys)
-        return keys[by_key], np.log2(table.column("n").to_numpy()[by_key]).astype(np.float32)
 
-    words, word_weight = top("word", 2, FREQUENT_WORDS)
-    shingles, shingle_weight = top("shingle", 3, FREQUENT_SHINGLES)
-    return Order(words, word_weight, shingles, shingle_weight)
+def order_of(docs: DataFrame) -> Order:
+    """The order of shingles, from the words of all documents."""
+    counted = docs.select("text").mapInArrow(_word_counts, "key long, n long")
+    summed = counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
+    table = summed.orderBy(F.desc("n"), "key").limit(FREQUENT_WORDS).toArrow()
+    keys = table.column("key").to_numpy().view(np.uint64)
+    by_key = np.argsort(keys)
+    return Order(keys[by_key], np.log2(table.column("n").to_numpy()[by_key]).astype(np.float32))
 
 
 def cells(whole: np.ndarray) -> np.ndarray:
@@ -407,7 +384,7 @@ def _search(rows: DataFrame, size: int, percent: int) -> Found:
     spark = rows.sparkSession
     ship(spark)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(order_of(rows, size))
+    shared = spark.sparkContext.broadcast(order_of(rows))
     columns = f"doc_id {kind}, n long, sign binary, cells binary, tokens array<long>"
     made = rows.mapInArrow(_sketches(shared, size, percent), columns)
     sketches = stage(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
@@ -424,8 +401,10 @@ def _search(rows: DataFrame, size: int, percent: int) -> Found:
     most = F.least(F.lit(MAX_LEVEL), F.floor((F.col("n") * percent + 99) / 100)).cast("int")
     postings = reps.select("doc", "n", most.alias("most"), F.posexplode("tokens").alias("at", "token"))
     postings = postings.withColumn("level", _level(F.col("at"), F.col("n"), percent)).drop("at")
-    common = stage(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "common")
-    postings = stage(postings.join(_if_small(common), "token"), "postings")
+    # one shuffle for both: the counts lie where their rows do
+    postings = postings.repartition("token")
+    common = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    postings = stage(postings.join(common.hint("merge"), "token"), "postings")
     chosen = postings.join(_choose_levels(postings, percent), "doc")
     postings = stage(chosen.select("token", "doc", "n", "df", "level", "weight", "common", "frequent", "l"), "postings")
     alone = postings.select("doc").distinct().withColumn("comp", F.col("doc"))

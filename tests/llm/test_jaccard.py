@@ -157,3 +157,13 @@ def test_components_of_paths_and_stars(spark):
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 140)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_the_order_comes_from_all_documents(spark):
+    """Before, words and shingles were counted on a sample of 2,000 documents or an eighth."""
+    texts = spark.range(5000).selectExpr("id AS doc_id", "concat('all ', IF(id % 2 = 0, 'even', 'odd ODD'), ' w', id) AS text")
+    order = j.order_of(texts)
+    found = dict(zip(order.words.tolist(), order.weight.tolist()))
+    hashes = j.word_hashes("all even odd").tolist()
+    assert [round(2 ** found[h]) for h in hashes] == [5000, 2500, 5000]
+    assert len(found) == 3
