@@ -1,10 +1,10 @@
 """Key lookups: many source rows against one side with a key of its own.
 
 The lookup side is broadcast when its measured size is under the budget. Above
-it the join is shuffled on the key and sorted, whatever Spark makes of the sizes of
-files: a compressed or exploded side is far larger than these. Source keys that hold
-more rows than one task should take are spread over several copies of their few
-lookup rows.
+it the join is shuffled on the key, whatever Spark makes of the sizes of files: a
+compressed or exploded side is far larger than these. A task hashes its part of the
+side, as sorting the source rows would cost more. Source keys that hold more rows than
+one task should take are spread over several copies of their few lookup rows.
 """
 
 from __future__ import annotations
@@ -74,7 +74,7 @@ def _spread_join(
     condition = _equal(pairs, extra)
     hot = None if keys_of is None else _hot_keys(keys_of, src_keys)
     if hot is None:
-        return src.join(side.hint("merge"), condition, how)
+        return src.join(side.hint("shuffle_hash"), condition, how)
     if fits_broadcast(hot):
         hot = F.broadcast(hot)
     shares = F.coalesce(F.col("__shares"), F.lit(1))
@@ -91,7 +91,7 @@ def _spread_join(
         .withColumn("__copy", F.explode(F.sequence(F.lit(0), shares - 1)))
         .drop("__hot", "__shares")
     )
-    joined = left.join(right.hint("merge"), condition & (F.col("__share") == F.col("__copy")), how)
+    joined = left.join(right.hint("shuffle_hash"), condition & (F.col("__share") == F.col("__copy")), how)
     return joined.drop("__share", "__copy")
 
 

@@ -246,7 +246,7 @@ class Warehouse:
             F.col("o_totalprice").cast("decimal(18,2)").alias("fare_amount"),
             F.col("o_orderstatus").alias("booking_status"),
         )
-        return orders.join(per_order, "booking_id", "left").select(*BOOKING_CONTRACT.names)
+        return orders.join(per_order.hint("shuffle_hash"), "booking_id", "left").select(*BOOKING_CONTRACT.names)
 
     @property
     def lines(self) -> DataFrame:

@@ -113,7 +113,8 @@ class HistoryStore:
     def _spliced(self, done: Spliced, entries: list[Entry]) -> tuple[bool, list[Entry]]:
         """Write the days on which replaced or new versions end."""
         gone, made = done.replaced.select(*self.spec.columns), done.versions
-        if made.exceptAll(gone).isEmpty() and gone.exceptAll(made).isEmpty():
+        # counted first, in the footers: comparing all rows of unequal sets would tell no more
+        if made.count() == gone.count() and made.exceptAll(gone).isEmpty():
             return False, entries
         end, key = self.spec.validity[1], self.spec.key
         # one row per day
