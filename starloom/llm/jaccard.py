@@ -4,8 +4,9 @@ A document is its set of word shingles. Documents with equal sets are one class
 are joined as one. Two sets that are similar enough share at least l shingles among
 the first n - ceil(t n) + l of each, in any order common to all sets. The order puts
 shingles first that should be rare by how often all documents hold the words they are
-made of; it changes cost, never results. Each document
-chooses its own l: a longer prefix costs more look-ups but asks for more shared
+made of, and last those that many documents were found to hold, so a passage that many
+texts share is in a prefix only where nearly the whole text is made of such; it changes
+cost, never results. Each document chooses its own l: a longer prefix costs more look-ups but asks for more shared
 shingles before a pair is verified, which pays where its shingles are frequent.
 
 Components are wanted, not all pairs. So each shared shingle first proposes a leader
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.llm.components import components
-from starloom.llm.tables import ship, steps, texts, texts_of
+from starloom.llm.tables import frequent, ship, steps, texts, texts_of
 from starloom.operators.joins import fits_broadcast
 from starloom.session import stage
 
@@ -43,8 +44,10 @@ SHINGLE, PERCENT = 4, 85
 MAX_LEVEL = 8
 #: What verifying a candidate costs, in look-ups of a shingle.
 VERIFY_COST = 50
-#: Words that count as frequent, which bounds what is broadcast.
-FREQUENT_WORDS = 65_536
+#: Words and shingles that count as frequent, about, which bounds what is broadcast.
+FREQUENT_WORDS, FREQUENT_SHINGLES = 65_536, 262_144
+#: Words or shingles that a task counts at once. Of these, shingles of one document are left out.
+COUNTED_AT_ONCE = 2_000_000
 #: Shingles of up to so many documents are rare: all pairs of their documents are few.
 RARE = 8
 #: Rounds of leaders before the full join.
@@ -85,47 +88,85 @@ def shingle_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return _mix(total + np.uint64(width if short else 0))
 
 
+def _look(keys: np.ndarray, values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The values of the sorted keys, 0 for others."""
+    if not len(keys):
+        return np.zeros(len(at), np.float32)
+    place = np.minimum(np.searchsorted(keys, at), len(keys) - 1)
+    return np.where(keys[place] == at, values[place], np.float32(0))
+
+
 @dataclass
 class Order:
-    """Frequency of words, by which shingles are ordered, the more frequent later."""
+    """Frequency of words and of shingles, by which shingles are ordered, the more frequent later."""
 
     words: np.ndarray
     weight: np.ndarray
-
-    def _weights(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(words), np.float32)
-        place = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[place] == words, self.weight[place], np.float32(0))
+    shingles: np.ndarray
+    shingle_weight: np.ndarray
 
     def tokens(self, words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-        """Keys of the distinct shingles in order: 7 bits of their words' frequency, then 56 of the hash."""
+        """Keys of the distinct shingles in order: 7 bits of their frequency, or else their words', then 56 of the hash."""
         hashes = shingle_hashes(words, size)
-        weight = self._weights(words)
+        weight = _look(self.words, self.weight, words)
         width = len(words) - len(hashes) + 1
         summed = np.zeros(len(hashes), np.float32)
         for i in range(width):
             summed += weight[i : len(words) - width + 1 + i]
-        rank = np.minimum(summed * (4 / max(1, width)), 127).astype(np.uint64)
+        rank = np.minimum(summed * (4 / max(1, width)), 79).astype(np.uint64)
+        seen = _look(self.shingles, self.shingle_weight, hashes)
+        rank = np.where(seen > 0, np.uint64(80) + np.minimum(seen * 2, 47).astype(np.uint64), rank)
         return np.unique((rank << np.uint64(56)) | (hashes >> np.uint64(8))).view(np.int64)
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in steps(batch):
-            found = [word_hashes(text) for text in texts_of(part)]
-            keys, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64),) * 2
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+def _counts(size: int):
+    """Words by how often they occur, and shingles that several documents hold by these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: list[np.ndarray] = []
+        sets: list[np.ndarray] = []
+
+        def rows() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(words), return_counts=True)
+            shingles, held = np.unique(np.concatenate(sets), return_counts=True)
+            shingles, held = shingles[held > 1], held[held > 1]
+            words.clear()
+            sets.clear()
+            whole = np.repeat([False, True], [len(keys), len(shingles)])
+            keys, n = np.concatenate([keys, shingles]), np.concatenate([n, held])
+            columns = [pa.array(whole), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))]
+            return pa.RecordBatch.from_arrays(columns, ["shingle", "key", "n"])
+
+        for batch in batches:
+            for part in steps(batch):
+                for text in texts_of(part):
+                    words.append(word_hashes(text))
+                    sets.append(np.unique(shingle_hashes(words[-1], size)))
+                if sum(map(len, words)) > COUNTED_AT_ONCE:
+                    yield rows()
+        if words:
+            yield rows()
+
+    return run
+
+
+def order_of(docs: DataFrame, size: int = SHINGLE) -> Order:
+    """The order of shingles, from the words and shingles of all documents.
+
+    A shingle is counted where a task meets it in several of the documents that it
+    takes at once, as it does with one that a share of all documents hold.
+    """
+    counted = docs.select("text").mapInArrow(_counts(size), "shingle boolean, key long, n long")
+    summed = counted.groupBy("shingle", "key").agg(F.sum("n").alias("n"))
+    summed = stage(summed.where(F.col("n") > F.when(F.col("shingle"), RARE).otherwise(1)), "counts")
 
+    def top(of: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+        table = of.where(frequent(of, most, "key")).select("key", "n").toArrow()
+        keys = table.column("key").to_numpy().view(np.uint64)
+        by_key = np.argsort(keys)
+        return keys[by_key], np.log2(table.column("n").to_numpy()[by_key]).astype(np.float32)
 
-def order_of(docs: DataFrame) -> Order:
-    """The order of shingles, from the words of all documents."""
-    counted = docs.select("text").mapInArrow(_word_counts, "key long, n long")
-    summed = counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
-    table = summed.orderBy(F.desc("n"), "key").limit(FREQUENT_WORDS).toArrow()
-    keys = table.column("key").to_numpy().view(np.uint64)
-    by_key = np.argsort(keys)
-    return Order(keys[by_key], np.log2(table.column("n").to_numpy()[by_key]).astype(np.float32))
+    return Order(*top(summed.where("NOT shingle"), FREQUENT_WORDS), *top(summed.where("shingle"), FREQUENT_SHINGLES))
 
 
 def cells(whole: np.ndarray) -> np.ndarray:
@@ -384,7 +425,7 @@ def _search(rows: DataFrame, size: int, percent: int) -> Found:
     spark = rows.sparkSession
     ship(spark)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(order_of(rows))
+    shared = spark.sparkContext.broadcast(order_of(rows, size))
     columns = f"doc_id {kind}, n long, sign binary, cells binary, tokens array<long>"
     made = rows.mapInArrow(_sketches(shared, size, percent), columns)
     sketches = stage(made.withColumn("row", F.monotonically_increasing_id()), "sketches")

@@ -167,3 +167,32 @@ def test_the_order_comes_from_all_documents(spark):
     hashes = j.word_hashes("all even odd").tolist()
     assert [round(2 ** found[h]) for h in hashes] == [5000, 2500, 5000]
     assert len(found) == 3
+
+
+def test_shingles_that_many_documents_hold_come_last(spark):
+    """Before, only words were counted, so a passage of seldom words was in all its texts' prefixes."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    rows = [(d, " ".join(f"d{d}x{i}" if i % 2 else f"w{i % 10}" for i in range(40)) + " " + passage) for d in range(60)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    order = j.order_of(texts)
+    shared = j.shingle_hashes(j.word_hashes(passage))
+    assert np.isin(shared, order.shingles).all() and len(order.shingles) == len(shared)
+    got = order.tokens(j.word_hashes(rows[0][1])).view(np.uint64) & np.uint64((1 << 56) - 1)
+    assert set(got[-len(shared) :]) == set(shared >> np.uint64(8))
+
+
+def test_texts_that_share_a_passage_make_few_pairs(docs, monkeypatch):
+    """Before, all 120 texts with one passage met in 7,140 candidate pairs."""
+    found = []
+    real = j._cross_pairs
+
+    def cross(*args):
+        pairs = real(*args)
+        found.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(j, "_cross_pairs", cross)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(d, passage + " " + " ".join(f"w{(d * 7 + i * i) % 50} the{d * 40 + i}" for i in range(20))) for d in range(1, 121)]
+    check(docs, rows)
+    assert found == [0]
