@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.llm.language import Table
 from starloom.llm.tables import frequent, ship, steps, texts_of
@@ -221,7 +221,7 @@ def _rare_values(shared):
         for batch in batches:
             n, context, single = (batch.column(c).to_numpy().astype(np.float64) for c in ("n", "context", "single"))
             value = shared.value.log10(n, context, single)
-            yield pa.RecordBatch.from_arrays([*map(batch.column, ("before", "event", "count")), pa.array(value)], ["before", "event", "count", "value"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("row", "count")), pa.array(value)], ["row", "count", "value"])
 
     return run
 
@@ -522,28 +522,36 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
 
     # pairs with tokens beyond the known ones: counted and met by joins
     pair_row = "row long, held_out boolean, before long, event long, context long, single long"
-    beside = stage(encoded.select("row", "held_out", "numbers", "rare").mapInArrow(_rare_pairs(shared), pair_row), "rare-pairs")
-    # a pair lies where its rare event does, else its rare context, so that counting pairs and
-    # giving them a token's count take one shuffle; no rare token is among the most frequent ones
+    beside = encoded.select("row", "held_out", "numbers", "rare").mapInArrow(_rare_pairs(shared), pair_row)
+    # a pair lies where its rare event does, else its rare context, so that giving all its rows its
+    # count and a token's take one shuffle; no rare token is among the most frequent ones
     rest = counts.where(~is_known).withColumnRenamed("n", "count")
     token = F.when(F.col("single").isNull(), F.col("event")).otherwise(F.col("before"))
-    half = beside.withColumn("token", token).repartition("token").groupBy("token", "before", "event").agg(
-        F.count_if(~F.col("held_out")).alias("n"), F.first("context").alias("context"), F.first("single").alias("single")
+    of_pair = Window.partitionBy("token", "before", "event")
+    half = beside.withColumn("token", token).repartition("token").select(
+        "row",
+        "token",
+        "before",
+        "context",
+        "single",
+        F.count_if(~F.col("held_out")).over(of_pair).alias("n"),
+        (F.row_number().over(of_pair.orderBy("row")) == 1).alias("once"),
     )
     rare, count = F.col("single").isNull(), F.coalesce("count", F.lit(0))
     half = half.join(rest, "token", "left").select(
-        "before",
-        "event",
+        "row",
         "n",
+        "once",
+        F.when(rare & F.col("context").isNull(), F.col("before")).alias("before"),
         F.when(rare, F.col("context")).otherwise(count).alias("context"),
         F.when(rare, count).otherwise(F.col("single")).alias("single"),
         rare.alias("rare"),
     )
     half = stage(half, "rare-counts")
     # of two rare tokens, the context's count
-    both = half.where(F.col("context").isNull()).withColumnRenamed("before", "token").join(rest, "token", "left")
-    both = stage(both.select(F.col("token").alias("before"), "event", "n", count.alias("context"), "single", "rare"), "rare-both")
-    by_pair = half.where(F.col("context").isNotNull()).unionByName(both)
+    both = half.where(F.col("context").isNull()).drop("context").withColumnRenamed("before", "token").join(rest, "token", "left")
+    both = stage(both.select("row", "n", "once", count.alias("context"), "single", "rare"), "rare-both")
+    of_rows = half.where(F.col("context").isNotNull()).drop("before").unionByName(both)
 
     # frequent pairs
     n_docs, n_events, n_classes = vocabulary.n_docs, vocabulary.n_tokens, vocabulary.n_distinct
@@ -567,7 +575,7 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
     # as in _events, in SQL: bits, not log2, as its floor may be one off
     least = F.pow(F.lit(2.0), F.least(F.length(F.bin("context")) - 1, F.lit(CONTEXT_BUCKETS - 2))).cast("long")
     beside_context = F.when(F.col("n") == 1, least).otherwise(F.col("context"))
-    of_rare = by_pair.where("n > 0").select("n", beside_context.alias("context"), "single").select(*map(_coarse, map(F.col, ("n", "context", "single"))), F.lit(1).cast("long"))
+    of_rare = of_rows.where("once AND n > 0").select("n", beside_context.alias("context"), "single").select(*map(_coarse, map(F.col, ("n", "context", "single"))), F.lit(1).cast("long"))
     events = stage(events.union(of_rare).groupBy("n", "context", "single").agg(F.sum("times").alias("times")), "events")
     of_known = [known_counts, known_context, known_single, np.ones(len(known))]
     local = events.count() <= LOCAL_EVENTS
@@ -582,11 +590,10 @@ def score(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str
     model = spark.sparkContext.broadcast(found)
 
     # every row's sums, of both kinds of pairs in one aggregate
-    values = by_pair.withColumn("count", F.when(F.col("rare"), F.col("single"))).drop("rare")
-    values = values.mapInArrow(_rare_values(model), "before long, event long, count long, value double")
+    values = of_rows.select("row", "n", "context", "single", F.when(F.col("rare"), F.col("single")).alias("count"))
+    values = values.mapInArrow(_rare_values(model), "row long, count long, value double")
     base = F.log10((F.col("count") + 0.1) / (n_events + 0.1 * (n_classes + 1)))
-    of_beside = beside.select("row", "before", "event").join(values, ["before", "event"])
-    of_beside = of_beside.select("row", "value", (F.col("count") > 0).cast("long").alias("known"), base.alias("base"))
+    of_beside = values.select("row", "value", (F.col("count") > 0).cast("long").alias("known"), base.alias("base"))
     blocks = counted.mapInArrow(_score(model), "block long, rows binary, sums binary")
     far = blocks.groupBy("block").applyInArrow(_gather, "row long, far_sum double")
     far = far.select("row", F.col("far_sum").alias("value"), F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"))

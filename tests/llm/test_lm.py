@@ -150,3 +150,18 @@ def test_frequent_takes_the_largest_counts_that_fit(spark):
     some = [r["n"] for r in frame.where(frequent(frame, 1006, "key")).collect()]
     assert sorted(some)[-6:] == [2, 5, 5, 5, 9, 70_000] and 850 < len(some) <= 1006
     assert frame.where("n < 0").where(frequent(frame.where("n < 0"), 5, "key")).count() == 0
+
+
+def test_rare_pairs_are_shuffled_once_with_their_rows(docs):
+    """Before, the rows of pairs with rare tokens were shuffled again, to meet their pairs' counts."""
+    from conftest import plan_of
+
+    rows = [(i, "seldom%d a" % (i % 9) * 2 + " seldom%d other%d" % (i % 3, i % 5)) for i in range(1, 60)]
+    frame = docs(*rows).withColumn("held", F.col("doc_id") % 4 == 0)
+    found = lm.score(frame, "held", known_tokens=2)
+    assert "before" not in plan_of(found)
+    n, want = brute(rows)
+    got = {r["doc_id"]: r for r in found.collect()}
+    for (i, _), (n_tokens, n_known, base, total) in zip(rows, want):
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (n_tokens, n_known, n)
+        assert got[i]["base_score"] == pytest.approx(base, rel=1e-9) and got[i]["score"] == pytest.approx(total, rel=1e-6)
