@@ -106,11 +106,11 @@ def profile_drift(old: DataFrame, new: DataFrame, contract: Contract | None = No
 
 def profile_volume(new: DataFrame, old: DataFrame | None = None, max_drop: float = MAX_DROP) -> DataFrame:
     """Row counts of a batch and of the one before it, if there was one."""
-    rows = new.where("kind = 'rows'").select(F.col("rows").alias("today_rows"))
+    rows = new.where("kind = 'rows'").select("kind", F.col("rows").alias("today_rows"))
     if old is None:
         both = rows.withColumn("prior_rows", F.lit(None).cast("long"))
     else:
         # one row each
-        both = rows.crossJoin(old.where("kind = 'rows'").select(F.col("rows").alias("prior_rows")))
+        both = rows.join(old.where("kind = 'rows'").select("kind", F.col("rows").alias("prior_rows")), "kind")
     status = volume_status(F.col("today_rows"), F.col("prior_rows"), max_drop)
     return both.select("prior_rows", "today_rows", status.alias("status"))
