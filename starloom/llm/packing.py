@@ -40,7 +40,7 @@ OPEN_BINS = 1024
 #: Pieces for one packing task.
 PIECES_PER_TASK = 250_000
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 CLOSING = np.zeros(1, "<u4").tobytes()
 #: Fixed value: how a byte-level vocabulary of this kind splits text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -15,6 +15,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Characters of text that one step in a Python worker takes at once, beyond a single text.
 STEP_CHARS = 1_000_000
+#: Bytes of an Arrow batch on its way to a Python worker, about, beyond a single row.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 _SHIPPED: set[str] = set()
@@ -32,6 +35,15 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by their bytes from now on in this session, unless it has a bound of its own.
+
+    By rows alone, 10,000 long texts are one batch, which lies in the JVM and twice in the worker.
+    """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

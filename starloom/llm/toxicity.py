@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.tables import map_texts
+from starloom.llm.tables import map_texts, small_batches
 from starloom.operators.joins import fits_broadcast
 from starloom.session import stage
 
@@ -38,7 +38,7 @@ WORD_CHARS = 24
 TRAIN_DOCS = 3600
 EPOCHS, BATCH, RATE, SEED = 6, 64, 0.01, 7
 #: Words whose inputs a worker keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
 _STRIP = ".,;:!?\"'()[]{}<>|*#$%&"
 
 
@@ -217,6 +217,16 @@ class Network:
                 return np.array(found, np.int64), made
         return np.array(found, np.int64), np.zeros((0, 6 * HIDDEN), np.float32)
 
+    def _gates(self, at: np.ndarray, extra: np.ndarray) -> np.ndarray:
+        """The gate inputs of these numbers; those past the kept ones are taken from ``extra``."""
+        if not len(extra):
+            return self.inputs[at]
+        past = at - (len(self.rows) + 1)
+        late = past >= 0
+        gates = self.inputs[np.where(late, 0, at)]
+        gates[late] = extra[past[late]]
+        return gates
+
     def forget(self) -> None:
         """Drop inputs made from earlier parameters."""
         self.rows, self.inputs = {}, None
@@ -226,9 +236,6 @@ class Network:
         tokens = [_tokens(t) for t in texts]
         found, extra = self._rows([w for ws in tokens for w in ws])
         rows = np.concatenate([[0], found])
-        table = self.inputs
-        if len(extra):
-            table = np.concatenate([self.inputs[: len(self.rows) + 1], extra])
         starts, ends, owner, base = [], [], [], 1
         for i, ws in enumerate(tokens):
             if ws:
@@ -244,7 +251,7 @@ class Network:
         for i in range(0, len(start), 2048):
             place = start[None, i : i + 2048] + np.arange(WINDOW)[:, None]
             mask = place < end[None, i : i + 2048]
-            gates = table[rows[np.where(mask, place, 0)]]
+            gates = self._gates(rows[np.where(mask, place, 0)], extra)
             out[i : i + 2048] = self.logits(gates[:, :, : 3 * HIDDEN], gates[:, :, 3 * HIDDEN :], mask.astype(np.float32))
         return out, of, tokens
 
@@ -417,6 +424,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, network: Network, keep: list[str], text_col: str = "text") -> DataFrame:
     """``keep`` with every text's score, one pass and no shuffle."""
+    small_batches(docs.sparkSession)
     # a worker keeps its copy, and with it the inputs of words met in earlier tasks
     shared = docs.sparkSession.sparkContext.broadcast(network)
 

@@ -1,8 +1,11 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_shared import docs, odd  # noqa: F401
-from starloom.llm import toxicity as t
+from starloom.llm import tables, toxicity as t
 
 PLAIN = [f"some plain words number {i} about the weather and other things we like" for i in range(60)]
 BAD = [p + f" you utter {w}" for p, w in zip(PLAIN, ["moronic", "moronish", "moronly"] * 20)]
@@ -55,6 +58,51 @@ def test_scores_do_not_depend_on_the_batch(network):
     assert np.allclose(network.scores(some), one, atol=1e-4) and one[3] == 0
 
 
+def test_words_past_the_kept_ones_score_the_same(network, monkeypatch):
+    some = [*BAD[:9], "", *PLAIN[:9]]
+    network.forget()
+    expected = [network.scores([x])[0] for x in some]
+    monkeypatch.setattr(t, "KEPT_WORDS", 20)
+    network.forget()
+    assert np.allclose([network.scores([x])[0] for x in some], expected, atol=1e-4) and 0 < len(network.rows) <= 20
+    network.forget()
+
+
+def test_kept_inputs_are_not_copied_for_new_words(monkeypatch):
+    monkeypatch.setattr(t, "KEPT_WORDS", 200_000)
+    net = t.Network.new()
+    net.inputs = np.zeros((t.KEPT_WORDS + 1, 6 * t.HIDDEN), np.float32)
+    net.rows = {f"kept{i}": i + 1 for i in range(t.KEPT_WORDS)}
+    tracemalloc.start()
+    try:
+        logit, _, _ = net.window_logits([f"kept0 new{i} kept{i}" for i in range(20)])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(logit) == 20 and peak < net.inputs.nbytes / 4
+
+
+def test_batches_of_long_texts_are_bounded_by_bytes(spark, docs, network):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    frame = docs(*[(i, "ab " * 400_000) for i in range(12)]).coalesce(1).select("text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    try:
+        spark.conf.unset(key)
+        t.score(frame, network, [])
+        most = max(r["n"] for r in frame.mapInArrow(sizes, "n long").collect())
+        assert most < tables.BATCH_BYTES + 2 * 1_200_000
+        spark.conf.set(key, "100m")
+        t.score(frame, network, [])
+        assert spark.conf.get(key) == "100m"
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
 def test_labels_of_one_kind_teach_nothing():
     assert (t.fit(PLAIN, [0] * 60).scores(["you moron", ""]) == 0).all()
 
