@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.llm.components import components
-from starloom.llm.tables import frequent, ship, steps, texts, texts_of
+from starloom.llm.tables import frequent, ship, small_batches, steps, texts, texts_of, tidy
 from starloom.operators.joins import fits_broadcast
 from starloom.session import stage
 
@@ -48,6 +48,8 @@ VERIFY_COST = 50
 FREQUENT_WORDS, FREQUENT_SHINGLES = 65_536, 262_144
 #: Words or shingles that a task counts at once. Of these, shingles of one document are left out.
 COUNTED_AT_ONCE = 2_000_000
+#: Counts that a task passes on at once.
+COUNTS_AT_ONCE = 100_000
 #: Shingles of up to so many documents are rare: all pairs of their documents are few.
 RARE = 8
 #: Rounds of leaders before the full join.
@@ -126,16 +128,20 @@ def _counts(size: int):
         words: list[np.ndarray] = []
         sets: list[np.ndarray] = []
 
-        def rows() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(words), return_counts=True)
-            shingles, held = np.unique(np.concatenate(sets), return_counts=True)
-            shingles, held = shingles[held > 1], held[held > 1]
-            words.clear()
-            sets.clear()
-            whole = np.repeat([False, True], [len(keys), len(shingles)])
-            keys, n = np.concatenate([keys, shingles]), np.concatenate([n, held])
-            columns = [pa.array(whole), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))]
-            return pa.RecordBatch.from_arrays(columns, ["shingle", "key", "n"])
+        def rows() -> Iterator[pa.RecordBatch]:
+            # one kind after the other, sorted in place, and passed on bit by bit
+            for whole, met in ((False, words), (True, sets)):
+                hashes = np.concatenate(met)
+                met.clear()
+                hashes.sort()
+                first = np.concatenate([[0], np.flatnonzero(hashes[1:] != hashes[:-1]) + 1, [len(hashes)]])
+                for i in range(0, len(first) - 1, COUNTS_AT_ONCE):
+                    edges = first[i : i + COUNTS_AT_ONCE + 1]
+                    n = np.diff(edges)
+                    held = n > int(whole)
+                    keys, n = hashes[edges[:-1][held]], n[held]
+                    columns = [pa.array(np.full(len(n), whole)), pa.array(keys.view(np.int64)), pa.array(n)]
+                    yield pa.RecordBatch.from_arrays(columns, ["shingle", "key", "n"])
 
         for batch in batches:
             for part in steps(batch):
@@ -143,9 +149,9 @@ def _counts(size: int):
                     words.append(word_hashes(text))
                     sets.append(np.unique(shingle_hashes(words[-1], size)))
                 if sum(map(len, words)) > COUNTED_AT_ONCE:
-                    yield rows()
+                    yield from rows()
         if words:
-            yield rows()
+            yield from rows()
 
     return run
 
@@ -156,7 +162,7 @@ def order_of(docs: DataFrame, size: int = SHINGLE) -> Order:
     A shingle is counted where a task meets it in several of the documents that it
     takes at once, as it does with one that a share of all documents hold.
     """
-    counted = docs.select("text").mapInArrow(_counts(size), "shingle boolean, key long, n long")
+    counted = docs.select("text").mapInArrow(tidy(_counts(size)), "shingle boolean, key long, n long")
     summed = counted.groupBy("shingle", "key").agg(F.sum("n").alias("n"))
     summed = stage(summed.where(F.col("n") > F.when(F.col("shingle"), RARE).otherwise(1)), "counts")
 
@@ -284,7 +290,7 @@ def _links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, percen
         return pairs
     counts = reps.join(_if_small(_in_pairs(pairs)), "doc", "left_semi").select("doc", "cells")
     both = pairs.join(counts.toDF("a", "cells_a"), "a").join(counts.toDF("b", "cells_b"), "b")
-    pairs = stage(both.mapInArrow(_bounded(percent), "a long, b long"), "near")
+    pairs = stage(both.mapInArrow(tidy(_bounded(percent)), "a long, b long"), "near")
     if pairs.isEmpty():
         return pairs
     wanted = reps.join(_if_small(_in_pairs(pairs)), "doc", "left_semi").select("doc", "doc_id", "sign")
@@ -292,13 +298,13 @@ def _links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, percen
     kind = docs.schema["doc_id"].dataType.simpleString()
     made = (
         docs.join(wanted, "doc_id", "left_semi")
-        .mapInArrow(_sets(size), f"doc_id {kind}, sign binary, whole binary")
+        .mapInArrow(tidy(_sets(size)), f"doc_id {kind}, sign binary, whole binary")
         .join(wanted, ["doc_id", "sign"])
     )
     # rows of one id and one set are one node
     sets = stage(made.groupBy("doc").agg(F.first("whole").alias("whole")), "sets")
     both = pairs.join(sets.toDF("a", "whole_a"), "a").join(sets.toDF("b", "whole_b"), "b")
-    return stage(both.mapInArrow(_verified(percent), "a long, b long"), "similar")
+    return stage(both.mapInArrow(tidy(_verified(percent)), "a long, b long"), "similar")
 
 
 def _level(position: Column, n: Column, percent: int) -> Column:
@@ -424,10 +430,11 @@ def _search(rows: DataFrame, size: int, percent: int) -> Found:
     """All links between texts. A class of equal sets goes by the number of one of its rows."""
     spark = rows.sparkSession
     ship(spark)
+    small_batches(spark)
     kind = rows.schema["doc_id"].dataType.simpleString()
     shared = spark.sparkContext.broadcast(order_of(rows, size))
     columns = f"doc_id {kind}, n long, sign binary, cells binary, tokens array<long>"
-    made = rows.mapInArrow(_sketches(shared, size, percent), columns)
+    made = rows.mapInArrow(tidy(_sketches(shared, size, percent)), columns)
     sketches = stage(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
     known = sketches.where("sign IS NOT NULL AND doc_id IS NOT NULL").select("sign", "doc_id", "row")
     first = known.groupBy("sign").agg(F.min(F.struct("doc_id", "row")).alias("first"))
@@ -505,7 +512,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     signed = (
         rows.join(again, "doc_id", "left_semi")
         .withColumn("digest", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-        .mapInArrow(_sets(size, False), f"doc_id {kind}, sign binary, digest string")
+        .mapInArrow(tidy(_sets(size, False)), f"doc_id {kind}, sign binary, digest string")
     )
     least = signed.groupBy("doc_id", "sign").agg(F.min("digest").alias("digest"))
     stay = judged.where("stays").select("doc_id", "sign").distinct()

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from starloom.llm.tables import ship, steps, texts, texts_of
+from starloom.llm.tables import ship, small_batches, steps, texts, texts_of, tidy
 from starloom.session import stage
 
 CAPACITY = 2048
@@ -121,6 +121,7 @@ def cut(ids: bytes, capacity: int = CAPACITY) -> list[tuple[int, int, int, int]]
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """The pieces of all documents, without their ids."""
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = texts(docs, id_col, text_col)
     added = T.StructType.fromDDL("piece int, start long, length long, ids_crc32 long")
     schema = T.StructType([rows.schema["doc_id"], *added])
@@ -138,7 +139,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     schema.names,
                 )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 class Packer:
@@ -232,7 +233,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, most: int = OPEN_BINS, per_t
     while True:
         place = F.xxhash64(*columns)
         dealt = left.repartition(tasks, place).sortWithinPartitions(place, *columns)
-        packed = stage(dealt.mapInArrow(_packed(schema, level, tasks == 1, capacity, most), schema), "packed")
+        packed = stage(dealt.mapInArrow(tidy(_packed(schema, level, tasks == 1, capacity, most)), schema), "packed")
         done.append(packed.where("sequence_id IS NOT NULL"))
         if tasks == 1:
             return reduce(DataFrame.unionByName, done)

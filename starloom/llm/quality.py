@@ -19,7 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.llm.tables import let
+from starloom.llm.tables import let, small_batches
 from starloom.operators.joins import fits_broadcast
 from starloom.session import stage
 
@@ -201,6 +201,7 @@ def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     Rows that share an id are judged together: they stay if all of them are kept.
     Rows without an id are judged by their text's digest.
     """
+    small_batches(docs.sparkSession)
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.col(text_col).cast("binary"))), F.lit("none"))
     judged = judge(docs.withColumn("__key", key), "__key", text_col, rules)
     out = stage(judged.where(~F.col("kept")).select(F.col("doc_id").alias("__key")).distinct(), "rejected")

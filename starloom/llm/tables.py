@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -18,6 +19,9 @@ STEP_CHARS = 1_000_000
 #: Bytes of an Arrow batch on its way to a Python worker, about, beyond a single row.
 BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Rows that a task reads from Parquet at once.
+READ_ROWS = 512
+_READ_SETTING = "spark.sql.parquet.columnarReaderBatchSize"
 
 
 _SHIPPED: set[str] = set()
@@ -36,12 +40,35 @@ def ship(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by their bytes from now on in this session, unless it has a bound of its own.
+    """Bound Arrow batches by their bytes, and what is read at once by its rows, from now on in
+    this session, unless it has bounds of its own.
 
-    By rows alone, 10,000 long texts are one batch, which lies in the JVM and twice in the worker.
+    By rows alone, 10,000 long texts are one batch, which lies in the JVM and twice in the worker;
+    4,096 of them read at once are one array, which grows by copies to twice the size.
     """
-    if spark.conf.get(_BATCH_SETTING, None) is None:
-        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    for setting, value in ((_BATCH_SETTING, BATCH_BYTES), (_READ_SETTING, READ_ROWS)):
+        if spark.conf.get(setting, None) is None:
+            spark.conf.set(setting, str(value))
+
+
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(run: Work) -> Work:
+    """``run``, after which a task gives the memory it has freed back to the system.
+
+    Workers live on from task to task, and the allocator would keep for the next one what
+    the largest step has taken, beside all that the JVM takes meanwhile.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    return work
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,7 +161,7 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *columns], names)
 
     rows = docs.select(*keep, F.col(text_col).alias("__text"))
-    return rows.mapInArrow(run, T.StructType([*kept, *extra]))
+    return rows.mapInArrow(tidy(run), T.StructType([*kept, *extra]))
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,7 +1,10 @@
 import random
 import re
+import tracemalloc
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_shared import docs, odd  # noqa: F401
@@ -196,3 +199,45 @@ def test_texts_that_share_a_passage_make_few_pairs(docs, monkeypatch):
     rows = [(d, passage + " " + " ".join(f"w{(d * 7 + i * i) % 50} the{d * 40 + i}" for i in range(20))) for d in range(1, 121)]
     check(docs, rows)
     assert found == [0]
+
+
+def counted(rows, size=4):
+    """Sums of what one task counts, and the most rows that it passes on at once."""
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["text"])
+    found, most = Counter(), 0
+    for made in j._counts(size)(iter([batch])):
+        most = max(most, made.num_rows)
+        for whole, key, n in zip(*[c.to_pylist() for c in made.columns]):
+            found[whole, key] += n
+    return found, most
+
+
+def test_counts_of_a_task():
+    rows = ["a b c d e", "a b c d e f", "A b  c d", "", None, "x"]
+    words, sets = Counter(), Counter()
+    for text in rows:
+        hashes = j.word_hashes(text or "")
+        words.update((False, k) for k in hashes.view(np.int64).tolist())
+        sets.update((True, k) for k in set(j.shingle_hashes(hashes).view(np.int64).tolist()))
+    assert counted(rows)[0] == words + Counter({k: n for k, n in sets.items() if n > 1})
+    assert counted([None, ""])[0] == Counter() and counted([])[0] == Counter()
+
+
+def test_counts_are_passed_on_bit_by_bit(monkeypatch):
+    rows = [" ".join(f"w{i % 3}x{k}" for k in range(i, i + 40)) for i in range(60)]
+    whole, _ = counted(rows)
+    monkeypatch.setattr(j, "COUNTS_AT_ONCE", 7)
+    assert counted(rows) == (whole, 7)
+
+
+def test_memory_of_a_task_that_counts():
+    rows = [" ".join(f"{i}x{k}" for k in range(2_000)) for i in range(450)]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["text"])
+    tracemalloc.start()
+    try:
+        n = sum(made.num_rows for made in j._counts(4)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # the hashes of words and shingles are 14 MB
+    assert n == 900_000 and peak < 40e6
